@@ -12,11 +12,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ravel.plans import graph_q, phones_q, words_q
+from ravel.plans import graph_q, phones_q, trending_q, words_q
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-for _mod in (words_q, phones_q, graph_q):
+for _mod in (words_q, phones_q, graph_q, trending_q):
     QUERIES.update(_mod.QUERIES)
     ORACLE.update(_mod.ORACLE)

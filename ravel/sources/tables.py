@@ -52,10 +52,16 @@ def dutch_phone_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Status rows from ``events``: (event_id, ts, is_retweet, lang, id,
-    username, text) -- ``id``/``username``/``text`` describe the retweeted
-    original; ``ts`` is an event-time timestamp (UTC session)."""
-    e = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "props")
+    """Status rows from the ``events`` table (see ``tweets_from_events``)."""
+    return tweets_from_events(table(spark, sf_dir, "events"))
+
+
+def tweets_from_events(events: DataFrame) -> DataFrame:
+    """Status rows (event_id, ts, is_retweet, lang, id, username, text) --
+    ``id``/``username``/``text`` describe the retweeted original; ``ts`` is
+    an event-time timestamp (UTC session). Pure projection, so it serves a
+    batch or a streaming ``events`` frame alike."""
+    e = events.select("event_id", "ts", "event_type", "props")
     k = F.get_json_object("props", "$.k").cast("int")
     e = e.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type",
                  k.alias("k"))
@@ -98,7 +104,7 @@ def cast_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def actor_movie_edges(spark: SparkSession, sf_dir: str,
                       since: str = "2001-06-01") -> DataFrame:
-    """Distinct (actor_id, movie, is_male, name): customer = actor, part =
+    """Distinct (actor_id, movie): customer = actor (via the order), part =
     movie, for line items shipped on or after ``since``."""
     li = table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") >= F.lit(since)) \
         .select("l_orderkey", "l_partkey")
