@@ -131,3 +131,26 @@ select {_B}, line_no,
          tweet_count::varchar, ' ', text) as line
 from n""",
 }
+
+
+# ---------------------------------------------------------------- stream
+WATERMARK = "1 hour"
+
+
+def trending_stream(spark, sf_dir):
+    """The stream over the events file, run to the end (availableNow); its
+    rows for every window closed by the final watermark."""
+    from ravel.session import scratch_path
+    from ravel.streaming.trending_stream import run_to_end
+
+    out = scratch_path(spark, "trending-out")
+    run_to_end(spark, sf_dir, out, scratch_path(spark, "trending-ckpt"), WINDOW, SLIDE, WATERMARK)
+    rows = spark.read.parquet(f"{out}/rows")
+    return rows.select(*_bounds(), *_ROW_COLS)
+
+
+QUERIES["trending_stream"] = trending_stream
+ORACLE["trending_stream"] = _ROWS + f""",
+wm as (select max(us) - 3600000000 as w from rt)
+select {_B}, id, tag_count, tag, username, tweet_count, text from rows, wm
+where start + 43200000000 <= wm.w"""
