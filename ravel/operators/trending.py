@@ -121,7 +121,8 @@ def trending(statuses: DataFrame, window: str = "120 seconds", slide: str = "2 s
     return trending_rows(wc)
 
 
-REPORT_ORDER = [F.desc("tag_count"), F.desc("tweet_count"), F.asc("tag"), F.asc("id")]
+def report_order() -> list[Column]:
+    return [F.desc("tag_count"), F.desc("tweet_count"), F.asc("tag"), F.asc("id")]
 
 
 def run_limited_top(rows: DataFrame, per_run: int = PER_RUN, total: int = TOTAL,
@@ -136,11 +137,11 @@ def run_limited_top(rows: DataFrame, per_run: int = PER_RUN, total: int = TOTAL,
     then found with lag/running-sum (gaps and islands)."""
     block = Window.partitionBy(by, "tag_count", "tweet_count", "tag").orderBy("id")
     r = rows.withColumn("_b", F.row_number().over(block)).where(F.col("_b") <= per_run)
-    w = Window.partitionBy(by).orderBy(*REPORT_ORDER)
+    w = Window.partitionBy(by).orderBy(*report_order())
     prev = F.lag("tag").over(w)
     r = r.withColumn("_new", F.when(prev.isNull() | (prev != F.col("tag")), 1).otherwise(0))
     r = r.withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    in_run = Window.partitionBy(by, "_run").orderBy(*REPORT_ORDER)
+    in_run = Window.partitionBy(by, "_run").orderBy(*report_order())
     r = r.withColumn("_k", F.row_number().over(in_run)).where(F.col("_k") <= per_run)
     r = r.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= total)
     return r.drop("_b", "_new", "_run", "_k")

@@ -59,7 +59,7 @@ def trending_top(spark, sf_dir):
 def trending_log(spark, sf_dir):
     """Every trending row numbered in report order per window."""
     rows = _rows(spark, sf_dir)
-    n = number_rows(rows, "window", tr.REPORT_ORDER, out="line_no")
+    n = number_rows(rows, "window", tr.report_order(), out="line_no")
     return n.select(*_bounds(), "line_no", tr.report_line(F.col("line_no")).alias("line"))
 
 

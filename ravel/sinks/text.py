@@ -51,3 +51,47 @@ def write_predecessor_report(counts: DataFrame, path: str, mode: str = "errorife
 def write_lines(lines: DataFrame, path: str, line_sep: str = "\n",
                 mode: str = "errorifexists") -> None:
     lines.write.mode(mode).option("lineSep", line_sep).text(path)
+
+
+def degree_report_lines(summary: DataFrame, histogram: DataFrame, farthest: DataFrame,
+                        max_hops: int = 6) -> DataFrame:
+    """Lines (sec, sub, line) of the degrees summary report: totals, one line
+    per distance, reach totals and ratios, then the numbered names at the
+    last distance for each gender. Sort by (sec, sub) to write."""
+    s = summary
+    c = lambda *parts: F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts])
+    st = lambda name: F.col(name).cast("string")
+    head = s.select(F.posexplode(F.array(
+        c("Total number of actors = ", st("n_actors"), ", out of which ", st("n_male"), " (",
+          st("pct_male"), "%) are males while ", st("n_female"), " (", st("pct_female"),
+          "%) are females."),
+        c("Total number of movies = ", st("n_movies")),
+        F.lit(""))).alias("sub", "line")).select(F.lit(0).alias("sec"), "sub", "line")
+    per = histogram.select(
+        F.lit(1).alias("sec"), F.col("distance").alias("sub"),
+        c("There are ", st("actors"), " (", F.col("pct_actors"), "%) actors and ",
+          st("actresses"), " (", F.col("pct_actresses"), "%) actresses at distance ",
+          st("distance")).alias("line"))
+    tail = s.select(F.posexplode(F.array(
+        F.lit(""),
+        c(f"Total number of actors from distance 1 to {max_hops} = ", st("reached"),
+          ", ratio = ", st("ratio")),
+        c(f"Total number of male actors from distance 1 to {max_hops} = ", st("reached_male"),
+          ", ratio = ", st("ratio_male")),
+        c(f"Total number of female actors (actresses) from distance 1 to {max_hops} = ",
+          st("reached_female"), ", ratio = ", st("ratio_female")),
+        F.lit(""),
+        F.lit(f"List of male actors at distance {max_hops}:"))).alias("sub", "line")) \
+        .select(F.lit(2).alias("sec"), "sub", "line")
+    names = farthest.select(
+        F.when(F.col("is_male"), F.lit(3)).otherwise(F.lit(5)).alias("sec"),
+        F.col("idx").alias("sub"), c(st("idx"), ". ", F.col("name")).alias("line"))
+    mid = s.select(F.posexplode(F.array(
+        F.lit(""), F.lit(f"List of female actors (actresses) at distance {max_hops}:")))
+        .alias("sub", "line")).select(F.lit(4).alias("sec"), "sub", "line")
+    return (head.unionByName(per).unionByName(tail).unionByName(names).unionByName(mid)
+            .select(F.col("sec").cast("int"), F.col("sub").cast("bigint"), "line"))
+
+
+def write_degree_report(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    lines.orderBy("sec", "sub").select("line").write.mode(mode).option("lineSep", "\n").text(path)

@@ -1,0 +1,101 @@
+"""Graph program: title rules (Q13, Q14), record parsing, BFS vs a Python
+BFS, and the whole job on a generated Latin-1 cast-list file."""
+
+import glob
+import random
+from collections import deque
+
+from pyspark.sql import functions as F
+
+from ravel.functions.titles import movie_of_title, record_fields
+from ravel.operators import graph
+from ravel.plans.programs import degrees_job
+
+
+def test_title_rules(spark):
+    titles = ["F (B) (2012)", "2013) z", "Movie (2012/I)  [x]", "Old (1999)", '"Show" (2015)',
+              "No year", "Q (????)", "S (+2012)", "T (2011)"]
+    df = spark.createDataFrame([(t,) for t in titles], "t string")
+    got = [r[0] for r in df.select(movie_of_title(F.col("t"), 2011)).collect()]
+    assert got == [None, "2013)", "Movie (2012/I)", None, None, None, None, None, "T (2011)"]
+
+
+def test_record_parse(spark):
+    rec = "Doe, Jane\t\tA (2012)  [x]\n\t\t\t\"TV\" (2013)\n\t\t\tB (2001)\n\t\t\tA (2012)  [y]"
+    df = spark.createDataFrame([(rec,), ("\n",), ("Nobody\t\t\tC (1990)",)], "value string")
+    rows = graph.parse_cast_records(df, True, 2011).collect()
+    assert [(r.name, r.movies) for r in rows] == [("Doe, Jane", ["A (2012)", "A (2012)"])]
+    f = df.select(record_fields(F.col("value"))).first()[0]
+    assert f[0] == "Doe, Jane" and len(f) == 5
+
+
+def py_bfs(edges, src, hops):
+    by_a, by_m = {}, {}
+    for a, m in edges:
+        by_a.setdefault(a, set()).add(m)
+        by_m.setdefault(m, set()).add(a)
+    dist, q = {src: 0}, deque([src])
+    while q:
+        a = q.popleft()
+        if dist[a] == hops:
+            continue
+        for m in by_a.get(a, ()):
+            for b in by_m[m]:
+                if b not in dist:
+                    dist[b] = dist[a] + 1
+                    q.append(b)
+    return dist
+
+
+def test_bfs_matches_python(spark):
+    rnd = random.Random(9)
+    edges = sorted({(rnd.randint(0, 300), rnd.randint(0, 250)) for _ in range(700)})
+    df = spark.createDataFrame(edges, "actor_id long, movie long")
+    src = edges[0][0]
+    got = {r.actor_id: r.distance for r in graph.degrees(df, src, 6, max_broadcast_rows=20).collect()}
+    assert got == py_bfs(edges, src, 6)
+
+
+def test_bfs_plan_has_no_pair_self_join(spark):
+    df = spark.createDataFrame([(1, 1), (2, 1), (2, 2), (3, 2)], "actor_id long, movie long")
+    d = graph.degrees(df, 1, 6)
+    assert sorted((r.actor_id, r.distance) for r in d.collect()) == [(1, 0), (2, 1), (3, 2)]
+    assert "a1" not in d._jdf.queryExecution().optimizedPlan().toString()
+
+
+HEADER = "CAST LIST\n=========\n\nName\t\t\tTitles\n----\t\t\t------\n"
+FOOTER = "\n\n" + "-" * 77 + "\nfooter text\n\nmore footer\n"
+
+
+def write_cast(path, records):
+    body = HEADER + "\n\n".join(records) + FOOTER
+    with open(path, "wb") as f:
+        f.write(body.encode("latin-1"))
+
+
+def test_degrees_job(spark, tmp):
+    male = [
+        "Bacon, Kevin (I)\t\tFilm A (2012)  [x]\n\t\t\tFilm B (2013)",
+        "Müller, Jörg\t\tFilm A (2012)\n\t\t\t\"TV\" (2014)",
+        "Two, Hop\t\tFilm C (2014)\n\t\t\tF (B) (2012)",
+        "Nomovie, Sam\t\tOld (1999)",
+    ]
+    female = [
+        "Doe, Jane\t\tFilm B (2013)\n\t\t\tFilm C (2014)",
+        "Alone, Ann\t\tSolo (2015)",
+        "Müller, Jörg\t\tSolo (2015)",
+    ]
+    write_cast(f"{tmp}/m.list", male)
+    write_cast(f"{tmp}/f.list", female)
+    dist = degrees_job(spark, f"{tmp}/m.list", f"{tmp}/f.list", "Bacon, Kevin (I)",
+                       f"{tmp}/report", 2011, 6)
+    assert sorted(r.distance for r in dist.collect()) == [0, 1, 1, 2]
+    text = "".join(open(p, encoding="utf-8").read() for p in sorted(glob.glob(f"{tmp}/report/part-*")))
+    lines = text.split("\n")
+    assert lines[0] == ("Total number of actors = 6, out of which 3 (50%) are males while "
+                        "3 (50%) are females.")
+    assert lines[1] == "Total number of movies = 4"
+    assert lines[3] == "There are 1 (33.3%) actors and 1 (33.3%) actresses at distance 1"
+    assert lines[4] == "There are 1 (33.3%) actors and 0 (0.0%) actresses at distance 2"
+    assert "List of male actors at distance 6:" in lines
+    assert text.endswith("List of female actors (actresses) at distance 6:\n")
