@@ -28,16 +28,19 @@ def is_tv_title(title) -> Column:
 
 def cut_after_first_paren(title) -> Column:
     """Prefix up to and including the first ')'; '' when there is none."""
-    return F.left(title, F.instr(title, ")"))
+    return F.regexp_extract(title, r"^[^)]*\)", 0)
+
+
+def year_digits(cut_title) -> Column:
+    """The first four characters after the first '(' of a cut title (it
+    ends at its first ')'), or from its start when it has no '('."""
+    return F.regexp_extract(cut_title, r"^(?:[^(]*\()?([^)]{0,4})", 1)
 
 
 def year_qualifies(cut_title, min_year: int = DEFAULT_MIN_YEAR) -> Column:
-    """First four characters between the first '(' and first ')' as an
-    integer (sign allowed, as an integer parser reads it) >= min_year."""
-    i = F.instr(cut_title, "(")
-    e = F.instr(cut_title, ")")
-    inner = F.substring(cut_title, i + 1, e - i - 1)
-    four = F.left(inner, F.lit(4))
+    """Those four characters read as an integer (sign allowed, as an
+    integer parser reads it) >= min_year; unparsable -> False."""
+    four = year_digits(cut_title)
     return F.coalesce(four.rlike(r"^[+-]?[0-9]+\z")
                       & (four.try_cast("int") >= F.lit(min_year)), F.lit(False))
 
