@@ -50,18 +50,18 @@ def drop_last_char(c) -> Column:
 def space_tokens(c) -> Column:
     """Split on the single space character only, dropping empty tokens
     (a tab or newline stays inside a token)."""
-    return F.filter(F.split(col_(c), " "), lambda t: t != "")
+    return F.array_remove(F.split(col_(c), " "), "")
 
 
 def adjacent_pairs(tokens) -> Column:
     """array<struct<b,a>> of each token ``a`` with the token ``b`` before it.
-    NULL (so no rows after explode) when there are fewer than two tokens."""
+    NULL (so no rows after explode) when there are fewer than two tokens.
+    No lambda functions: plans holding it stay comparable, so Spark reuses
+    a shuffle of the same pairs across branches of one query."""
     t = col_(tokens)
     n = F.size(t)
-    return F.when(
-        n >= 2,
-        F.zip_with(F.slice(t, 1, n - 1), F.slice(t, 2, n - 1),
-                   lambda b, a: F.struct(b.alias("b"), a.alias("a"))))
+    return F.when(n >= 2, F.arrays_zip(F.slice(t, 1, n - 1).alias("b"),
+                                       F.slice(t, 2, n - 1).alias("a")))
 
 
 def sentinel_segments(line) -> Column:
