@@ -123,3 +123,29 @@ select is_male, row_number() over (partition by is_male order by name, actor_id)
   name, actor_id
 from dist join people using (actor_id) where distance = 6""",
 }
+
+
+def cast_file_movies(spark, sf_dir):
+    """The cast rows written as male and female cast-list files (header,
+    blank-line records, footer) in the checkpoint folder, read back with
+    the file reader and parsed: (name, is_male, movie) per kept title."""
+    from ravel.session import scratch_path
+    from ravel.sinks.files import write_cast_list
+    from ravel.sources.casts import read_cast_file
+
+    rows = cast_rows(spark, sf_dir)
+    slots = spark.sparkContext.defaultParallelism
+    parsed = []
+    for male in (True, False):
+        path = scratch_path(spark, "cast-list")
+        write_cast_list(rows.where(F.col("is_male") == male), path, slots)
+        recs = read_cast_file(spark, path)
+        parsed.append(graph.parse_cast_records(recs, male, CAST_MIN_YEAR))
+    both = parsed[0].unionByName(parsed[1])
+    return both.select("name", "is_male", F.explode("movies").alias("movie"))
+
+
+QUERIES["cast_file_movies"] = cast_file_movies
+ORACLE["cast_file_movies"] = "with " + _TITLE + f"""
+select name, is_male, m as movie from yr
+where regexp_matches(y, '^[+-]?[0-9]+$') and try_cast(y as integer) >= {CAST_MIN_YEAR}"""

@@ -74,3 +74,23 @@ ORACLE = {
     "phone_pairs_nl": _NL + "select num, uri from canon",
     "phone_index_nl": _NL + _INDEX,
 }
+
+
+def crawl_phone_pairs(spark, sf_dir):
+    """The same records written as gzip crawl segments (in the checkpoint
+    folder), listed in an index, and read back through the crawl reader:
+    the file path of the phone program, on data derived from the tables."""
+    from ravel.session import scratch_path
+    from ravel.sinks.files import write_segment_index, write_wet_segments
+    from ravel.sources.crawl import CrawlRead, read_index
+
+    segs, index = scratch_path(spark, "wet"), scratch_path(spark, "wet-index")
+    slots = spark.sparkContext.defaultParallelism
+    write_wet_segments(crawl_records_from_tables(spark, sf_dir), segs, slots)
+    write_segment_index(spark, segs, index)
+    read = CrawlRead(spark, read_index(spark, index))
+    return phones.phone_pairs(read.valid_records(), "1", 10)
+
+
+QUERIES["crawl_phone_pairs"] = crawl_phone_pairs
+ORACLE["crawl_phone_pairs"] = ORACLE["phone_pairs"]
