@@ -63,9 +63,13 @@ def windowed_counts(rt: DataFrame, window: str, slide: str) -> DataFrame:
     k = win_s // slide_s
     step = slide_s * 1_000_000
     pane = F.floor(F.unix_micros("ts") / F.lit(step)) * F.lit(step)
-    panes = (rt.groupBy(pane.alias("pane"), "id")
-             .agg(F.count(F.lit(1)).alias("n"), F.min_by(_info(), F.col("ts")).alias("i"),
-                  F.min("ts").alias("t0")))
+    # Over the raw rows only a hash aggregation with fixed-width buffers:
+    # author and text (a function of the original) are grouping keys, so
+    # no string sits in an aggregation buffer. The earliest retweet's info
+    # is picked per window from these partials.
+    panes = (rt.groupBy(pane.alias("pane"), "id", "username", "text")
+             .agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("t0"))
+             .select("pane", "id", "n", _info().alias("i"), "t0"))
     starts = panes.select(
         F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("j"), "pane", "id", "n", "i", "t0")
     starts = starts.withColumn("start", F.col("pane") - F.col("j") * F.lit(step))
@@ -97,7 +101,9 @@ def tweet_tags(wc: DataFrame) -> DataFrame:
 
 def tag_counts(tags: DataFrame) -> DataFrame:
     """(window, tag, tag_count): distinct originals per tag; 0 for 'None'."""
-    return (tags.groupBy("window", "tag").agg(F.count(F.lit(1)).alias("c"))
+    # count("n"), never NULL: keeps ``n`` in this branch, so both sides of
+    # the join in ``trending_rows`` stay the same plan and share one shuffle.
+    return (tags.groupBy("window", "tag").agg(F.count("n").alias("c"))
             .select("window", "tag",
                     F.when(F.col("tag") == NO_TAG, F.lit(0)).otherwise(F.col("c"))
                     .cast("int").alias("tag_count")))
