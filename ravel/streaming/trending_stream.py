@@ -12,7 +12,7 @@ per epoch with overwrite, so a replayed epoch replaces its own files
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -27,7 +27,31 @@ def windowed_stream(statuses: DataFrame, window: str, slide: str, watermark: str
     return tr.windowed_counts_direct(rt, window, slide)
 
 
-def _writer(out_path: str, start, per_run: int, total: int):
+# The report's rule lines.
+RULE = "=" * 38
+ROW_RULE = "-" * 35
+
+
+def log_lines(rows: DataFrame) -> DataFrame:
+    """The per-window log: a header with the window's end time (HH:mm:ss),
+    then every row numbered in report order, each followed by a rule line.
+    Columns (window, k, line); sort by them to write. Numbering is a
+    window function per closed window, over rows already aggregated to
+    one per (original, tag)."""
+    w = Window.partitionBy("window").orderBy(*tr.report_order())
+    n = rows.withColumn("i", F.row_number().over(w))
+    body = n.select("window", F.posexplode(F.array(
+        tr.report_line(F.col("i")), F.lit(ROW_RULE))).alias("j", "line"),
+        "i").select("window", (F.col("i") * 2 + F.col("j")).alias("k"), "line")
+    heads = rows.select("window").distinct().select(
+        "window", F.posexplode(F.array(
+            F.lit(""), F.lit(RULE),
+            F.concat(F.lit("Time: "), F.date_format("window.end", "HH:mm:ss")),
+            F.lit(RULE))).alias("k", "line"))
+    return heads.unionByName(body)
+
+
+def _writer(out_path: str, start, per_run: int, total: int, print_top: bool):
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         # A fresh window column: the emitted one carries event-time metadata
         # that the self-join below (tags vs. tag counts) cannot resolve.
@@ -35,11 +59,18 @@ def _writer(out_path: str, start, per_run: int, total: int):
         wc = batch.select(win.alias("window"), "id", "n", "username", "text")
         if start is not None:  # warm-up: no window that opened before the stream
             wc = wc.where(F.col("window.start") >= F.lit(start).cast("timestamp"))
-        wc = wc.persist()  # read by both outputs
+        wc = wc.persist()  # read by all outputs of the tick
         rows = tr.trending_rows(wc)
         rows.write.mode("overwrite").parquet(f"{out_path}/rows/epoch={epoch_id}")
+        (log_lines(rows).orderBy("window", "k").select("line")
+         .write.mode("overwrite").text(f"{out_path}/log/epoch={epoch_id}"))
         top = tr.run_limited_top(tr.trending_rows(wc), per_run, total)
         top.write.mode("overwrite").parquet(f"{out_path}/top/epoch={epoch_id}")
+        if print_top:  # at most ``total`` lines per window closed in this tick
+            for r in top.orderBy("window", "rank").select(
+                    F.date_format("window.end", "HH:mm:ss").alias("t"),
+                    tr.report_line(F.col("rank")).alias("line")).collect():
+                print(f"[{r.t}] {r.line}")
         wc.unpersist()
     return per_batch
 
@@ -48,14 +79,16 @@ def start_trending(statuses: DataFrame, out_path: str, checkpoint_location: str,
                    window: str = "120 seconds", slide: str = "2 seconds",
                    watermark: str = "10 seconds", start=None,
                    processing_time: str | None = "2 seconds", available_now: bool = False,
-                   per_run: int = tr.PER_RUN, total: int = tr.TOTAL) -> StreamingQuery:
+                   per_run: int = tr.PER_RUN, total: int = tr.TOTAL,
+                   print_top: bool = False) -> StreamingQuery:
     """Start the trending stream over a streaming ``statuses`` frame.
 
     ``out_path/rows`` gets every trending row of each closed window,
-    ``out_path/top`` the run-limited top rows (the console report)."""
+    ``out_path/log`` the numbered text log, ``out_path/top`` the
+    run-limited top rows (the console report, printed with ``print_top``)."""
     wc = windowed_stream(statuses, window, slide, watermark)
     w = (wc.writeStream.outputMode("append")
-         .foreachBatch(_writer(out_path, start, per_run, total))
+         .foreachBatch(_writer(out_path, start, per_run, total, print_top))
          .option("checkpointLocation", checkpoint_location))
     if available_now:
         w = w.trigger(availableNow=True)
