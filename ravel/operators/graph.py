@@ -7,9 +7,10 @@ The search never builds the co-star graph (whose size is the sum of the
 squared cast sizes): each hop goes frontier actors -> their movies not seen
 before -> those movies' actors not seen before, i.e. two semi-joins against
 the bipartite edges plus two anti-joins. Edges are stored once hash
-partitioned by actor and once by movie (reliable checkpoints), so a hop
-only shuffles the (small) frontier; a frontier whose measured size is
-under ``max_broadcast_rows`` is broadcast instead. Every hop's result is
+partitioned by actor and once by movie, each salted by a hash of the other
+end (reliable checkpoints), so a hop only shuffles the frontier and a hot
+movie or actor is spread over several partitions; a frontier whose
+measured size is under ``max_broadcast_rows`` is broadcast instead. Every hop's result is
 checkpointed, which cuts lineage and lets the loop survive lost executors.
 """
 
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ravel.functions.titles import DEFAULT_MIN_YEAR, movie_of_title, qualifying_movies, record_fields
 from ravel.operators.ordering import number_rows
-from ravel.session import ensure_checkpoint_dir, join_sized
+from ravel.session import ensure_checkpoint_dir
 
 # The hop limit, and the distance the reference gives an
 # unreached actor (we leave unreached actors out instead).
@@ -72,16 +73,42 @@ def co_star_pairs(edges: DataFrame) -> DataFrame:
 
 
 # -------------------------------------------------------------------- BFS
+def _salted_probe(keys: DataFrame, key: str, salts: int) -> DataFrame:
+    """One copy of each probe key per salt value, to meet edges stored
+    partitioned by (key, salt)."""
+    return keys.select(key, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+
+
+def _expand(stored: DataFrame, probe: DataFrame, key: str, n_probe: int, salts: int,
+            max_broadcast_rows: int) -> DataFrame:
+    """Edges of ``stored`` whose ``key`` is in ``probe``: a broadcast semi
+    join when the probe is small (edges read in place), else a salted
+    semi join that reuses the stored partitioning, so a hot key is spread
+    over ``salts`` partitions and only the probe is shuffled."""
+    if n_probe <= max_broadcast_rows:
+        return stored.join(F.broadcast(probe.select(key)), key, "left_semi")
+    return stored.join(_salted_probe(probe, key, salts), [key, "salt"], "left_semi")
+
+
 def degrees(edges: DataFrame, source_id, max_hops: int = MAX_HOPS,
-            max_broadcast_rows: int = 2_000_000, partitions: int | None = None) -> DataFrame:
+            max_broadcast_rows: int = 2_000_000, partitions: int | None = None,
+            salts: int = 16) -> DataFrame:
     """(actor_id, distance) for the source (0) and every actor within
-    ``max_hops`` co-star hops. ``edges`` holds distinct (actor_id, movie)."""
+    ``max_hops`` co-star hops. ``edges`` holds distinct (actor_id, movie).
+
+    Edges are stored twice, hash partitioned by (movie, salt) and by
+    (actor_id, salt) with the salt a hash of the other end modulo
+    ``salts``: a movie (or actor) holding a third of all edges still
+    spreads over ``salts`` partitions."""
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     e = edges.select("actor_id", "movie")
-    by_actor = e.repartition(n_parts, "actor_id").checkpoint(eager=True)
-    by_movie = e.repartition(n_parts, "movie").checkpoint(eager=True)
+    salt_of = lambda c: F.pmod(F.xxhash64(c), F.lit(salts)).cast("int")
+    by_actor = (e.withColumn("salt", salt_of("movie"))
+                .repartition(n_parts, "actor_id", "salt").checkpoint(eager=True))
+    by_movie = (e.withColumn("salt", salt_of("actor_id"))
+                .repartition(n_parts, "movie", "salt").checkpoint(eager=True))
 
     key_type = dict(e.dtypes)["actor_id"]
     frontier = spark.range(1).select(F.lit(source_id).cast(key_type).alias("actor_id"))
@@ -92,15 +119,14 @@ def degrees(edges: DataFrame, source_id, max_hops: int = MAX_HOPS,
     seen_movies = by_movie.select("movie").where(F.lit(False))
 
     for hop in range(1, max_hops + 1):
-        movies = (join_sized(by_actor, frontier, "actor_id", "left_semi", n_frontier,
-                             max_broadcast_rows)
+        movies = (_expand(by_actor, frontier, "actor_id", n_frontier, salts, max_broadcast_rows)
                   .select("movie").distinct()
                   .join(seen_movies, "movie", "left_anti")
                   .checkpoint(eager=True))
         n_movies = movies.count()
         if n_movies == 0:
             break
-        nxt = (join_sized(by_movie, movies, "movie", "left_semi", n_movies, max_broadcast_rows)
+        nxt = (_expand(by_movie, movies, "movie", n_movies, salts, max_broadcast_rows)
                .select("actor_id").distinct()
                .join(seen_actors, "actor_id", "left_anti")
                .checkpoint(eager=True))

@@ -99,3 +99,18 @@ def test_degrees_job(spark, tmp):
     assert lines[4] == "There are 1 (33.3%) actors and 0 (0.0%) actresses at distance 2"
     assert "List of male actors at distance 6:" in lines
     assert text.endswith("List of female actors (actresses) at distance 6:\n")
+
+
+def test_bfs_hot_movie_and_shuffled_hops(spark):
+    """One movie holds a third of the edges; hops forced to the salted
+    shuffle path (no broadcast) give the same distances."""
+    rnd = random.Random(21)
+    edges = {(a, 0) for a in range(0, 600, 2)}                 # hot movie 0
+    edges |= {(rnd.randint(0, 900), rnd.randint(1, 700)) for _ in range(600)}
+    edges = sorted(edges)
+    df = spark.createDataFrame(edges, "actor_id long, movie long")
+    src = 1
+    edges_src = [(a, m) for a, m in edges] + [(src, 0)]
+    df = spark.createDataFrame(sorted(set(edges_src)), "actor_id long, movie long")
+    got = {r.actor_id: r.distance for r in graph.degrees(df, src, 6, max_broadcast_rows=0, salts=4).collect()}
+    assert got == py_bfs(sorted(set(edges_src)), src, 6)
