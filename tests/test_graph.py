@@ -114,3 +114,21 @@ def test_bfs_hot_movie_and_shuffled_hops(spark):
     df = spark.createDataFrame(sorted(set(edges_src)), "actor_id long, movie long")
     got = {r.actor_id: r.distance for r in graph.degrees(df, src, 6, max_broadcast_rows=0, salts=4).collect()}
     assert got == py_bfs(sorted(set(edges_src)), src, 6)
+
+
+def test_markers(spark, tmp):
+    from ravel.sources.casts import END_MARKER, START_MARKER, read_cast_file
+    cases = {
+        "no_end": "h\n" + START_MARKER + "\nA\t\tx (2012)\n\nB\t\ty (2013)\n",
+        "no_start": "h\n\nA\t\tx (2012)\n",
+        "mid": "h\n" + START_MARKER + "\nA\t\tx (2012)\n\nB\t\ty (2013)\n" + END_MARKER + "\nfoot\n\nC\t\tz (2014)\n",
+    }
+    got = {}
+    for k, v in cases.items():
+        with open(f"{tmp}/{k}.list", "wb") as f:
+            f.write(v.encode("latin-1"))
+        recs = read_cast_file(spark, f"{tmp}/{k}.list").orderBy("ord").collect()
+        got[k] = [r.value for r in recs if r.value.strip()]
+    assert got["no_end"] == ["A\t\tx (2012)", "B\t\ty (2013)\n"]
+    assert got["no_start"] == []
+    assert got["mid"] == ["A\t\tx (2012)", "B\t\ty (2013)"]

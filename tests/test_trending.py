@@ -100,3 +100,14 @@ def test_stream_equals_batch_on_closed_windows(spark, tmp):
     log = [ln for p in sorted(glob.glob(f"{tmp}/out/log/epoch=*/part-*")) for ln in open(p).read().split("\n")]
     assert sum(1 for ln in log if ln.startswith("Time: ")) == got.select("window").distinct().count()
     assert sum(1 for ln in log if ln[:1].isdigit()) == got.count()
+
+
+def test_language_judged_on_status_text(spark):
+    """Q7: the language test reads the retweet's own text; the reported text
+    is the original's."""
+    rows = [(datetime(2024, 1, 1), True, "lt", 1, "u", "orig one", "RT @a: ひらがな"),
+            (datetime(2024, 1, 1), True, "lt", 2, "u", "orig two", "RT @a: labas")]
+    df = spark.createDataFrame(rows, "ts timestamp, is_retweet boolean, lang string, id long, "
+                                     "username string, text string, status string")
+    got = tr.retweets(df, languages=("ja",), status_text="status").collect()
+    assert [(r.id, r.text) for r in got] == [(1, "orig one")]
