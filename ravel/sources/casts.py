@@ -56,7 +56,7 @@ def between_markers(records: DataFrame, start_marker: str = START_MARKER,
     j = j.withColumn("_ep", ep)
     ends = (j.where(F.col("_ep").isNotNull())
             .groupBy("file").agg(F.min(F.struct("ord", F.col("_ep").alias("pos"))).alias("e")))
-    k = j.join(F.broadcast(ends), "file", "left")
+    k = j.join(F.broadcast(ends), "file", "left")  # one row per file, like ``starts``
     before_end = F.col("e").isNull() | (F.col("ord") <= F.col("e.ord"))
     k = k.where(before_end)
     lo = F.when(is_start, F.col("s.pos") + 1).otherwise(F.lit(1))
