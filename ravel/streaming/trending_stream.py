@@ -22,9 +22,26 @@ from ravel.sources.tables import table, tweets_from_events
 
 def windowed_stream(statuses: DataFrame, window: str, slide: str, watermark: str,
                     languages=tr.LANGUAGES) -> DataFrame:
-    """Streaming (window, id, n, username, text) in append mode."""
+    """Streaming (window, id, username, text, n, t0) in append mode.
+
+    Author and text (a function of the original) are grouping keys, so the
+    state holds only a count and a first time per key; ``settle`` reduces
+    an emitted batch to one row per (window, id)."""
     rt = tr.retweets(statuses, languages).withWatermark("ts", watermark)
-    return tr.windowed_counts_direct(rt, window, slide)
+    return (rt.groupBy(F.window("ts", window, slide).alias("window"), "id", "username", "text")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("t0")))
+
+
+def settle(batch: DataFrame) -> DataFrame:
+    """(window, id, n, username, text) of an emitted batch: counts summed
+    per (window, id), author and text of the earliest retweet."""
+    win = F.struct(F.col("window.start").alias("start"), F.col("window.end").alias("end"))
+    return (batch.select(win.alias("window"), "id", "n", "t0",
+                         F.struct("username", "text").alias("i"))
+            .groupBy("window", "id")
+            .agg(F.sum("n").alias("n"), F.min_by("i", F.col("t0")).alias("i"))
+            .select("window", "id", "n", F.col("i.username").alias("username"),
+                    F.col("i.text").alias("text")))
 
 
 # The report's rule lines.
@@ -37,41 +54,45 @@ def log_lines(rows: DataFrame) -> DataFrame:
     then every row numbered in report order, each followed by a rule line.
     Columns (window, k, line); sort by them to write. Numbering is a
     window function per closed window, over rows already aggregated to
-    one per (original, tag)."""
+    one per (original, tag); the first row of a window also carries the
+    header, so the log is one pass over the rows."""
     w = Window.partitionBy("window").orderBy(*tr.report_order())
     n = rows.withColumn("i", F.row_number().over(w))
-    body = n.select("window", F.posexplode(F.array(
-        tr.report_line(F.col("i")), F.lit(ROW_RULE))).alias("j", "line"),
-        "i").select("window", (F.col("i") * 2 + F.col("j")).alias("k"), "line")
-    heads = rows.select("window").distinct().select(
-        "window", F.posexplode(F.array(
-            F.lit(""), F.lit(RULE),
-            F.concat(F.lit("Time: "), F.date_format("window.end", "HH:mm:ss")),
-            F.lit(RULE))).alias("k", "line"))
-    return heads.unionByName(body)
+    head = [F.lit(""), F.lit(RULE),
+            F.concat(F.lit("Time: "), F.date_format("window.end", "HH:mm:ss")), F.lit(RULE)]
+    body = [tr.report_line(F.col("i")), F.lit(ROW_RULE)]
+    lines = F.when(F.col("i") == 1, F.array(*head, *body)).otherwise(F.array(*body))
+    first = F.when(F.col("i") == 1, F.lit(0)).otherwise(F.lit(len(head)) + (F.col("i") - 1) * 2)
+    return n.select("window", first.alias("k0"), F.posexplode(lines).alias("j", "line")) \
+        .select("window", (F.col("k0") + F.col("j")).alias("k"), "line")
 
 
 def _writer(out_path: str, start, per_run: int, total: int, print_top: bool):
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        # A fresh window column: the emitted one carries event-time metadata
-        # that the self-join below (tags vs. tag counts) cannot resolve.
-        win = F.struct(F.col("window.start").alias("start"), F.col("window.end").alias("end"))
-        wc = batch.select(win.alias("window"), "id", "n", "username", "text")
+        # ``settle`` also gives a fresh window column: the emitted one carries
+        # event-time metadata that the self-join of tags and tag counts
+        # cannot resolve.
+        wc = settle(batch)
         if start is not None:  # warm-up: no window that opened before the stream
             wc = wc.where(F.col("window.start") >= F.lit(start).cast("timestamp"))
-        wc = wc.persist()  # read by all outputs of the tick
-        rows = tr.trending_rows(wc)
-        rows.write.mode("overwrite").parquet(f"{out_path}/rows/epoch={epoch_id}")
-        (log_lines(rows).orderBy("window", "k").select("line")
-         .write.mode("overwrite").text(f"{out_path}/log/epoch={epoch_id}"))
-        top = tr.run_limited_top(tr.trending_rows(wc), per_run, total)
-        top.write.mode("overwrite").parquet(f"{out_path}/top/epoch={epoch_id}")
-        if print_top:  # at most ``total`` lines per window closed in this tick
-            for r in top.orderBy("window", "rank").select(
-                    F.date_format("window.end", "HH:mm:ss").alias("t"),
-                    tr.report_line(F.col("rank")).alias("line")).collect():
-                print(f"[{r.t}] {r.line}")
-        wc.unpersist()
+        wc = wc.persist()
+        try:
+            if wc.isEmpty():  # this tick closed no window
+                return
+            rows = tr.trending_rows(wc).persist()  # read by all three outputs
+            rows.write.mode("overwrite").parquet(f"{out_path}/rows/epoch={epoch_id}")
+            (log_lines(rows).orderBy("window", "k").select("line")
+             .write.mode("overwrite").text(f"{out_path}/log/epoch={epoch_id}"))
+            top = tr.run_limited_top(rows, per_run, total)
+            top.write.mode("overwrite").parquet(f"{out_path}/top/epoch={epoch_id}")
+            if print_top:  # at most ``total`` lines per window closed in this tick
+                for r in top.orderBy("window", "rank").select(
+                        F.date_format("window.end", "HH:mm:ss").alias("t"),
+                        tr.report_line(F.col("rank")).alias("line")).collect():
+                    print(f"[{r.t}] {r.line}")
+            rows.unpersist()
+        finally:
+            wc.unpersist()
     return per_batch
 
 
