@@ -111,3 +111,28 @@ def test_language_judged_on_status_text(spark):
                                      "username string, text string, status string")
     got = tr.retweets(df, languages=("ja",), status_text="status").collect()
     assert [(r.id, r.text) for r in got] == [(1, "orig one")]
+
+
+def test_run_limited_top_many_levels(spark):
+    """More than ``total`` tag-count levels per group (one count per tag in
+    a group, as trending rows always have): the level cut is exact."""
+    rnd = random.Random(8)
+    data = []
+    for g in range(40):
+        tags = [f"#t{i}" for i in range(15)] + ["None"]
+        tc = {t: (0 if t == "None" else rnd.randint(1, 14)) for t in tags}
+        for i in range(rnd.randint(5, 80)):
+            t = rnd.choice(tags)
+            data.append((g, i, tc[t], t, rnd.randint(2, 3)))
+    df = spark.createDataFrame(data, "window int, id int, tag_count int, tag string, tweet_count int")
+    got = {}
+    for r in tr.run_limited_top(df).orderBy("window", "rank").collect():
+        got.setdefault(r.window, []).append((r.id, r.tag_count, r.tag, r.tweet_count))
+    want = {}
+    for g in range(40):
+        rows = sorted([(d[1], d[2], d[3], d[4]) for d in data if d[0] == g],
+                      key=lambda x: (-x[1], -x[3], x[2], x[0]))
+        top = loop_top(rows)
+        if top:
+            want[g] = top
+    assert got == want
