@@ -4,7 +4,7 @@ Two actors are co-stars when they share a movie; the distance of an actor
 is the fewest co-star hops from the source, up to ``max_hops`` (6).
 
 The search never builds the co-star graph (whose size is the sum of the
-squared cast sizes): each hop goes frontier actors -> their movies not seen
+squared cast sizes, see ``adjacency_sizes``): each hop goes frontier actors -> their movies not seen
 before -> those movies' actors not seen before, i.e. two semi-joins against
 the bipartite edges plus two anti-joins. Edges are stored once hash
 partitioned by actor and once by movie, each salted by a hash of the other
@@ -63,13 +63,17 @@ def actor_movie_pairs(actors_movies: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------- projection
-def co_star_pairs(edges: DataFrame) -> DataFrame:
-    """Directed distinct co-star pairs (a1, a2), a1 <> a2, via a self-join on
-    movie. Output grows with the squared cast size: an API for small graphs
-    and checks; ``degrees`` does not use it."""
-    e1 = edges.select(F.col("actor_id").alias("a1"), "movie")
-    e2 = edges.select(F.col("actor_id").alias("a2"), "movie")
-    return e1.join(e2, "movie").where(F.col("a1") != F.col("a2")).select("a1", "a2").distinct()
+def adjacency_sizes(edges: DataFrame) -> DataFrame:
+    """(actor_id, movies, co_star_slots): per actor, the size of its co-star
+    adjacency list in the one-mode projection with duplicates kept -- the
+    sum over its movies of (cast size - 1) -- without emitting any pair:
+    per-movie cast sizes (partial aggregation) joined back to the edges
+    (a hot movie is one row on the cast side; AQE splits its edges)."""
+    cast = edges.groupBy("movie").agg(F.count(F.lit(1)).alias("cast"))
+    return (edges.join(cast, "movie")
+            .groupBy("actor_id")
+            .agg(F.count(F.lit(1)).alias("movies"),
+                 F.sum(F.col("cast") - 1).alias("co_star_slots")))
 
 
 # -------------------------------------------------------------------- BFS

@@ -17,8 +17,8 @@ def cast_parse(spark, sf_dir):
     return graph.movies_of_titles(cast_rows(spark, sf_dir), CAST_MIN_YEAR)
 
 
-def co_pairs(spark, sf_dir):
-    return graph.co_star_pairs(actor_movie_edges(spark, sf_dir, EDGES_SINCE))
+def adjacency_sizes(spark, sf_dir):
+    return graph.adjacency_sizes(actor_movie_edges(spark, sf_dir, EDGES_SINCE))
 
 
 def _graph(spark, sf_dir):
@@ -49,7 +49,7 @@ def farthest_names(spark, sf_dir):
 
 QUERIES = {
     "cast_parse": cast_parse,
-    "co_pairs": co_pairs,
+    "adjacency_sizes": adjacency_sizes,
     "degrees": degrees,
     "degree_histogram": degree_histogram,
     "degree_summary": degree_summary,
@@ -91,9 +91,10 @@ ORACLE = {
     "cast_parse": "with " + _TITLE + f"""
 select actor_id, name, is_male, m as movie from yr
 where regexp_matches(y, '^[+-]?[0-9]+$') and try_cast(y as integer) >= {CAST_MIN_YEAR}""",
-    "co_pairs": f"with {_EDGES}" + """
-select distinct e1.actor_id as a1, e2.actor_id as a2
-from e e1 join e e2 on e1.movie = e2.movie where e1.actor_id <> e2.actor_id""",
+    "adjacency_sizes": f"with {_EDGES}" + """,
+c as (select movie, count(*) as cast_n from e group by movie)
+select actor_id, count(*) as movies, sum(cast_n - 1)::bigint as co_star_slots
+from e join c using (movie) group by actor_id""",
     "degrees": _BFS + "select actor_id, distance from dist",
     "degree_histogram": _BFS + """,
 tot as (select count(*) filter (where is_male) as n_male,
