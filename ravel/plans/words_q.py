@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ravel.functions.text import PUNCT_EXCEPT_HYPHEN
 from ravel.operators import words
 from ravel.sinks.text import predecessor_report_lines
 from ravel.sources.tables import document_lines
@@ -48,13 +49,13 @@ raw as (select t[i] as b, t[i + 1] as a from idx),
 pairs as (
   select
     case when regexp_matches(a, '^\p{L}')
-         then regexp_replace(a, '[!-,./:-@\[-`{-~]', '', 'g')
-         else regexp_replace(substr(a, 2), '[!-,./:-@\[-`{-~]', '', 'g') end as word,
+         then regexp_replace(a, '{P}', '', 'g')
+         else regexp_replace(substr(a, 2), '{P}', '', 'g') end as word,
     case when regexp_matches(a, '^\p{L}') and regexp_matches(b, '\p{L}\z')
-         then regexp_replace(b, '[!-,./:-@\[-`{-~]', '', 'g') end as prev
+         then regexp_replace(b, '{P}', '', 'g') end as prev
   from raw),
 counts as (select word, prev, count(*) as n from pairs group by word, prev)
-"""
+""".replace("{P}", PUNCT_EXCEPT_HYPHEN)
 
 ORACLE = {
     "word_totals": _PAIRS + "select word, sum(n)::bigint as n from counts group by word",
