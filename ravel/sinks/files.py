@@ -7,7 +7,7 @@ table, at any size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ravel.sources.casts import END_MARKER, START_MARKER
@@ -43,25 +43,34 @@ def write_cast_list(rows: DataFrame, path: str, files: int, key: str = "actor_id
                     name: str = "name", title: str = "raw_title") -> None:
     """Cast-list files from (key, name, title) rows: per file a header
     ending in the start marker, then per actor a blank line, the name line
-    and one TAB-TAB-TAB title line per title, then the footer. Actors are
-    spread over ``files`` files by a hash of the key; lines are rows, so no
-    actor's titles are gathered anywhere."""
+    and one TAB-TAB-TAB title line per title, then the footer.
+
+    One pass over ``rows`` and one shuffle: actors are spread over
+    ``files`` files by a hash of the key, each file is one task's sorted
+    partition, and the row that opens an actor (``lag`` of the key in file
+    order) also emits the name line. No actor's titles are gathered."""
     spark = rows.sparkSession
     f = F.pmod(F.xxhash64(key), F.lit(files)).cast("int")
-    names = rows.select(f.alias("f"), F.col(key).alias("a"), F.lit(0).alias("kind"),
-                        F.lit("").alias("t"), F.concat(F.lit("\n"), F.col(name)).alias("line")) \
-        .distinct()
-    titles = rows.select(f.alias("f"), F.col(key).alias("a"), F.lit(1).alias("kind"),
-                         F.col(title).alias("t"), F.concat(F.lit("\t\t\t"), F.col(title)).alias("line"))
-    body = names.unionByName(titles).withColumn("sec", F.lit(1))
+    key_type = rows.schema[key].dataType
+    body = rows.select(f.alias("f"), F.lit(1).alias("sec"), F.col(key).alias("a"),
+                       F.lit(0).alias("o"), F.col(title).alias("t"), F.col(name).alias("nm"))
     ids = spark.range(files).select(F.col("id").cast("int").alias("f"))
-    edge = ids.select("f", F.posexplode(F.array(*[F.lit(x) for x in CAST_HEADER])).alias("kind", "line")) \
-        .select("f", F.lit(0).alias("sec"), F.lit(None).cast(rows.schema[key].dataType).alias("a"),
-                "kind", F.lit("").alias("t"), "line")
-    foot = ids.select("f", F.posexplode(F.array(*[F.lit(x) for x in CAST_FOOTER])).alias("kind", "line")) \
-        .select("f", F.lit(2).alias("sec"), F.lit(None).cast(rows.schema[key].dataType).alias("a"),
-                "kind", F.lit("").alias("t"), "line")
-    lines = body.unionByName(edge).unionByName(foot)
-    (lines.repartition(files, "f").sortWithinPartitions("f", "sec", "a", "kind", "t")
-     .select("f", "line").write.mode("errorifexists").partitionBy("f")
-     .option("lineSep", "\n").text(path))
+
+    def edge(sec: int, texts: list[str]) -> DataFrame:
+        return ids.select("f", F.posexplode(F.array(*[F.lit(x) for x in texts])).alias("o", "t")) \
+            .select("f", F.lit(sec).alias("sec"), F.lit(None).cast(key_type).alias("a"),
+                    "o", "t", F.lit(None).cast("string").alias("nm"))
+
+    allrows = body.unionByName(edge(0, CAST_HEADER)).unionByName(edge(2, CAST_FOOTER)) \
+        .repartition(files, "f")
+    w = Window.partitionBy("f").orderBy("sec", "a", "o", "t")
+    prev = F.lag("a").over(w)
+    marked = allrows.withColumn(
+        "_opens", (F.col("sec") == 1) & (prev.isNull() | (prev != F.col("a"))))
+    title_line = F.concat(F.lit("\t\t\t"), F.col("t"))
+    lines = (F.when(F.col("sec") != 1, F.array(F.col("t")))
+              .when(F.col("_opens"), F.array(F.concat(F.lit("\n"), F.col("nm")), title_line))
+              .otherwise(F.array(title_line)))
+    # Generate keeps the window's (f, sec, a, o, t) order: no second sort.
+    (marked.select("f", F.explode(lines).alias("line"))
+     .write.mode("errorifexists").partitionBy("f").option("lineSep", "\n").text(path))
