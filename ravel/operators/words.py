@@ -57,31 +57,55 @@ def word_prev_counts(lines: DataFrame, line_col: str = "line",
     return counts.where(F.col("prev").isNotNull())
 
 
-def predecessor_lists(lines: DataFrame, line_col: str = "line") -> DataFrame:
-    """The nested result: (word, n, prevs array<struct<prev, n>>), prevs by
-    count descending then name ascending.
-
-    The list of a word holds one entry per *distinct* predecessor (pairs are
-    aggregated before the collect), so its size is bounded by the vocabulary,
-    not by the number of occurrences. Prefer ``word_prev_counts`` plus
-    ``sinks.text.predecessor_report`` when the vocabulary itself is huge.
-    """
-    counts = word_prev_counts_all(lines, line_col)
+def predecessor_lists(lines: DataFrame, line_col: str = "line",
+                      max_prevs_per_row: int = 100_000,
+                      max_broadcast_rows: int = 1_000_000) -> DataFrame:
+    """The nested result: (word, chunk, n, prevs array<struct<prev, n>>),
+    prevs by count descending then name ascending.
+
+    A list holds one entry per *distinct* predecessor. A word with more
+    than ``max_prevs_per_row`` of them (a very common word) is split into
+    consecutive rows: its predecessors are ranked with the distributed
+    numbering (range sort, no single task per word) and chunk k holds ranks
+    k*max+1 .. (k+1)*max, so concatenating the chunks in order gives the
+    whole list. Other words are collected directly, as chunk 0."""
+    from ravel.operators.ordering import number_rows
+    from ravel.session import ensure_checkpoint_dir, join_sized
+
+    spark = lines.sparkSession
+    ensure_checkpoint_dir(spark)
+    counts = word_prev_counts_all(lines, line_col).checkpoint(eager=True)  # read four times
+    stats = counts.groupBy("word").agg(F.sum("n").alias("n"),
+                                       F.count("prev").alias("n_prevs"))
+    valid = counts.where(F.col("prev").isNotNull())
+    hot = stats.where(F.col("n_prevs") > max_prevs_per_row).select("word")
+    n_hot = hot.count()
+    if n_hot:
+        hot_rows = join_sized(valid, hot, "word", "left_semi", n_hot, max_broadcast_rows)
+        cold_rows = join_sized(valid, hot, "word", "left_anti", n_hot, max_broadcast_rows)
+        ranked = number_rows(hot_rows, "word", [F.desc("n"), F.asc("prev")])
+        chunked = ranked.select("word", "prev", "n",
+                                F.floor((F.col("idx") - 1) / max_prevs_per_row).cast("int")
+                                .alias("chunk")) \
+            .unionByName(cold_rows.withColumn("chunk", F.lit(0)))
+    else:
+        chunked = valid.withColumn("chunk", F.lit(0))
     entry = F.struct((-F.col("n")).alias("neg_n"), F.col("prev").alias("prev"))
-    nested = (counts.groupBy("word")
-              .agg(F.sum("n").alias("n"),
-                   F.array_sort(F.collect_list(
-                       F.when(F.col("prev").isNotNull(), entry))).alias("s")))
-    return nested.select(
-        "word", "n",
-        F.transform("s", lambda e: F.struct(e["prev"].alias("prev"),
-                                            (-e["neg_n"]).alias("n"))).alias("prevs"))
-
-
-def predecessor_lists_flat(lines: DataFrame, line_col: str = "line") -> DataFrame:
+    lists = (chunked.groupBy("word", "chunk")
+             .agg(F.array_sort(F.collect_list(entry)).alias("s")))
+    # Words whose every predecessor is invalid still get their (empty) row.
+    out = stats.join(lists, "word", "left").select(
+        "word", F.coalesce("chunk", F.lit(0)).alias("chunk"), "n",
+        F.coalesce(F.transform("s", lambda e: F.struct(e["prev"].alias("prev"),
+                                                       (-e["neg_n"]).alias("n"))),
+                   F.array().cast("array<struct<prev:string,n:bigint>>")).alias("prevs"))
+    return out
+
+
+def predecessor_lists_flat(lines: DataFrame, line_col: str = "line", **kw) -> DataFrame:
     """``predecessor_lists`` with the list rendered as 'prev:n,prev:n,..'."""
-    return predecessor_lists(lines, line_col).select(
-        "word", "n",
+    return predecessor_lists(lines, line_col, **kw).select(
+        "word", "chunk", "n",
         F.array_join(F.transform("prevs", lambda e: F.concat(
             e["prev"], F.lit(":"), e["n"].cast("string"))), ",").alias("prevs"))
 

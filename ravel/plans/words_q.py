@@ -18,8 +18,12 @@ def word_prev_counts(spark, sf_dir):
     return words.word_prev_counts(document_lines(spark, sf_dir))
 
 
+# Row bound of one predecessor list (larger lists continue in the next chunk).
+LIST_ROWS = 100_000
+
+
 def word_prev_lists(spark, sf_dir):
-    return words.predecessor_lists_flat(document_lines(spark, sf_dir))
+    return words.predecessor_lists_flat(document_lines(spark, sf_dir), max_prevs_per_row=LIST_ROWS)
 
 
 def word_report(spark, sf_dir):
@@ -60,11 +64,16 @@ counts as (select word, prev, count(*) as n from pairs group by word, prev)
 ORACLE = {
     "word_totals": _PAIRS + "select word, sum(n)::bigint as n from counts group by word",
     "word_prev_counts": _PAIRS + "select word, prev, n from counts where prev is not null",
-    "word_prev_lists": _PAIRS + """
-select word, sum(n)::bigint as n,
-  coalesce(string_agg(case when prev is not null then prev || ':' || n::varchar end, ','
-                      order by n desc, prev asc), '') as prevs
-from counts group by word""",
+    "word_prev_lists": _PAIRS + f""",
+stats as (select word, sum(n)::bigint as n from counts group by word),
+ranked as (select word, prev, n,
+             row_number() over (partition by word order by n desc, prev asc) as r
+           from counts where prev is not null),
+lists as (select word, ((r - 1) // {LIST_ROWS})::int as chunk,
+            string_agg(prev || ':' || n::varchar, ',' order by r) as prevs
+          from ranked group by all)
+select s.word, coalesce(l.chunk, 0) as chunk, s.n, coalesce(l.prevs, '') as prevs
+from stats s left join lists l using (word)""",
     "word_report": _PAIRS + """,
 totals as (select word, sum(n)::bigint as word_n from counts group by word)
 select word_n, word, 0 as kind, null::bigint as prev_n, null::varchar as prev,

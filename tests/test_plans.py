@@ -36,7 +36,7 @@ def con():
 
 def test_entry(spark):
     df = E.entry(spark)
-    assert df.columns == ["word", "n", "prevs"]
+    assert df.columns == ["word", "chunk", "n", "prevs"]
     assert df.count() > 0
 
 

@@ -62,6 +62,25 @@ def test_nested_lists_order(spark):
     df = spark.createDataFrame([("x a",), ("y a",), ("y a",), ("b a",), ("z b",)], "line string")
     r = {x.word: (x.n, [(p.prev, p.n) for p in x.prevs]) for x in words.predecessor_lists(df).collect()}
     assert r["a"] == (4, [("y", 2), ("b", 1), ("x", 1)])
+    assert r["x"] == (1, [])  # only the sentinel before it: counted, no list
+
+
+def test_hot_word_lists_are_chunked_in_order(spark):
+    rnd = random.Random(4)
+    names = [f"p{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(41)]
+    lines = [f"{rnd.choice(names)} the" for _ in range(500)] + ["x a", "y a"]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    rows = words.predecessor_lists(df, max_prevs_per_row=7).collect()
+    the = sorted([r for r in rows if r.word == "the"], key=lambda r: r.chunk)
+    assert len(the) > 1 and all(len(r.prevs) <= 7 for r in the)
+    got = [(p.prev, p.n) for r in the for p in r.prevs]
+    cnt = {}
+    for ln in lines[:500]:
+        w = ln.split(" ")[0]
+        cnt[w] = cnt.get(w, 0) + 1
+    assert got == sorted(cnt.items(), key=lambda kv: (-kv[1], kv[0]))
+    assert {r.n for r in the} == {500}
+    assert [r.chunk for r in rows if r.word == "a"] == [0]
 
 
 def test_report_bytes(spark, tmp):
