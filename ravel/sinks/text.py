@@ -7,7 +7,7 @@ by ``write.text`` lays the part files out in report order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: line terminator of the word report.
@@ -23,25 +23,27 @@ def predecessor_report_lines(counts: DataFrame) -> DataFrame:
     CRLF when written. Columns: word_n, word, kind (0 = word line,
     1 = predecessor line), prev_n, prev, line.
 
-    One pass over the counts: a window per word (no ordering, so one
-    aggregate-style frame) gives the word total to every row, and one row
-    per word -- its NULL bucket if any, else its first predecessor --
-    also emits the word line.
+    The counts are checkpointed once and read twice: word lines come from
+    the per-word totals, predecessor lines from a join of the counts with
+    those totals on word (AQE splits a hot word's partition or broadcasts
+    small totals), so no word is handled by one task alone.
     """
-    w = Window.partitionBy("word")
-    c = (counts.withColumn("word_n", F.sum("n").over(w))
-         .withColumn("_nul", F.max(F.col("prev").isNull()).over(w))
-         .withColumn("_min", F.min("prev").over(w)))
-    is_head = F.when(F.col("_nul"), F.col("prev").isNull()).otherwise(F.col("prev") == F.col("_min"))
-    head = F.struct(F.col("word_n"), F.col("word"), F.lit(0).alias("kind"),
-                    F.lit(None).cast("bigint").alias("prev_n"), F.lit(None).cast("string").alias("prev"),
-                    F.concat(F.col("word"), F.lit(":"), F.col("word_n").cast("string")).alias("line"))
-    item = F.struct(F.col("word_n"), F.col("word"), F.lit(1).alias("kind"),
-                    F.col("n").alias("prev_n"), F.col("prev"),
-                    F.concat(F.lit("\t"), F.col("prev"), F.lit(":"), F.col("n").cast("string"))
-                    .alias("line"))
-    both = F.array(F.when(is_head, head), F.when(F.col("prev").isNotNull(), item))
-    return (c.select(F.explode(both).alias("r")).where(F.col("r").isNotNull()).select("r.*"))
+    from ravel.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(counts.sparkSession)
+    counts = counts.checkpoint(eager=True)
+    totals = counts.groupBy("word").agg(F.sum("n").alias("word_n"))
+    head = totals.select(
+        "word_n", "word", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("prev_n"),
+        F.lit(None).cast("string").alias("prev"),
+        F.concat(F.col("word"), F.lit(":"), F.col("word_n").cast("string")).alias("line"))
+    prevs = (counts.where(F.col("prev").isNotNull())
+             .join(totals, "word")
+             .select("word_n", "word", F.lit(1).alias("kind"), F.col("n").alias("prev_n"),
+                     "prev",
+                     F.concat(F.lit("\t"), F.col("prev"), F.lit(":"),
+                              F.col("n").cast("string")).alias("line")))
+    return head.unionByName(prevs)
 
 
 def report_order(lines: DataFrame) -> DataFrame:
