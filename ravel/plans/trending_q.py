@@ -76,7 +76,7 @@ QUERIES = {
 TWEETS_SQL = """
 t as (
   select event_id, ts, event_type <> 'signup' as is_retweet,
-    case event_type when 'error' then 'no' when 'view' then 'fr' else 'en' end as lang, k as id,
+    case event_type when 'error' then 'no' when 'view' then 'fr' else 'en' end as lang, k::bigint as id,
     concat('user', cast(k % 17 as varchar)) as username,
     case when k % 5 = 0 then concat('plain post ', cast(k as varchar))
          else concat('post ', cast(k as varchar), ' #t', substring('abcdefg', k % 7 + 1, 1),
@@ -123,7 +123,7 @@ r1 as (select *, case when lag(tag) over (partition by start {_ORDER}) is null
 r2 as (select *, sum(nw) over (partition by start {_ORDER} rows unbounded preceding) as run from r1),
 r3 as (select *, row_number() over (partition by start, run {_ORDER}) as k from r2),
 r4 as (select *, row_number() over (partition by start {_ORDER}) as rank from r3 where k <= 3)
-select {_B}, rank, id, tag_count, tag, username, tweet_count, text from r4 where rank <= 10""",
+select {_B}, rank::int as rank, id, tag_count, tag, username, tweet_count, text from r4 where rank <= 10""",
     "trending_log": _ROWS + f""",
 n as (select *, row_number() over (partition by start {_ORDER}) as line_no from rows)
 select {_B}, line_no,

@@ -45,6 +45,10 @@ def test_every_query_has_oracle_or_is_declared():
     assert rows_only == set(), rows_only
 
 
+DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "BOOLEAN": "boolean",
+              "FLOAT": "float", "DOUBLE": "double"}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF001)
@@ -53,6 +57,8 @@ def test_query_matches_oracle(spark, con, name):
     res = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     assert sorted(ocols) == sorted(cols)
+    otypes = {d[0]: DUCK_TYPES.get(str(d[1]), str(d[1])) for d in res.description}
+    assert dict(df.dtypes) == otypes
     order = [ocols.index(c) for c in sorted(cols)]
     want = sorted(tuple(norm(r[i]) for i in order) for r in res.fetchall())
     assert got == want
