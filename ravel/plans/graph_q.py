@@ -87,6 +87,9 @@ yr as (select *, left(substring(m, instr(m, '(') + 1, instr(m, ')') - instr(m, '
        from cut)
 """
 
+# '%.1f' in Spark (as in the reference) rounds half up on the decimal form
+# (6.25 -> 6.3); DuckDB's printf rounds the binary value, so the oracle
+# rounds half up first.
 ORACLE = {
     "cast_parse": "with " + _TITLE + f"""
 select actor_id, name, is_male, m as movie from yr
@@ -104,8 +107,8 @@ per as (select distance, count(*) filter (where is_male) as actors,
         from dist join people using (actor_id) where distance >= 1 group by distance),
 lv as (select range::int as distance from range(1, 7))
 select lv.distance, coalesce(actors, 0) as actors, coalesce(actresses, 0) as actresses,
-  printf('%.1f', coalesce(actors, 0) * 100.0 / n_male) as pct_actors,
-  printf('%.1f', coalesce(actresses, 0) * 100.0 / n_female) as pct_actresses
+  printf('%.1f', round(coalesce(actors, 0) * 100.0 / n_male, 1)) as pct_actors,
+  printf('%.1f', round(coalesce(actresses, 0) * 100.0 / n_female, 1)) as pct_actresses
 from lv left join per using (distance), tot""",
     "degree_summary": _BFS + """,
 tot as (select count(*) as n_actors, count(*) filter (where is_male) as n_male,

@@ -132,3 +132,12 @@ def test_markers(spark, tmp):
     assert got["no_end"] == ["A\t\tx (2012)", "B\t\ty (2013)\n"]
     assert got["no_start"] == []
     assert got["mid"] == ["A\t\tx (2012)", "B\t\ty (2013)"]
+
+
+def test_percent_format_rounds_half_up(spark):
+    """'%.1f' of a percentage rounds half up on the decimal form, as the
+    reference's formatter does: 1 of 16 -> 6.3, 0.15 -> 0.2."""
+    from pyspark.sql import functions as F
+    r = spark.range(1).select(F.format_string("%.1f", F.lit(1) * F.lit(100.0) / F.lit(16)).alias("a"),
+                              F.format_string("%.1f", F.lit(0.15)).alias("b")).first()
+    assert (r.a, r.b) == ("6.3", "0.2")
