@@ -59,6 +59,15 @@ def dutch_phone_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
                     body.alias("body"))
 
 
+def utc_instant(df: DataFrame, col: str):
+    """An event-time instant from ``col``: a wall-clock ``timestamp_ntz`` is
+    read as UTC whatever the session time zone (watermarks need an
+    instant); an instant is kept as it is."""
+    if dict(df.dtypes)[col] == "timestamp_ntz":
+        return F.concat(F.col(col).cast("string"), F.lit("Z")).cast("timestamp")
+    return F.col(col)
+
+
 def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status rows from the ``events`` table (see ``tweets_from_events``)."""
     return tweets_from_events(table(spark, sf_dir, "events"))
@@ -71,8 +80,7 @@ def tweets_from_events(events: DataFrame) -> DataFrame:
     batch or a streaming ``events`` frame alike."""
     e = events.select("event_id", "ts", "event_type", "props")
     k = F.get_json_object("props", "$.k").cast("int")
-    e = e.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type",
-                 k.alias("k"))
+    e = e.select("event_id", utc_instant(e, "ts").alias("ts"), "event_type", k.alias("k"))
     tag1 = F.substring(F.lit("abcdefg"), (F.pmod(F.col("k"), F.lit(7)) + 1).cast("int"), 1)
     tag2 = F.substring(F.lit("xyz"), (F.pmod(F.col("k"), F.lit(3)) + 1).cast("int"), 1)
     text = F.when(F.pmod(F.col("k"), F.lit(5)) == 0,

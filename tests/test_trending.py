@@ -136,3 +136,19 @@ def test_run_limited_top_many_levels(spark):
         if top:
             want[g] = top
     assert got == want
+
+
+def test_windows_do_not_depend_on_session_time_zone(spark):
+    """events.ts is a wall-clock timestamp_ntz read as UTC: the windows are
+    the same whatever the session time zone."""
+    from ravel.plans.trending_q import windowed_counts
+
+    sf = "/root/testdata/sf0.001"
+    base = sorted(map(tuple, windowed_counts(spark, sf).collect()))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        other = sorted(map(tuple, windowed_counts(spark, sf).collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert base == other and len(base) > 0
