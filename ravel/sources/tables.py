@@ -70,7 +70,7 @@ def utc_instant(df: DataFrame, col: str):
 
 def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status rows from the ``events`` table (see ``tweets_from_events``)."""
-    return tweets_from_events(table(spark, sf_dir, "events"))
+    return tweets_from_events(spread(table(spark, sf_dir, "events")))
 
 
 def tweets_from_events(events: DataFrame) -> DataFrame:

@@ -55,3 +55,15 @@ def test_index_repeats_urls_and_splits_hot_numbers(spark):
     rows = phones.phone_index(phones.phone_pairs(many), max_urls_per_row=10).collect()
     assert len(rows) >= 5 and sum(r.n_urls for r in rows) == 50
     assert sorted(u for r in rows for u in r.urls) == sorted(f"u{i}" for i in range(50))
+
+
+def test_index_write_fails_when_output_exists(spark, tmp):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    recs = spark.createDataFrame([("u1", "+31612345678")], "uri string, body string")
+    idx = phones.phone_index(phones.phone_pairs(recs))
+    phones.write_phone_index(idx, f"{tmp}/idx")
+    assert spark.read.parquet(f"{tmp}/idx").count() == 1
+    with pytest.raises(AnalysisException):
+        phones.write_phone_index(idx, f"{tmp}/idx")
