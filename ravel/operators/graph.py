@@ -6,7 +6,7 @@ is the fewest co-star hops from the source, up to ``max_hops`` (6).
 The search never builds the co-star graph (whose size is the sum of the
 squared cast sizes, see ``adjacency_sizes``): each hop goes frontier actors -> their movies not seen
 before -> those movies' actors not seen before, i.e. two semi-joins against
-the bipartite edges plus two anti-joins. Edges are stored once hash
+the bipartite edges plus anti-joins against the last two layers only. Edges are stored once hash
 partitioned by actor and once by movie, each salted by a hash of the other
 end (reliable checkpoints), so a hop only shuffles the frontier and a hot
 movie or actor is spread over several partitions; a frontier whose
@@ -119,28 +119,32 @@ def degrees(edges: DataFrame, source_id, max_hops: int = MAX_HOPS,
     frontier = frontier.checkpoint(eager=True)
     n_frontier = 1
     layers = [frontier.withColumn("distance", F.lit(0))]
-    seen_actors = frontier
-    seen_movies = by_movie.select("movie").where(F.lit(False))
+    # Co-stars' distances differ by at most one, so the actors reached from
+    # layer d-1 lie in layers d-2 .. d: removing the last two layers leaves
+    # exactly layer d. Likewise a movie next to layer d-1 was expanded
+    # before only if it is among the previous hop's movies. The anti-joins
+    # therefore stay the size of two layers, not of everything seen.
+    prev_frontier = frontier.where(F.lit(False))
+    prev_movies = by_movie.select("movie").where(F.lit(False))
 
     for hop in range(1, max_hops + 1):
         movies = (_expand(by_actor, frontier, "actor_id", n_frontier, salts, max_broadcast_rows)
                   .select("movie").distinct()
-                  .join(seen_movies, "movie", "left_anti")
+                  .join(prev_movies, "movie", "left_anti")
                   .checkpoint(eager=True))
         n_movies = movies.count()
         if n_movies == 0:
             break
         nxt = (_expand(by_movie, movies, "movie", n_movies, salts, max_broadcast_rows)
                .select("actor_id").distinct()
-               .join(seen_actors, "actor_id", "left_anti")
+               .join(frontier, "actor_id", "left_anti")
+               .join(prev_frontier, "actor_id", "left_anti")
                .checkpoint(eager=True))
-        n_frontier = nxt.count()
-        if n_frontier == 0:
+        n_next = nxt.count()
+        if n_next == 0:
             break
         layers.append(nxt.withColumn("distance", F.lit(hop)))
-        seen_movies = seen_movies.unionByName(movies)
-        seen_actors = seen_actors.unionByName(nxt)
-        frontier = nxt
+        prev_movies, prev_frontier, frontier, n_frontier = movies, frontier, nxt, n_next
 
     out = layers[0]
     for layer in layers[1:]:
