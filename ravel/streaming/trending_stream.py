@@ -20,16 +20,37 @@ from ravel.operators import trending as tr
 from ravel.sources.tables import table, tweets_from_events
 
 
+# Pre-aggregate per pane when a retweet would land in at least this many
+# windows (window/slide); below it one stateful operator is cheaper.
+PANE_MIN_COPIES = 16
+
+
 def windowed_stream(statuses: DataFrame, window: str, slide: str, watermark: str,
-                    languages=tr.LANGUAGES) -> DataFrame:
+                    languages=tr.LANGUAGES, panes: bool | None = None) -> DataFrame:
     """Streaming (window, id, username, text, n, t0) in append mode.
 
-    Author and text (a function of the original) are grouping keys, so the
-    state holds only a count and a first time per key; ``settle`` reduces
-    an emitted batch to one row per (window, id)."""
+    With ``panes`` (default: when window/slide >= PANE_MIN_COPIES, e.g.
+    120 s / 2 s = 60) there are two chained event-time aggregations:
+    retweets are first counted per slide-sized pane (one state update per
+    retweet), then each closed pane's partial is added to the windows it
+    belongs to (``window_time`` of the pane lies in exactly those), so a
+    burst of retweets of one post within a pane costs one update per
+    window instead of one per retweet. Otherwise one aggregation over
+    ``window()``. Author and text (a function of the original) are
+    grouping keys, so the state holds fixed-width values; ``settle``
+    reduces an emitted batch to one row per (window, id)."""
     rt = tr.retweets(statuses, languages).withWatermark("ts", watermark)
-    return (rt.groupBy(F.window("ts", window, slide).alias("window"), "id", "username", "text")
+    keys = ["id", "username", "text"]
+    w_s, s_s = tr.seconds(window), tr.seconds(slide)
+    if panes is None:
+        panes = w_s % s_s == 0 and w_s // s_s >= PANE_MIN_COPIES
+    if not panes:
+        return (rt.groupBy(F.window("ts", window, slide).alias("window"), *keys)
+                .agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("t0")))
+    part = (rt.groupBy(F.window("ts", slide).alias("pane"), *keys)
             .agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("t0")))
+    return (part.groupBy(F.window(F.window_time("pane"), window, slide).alias("window"), *keys)
+            .agg(F.sum("n").alias("n"), F.min("t0").alias("t0")))
 
 
 def settle(batch: DataFrame) -> DataFrame:
@@ -101,13 +122,13 @@ def start_trending(statuses: DataFrame, out_path: str, checkpoint_location: str,
                    watermark: str = "10 seconds", start=None,
                    processing_time: str | None = "2 seconds", available_now: bool = False,
                    per_run: int = tr.PER_RUN, total: int = tr.TOTAL,
-                   print_top: bool = False) -> StreamingQuery:
+                   print_top: bool = False, panes: bool | None = None) -> StreamingQuery:
     """Start the trending stream over a streaming ``statuses`` frame.
 
     ``out_path/rows`` gets every trending row of each closed window,
     ``out_path/log`` the numbered text log, ``out_path/top`` the
     run-limited top rows (the console report, printed with ``print_top``)."""
-    wc = windowed_stream(statuses, window, slide, watermark)
+    wc = windowed_stream(statuses, window, slide, watermark, panes=panes)
     w = (wc.writeStream.outputMode("append")
          .foreachBatch(_writer(out_path, start, per_run, total, print_top))
          .option("checkpointLocation", checkpoint_location))
@@ -128,10 +149,12 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_to_end(spark: SparkSession, sf_dir: str, out_path: str, checkpoint_location: str,
-               window: str, slide: str, watermark: str, timeout_s: int = 600) -> None:
+               window: str, slide: str, watermark: str, timeout_s: int = 600,
+               panes: bool | None = None) -> None:
     """Process everything available once (availableNow) and stop."""
     q = start_trending(tweets_from_events(events_stream(spark, sf_dir)), out_path,
-                       checkpoint_location, window, slide, watermark, available_now=True)
+                       checkpoint_location, window, slide, watermark, available_now=True,
+                       panes=panes)
     try:
         if not q.awaitTermination(timeout_s):
             raise TimeoutError("trending stream did not finish")

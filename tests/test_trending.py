@@ -4,6 +4,8 @@ windows vs window(), run-limited top-k vs the procedural loop (Q8)."""
 import random
 from datetime import datetime, timedelta
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from ravel.functions.text import clean_for_language, hashtags_or_none, language_override
@@ -79,16 +81,18 @@ def test_run_limited_top_matches_loop(spark):
     assert got == want
 
 
-def test_stream_equals_batch_on_closed_windows(spark, tmp):
+@pytest.mark.parametrize("panes", [False, True])
+def test_stream_equals_batch_on_closed_windows(spark, tmp, panes):
     """availableNow run over a file stream = batch rows of the windows the
-    final watermark closed; the log numbers every row of each window."""
+    final watermark closed (one windowed aggregation, or panes then
+    windows); the log numbers every row of each window."""
     import glob
 
     from ravel.sources.tables import tweets_from_events
     from ravel.streaming.trending_stream import events_stream, run_to_end
 
     sf = "/root/testdata/sf0.001"
-    run_to_end(spark, sf, f"{tmp}/out", f"{tmp}/ckpt", "12 hours", "1 hour", "1 hour")
+    run_to_end(spark, sf, f"{tmp}/out", f"{tmp}/ckpt", "12 hours", "1 hour", "1 hour", panes=panes)
     got = spark.read.parquet(f"{tmp}/out/rows").drop("epoch")
     ev = spark.read.parquet(f"{sf}/events.parquet")
     st = tr.retweets(tweets_from_events(ev))
