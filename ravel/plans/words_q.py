@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from ravel.functions.text import PUNCT_EXCEPT_HYPHEN
 from ravel.operators import words
