@@ -7,7 +7,10 @@
            [--source NAME] [--min-year 2011] [--hops 6]
   trending --input DIR --output DIR          trending stream over JSON/parquet
            [--format parquet] [--window "120 seconds"] [--slide "2 seconds"]
-           [--watermark "10 seconds"] [--checkpoint DIR] [--once] [--print-top]
+           [--watermark "10 seconds"] [--start TIMESTAMP] [--checkpoint DIR]
+           [--once] [--print-top]
+           status files hold ts, is_retweet, lang, id, username, text (the
+           last three describe the retweeted original)
 
 The session comes from spark-submit's configuration (master, resources,
 ``spark.checkpoint.dir``); ravel adds only its SQL defaults.
@@ -56,6 +59,7 @@ def main(argv: list[str] | None = None) -> int:
     t.add_argument("--window", default="120 seconds")
     t.add_argument("--slide", default="2 seconds")
     t.add_argument("--watermark", default="10 seconds")
+    t.add_argument("--start", help="warm-up: drop windows opening before this time")
     t.add_argument("--checkpoint")
     t.add_argument("--once", action="store_true", help="process what is there, then stop")
     t.add_argument("--print-top", action="store_true")
@@ -81,7 +85,7 @@ def main(argv: list[str] | None = None) -> int:
         schema = spark.read.format(a.format).load(a.input).schema
         statuses = spark.readStream.format(a.format).schema(schema).load(a.input)
         q = start_trending(statuses, a.output, a.checkpoint or scratch_path(spark, "trending"),
-                           a.window, a.slide, a.watermark, available_now=a.once,
+                           a.window, a.slide, a.watermark, start=a.start, available_now=a.once,
                            print_top=a.print_top)
         q.awaitTermination()
     spark.stop()
