@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ravel.functions.text import NO_TAG, clean_for_language, hashtags_or_none, language_override
+from ravel.functions.time import utc_instant
 
 # Languages that pass the filter, and the console report's
 # limits (rows per run of one tag, rows overall).
@@ -47,7 +48,7 @@ def retweets(statuses: DataFrame, languages=LANGUAGES, status_text: str | None =
     if status_text:
         lang = language_override(lang, clean_for_language(F.col(status_text)))
     return (statuses.where(F.col("is_retweet") & lang.isin(*languages))
-            .select("ts", "id", "username", "text"))
+            .select(utc_instant(statuses, "ts").alias("ts"), "id", "username", "text"))
 
 
 def _info() -> Column:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ravel.functions.time import utc_instant
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -59,15 +61,6 @@ def dutch_phone_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
                     body.alias("body"))
 
 
-def utc_instant(df: DataFrame, col: str):
-    """An event-time instant from ``col``: a wall-clock ``timestamp_ntz`` is
-    read as UTC whatever the session time zone (watermarks need an
-    instant); an instant is kept as it is."""
-    if dict(df.dtypes)[col] == "timestamp_ntz":
-        return F.concat(F.col(col).cast("string"), F.lit("Z")).cast("timestamp")
-    return F.col(col)
-
-
 def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status rows from the ``events`` table (see ``tweets_from_events``)."""
     return tweets_from_events(spread(table(spark, sf_dir, "events")))

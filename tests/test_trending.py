@@ -156,3 +156,20 @@ def test_windows_do_not_depend_on_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert base == other and len(base) > 0
+
+
+def test_stream_over_wall_clock_statuses(spark, tmp):
+    """Status files whose ts is timestamp_ntz stream fine (read as UTC)."""
+    from ravel.streaming.trending_stream import start_trending
+
+    t0 = datetime(2024, 1, 1)
+    rows = [(t0 + timedelta(seconds=s), True, "en", 7, "bob", "hi #x") for s in range(0, 600, 5)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, is_retweet boolean, lang string, id long, "
+                                     "username string, text string")
+    df.write.parquet(f"{tmp}/in")
+    stream = spark.readStream.schema(df.schema).parquet(f"{tmp}/in")
+    q = start_trending(stream, f"{tmp}/out", f"{tmp}/ck", "120 seconds", "60 seconds",
+                       "10 seconds", available_now=True)
+    q.awaitTermination(300)
+    got = spark.read.parquet(f"{tmp}/out/rows")
+    assert got.count() > 0 and {r.tag for r in got.select("tag").collect()} == {"#x"}
