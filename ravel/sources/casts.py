@@ -4,8 +4,8 @@ and a footer, in Latin-1.
 The file is read as records split on a blank line (``lineSep='\\n\\n'``,
 splittable, no whole-file read). The header ends at the first start-marker
 line and the footer starts at the next end-marker line; both are found per
-file with two small aggregations over (split offset, row id) -- the file
-order -- and every record is kept or cut against them. A file without a
+file from the few records holding a marker, ordered by (split offset, row
+id) -- the file order -- and every record is kept or cut against them. A file without a
 start marker yields no records (the reference's script fails there).
 """
 
@@ -39,31 +39,43 @@ def between_markers(records: DataFrame, start_marker: str = START_MARKER,
                     end_marker: str = END_MARKER) -> DataFrame:
     """Records (file, ord, value) cut to the lines strictly between the
     first start-marker line of each file and the next end-marker line (or
-    the end of the file)."""
-    lines = records.withColumn("_l", F.split("value", "\n"))
+    the end of the file).
+
+    One scan picks the few records that contain a marker string at all
+    (checkpointed: normally two per file); the marker positions per file
+    come from those, and the main scan keeps every record between them
+    whole, splitting only the two boundary records into lines."""
+    from ravel.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(records.sparkSession)
+    has_mark = (F.instr("value", start_marker) > 0) | (F.instr("value", end_marker) > 0)
+    marks = (records.where(has_mark).withColumn("_l", F.split("value", "\n"))
+             .checkpoint(eager=True))
     sp = F.array_position("_l", start_marker)
-    starts = (lines.where(sp > 0)
+    starts = (marks.where(sp > 0)
               .groupBy("file").agg(F.min(F.struct("ord", sp.alias("pos"))).alias("s")))
-    # One row per file: bounded by the number of input files.
-    j = lines.join(F.broadcast(starts), "file").where(F.col("ord") >= F.col("s.ord"))
-    is_start = F.col("ord") == F.col("s.ord")
-    # Position of the end marker after the start (1-based in the record).
+    # Position of the first end marker after the start (1-based in its record).
+    j = marks.join(F.broadcast(starts), "file").where(F.col("ord") >= F.col("s.ord"))
     after = F.slice("_l", F.col("s.pos") + 1, F.greatest(F.size("_l") - F.col("s.pos"), F.lit(0)))
-    ep = F.when(is_start, F.when(F.array_position(after, end_marker) > 0,
-                                 F.array_position(after, end_marker) + F.col("s.pos")))
-    ep = ep.otherwise(F.when(F.array_position("_l", end_marker) > 0,
-                             F.array_position("_l", end_marker)))
-    j = j.withColumn("_ep", ep)
-    ends = (j.where(F.col("_ep").isNotNull())
+    in_start = F.when(F.array_position(after, end_marker) > 0,
+                      F.array_position(after, end_marker) + F.col("s.pos"))
+    later = F.when(F.array_position("_l", end_marker) > 0, F.array_position("_l", end_marker))
+    ep = F.when(F.col("ord") == F.col("s.ord"), in_start).otherwise(later)
+    ends = (j.withColumn("_ep", ep).where(F.col("_ep").isNotNull())
             .groupBy("file").agg(F.min(F.struct("ord", F.col("_ep").alias("pos"))).alias("e")))
-    k = j.join(F.broadcast(ends), "file", "left")  # one row per file, like ``starts``
-    before_end = F.col("e").isNull() | (F.col("ord") <= F.col("e.ord"))
-    k = k.where(before_end)
+    # starts / ends: one row per input file.
+    k = (records.join(F.broadcast(starts), "file")
+         .join(F.broadcast(ends), "file", "left")
+         .where((F.col("ord") >= F.col("s.ord"))
+                & (F.col("e").isNull() | (F.col("ord") <= F.col("e.ord")))))
+    is_start = F.col("ord") == F.col("s.ord")
+    is_end = F.col("e").isNotNull() & (F.col("ord") == F.col("e.ord"))
+    lines = F.split("value", "\n")
     lo = F.when(is_start, F.col("s.pos") + 1).otherwise(F.lit(1))
-    hi = F.when(F.col("e").isNotNull() & (F.col("ord") == F.col("e.ord")),
-                F.col("e.pos") - 1).otherwise(F.size("_l"))
-    kept = F.slice("_l", lo, F.greatest(hi - lo + 1, F.lit(0)))
-    return k.select("file", "ord", F.array_join(kept, "\n").alias("value"))
+    hi = F.when(is_end, F.col("e.pos") - 1).otherwise(F.size(lines))
+    cut = F.array_join(F.slice(lines, lo, F.greatest(hi - lo + 1, F.lit(0))), "\n")
+    return k.select("file", "ord", F.when(is_start | is_end, cut).otherwise(F.col("value"))
+                    .alias("value"))
 
 
 def read_cast_file(spark: SparkSession, path, encoding: str | None = LATIN1,
