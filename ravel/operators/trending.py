@@ -138,16 +138,20 @@ def run_limited_top(rows: DataFrame, per_run: int = PER_RUN, total: int = TOTAL,
     rows with one tag -- shows at most ``per_run`` rows and the group at
     most ``total``; a tag can come back in a later run. Adds ``rank``.
 
-    Two exact reductions come first, both rank filters that Spark applies
-    before the shuffle as well (so a burst window is cut down map-side):
-    a tag has one tag count per group, so runs never span tag-count levels
-    and every level reached shows a row -- only the top ``total`` levels
-    can show; and rows with equal (tag_count, tweet_count, tag) are
-    consecutive and in one run, so only the first ``per_run`` of each such
-    block can show. Runs are then found with lag/running-sum (gaps and
-    islands) over what is left."""
+    Three exact reductions come first, each a rank filter that Spark also
+    applies before its shuffle (so a burst window is cut down map-side):
+    rows with equal (tag_count, tweet_count, tag) are consecutive and in
+    one run, so only the first ``per_run`` of each such block can show;
+    inside one (tag_count, tweet_count) sub-level every tag has one block
+    and each block after the first starts a new run, so only the first
+    ``total`` tags of a sub-level can show; a tag has one tag count per
+    group, so runs never span tag-count levels and every level reached
+    shows a row -- only the top ``total`` levels can show. Runs are then
+    found with lag/running-sum (gaps and islands) over what is left."""
     block = Window.partitionBy(by, "tag_count", "tweet_count", "tag").orderBy("id")
     r = rows.withColumn("_b", F.row_number().over(block)).where(F.col("_b") <= per_run)
+    sub = Window.partitionBy(by, "tag_count", "tweet_count").orderBy("tag")
+    r = r.withColumn("_s", F.dense_rank().over(sub)).where(F.col("_s") <= total)
     level = Window.partitionBy(by).orderBy(F.desc("tag_count"))
     r = r.withColumn("_l", F.dense_rank().over(level)).where(F.col("_l") <= total)
     w = Window.partitionBy(by).orderBy(*report_order())
@@ -157,7 +161,7 @@ def run_limited_top(rows: DataFrame, per_run: int = PER_RUN, total: int = TOTAL,
     in_run = Window.partitionBy(by, "_run").orderBy(*report_order())
     r = r.withColumn("_k", F.row_number().over(in_run)).where(F.col("_k") <= per_run)
     r = r.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= total)
-    return r.drop("_l", "_b", "_new", "_run", "_k")
+    return r.drop("_l", "_s", "_b", "_new", "_run", "_k")
 
 
 def report_line(rank: Column) -> Column:

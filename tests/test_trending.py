@@ -173,3 +173,26 @@ def test_stream_over_wall_clock_statuses(spark, tmp):
     q.awaitTermination(300)
     got = spark.read.parquet(f"{tmp}/out/rows")
     assert got.count() > 0 and {r.tag for r in got.select("tag").collect()} == {"#x"}
+
+
+def test_run_limited_top_wide_sub_levels(spark):
+    """Many tags share a (tag_count, tweet_count) sub-level: the sub-level
+    cut keeps the result of the procedural loop."""
+    rnd = random.Random(17)
+    data = []
+    for g in range(30):
+        tags = [f"#{chr(97 + i)}" for i in range(26)]
+        tc = {t: rnd.choice([5, 6]) for t in tags}
+        for i in range(rnd.randint(20, 120)):
+            t = rnd.choice(tags)
+            data.append((g, i, tc[t], t, rnd.choice([2, 2, 3])))
+    df = spark.createDataFrame(data, "window int, id int, tag_count int, tag string, tweet_count int")
+    got = {}
+    for r in tr.run_limited_top(df).orderBy("window", "rank").collect():
+        got.setdefault(r.window, []).append((r.id, r.tag_count, r.tag, r.tweet_count))
+    want = {}
+    for g in range(30):
+        rows = sorted([(d[1], d[2], d[3], d[4]) for d in data if d[0] == g],
+                      key=lambda x: (-x[1], -x[3], x[2], x[0]))
+        want[g] = loop_top(rows)
+    assert got == want
