@@ -12,11 +12,12 @@ per epoch with overwrite, so a replayed epoch replaces its own files
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ravel.operators import trending as tr
+from ravel.operators.ordering import number_rows
 from ravel.sources.tables import table, tweets_from_events
 
 
@@ -73,12 +74,11 @@ ROW_RULE = "-" * 35
 def log_lines(rows: DataFrame) -> DataFrame:
     """The per-window log: a header with the window's end time (HH:mm:ss),
     then every row numbered in report order, each followed by a rule line.
-    Columns (window, k, line); sort by them to write. Numbering is a
-    window function per closed window, over rows already aggregated to
-    one per (original, tag); the first row of a window also carries the
-    header, so the log is one pass over the rows."""
-    w = Window.partitionBy("window").orderBy(*tr.report_order())
-    n = rows.withColumn("i", F.row_number().over(w))
+    Columns (window, k, line); sort by them to write. Numbering is the
+    distributed one (range sort, per-partition offsets), so a burst window
+    is not numbered by one task; the first row of a window also carries
+    the header, so the log is one pass over the numbered rows."""
+    n = number_rows(rows, "window", tr.report_order(), out="i")
     head = [F.lit(""), F.lit(RULE),
             F.concat(F.lit("Time: "), F.date_format("window.end", "HH:mm:ss")), F.lit(RULE)]
     body = [tr.report_line(F.col("i")), F.lit(ROW_RULE)]
