@@ -27,7 +27,8 @@ def word_pairs(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """(word, prev) for every adjacent token pair; ``prev`` NULL when invalid."""
     pairs = (lines
              .select(F.explode(sentinel_segments(F.col(line_col))).alias("seg"))
-             .select(F.explode(adjacent_pairs(space_tokens("seg"))).alias("p")))
+             .select(space_tokens("seg").alias("t"))  # tokens computed once per segment
+             .select(F.explode(adjacent_pairs("t")).alias("p")))
     a, b = F.col("p.a"), F.col("p.b")
     lead = starts_with_letter(a)
     word = F.when(lead, strip_punct(a)).otherwise(strip_punct(drop_first_char(a)))
