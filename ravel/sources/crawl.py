@@ -48,22 +48,18 @@ def route(index: DataFrame) -> DataFrame:
 
 
 def _existing(spark: SparkSession, paths: list[str]) -> set[str]:
-    """The subset of ``paths`` that exist, by one listing of their parent
-    folders (Spark lists many folders in parallel)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    parents = sorted({p.rsplit("/", 1)[0] for p in paths})
-    live = []
-    for d in parents:
+    """The subset of ``paths`` that exist, from one listing per parent
+    folder (a folder that is missing, has no connector or no access lists
+    nothing)."""
+    listed = None
+    for d in sorted({p.rsplit("/", 1)[0] for p in paths}):
         try:
-            hp = jvm.org.apache.hadoop.fs.Path(d)
-            if hp.getFileSystem(conf).exists(hp):
-                live.append(d)
-        except Exception:  # no connector for the scheme, no access: unreadable
-            pass
-    if not live:
+            files = spark.read.format("binaryFile").load(d).select("path")
+        except Exception:  # noqa: BLE001 - unreadable folder: its segments fail
+            continue
+        listed = files if listed is None else listed.unionByName(files)
+    if listed is None:
         return set()
-    listed = spark.read.format("binaryFile").load(live).select("path")
     wanted = spark.createDataFrame([(p,) for p in paths], "path string")
     return {r[0] for r in wanted.join(listed, "path", "left_semi").collect()}
 
