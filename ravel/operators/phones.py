@@ -7,7 +7,7 @@ a narrow, per-record stage (regex inside the task, no shuffle).
 that holds the number (several records with one URL repeat it). The list
 of a number spread over a huge share of the crawl would be one unbounded
 row, so numbers with more than ``max_urls_per_row`` URLs are split over
-several rows (``chunk`` 0..k-1, by a hash of the URL); every URL is kept.
+consecutive rows (``chunk`` 0..k-1, by URL rank); every URL is kept.
 The aggregation is partial (map-side) then final per (num, chunk).
 """
 
@@ -35,25 +35,35 @@ def phone_index(pairs: DataFrame, max_urls_per_row: int = 100_000,
                 max_broadcast_rows: int = 1_000_000, materialize: bool = True) -> DataFrame:
     """(num, chunk, n_urls, urls array<string>) from (num, uri) pairs.
 
+    A number with more than ``max_urls_per_row`` URLs is split into
+    consecutive rows: its URLs are ranked with the distributed numbering
+    (range sort, no single task per number) and chunk k holds ranks
+    k*max+1 .. (k+1)*max, so the chunks in order are the whole sorted list.
+    Other numbers are collected directly, as chunk 0 (partial aggregation).
+
     ``materialize`` checkpoints the pairs first (reliable checkpoint in the
     cluster's checkpoint folder) so that the hot-number count and the index
     read them once instead of re-running extraction.
     """
+    from ravel.operators.ordering import number_rows
+
     if materialize:
         from ravel.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(pairs.sparkSession)
         pairs = pairs.checkpoint(eager=True)
     hot = (pairs.groupBy("num").agg(F.count(F.lit(1)).alias("n"))
-           .where(F.col("n") > max_urls_per_row)
-           .select("num", F.ceil(F.col("n") / F.lit(max_urls_per_row)).alias("k")))
+           .where(F.col("n") > max_urls_per_row).select("num"))
     n_hot = hot.count()
     if n_hot:
-        j = join_sized(pairs, hot, "num", "left", n_hot, max_broadcast_rows)
-        chunk = F.coalesce(F.pmod(F.xxhash64("uri"), F.col("k")), F.lit(0)).cast("int")
+        hot_rows = join_sized(pairs, hot, "num", "left_semi", n_hot, max_broadcast_rows)
+        cold_rows = join_sized(pairs, hot, "num", "left_anti", n_hot, max_broadcast_rows)
+        ranked = number_rows(hot_rows, "num", [F.asc("uri")])
+        chunked = ranked.select("num", "uri", F.floor((F.col("idx") - 1) / max_urls_per_row)
+                                .cast("int").alias("chunk")) \
+            .unionByName(cold_rows.select("num", "uri", F.lit(0).alias("chunk")))
     else:
-        j, chunk = pairs, F.lit(0)
-    return (j.withColumn("chunk", chunk)
-            .groupBy("num", "chunk")
+        chunked = pairs.select("num", "uri", F.lit(0).alias("chunk"))
+    return (chunked.groupBy("num", "chunk")
             .agg(F.count(F.lit(1)).alias("n_urls"),
                  F.sort_array(F.collect_list("uri")).alias("urls")))
 

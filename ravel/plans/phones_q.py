@@ -16,8 +16,12 @@ def phone_pairs(spark, sf_dir):
     return phones.phone_pairs(crawl_records_from_tables(spark, sf_dir), "1", 10)
 
 
+# Row bound of one URL list (larger lists continue in the next chunk).
+URL_ROWS = 100_000
+
+
 def phone_index(spark, sf_dir):
-    return phones.phone_index_flat(phone_pairs(spark, sf_dir))
+    return phones.phone_index_flat(phone_pairs(spark, sf_dir), max_urls_per_row=URL_ROWS)
 
 
 def phone_pairs_nl(spark, sf_dir):
@@ -25,7 +29,7 @@ def phone_pairs_nl(spark, sf_dir):
 
 
 def phone_index_nl(spark, sf_dir):
-    return phones.phone_index_flat(phone_pairs_nl(spark, sf_dir))
+    return phones.phone_index_flat(phone_pairs_nl(spark, sf_dir), max_urls_per_row=URL_ROWS)
 
 
 QUERIES = {
@@ -64,9 +68,11 @@ _NL = _pairs_sql("""
   from (select c_custkey, lpad(cast(c_custkey as varchar), 8, '1') as n from customer) q""",
                  "31", 9)
 
-_INDEX = """
-select num, 0 as chunk, count(*) as n_urls, string_agg(uri, ' ' order by uri) as urls
-from canon group by num"""
+_INDEX = f"""
+select num, ((r - 1) // {URL_ROWS})::int as chunk, count(*) as n_urls,
+  string_agg(uri, ' ' order by uri) as urls
+from (select num, uri, row_number() over (partition by num order by uri) as r from canon) q
+group by all"""
 
 ORACLE = {
     "phone_pairs": _REAL + "select num, uri from canon",

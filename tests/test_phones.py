@@ -50,11 +50,15 @@ def test_index_repeats_urls_and_splits_hot_numbers(spark):
     pairs = phones.phone_pairs(recs)
     idx = phones.phone_index(pairs).collect()
     assert [(r.num, r.chunk, r.urls) for r in idx] == [("+31612345678", 0, ["u1", "u1", "u2"])]
-    # A number above the row bound is spread over several rows, none lost.
-    many = spark.createDataFrame([(f"u{i}", "+31612345678") for i in range(50)], "uri string, body string")
+    # A number above the row bound continues over consecutive rows: chunk k
+    # holds the URLs ranked k*10+1 .. k*10+10; a small number stays whole.
+    many = spark.createDataFrame([(f"u{i:02d}", "+31612345678") for i in range(50)] +
+                                 [("v", "+31699999999")], "uri string, body string")
     rows = phones.phone_index(phones.phone_pairs(many), max_urls_per_row=10).collect()
-    assert len(rows) >= 5 and sum(r.n_urls for r in rows) == 50
-    assert sorted(u for r in rows for u in r.urls) == sorted(f"u{i}" for i in range(50))
+    hot = sorted((r for r in rows if r.num == "+31612345678"), key=lambda r: r.chunk)
+    assert [r.chunk for r in hot] == [0, 1, 2, 3, 4]
+    assert [u for r in hot for u in r.urls] == [f"u{i:02d}" for i in range(50)]
+    assert [(r.chunk, r.urls) for r in rows if r.num == "+31699999999"] == [(0, ["v"])]
 
 
 def test_index_write_fails_when_output_exists(spark, tmp):
