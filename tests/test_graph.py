@@ -141,3 +141,20 @@ def test_percent_format_rounds_half_up(spark):
     r = spark.range(1).select(F.format_string("%.1f", F.lit(1) * F.lit(100.0) / F.lit(16)).alias("a"),
                               F.format_string("%.1f", F.lit(0.15)).alias("b")).first()
     assert (r.a, r.b) == ("6.3", "0.2")
+
+
+def test_adjacency_sizes_equal_pair_enumeration(spark):
+    """Per actor, the size of its co-star list with duplicates (one entry
+    per shared movie and co-star) -- counted by brute force on a small
+    graph -- equals the cast-count formula, which emits no pair."""
+    rnd = random.Random(31)
+    edges = sorted({(rnd.randint(0, 60), rnd.randint(0, 40)) for _ in range(300)})
+    by_m = {}
+    for a, m in edges:
+        by_m.setdefault(m, []).append(a)
+    want = {}
+    for a, m in edges:
+        want[a] = want.get(a, 0) + sum(1 for b in by_m[m] if b != a)
+    df = spark.createDataFrame(edges, "actor_id long, movie long")
+    got = {r.actor_id: r.co_star_slots for r in graph.adjacency_sizes(df).collect()}
+    assert got == want
