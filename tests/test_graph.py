@@ -97,6 +97,10 @@ def test_degrees_job(spark, tmp):
     assert lines[1] == "Total number of movies = 4"
     assert lines[3] == "There are 1 (33.3%) actors and 1 (33.3%) actresses at distance 1"
     assert lines[4] == "There are 1 (33.3%) actors and 0 (0.0%) actresses at distance 2"
+    assert "Total number of actors from distance 1 to 6 = 3, ratio = 0.5" in lines
+    assert "Total number of male actors from distance 1 to 6 = 2, ratio = 0.6666667" in lines
+    assert ("Total number of female actors (actresses) from distance 1 to 6 = 1, "
+            "ratio = 0.33333334") in lines
     assert "List of male actors at distance 6:" in lines
     assert text.endswith("List of female actors (actresses) at distance 6:\n")
 
