@@ -20,6 +20,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     # Rank filters (row_number <= k) get a partial limit below the shuffle.
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
+    # Checkpoint files (BFS hops, numbering tables) are removed once no
+    # DataFrame refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
