@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from ravel.llm import simhash
+from ravel.llm import lines, simhash
 
 QUERIES = {}
 ORACLE = {}
 
-for _mod in (simhash,):
+for _mod in (lines, simhash):
     QUERIES.update(_mod.QUERIES)
     ORACLE.update(_mod.ORACLE)
