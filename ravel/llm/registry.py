@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from ravel.llm import bpe, decontam, lines, simhash
+from ravel.llm import bpe, decontam, lines, simhash, toxicity
 
 QUERIES = {}
 ORACLE = {}
 
-for _mod in (lines, bpe, simhash, decontam):
+for _mod in (lines, toxicity, bpe, simhash, decontam):
     QUERIES.update(_mod.QUERIES)
     ORACLE.update(_mod.ORACLE)
