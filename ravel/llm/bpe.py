@@ -50,6 +50,12 @@ CUT_BITS = 9            # a cut every 512 bytes on average
 MIN_CHUNK = 64
 MAX_CHUNK = 8192
 FILTER_BITS = 1 << 26   # a power of two, at most 2^32
+# The byte-level pre-tokenizer's pattern (a fixed value of the format).
+PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
+           r"|\s+(?!\S)|\s+")
+# UTF-8 bytes of plain Latin text: tab, line breaks, printable ASCII, and the
+# letters U+00C0 to U+023F. Regex engines agree on their classes.
+_LATIN = bytes([9, 10, 13, *range(0x20, 0x7F), *range(0x80, 0xC0), *range(0xC3, 0xC9)])
 # Encodings hold over 100 bytes a token in memory: longer texts are encoded
 # in segments that end at anchors.
 SEGMENT = 1 << 16
@@ -117,55 +123,86 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Codec:
-    """Encoder and decoder of one byte-level BPE tokenizer file."""
+    """Encoder and decoder of one byte-level BPE tokenizer file.
+
+    Plain Latin text goes through a rank-based encoder built from the same
+    file (about four times as fast); anything else, and text that may hold an
+    added token, goes through the tokenizers library itself."""
 
     def __init__(self, spec: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        import tiktoken
 
         j = json.loads(spec)
-        if j["model"]["type"] != "BPE" or (j.get("pre_tokenizer") or {}).get("type") != "ByteLevel" \
+        model = j["model"]
+        if model["type"] != "BPE" or (j.get("pre_tokenizer") or {}).get("type") != "ByteLevel" \
                 or j["pre_tokenizer"].get("add_prefix_space") or j.get("normalizer"):
             raise ValueError("a byte-level BPE tokenizer without normalizer is needed")
-        self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
         added = {t["id"]: t["content"].encode() for t in j.get("added_tokens", [])}
         if any(b" " in v or b"\n" in v for v in added.values()):
             raise ValueError("added tokens must not hold white space")
         alphabet = byte_alphabet()
-        self.pieces = [b""] * (max([*j["model"]["vocab"].values(), *added]) + 1)
-        for token, i in j["model"]["vocab"].items():
-            self.pieces[i] = added[i] if i in added else bytes(alphabet[c] for c in token)
+        self.pieces = [b""] * (max([*model["vocab"].values(), *added]) + 1)
+        ranks = {}
+        for token, i in model["vocab"].items():
+            if i not in added:
+                self.pieces[i] = bytes(alphabet[c] for c in token)
+                ranks[self.pieces[i]] = i
         for i, token in added.items():
             self.pieces[i] = token
+        self.added = list(added.values())
+        self._spec = spec
+        self._library = None
+        # ranks stand for the merge list only if ids follow its order
+        merges = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
+        in_order = j["pre_tokenizer"].get("use_regex", True) \
+            and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix",
+                                               "end_of_word_suffix", "ignore_merges")) \
+            and all(model["vocab"].get(a + b) == 256 + i for i, (a, b) in enumerate(merges)) \
+            and len(ranks) == 256 + len(model["merges"])
+        self._ranked = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks,
+                                         special_tokens={}) if in_order else None
+
+    @property
+    def library(self):
+        if self._library is None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_str(self._spec)
+            self._library.no_truncation()
+            self._library.no_padding()
+        return self._library
+
+    def _ids(self, data: bytes) -> np.ndarray:
+        if self._ranked and not data.translate(None, _LATIN) \
+                and not any(a in data for a in self.added):
+            return self._ranked.encode_to_numpy(data.decode(), disallowed_special=())
+        ids = self.library.encode(data.decode(), add_special_tokens=False).ids
+        return np.array(ids, dtype=np.uint32)
 
     def encode_all(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of whole texts; a long one goes in segments between anchors."""
-        parts, owner = [], []
-        for k, data in enumerate(texts):
-            start = 0
-            if len(data) > SEGMENT:
-                a = _anchors(data)
-                while len(data) - start > SEGMENT:
-                    i = np.searchsorted(a, start + SEGMENT)
-                    if i == len(a):
-                        break
-                    parts.append(data[start:a[i]].decode())
-                    owner.append(k)
-                    start = int(a[i])
-            parts.append(data[start:].decode())
-            owner.append(k)
-        found: list[list] = [[] for _ in texts]
-        for at in range(0, len(parts), 64):
-            for k, e in zip(owner[at:], self.tokenizer.encode_batch_fast(
-                    parts[at:at + 64], add_special_tokens=False)):
-                found[k].append(np.array(e.ids, dtype=np.uint32))
-        return [np.concatenate(x) if len(x) > 1 else x[0] for x in found]
+        return [self._segments(data) if len(data) > SEGMENT else self._ids(data)
+                for data in texts]
+
+    def _segments(self, data: bytes) -> np.ndarray:
+        parts, start, a = [], 0, _anchors(data)
+        while len(data) - start > SEGMENT:
+            i = np.searchsorted(a, start + SEGMENT)
+            if i == len(a):
+                break
+            parts.append(self._ids(data[start:a[i]]))
+            start = int(a[i])
+        return np.concatenate([*parts, self._ids(data[start:])])
 
     def encode(self, data: bytes) -> np.ndarray:
         return self.encode_all([data])[0]
 
+    @property
+    def packed(self) -> str:
+        """How ids travel between stages: two bytes each if they fit."""
+        return "<u2" if len(self.pieces) <= 1 << 16 else "<u4"
+
     def bytes_of(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.pieces.__getitem__, ids.tolist()))
 
@@ -368,7 +405,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
                     own.append((len(out), data[at:]))
                     out.append([row, doc_id, seq, None, None, None, None])
             for (k, _), ids in zip(own, c.encode_all([d for _, d in own])):
-                out[k][6] = ids.astype("<u4").tobytes()
+                out[k][6] = ids.astype(c.packed).tobytes()
             kinds = [pa.int64()] * 5 + [pa.binary()] * 2
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)],
@@ -379,7 +416,8 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
         for b in batches:
             ids = c.encode_all(b["chunk"].to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [b["h1"], b["h2"], pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())],
+                [b["h1"], b["h2"],
+                 pa.array([x.astype(c.packed).tobytes() for x in ids], pa.binary())],
                 ["h1", "h2", "ids"])
 
     def together(batches):
@@ -387,7 +425,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
         for b in batches:
             parts = b["parts"].to_pylist()
             yield finished(b["doc_id"].to_pylist(), [
-                c.join([np.frombuffer(p["ids"], dtype="<u4") for p in doc]) for doc in parts], c)
+                c.join([np.frombuffer(p["ids"], dtype=c.packed) for p in doc]) for doc in parts], c)
 
     schema = "doc_id long, n_tokens long, ids binary, decoded string"
     plain = texts.mapInArrow(alone, schema)

@@ -55,6 +55,27 @@ def test_joined_parts_equal_the_whole(library, codec, parts, rng):
     assert codec.decode(np.array(ids, dtype=np.uint32)) == text
 
 
+def test_latin_text_equals_library(library, codec):
+    """Every plain Latin character beside letters, digits, spaces, marks."""
+    assert codec._ranked is not None
+    chars = [chr(c) for c in [9, 10, 13, *range(0x20, 0x7F), *range(0xC0, 0x240)]]
+    for c in chars:
+        for t in (c, c + c, f"a{c}b", f"1{c} 2", f" {c}x's {c}", f"{c}\n\n {c}  {c}'ll", f".{c}.{c}"):
+            assert not t.encode().translate(None, bpe._LATIN)
+            assert codec.encode(t.encode()).tolist() == \
+                library.encode(t, add_special_tokens=False).ids
+    for c in range(0x3000):
+        if chr(c) not in chars:
+            assert chr(c).encode().translate(None, bpe._LATIN)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(max_size=60))
+def test_any_text_equals_library(library, codec, text):
+    assert codec.encode(text.encode()).tolist() == \
+        library.encode(text, add_special_tokens=False).ids
+
+
 def test_chunks_cover_and_resynchronise():
     rng = random.Random(3)
     body = "".join(rng.choice("abcdé 語\n") for _ in range(60_000)).encode()
