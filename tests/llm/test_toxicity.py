@@ -67,8 +67,8 @@ def test_best_cutoff():
 
 def test_edge_cases(spark):
     docs = spark.createDataFrame(
-        [(i, f"vile{i % 7} awful horrid words here" if i % 4 == 0 else f"calm gentle kind {i}", i)
-         for i in range(200)]
+        [(i, f"filler{i}words other{i}filler more{i}filling "
+          + ("awful horrid words" if i % 4 == 0 else "calm gentle kind"), i) for i in range(200)]
         + [(1000, None, 0), (1001, "", 0), (None, "awful horrid", 0), (1002, "awful " * 100_000, 0),
            (1002, "awful " * 100_000, 0)], "doc_id long, text string, toxic int")
     labels = spark.createDataFrame(
