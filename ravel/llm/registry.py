@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from ravel.llm import ann, bpe, decontam, lines, simhash, toxicity
+from ravel.llm import ann, bpe, decontam, lines, simhash, toxicity, urls
 
 QUERIES = {}
 ORACLE = {}
 
-for _mod in (ann, lines, toxicity, bpe, simhash, decontam):
+for _mod in (ann, lines, toxicity, urls, bpe, simhash, decontam):
     QUERIES.update(_mod.QUERIES)
     ORACLE.update(_mod.ORACLE)
