@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from ravel.session import ensure_checkpoint_dir
 
 # Rows per Arrow batch where whole texts go to Python. Texts have no length
-# bound, so a batch is kept to a few hundred of them.
+# bound, so a batch is kept to a few hundred of them and to a size.
 TEXT_ROWS_PER_BATCH = 256
+BYTES_PER_BATCH = 32 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,10 +19,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bound_batches(spark: SparkSession, rows: int = TEXT_ROWS_PER_BATCH) -> None:
-    """Lower the session's Arrow batch to ``rows`` rows (never raise it)."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
-        spark.conf.set(key, str(rows))
+    """Lower the session's Arrow batch to ``rows`` rows and to
+    ``BYTES_PER_BATCH`` bytes (never raise it)."""
+    for key, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", BYTES_PER_BATCH)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = spark.conf.get(key).rstrip("bB")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
 
 
 def pinned(df: DataFrame) -> DataFrame:

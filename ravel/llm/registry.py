@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from ravel.llm import ann, bpe, decontam, lines, pii, simhash, toxicity, urls
+from ravel.llm import ann, bpe, decontam, lines, pii, simhash, toxicity, urls, warc
 
 QUERIES = {}
 ORACLE = {}
 
-for _mod in (ann, lines, pii, toxicity, urls, bpe, simhash, decontam):
+for _mod in (ann, lines, pii, toxicity, urls, warc, bpe, simhash, decontam):
     QUERIES.update(_mod.QUERIES)
     ORACLE.update(_mod.ORACLE)
