@@ -12,8 +12,9 @@ double precision.
 
 Scale: equal vectors are one vector with the smallest ids that could be among
 the neighbours, so a vector that fills a third of the table costs one row;
-queries with equal vectors are searched once. Vectors and queries meet by
-(leaf, block, chunk), each side of bounded size. What is broadcast is the tree
+queries with equal vectors are searched once. Neighbouring leaves share a bin;
+vectors and queries meet by (bin, block, chunk), each side of bounded size,
+and a meeting returns the k + 1 nearest of each query. What is broadcast is the tree
 (at most ``MAX_LEAVES`` leaves) and counts per leaf. The number of leaves
 follows the table until that bound; beyond it leaves hold more blocks.
 
@@ -54,7 +55,6 @@ class Tree:
     def __init__(self, points: np.ndarray, leaves: int, branch: int = BRANCH, seed: int = 1):
         self.centres = [points.mean(axis=0) if len(points) else np.zeros(0)]
         self.children: list[list[int]] = [[]]
-        self.leaf_of: dict[int, int] = {}
         rng = np.random.default_rng(seed)
         n_leaves = 1
         # split the node with most points until there are enough leaves
@@ -93,6 +93,16 @@ class Tree:
             todo += [(kid, rows[near == j]) for j, kid in enumerate(kids) if (near == j).any()]
         return out
 
+    def in_order(self):
+        """Leaf numbers in depth-first order, so that neighbours are close."""
+        todo = [0]
+        while todo:
+            node = todo.pop()
+            if self.children[node]:
+                todo += reversed(self.children[node])
+            else:
+                yield self.number[node]
+
     def visit(self, q: np.ndarray):
         """Leaf numbers, best bin first. A subtree's bound is the distance to
         the border between its centre and its nearest sibling's, at least its
@@ -185,10 +195,26 @@ class Index:
         points = np.array(points, dtype=np.float64).reshape(len(points), self.dim)
         self.tree = Tree(points, min(MAX_LEAVES, max(1, math.ceil(n / LEAF_ROWS))))
         self.shared = spark.sparkContext.broadcast(self.tree)
-        self.rows = pinned(self._with_leaf(self.distinct))
-        self.sizes = {r.leaf: r["count"] for r in self.rows.groupBy("leaf").count().collect()}
+        rows = pinned(self._with_leaf(self.distinct))
+        self.sizes = {r.leaf: r["count"] for r in rows.groupBy("leaf").count().collect()}
+        self.bins = self._bins()
+        self.rows = rows.join(F.broadcast(spark.createDataFrame(
+            list(self.bins.items()), "leaf int, bin int")), "leaf")
         self.visits = self._calibrate(n)
 
+    def _bins(self) -> dict[int, int]:
+        """Leaves that follow one another in the tree share a bin of about
+        BLOCK_ROWS vectors; a larger leaf has a bin of its own."""
+        bins, at, held = {}, 0, 0
+        for leaf in self.tree.in_order():
+            if leaf not in self.sizes:
+                continue
+            if held and held + self.sizes[leaf] > BLOCK_ROWS:
+                at, held = at + 1, 0
+            bins[leaf] = at
+            held += self.sizes[leaf]
+        return bins
+
     def _with_leaf(self, rows: DataFrame) -> DataFrame:
         tree, dim = self.shared, self.dim
 
@@ -257,50 +283,63 @@ class Index:
         sizes = self.spark.sparkContext.broadcast(self.sizes)
         once = asked.groupBy("key").agg(F.first("v").alias("v"))
 
+        bins = self.spark.sparkContext.broadcast(self.bins)
+
         def plan(batches):
+            """The leaves a query visits, gathered by bin."""
             for b in batches:
                 out = []
                 for key, q in zip(b["key"], _matrix(b["v"], dim)):
-                    held = 0
+                    held, mine = 0, {}
                     for n, leaf in enumerate(tree.value.visit(q)):
                         if n >= visits and held > k:
                             break
                         if sizes.value.get(leaf):
-                            out.append((key, q, leaf))
+                            mine.setdefault(bins.value[leaf], []).append(leaf)
                             held += sizes.value[leaf]
-                yield pd.DataFrame(out, columns=["key", "v", "leaf"])
+                    out += [(key, q, at, leaves) for at, leaves in mine.items()]
+                yield pd.DataFrame(out, columns=["key", "v", "bin", "leaves"])
 
         visited = pinned(spread_rows(once).mapInPandas(
-            plan, "key string, v array<double>, leaf int"))
-        # both sides of a leaf are cut into parts of about BLOCK_ROWS
-        parts = visited.groupBy("leaf").agg(
+            plan, "key string, v array<double>, bin int, leaves array<int>"))
+        # both sides of a bin are cut into parts of about BLOCK_ROWS
+        parts = visited.groupBy("bin").agg(
             F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("chunks"))
-        blocks = self.rows.groupBy("leaf").agg(
-            F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
-        cuts = F.broadcast(parts.join(blocks, "leaf"))      # at most MAX_LEAVES rows
-        left = (visited.join(cuts, "leaf")
+        in_bin: dict[int, int] = {}
+        for leaf, at in self.bins.items():
+            in_bin[at] = in_bin.get(at, 0) + self.sizes[leaf]
+        held = self.spark.createDataFrame(
+            [(at, math.ceil(n / BLOCK_ROWS)) for at, n in in_bin.items()], "bin int, blocks int")
+        cuts = F.broadcast(parts.join(held, "bin"))      # at most MAX_LEAVES rows
+        left = (visited.join(cuts, "bin")
                 .withColumn("chunk", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int"))
                 .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                .select("leaf", "block", "chunk", "key", "v"))
-        right = (self.rows.join(cuts, "leaf")
+                .select("bin", "block", "chunk", "key", "v", "leaves"))
+        right = (self.rows.join(cuts, "bin")
                  .withColumn("block", F.pmod(F.xxhash64("key", F.lit(9)), F.col("blocks"))
                              .cast("int"))
                  .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-                 .select("leaf", "block", "chunk", "v", "ids"))
+                 .select("bin", "block", "chunk", "leaf", "v", "ids"))
 
         def meet(q, x):
+            """The k + 1 nearest of each query among its leaves' vectors."""
             out = []
-            if len(x):
-                m, ids = _matrix(x["v"], dim), [np.asarray(i) for i in x["ids"]]
-                for key, v in zip(q["key"], _matrix(q["v"], dim)):
-                    d = _distances(v, m)
-                    near = np.flatnonzero(d <= np.partition(d, min(k, len(d) - 1))[min(k, len(d) - 1)])
-                    best = heapq.nsmallest(k + 1, ((float(d[j]), int(i)) for j in near
-                                                   for i in ids[j][:k + 1]))
-                    out += [(key, d_, i) for d_, i in best]
+            m, ids = _matrix(x["v"], dim), [np.asarray(i) for i in x["ids"]]
+            leaf = x["leaf"].to_numpy()
+            for key, v, leaves in zip(q["key"], _matrix(q["v"], dim), q["leaves"]):
+                own = np.flatnonzero(np.isin(leaf, leaves))
+                if not len(own):
+                    continue
+                d = _distances(v, m[own])
+                at = min(k, len(d) - 1)
+                near = np.flatnonzero(d <= np.partition(d, at)[at])
+                best = heapq.nsmallest(k + 1, ((float(d[j]), int(i)) for j in near
+                                               for i in ids[own[j]][:k + 1]))
+                out += [(key, d_, i) for d_, i in best]
             return pd.DataFrame(out, columns=["key", "score", "vec_id"])
 
-        met = (left.groupBy("leaf", "block", "chunk").cogroup(right.groupBy("leaf", "block", "chunk"))
+        by = ["bin", "block", "chunk"]
+        met = (left.groupBy(*by).cogroup(right.groupBy(*by))
                .applyInPandas(meet, "key string, score double, vec_id long"))
         by_key = Window.partitionBy("key").orderBy("score", "vec_id")
         nearest = met.withColumn("r", F.row_number().over(by_key)).where(F.col("r") <= k + 1)
