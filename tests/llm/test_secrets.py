@@ -1,0 +1,107 @@
+import math
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from ravel.llm import secrets as S
+
+SF = "/root/testdata/sf0.1"
+
+
+@pytest.fixture(scope="module")
+def words(spark):
+    return S.dictionary_words(spark).cache()
+
+
+@pytest.fixture(scope="module")
+def model(spark, words):
+    return S.train(S.example_findings(spark), words)
+
+
+def test_held_out_accuracy(spark, words, model):
+    held = S.example_findings(spark, 4000, seed=2)
+    rows = S.with_features(held, words)
+    got = S.VectorAssembler(inputCols=S.FEATURES, outputCol="features").transform(rows)
+    got = model.transform(got).groupBy("label", "prediction").count().collect()
+    n = {(r.label, int(r.prediction)): r["count"] for r in got}
+    assert n[1, 1] >= 0.95 * (n[1, 1] + n.get((1, 0), 0))
+    assert n[0, 0] >= 0.95 * (n[0, 0] + n.get((0, 1), 0))
+
+
+def test_documents_keep_secrets_and_lose_false_positives(spark, words, model):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept, lost = set(), set()
+    for r in S.scan(docs, model, words).collect():
+        (kept if r.secret else lost).add((r.doc_id, r.start, r.value))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for d, start, value in kept | lost:
+        assert texts[d][start:start + len(value)] == value
+    planted, cards = set(), set()
+    for d, t in texts.items():
+        for m in re.finditer(r"\bAKIA[0-9A-Z]{16}\b|(?<=password=)\w+|(?<=token = \")\w+", t or ""):
+            planted.add((d, m.start(), m.group()))
+        for m in re.finditer(r"(?<![\w+/.-])[0-9]{16}(?![\w+/.-])", t or ""):
+            cards.add((d, m.start(), m.group()))
+    assert len(planted) > 50 and len(cards) > 20
+    assert planted <= kept | lost and cards <= kept | lost
+    assert len(planted & kept) >= 0.97 * len(planted)
+    assert len(cards & kept) <= 0.03 * len(cards)
+
+
+def slow_candidates(text):
+    """Candidates by scanning, for texts without assignments."""
+    run = re.compile(r"[A-Za-z0-9+/_\-]+")
+    for m in run.finditer(text):
+        if 16 <= len(m.group()) <= 256 and re.search("[0-9]", m.group()):
+            yield m.start(), m.group() + re.match("={0,2}", text[m.end():]).group()
+
+
+def test_candidates_and_offsets(spark):
+    texts = ["", "short1 words", "é abcdefghij0123456789 x", "abcdefghijklmnopqrstuvwxyz",
+             "a1" * 8 + " " + "b2" * 128 + " " + "c3" * 129, "QUJDREVGR0hJSktMTU5PUDE= end",
+             "語" * 30 + "x1" * 9 + "語" + "y1" * 9]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((r.doc_id, r.start, r.value) for r in S.findings(docs).collect())
+    assert got == [(d, a, v) for d, t in enumerate(texts) for a, v in slow_candidates(t)]
+
+
+@pytest.mark.parametrize("text, value", [
+    ("password=hunter22!", "hunter22!"), ("my Token: \"ab cdefghi\"", None), ("API-KEY = 'qwerty'", "qwerty"),
+    ("the secret is out", None), ("-----BEGIN RSA PRIVATE KEY-----\nMII", "-----BEGIN RSA PRIVATE KEY-----")])
+def test_assigned_and_key_headers(spark, text, value):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [r.value for r in S.findings(docs).collect()] == ([value] if value else [])
+
+
+def test_features(spark, words):
+    rows = spark.createDataFrame([("AbC1232-aa", "x token = \"", "\" y", "a/b/test.env"),
+                                  ("waterhouse12", None, None, None)],
+                                 "value string, before string, after string, path string")
+    got = {r.value: r for r in S.with_features(rows, words).collect()}
+    a, b = got["AbC1232-aa"], got["waterhouse12"]
+    assert (a.length, a.runs, a.assigned, a.quoted, a.secret_word) == (10, 6, 1, 1, 1)
+    assert (a.path_test, a.path_config, a.path_depth) == (1, 1, 2)
+    assert a.digits == pytest.approx(.4) and a.transitions == pytest.approx(5 / 9)
+    assert a.entropy == pytest.approx(-sum(p * math.log2(p) for p in [.2, .2] + [.1] * 6))
+    assert b.dictionary == pytest.approx(10 / 12)
+    assert (b.assigned, b.path_depth, b.secret_word) == (0, 0, 0)
+
+
+def test_edge_cases(spark, words, model):
+    hot = "key AKIA" + "Q7" * 8
+    rows = [(1, None, None, "v"), (2, "", "s", "v"), (3, hot, "s", None), (3, hot, "s", None),
+            (None, hot, None, "v"), (4, "z9" * 400_000, "s", "v"),
+            (5, ("w1" * 9 + " ") * 20_000 + hot, "s", "v")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, value string")
+    got = S.scan(docs, model, words)
+    n = {r.doc_id: r["count"] for r in got.groupBy("doc_id").count().collect()}
+    assert n == {3: 2, None: 1, 5: 20_001}
+    assert {r.secret for r in got.where("value like 'AKIA%'").collect()} == {True}
+    assert S.scan(docs.where("doc_id > 9"), model, words).count() == 0
+
+
+def test_plan_has_no_python(spark, words, model):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = S.scan(docs, model, words)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
