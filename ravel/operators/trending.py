@@ -111,11 +111,14 @@ def tag_counts(tags: DataFrame) -> DataFrame:
 
 
 def trending_rows(wc: DataFrame) -> DataFrame:
-    """(window, id, tag_count, tag, username, tweet_count, text)."""
+    """(window, id, tag_count, tag, username, tweet_count, text). Untagged
+    posts, which may be most of a window, count 0 and need no join."""
     tags = tweet_tags(wc)
-    return (tags.join(tag_counts(tags), ["window", "tag"])
-            .select("window", "id", "tag_count", "tag", "username",
-                    (F.col("n") + 1).cast("int").alias("tweet_count"), "text"))
+    tagged, untagged = tags.where(F.col("tag") != NO_TAG), tags.where(F.col("tag") == NO_TAG)
+    rows = tagged.join(tag_counts(tagged), ["window", "tag"]).unionByName(
+        untagged.withColumn("tag_count", F.lit(0)))
+    return rows.select("window", "id", "tag_count", "tag", "username",
+                       (F.col("n") + 1).cast("int").alias("tweet_count"), "text")
 
 
 def trending(statuses: DataFrame, window: str = "120 seconds", slide: str = "2 seconds",
@@ -147,7 +150,9 @@ def run_limited_top(rows: DataFrame, per_run: int = PER_RUN, total: int = TOTAL,
     ``total`` tags of a sub-level can show; a tag has one tag count per
     group, so runs never span tag-count levels and every level reached
     shows a row -- only the top ``total`` levels can show. Runs are then
-    found with lag/running-sum (gaps and islands) over what is left."""
+    found with lag/running-sum (gaps and islands) over what is left: per
+    group at most ``total`` tag counts x its distinct tweet counts x ``total``
+    tags x ``per_run`` rows, which is what the last pass of one window holds."""
     block = Window.partitionBy(by, "tag_count", "tweet_count", "tag").orderBy("id")
     r = rows.withColumn("_b", F.row_number().over(block)).where(F.col("_b") <= per_run)
     sub = Window.partitionBy(by, "tag_count", "tweet_count").orderBy("tag")

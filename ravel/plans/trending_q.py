@@ -18,10 +18,22 @@ def _bounds():
             F.unix_seconds(F.col("window.end")).alias("w_end")]
 
 
+# Status texts bound to the events for the language rules: scripts in the
+# text, and scripts that only stand in parts the cleaning takes out.
+STATUS_TEXTS = ("RT @bob: こんにちは", "안녕 RT labas", "RT labas rytas", "@ひらがな labas",
+                "https://t.co/ひらがな labas", "labas https://t.co/한글 @한글", "見る RT ひ",
+                "カタカナ", "한글 と ひらがな", "RTひ RT한")
+
+
 def lang_override(spark, sf_dir):
+    """Two in three events get the code 'lt' and a status text of its own."""
     t = tweets(spark, sf_dir)
-    return t.select("event_id", language_override(
-        F.col("lang"), clean_for_language(F.col("text"))).alias("lang"))
+    text = F.element_at(F.array(*[F.lit(x) for x in STATUS_TEXTS]),
+                        (F.pmod("event_id", F.lit(len(STATUS_TEXTS))) + 1).cast("int"))
+    lang = F.when(F.pmod("event_id", F.lit(3)) > 0, "lt").otherwise(F.col("lang"))
+    t = t.select("event_id", lang.alias("lang"), text.alias("status"))
+    return t.select("event_id", "status", language_override(
+        F.col("lang"), clean_for_language(F.col("status"))).alias("lang"))
 
 
 def hashtags(spark, sf_dir):
@@ -109,7 +121,18 @@ _B = "start // 1000000 as w_start, start // 1000000 + 43200 as w_end"
 _ORDER = "order by tag_count desc, tweet_count desc, tag, id"
 
 ORACLE = {
-    "lang_override": "with " + TWEETS_SQL + " select event_id, lang from t",
+    "lang_override": "with " + TWEETS_SQL + f""",
+s as (select event_id, case when event_id % 3 > 0 then 'lt' else lang end as lang,
+             ({list(STATUS_TEXTS)})[event_id % {len(STATUS_TEXTS)} + 1] as status from t),
+c as (select *, regexp_replace(regexp_replace(
+               case when instr(status, 'RT') > 0
+                    then left(status, instr(status, 'RT') - 1) || substr(status, instr(status, 'RT') + 2)
+                    else status end,
+               '@\\p{{L}}+', '', 'g'), 'https?://[^ ]+ ?', '', 'g') as bare from s)
+select event_id, status,
+  case when lang = 'lt' and regexp_matches(bare, '[\\x{{3040}}-\\x{{309F}}]') then 'ja'
+       when lang = 'lt' and regexp_matches(bare, '\\p{{Hangul}}') then 'ko' else lang end as lang
+from c""",
     "hashtags": "with " + TWEETS_SQL + """
 select event_id, unnest(case when len(tl) > 0 then tl else ['None'] end) as tag from tags_of""",
     "windowed_counts": _ROWS + f" select {_B}, id, n, username, text from wc",
@@ -135,22 +158,42 @@ from n""",
 
 # ---------------------------------------------------------------- stream
 WATERMARK = "1 hour"
+# Warm-up of the second stream query: windows opening before it are left out.
+START = "2024-01-10 00:00:00"
+
+
+def _stream(spark, sf_dir, start=None):
+    from ravel.session import remove_path, scratch_path
+    from ravel.streaming.trending_stream import run_to_end
+
+    out, ckpt = scratch_path(spark, "trending-out"), scratch_path(spark, "trending-ckpt")
+    run_to_end(spark, sf_dir, out, ckpt, WINDOW, SLIDE, WATERMARK, start=start)
+    schema = ("window struct<start:timestamp,end:timestamp>, id long, tag_count int, tag string, "
+              "username string, tweet_count int, text string, epoch int")
+    rows = spark.read.schema(schema).parquet(f"{out}/rows")
+    rows = rows.select(*_bounds(), *_ROW_COLS).checkpoint(eager=True)
+    remove_path(spark, out)
+    remove_path(spark, ckpt)
+    return rows
 
 
 def trending_stream(spark, sf_dir):
-    """The stream over the events file, run to the end (availableNow); its
+    """The stream over the events table, run to the end (availableNow); its
     rows for every window closed by the final watermark."""
-    from ravel.session import scratch_path
-    from ravel.streaming.trending_stream import run_to_end
+    return _stream(spark, sf_dir)
+
 
-    out = scratch_path(spark, "trending-out")
-    run_to_end(spark, sf_dir, out, scratch_path(spark, "trending-ckpt"), WINDOW, SLIDE, WATERMARK)
-    rows = spark.read.parquet(f"{out}/rows")
-    return rows.select(*_bounds(), *_ROW_COLS)
+def trending_warmup(spark, sf_dir):
+    """The same stream with a warm-up: windows that open before ``START``
+    are not reported."""
+    return _stream(spark, sf_dir, START)
 
 
 QUERIES["trending_stream"] = trending_stream
+QUERIES["trending_warmup"] = trending_warmup
 ORACLE["trending_stream"] = _ROWS + f""",
 wm as (select max(us) - 3600000000 as w from rt)
 select {_B}, id, tag_count, tag, username, tweet_count, text from rows, wm
 where start + 43200000000 <= wm.w"""
+ORACLE["trending_warmup"] = ORACLE["trending_stream"] + f"""
+  and start >= epoch_us(timestamp '{START}')"""

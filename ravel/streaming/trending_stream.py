@@ -12,6 +12,8 @@ per epoch with overwrite, so a replayed epoch replaces its own files
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,34 +23,23 @@ from ravel.operators.ordering import number_rows
 from ravel.sources.tables import table, tweets_from_events
 
 
-# Pre-aggregate per pane when a retweet would land in at least this many
-# windows (window/slide); below it one stateful operator is cheaper.
-PANE_MIN_COPIES = 16
-
-
 def windowed_stream(statuses: DataFrame, window: str, slide: str, watermark: str,
-                    languages=tr.LANGUAGES, panes: bool | None = None) -> DataFrame:
+                    languages=tr.LANGUAGES) -> DataFrame:
     """Streaming (window, id, username, text, n, t0) in append mode.
 
-    With ``panes`` (default: when window/slide >= PANE_MIN_COPIES, e.g.
-    120 s / 2 s = 60) there are two chained event-time aggregations:
-    retweets are first counted per slide-sized pane (one state update per
-    retweet), then each closed pane's partial is added to the windows it
-    belongs to (``window_time`` of the pane lies in exactly those), so a
-    burst of retweets of one post within a pane costs one update per
-    window instead of one per retweet. Otherwise one aggregation over
-    ``window()``. Author and text (a function of the original) are
-    grouping keys, so the state holds fixed-width values; ``settle``
-    reduces an emitted batch to one row per (window, id)."""
+    Two chained event-time aggregations: retweets are first counted per pane
+    (one state update per retweet), then each closed pane's partial is added
+    to the windows it belongs to (``window_time`` of the pane lies in exactly
+    those), so a burst of retweets of one post within a pane costs one update
+    per window instead of one per retweet. A pane is as long as the greatest
+    common divisor of window and slide, so it never crosses a window's edge.
+    Author and text (a function of the original) are grouping keys, so the
+    state holds fixed-width values; ``settle`` reduces an emitted batch to
+    one row per (window, id)."""
     rt = tr.retweets(statuses, languages).withWatermark("ts", watermark)
     keys = ["id", "username", "text"]
-    w_s, s_s = tr.seconds(window), tr.seconds(slide)
-    if panes is None:
-        panes = w_s % s_s == 0 and w_s // s_s >= PANE_MIN_COPIES
-    if not panes:
-        return (rt.groupBy(F.window("ts", window, slide).alias("window"), *keys)
-                .agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("t0")))
-    part = (rt.groupBy(F.window("ts", slide).alias("pane"), *keys)
+    pane = f"{math.gcd(tr.seconds(window), tr.seconds(slide))} seconds"
+    part = (rt.groupBy(F.window("ts", pane).alias("pane"), *keys)
             .agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("t0")))
     return (part.groupBy(F.window(F.window_time("pane"), window, slide).alias("window"), *keys)
             .agg(F.sum("n").alias("n"), F.min("t0").alias("t0")))
@@ -122,13 +113,13 @@ def start_trending(statuses: DataFrame, out_path: str, checkpoint_location: str,
                    watermark: str = "10 seconds", start=None,
                    processing_time: str | None = "2 seconds", available_now: bool = False,
                    per_run: int = tr.PER_RUN, total: int = tr.TOTAL,
-                   print_top: bool = False, panes: bool | None = None) -> StreamingQuery:
+                   print_top: bool = False) -> StreamingQuery:
     """Start the trending stream over a streaming ``statuses`` frame.
 
     ``out_path/rows`` gets every trending row of each closed window,
     ``out_path/log`` the numbered text log, ``out_path/top`` the
     run-limited top rows (the console report, printed with ``print_top``)."""
-    wc = windowed_stream(statuses, window, slide, watermark, panes=panes)
+    wc = windowed_stream(statuses, window, slide, watermark)
     w = (wc.writeStream.outputMode("append")
          .foreachBatch(_writer(out_path, start, per_run, total, print_top))
          .option("checkpointLocation", checkpoint_location))
@@ -140,26 +131,33 @@ def start_trending(statuses: DataFrame, out_path: str, checkpoint_location: str,
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``events`` table read as a file stream (schema from the table)."""
-    schema = table(spark, sf_dir, "events").schema
-    return (spark.readStream.schema(schema)
-            .option("pathGlobFilter", "events.parquet")
-            .option("maxFilesPerTrigger", 1)
-            .parquet(sf_dir.rstrip("/")))
+    """The ``events`` table, one file or a folder of part files, as a file
+    stream (schema from the table). No limit of files per trigger: files come
+    in any order of their event times, and rows of one micro-batch are never
+    late for each other."""
+    # as a pattern: a file stream takes a plain path for a folder's
+    path = f"{sf_dir.rstrip('/')}/{{events.parquet}}"
+    return spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(path)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows the query's state dropped because they came after the watermark."""
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress
+               for op in p.stateOperators)
 
 
 def run_to_end(spark: SparkSession, sf_dir: str, out_path: str, checkpoint_location: str,
-               window: str, slide: str, watermark: str, timeout_s: int = 600,
-               panes: bool | None = None) -> None:
-    """Process everything available once (availableNow) and stop."""
+               window: str, slide: str, watermark: str, start=None) -> int:
+    """Process everything available (availableNow), however long it takes, and
+    stop; returns the number of rows dropped as late."""
     q = start_trending(tweets_from_events(events_stream(spark, sf_dir)), out_path,
-                       checkpoint_location, window, slide, watermark, available_now=True,
-                       panes=panes)
+                       checkpoint_location, window, slide, watermark, start=start,
+                       available_now=True)
     try:
-        if not q.awaitTermination(timeout_s):
-            raise TimeoutError("trending stream did not finish")
+        q.awaitTermination()
     finally:
         if q.isActive:
             q.stop()
     if q.exception():
         raise RuntimeError(str(q.exception()))
+    return late_rows(q)
