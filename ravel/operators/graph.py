@@ -4,13 +4,14 @@ Two actors are co-stars when they share a movie; the distance of an actor
 is the fewest co-star hops from the source, up to ``max_hops`` (6).
 
 The search never builds the co-star graph (whose size is the sum of the
-squared cast sizes, see ``adjacency_sizes``): each hop goes frontier actors -> their movies not seen
-before -> those movies' actors not seen before, i.e. two semi-joins against
-the bipartite edges plus anti-joins against the last two layers only. Edges are stored once hash
-partitioned by actor and once by movie, each salted by a hash of the other
-end (reliable checkpoints), so a hop only shuffles the frontier and a hot
-movie or actor is spread over several partitions; a frontier whose
-measured size is under ``max_broadcast_rows`` is broadcast instead. Every hop's result is
+squared cast sizes, see ``adjacency_sizes``): each hop goes frontier actors
+-> their movies not seen before -> those movies' actors not seen before,
+i.e. two semi-joins against the bipartite edges plus anti-joins against the
+last two layers only. Edges are stored once hash partitioned by actor and
+once by movie, each salted by a hash of the other end (reliable checkpoints
+that keep their partitioning), so a hop shuffles the frontier only and a hot
+movie or actor is spread over several partitions; a frontier that turns out
+small is broadcast by Spark's own size threshold. Every hop's result is
 checkpointed, which cuts lineage and lets the loop survive lost executors.
 """
 
@@ -23,10 +24,8 @@ from ravel.functions.titles import DEFAULT_MIN_YEAR, movie_of_title, qualifying_
 from ravel.operators.ordering import number_rows
 from ravel.session import ensure_checkpoint_dir
 
-# The hop limit, and the distance the reference gives an
-# unreached actor (we leave unreached actors out instead).
+# Fixed value: the hop limit. Unreached actors are left out.
 MAX_HOPS = 6
-UNREACHED = 100
 
 
 # ----------------------------------------------------------------- parsing
@@ -83,22 +82,31 @@ def _salted_probe(keys: DataFrame, key: str, salts: int) -> DataFrame:
     return keys.select(key, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
 
 
-def _expand(stored: DataFrame, probe: DataFrame, key: str, n_probe: int, salts: int,
-            max_broadcast_rows: int) -> DataFrame:
-    """Edges of ``stored`` whose ``key`` is in ``probe``: a broadcast semi
-    join when the probe is small (edges read in place), else a salted
-    semi join that reuses the stored partitioning, so a hot key is spread
-    over ``salts`` partitions and only the probe is shuffled."""
-    if n_probe <= max_broadcast_rows:
-        return stored.join(F.broadcast(probe.select(key)), key, "left_semi")
+def _stored(edges: DataFrame, parts: int, *keys: str) -> DataFrame:
+    """``edges`` checkpointed in ``parts`` hash partitions of ``keys``. The
+    adaptive planner is off meanwhile: a plan it has touched no longer tells
+    its partitioning, and every join would shuffle the edges again."""
+    conf = edges.sparkSession.conf
+    key, before = "spark.sql.adaptive.enabled", conf.get("spark.sql.adaptive.enabled")
+    conf.set(key, "false")
+    try:
+        return edges.repartition(parts, *keys).checkpoint(eager=True)
+    finally:
+        conf.set(key, before)
+
+
+def _expand(stored: DataFrame, probe: DataFrame, key: str, salts: int) -> DataFrame:
+    """Edges of ``stored`` whose ``key`` is in ``probe``: a salted semi join
+    on the stored partitioning, so a hot key is spread over ``salts``
+    partitions and only the probe is shuffled."""
     return stored.join(_salted_probe(probe, key, salts), [key, "salt"], "left_semi")
 
 
 def degrees(edges: DataFrame, source_id, max_hops: int = MAX_HOPS,
-            max_broadcast_rows: int = 2_000_000, partitions: int | None = None,
-            salts: int = 16) -> DataFrame:
+            partitions: int | None = None, salts: int = 16) -> DataFrame:
     """(actor_id, distance) for the source (0) and every actor within
-    ``max_hops`` co-star hops. ``edges`` holds distinct (actor_id, movie).
+    ``max_hops`` co-star hops. ``edges`` holds distinct (actor_id, movie);
+    pin them before (they are read twice here).
 
     Edges are stored twice, hash partitioned by (movie, salt) and by
     (actor_id, salt) with the salt a hash of the other end modulo
@@ -109,15 +117,12 @@ def degrees(edges: DataFrame, source_id, max_hops: int = MAX_HOPS,
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     e = edges.select("actor_id", "movie")
     salt_of = lambda c: F.pmod(F.xxhash64(c), F.lit(salts)).cast("int")
-    by_actor = (e.withColumn("salt", salt_of("movie"))
-                .repartition(n_parts, "actor_id", "salt").checkpoint(eager=True))
-    by_movie = (e.withColumn("salt", salt_of("actor_id"))
-                .repartition(n_parts, "movie", "salt").checkpoint(eager=True))
+    by_actor = _stored(e.withColumn("salt", salt_of("movie")), n_parts, "actor_id", "salt")
+    by_movie = _stored(e.withColumn("salt", salt_of("actor_id")), n_parts, "movie", "salt")
 
     key_type = dict(e.dtypes)["actor_id"]
     frontier = spark.range(1).select(F.lit(source_id).cast(key_type).alias("actor_id"))
     frontier = frontier.checkpoint(eager=True)
-    n_frontier = 1
     layers = [frontier.withColumn("distance", F.lit(0))]
     # Co-stars' distances differ by at most one, so the actors reached from
     # layer d-1 lie in layers d-2 .. d: removing the last two layers leaves
@@ -128,23 +133,21 @@ def degrees(edges: DataFrame, source_id, max_hops: int = MAX_HOPS,
     prev_movies = by_movie.select("movie").where(F.lit(False))
 
     for hop in range(1, max_hops + 1):
-        movies = (_expand(by_actor, frontier, "actor_id", n_frontier, salts, max_broadcast_rows)
+        movies = (_expand(by_actor, frontier, "actor_id", salts)
                   .select("movie").distinct()
                   .join(prev_movies, "movie", "left_anti")
                   .checkpoint(eager=True))
-        n_movies = movies.count()
-        if n_movies == 0:
+        if movies.isEmpty():
             break
-        nxt = (_expand(by_movie, movies, "movie", n_movies, salts, max_broadcast_rows)
+        nxt = (_expand(by_movie, movies, "movie", salts)
                .select("actor_id").distinct()
                .join(frontier, "actor_id", "left_anti")
                .join(prev_frontier, "actor_id", "left_anti")
                .checkpoint(eager=True))
-        n_next = nxt.count()
-        if n_next == 0:
+        if nxt.isEmpty():
             break
         layers.append(nxt.withColumn("distance", F.lit(hop)))
-        prev_movies, prev_frontier, frontier, n_frontier = movies, frontier, nxt, n_next
+        prev_movies, prev_frontier, frontier = movies, frontier, nxt
 
     out = layers[0]
     for layer in layers[1:]:

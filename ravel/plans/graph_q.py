@@ -5,27 +5,39 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ravel.operators import graph
-from ravel.sources.tables import actor_movie_edges, actors, cast_rows
+from ravel.plans.programs import find_actor
+from ravel.session import ensure_checkpoint_dir
+from ravel.sinks.text import degree_report_lines
+from ravel.sources.tables import cast_rows
 
 # Binding parameters: the data's years run 1995-2001, so the title rule
-# uses 2001 and the edges keep line items shipped from 2001-06-01 on.
+# uses 2001; the lists of the farthest actors are those at FAR hops.
 CAST_MIN_YEAR = 2001
-EDGES_SINCE = "2001-06-01"
+FAR = 3
 
 
 def cast_parse(spark, sf_dir):
     return graph.movies_of_titles(cast_rows(spark, sf_dir), CAST_MIN_YEAR)
 
 
+def _cast(spark, sf_dir):
+    """(edges, people), pinned once: distinct (actor_id, movie) of all
+    qualifying titles, and the actors who have any."""
+    ensure_checkpoint_dir(spark)
+    rows = cast_parse(spark, sf_dir).distinct().checkpoint(eager=True)
+    return (rows.select("actor_id", "movie"),
+            rows.select("actor_id", "name", "is_male").distinct().checkpoint(eager=True))
+
+
 def adjacency_sizes(spark, sf_dir):
-    return graph.adjacency_sizes(actor_movie_edges(spark, sf_dir, EDGES_SINCE))
+    return graph.adjacency_sizes(_cast(spark, sf_dir)[0])
 
 
-def _graph(spark, sf_dir):
-    edges = actor_movie_edges(spark, sf_dir, EDGES_SINCE)
-    people = edges.select("actor_id").distinct().join(actors(spark, sf_dir), "actor_id")
-    source = edges.agg(F.min("actor_id")).first()[0]
-    return edges, people, graph.degrees(edges, source)
+def _graph(spark, sf_dir, max_hops=graph.MAX_HOPS):
+    """Distances from the actor with the first name, found by that name."""
+    edges, people = _cast(spark, sf_dir)
+    source = find_actor(people, people.agg(F.min("name")).first()[0])
+    return edges, people, graph.degrees(edges, source, max_hops)
 
 
 def degrees(spark, sf_dir):
@@ -43,8 +55,16 @@ def degree_summary(spark, sf_dir):
 
 
 def farthest_names(spark, sf_dir):
-    edges, people, dist = _graph(spark, sf_dir)
-    return graph.farthest(dist, people)
+    edges, people, dist = _graph(spark, sf_dir, FAR)
+    return graph.farthest(dist, people, FAR)
+
+
+def degree_report(spark, sf_dir):
+    """The report's lines (sec, sub, line) for a search of FAR hops."""
+    edges, people, dist = _graph(spark, sf_dir, FAR)
+    return degree_report_lines(graph.degree_summary(dist, people, edges, FAR),
+                               graph.degree_histogram(dist, people, FAR),
+                               graph.farthest(dist, people, FAR), FAR)
 
 
 QUERIES = {
@@ -54,26 +74,9 @@ QUERIES = {
     "degree_histogram": degree_histogram,
     "degree_summary": degree_summary,
     "farthest_names": farthest_names,
+    "degree_report": degree_report,
 }
 
-_EDGES = f"""
-e as (select distinct o_custkey as actor_id, l_partkey as movie
-      from lineitem join orders on o_orderkey = l_orderkey
-      where l_shipdate >= timestamp '{EDGES_SINCE}')"""
-
-_BFS = f"""
-with recursive {_EDGES},
-co as (select distinct e1.actor_id as a1, e2.actor_id as a2
-       from e e1 join e e2 on e1.movie = e2.movie where e1.actor_id <> e2.actor_id),
-bfs(actor_id, d) as (
-  select min(actor_id), 0 from e
-  union
-  select co.a2, bfs.d + 1 from bfs join co on co.a1 = bfs.actor_id where bfs.d < 6),
-dist as (select actor_id, min(d)::int as distance from bfs group by actor_id),
-people as (select distinct e.actor_id, c_name as name, c_acctbal >= 5000 as is_male
-           from e join customer on c_custkey = e.actor_id)
-"""
-
 _TITLE = """
 raw as (
   select c_custkey as actor_id, c_name as name, c_acctbal >= 5000 as is_male,
@@ -87,6 +90,28 @@ yr as (select *, left(substring(m, instr(m, '(') + 1, instr(m, ')') - instr(m, '
        from cut)
 """
 
+_EDGES = _TITLE.strip() + f""",
+pe as (select distinct actor_id, name, is_male, m as movie from yr
+       where regexp_matches(y, '^[+-]?[0-9]+$') and try_cast(y as integer) >= {CAST_MIN_YEAR}),
+e as (select distinct actor_id, movie from pe),
+people as (select distinct actor_id, name, is_male from pe)"""
+
+
+def _bfs(hops: int) -> str:
+    return f"""
+with recursive {_EDGES},
+co as (select distinct e1.actor_id as a1, e2.actor_id as a2
+       from e e1 join e e2 on e1.movie = e2.movie where e1.actor_id <> e2.actor_id),
+bfs(actor_id, d) as (
+  select min(actor_id), 0 from people where name = (select min(name) from people)
+  union
+  select co.a2, bfs.d + 1 from bfs join co on co.a1 = bfs.actor_id where bfs.d < {hops}),
+dist as (select actor_id, min(d)::int as distance from bfs group by actor_id)
+"""
+
+
+_BFS = _bfs(6)
+
 # '%.1f' in Spark (as in the reference) rounds half up on the decimal form
 # (6.25 -> 6.3); DuckDB's printf rounds the binary value, so the oracle
 # rounds half up first.
@@ -122,11 +147,40 @@ select n_actors, n_male, n_female, (n_male * 100 // n_actors)::bigint as pct_mal
   reached_female, (reached / n_actors)::float as ratio, (reached_male / n_male)::float as ratio_male,
   (reached_female / n_female)::float as ratio_female
 from tot, r, mv""",
-    "farthest_names": _BFS + """
+    "farthest_names": _bfs(FAR) + f"""
 select is_male, row_number() over (partition by is_male order by name, actor_id) as idx,
   name, actor_id
-from dist join people using (actor_id) where distance = 6""",
+from dist join people using (actor_id) where distance = {FAR}""",
 }
+ORACLE["degree_report"] = ORACLE["degree_summary"].replace(_BFS, _bfs(FAR)).replace(
+    "between 1 and 6", f"between 1 and {FAR}").replace("select n_actors, n_male", """,
+sm as (select n_actors, n_male""", 1) + f""")
+,
+per as (select distance, count(*) filter (where is_male) as actors,
+               count(*) filter (where not is_male) as actresses
+        from dist join people using (actor_id) where distance >= 1 group by distance),
+lv as (select range::int as distance from range(1, {FAR + 1})),
+far as (select is_male, row_number() over (partition by is_male order by name, actor_id) as idx, name
+        from dist join people using (actor_id) where distance = {FAR})
+select 0 as sec, 0::bigint as sub, format('Total number of actors = {{}}, out of which {{}} ({{}}%) are '
+  || 'males while {{}} ({{}}%) are females.', n_actors, n_male, pct_male, n_female, pct_female) as line from sm
+union all select 0, 1, format('Total number of movies = {{}}', n_movies) from sm
+union all select 0, 2, ''
+union all select 1, lv.distance, format('There are {{}} ({{}}%) actors and {{}} ({{}}%) actresses at distance {{}}',
+  coalesce(actors, 0), printf('%.1f', round(coalesce(actors, 0) * 100.0 / n_male, 1)),
+  coalesce(actresses, 0), printf('%.1f', round(coalesce(actresses, 0) * 100.0 / n_female, 1)), lv.distance)
+  from lv left join per using (distance), tot
+union all select 2, 0, ''
+union all select 2, 1, 'Total number of actors from distance 1 to {FAR} = ' || reached || ', ratio = ' || ratio from sm
+union all select 2, 2, 'Total number of male actors from distance 1 to {FAR} = ' || reached_male
+  || ', ratio = ' || ratio_male from sm
+union all select 2, 3, 'Total number of female actors (actresses) from distance 1 to {FAR} = ' || reached_female
+  || ', ratio = ' || ratio_female from sm
+union all select 2, 4, ''
+union all select 2, 5, 'List of male actors at distance {FAR}:'
+union all select 4, 0, ''
+union all select 4, 1, 'List of female actors (actresses) at distance {FAR}:'
+union all select case when is_male then 3 else 5 end, idx, idx || '. ' || name from far"""
 
 
 def cast_file_movies(spark, sf_dir):

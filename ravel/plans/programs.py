@@ -44,7 +44,7 @@ def phone_job(spark: SparkSession, index_path: str, output_dir: str, country: st
 # --------------------------------------------------------------- graph
 def find_actor(people: DataFrame, name: str):
     """Id of the first actor with exactly this name; fails when absent."""
-    hit = people.where(F.col("name") == name).select("actor_id").limit(1).collect()
+    hit = people.where(F.col("name") == name).select("actor_id").orderBy("actor_id").limit(1).collect()
     if not hit:
         raise ValueError(f"actor not found: {name!r}")
     return hit[0][0]
@@ -60,7 +60,7 @@ def degrees_job(spark: SparkSession, male_path, female_path, source_name: str,
                                  min_year)
     ensure_checkpoint_dir(spark)
     people = graph.cast_actor_ids(m, f).checkpoint(eager=True)  # pins the ids
-    edges = graph.actor_movie_pairs(people)
+    edges = graph.actor_movie_pairs(people).checkpoint(eager=True)
     source = find_actor(people, source_name)
     dist = graph.degrees(edges, source, max_hops)
     who = people.select("actor_id", "name", "is_male")

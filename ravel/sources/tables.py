@@ -111,18 +111,6 @@ def cast_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("c_acctbal") >= 5000).alias("is_male"), title.alias("raw_title"))
 
 
-def actor_movie_edges(spark: SparkSession, sf_dir: str,
-                      since: str = "2001-06-01") -> DataFrame:
-    """Distinct (actor_id, movie): customer = actor (via the order), part =
-    movie, for line items shipped on or after ``since``."""
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") >= F.lit(since)) \
-        .select("l_orderkey", "l_partkey")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return (li.join(o, F.col("o_orderkey") == F.col("l_orderkey"))
-            .select(F.col("o_custkey").alias("actor_id"), F.col("l_partkey").alias("movie"))
-            .distinct())
-
-
 def actors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(actor_id, name, is_male) for every customer."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")

@@ -52,10 +52,36 @@ def test_bfs_matches_python(spark):
     edges = sorted({(rnd.randint(0, 300), rnd.randint(0, 250)) for _ in range(700)})
     df = spark.createDataFrame(edges, "actor_id long, movie long")
     src = edges[0][0]
-    got = {r.actor_id: r.distance for r in graph.degrees(df, src, 6, max_broadcast_rows=20).collect()}
+    got = {r.actor_id: r.distance for r in graph.degrees(df, src, 6).collect()}
     assert got == py_bfs(edges, src, 6)
 
 
+def test_hops_leave_the_stored_edges_in_place(spark):
+    """A hop shuffles its probe only: no exchange above the stored edges."""
+    df = spark.range(2000).selectExpr("id % 300 as actor_id", "id % 210 as movie", "cast(id % 4 as int) as salt")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = graph._stored(df, 6, "actor_id", "salt")
+        hop = graph._expand(stored, spark.range(50).select(F.col("id").alias("actor_id")), "actor_id", 4)
+        plan = hop._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1, plan
+        assert hop.count() == df.where("actor_id < 50").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_degree_summary_reads_lineitem_once(spark, monkeypatch):
+    """Edges and people come from one pinned scan of the cast rows."""
+    from ravel.plans import graph_q
+    calls = []
+    inner = graph_q.cast_rows
+    monkeypatch.setattr(graph_q, "cast_rows", lambda *a: calls.append(1) or inner(*a))
+    out = graph_q.degree_summary(spark, "/root/testdata/sf0.001")
+    assert len(calls) == 1
+    assert "lineitem" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_bfs_plan_has_no_pair_self_join(spark):
     df = spark.createDataFrame([(1, 1), (2, 1), (2, 2), (3, 2)], "actor_id long, movie long")
     d = graph.degrees(df, 1, 6)
@@ -106,8 +132,8 @@ def test_degrees_job(spark, tmp):
 
 
 def test_bfs_hot_movie_and_shuffled_hops(spark):
-    """One movie holds a third of the edges; hops forced to the salted
-    shuffle path (no broadcast) give the same distances."""
+    """One movie holds a third of the edges; its salted hops give the same
+    distances."""
     rnd = random.Random(21)
     edges = {(a, 0) for a in range(0, 600, 2)}                 # hot movie 0
     edges |= {(rnd.randint(0, 900), rnd.randint(1, 700)) for _ in range(600)}
@@ -116,7 +142,7 @@ def test_bfs_hot_movie_and_shuffled_hops(spark):
     src = 1
     edges_src = [(a, m) for a, m in edges] + [(src, 0)]
     df = spark.createDataFrame(sorted(set(edges_src)), "actor_id long, movie long")
-    got = {r.actor_id: r.distance for r in graph.degrees(df, src, 6, max_broadcast_rows=0, salts=4).collect()}
+    got = {r.actor_id: r.distance for r in graph.degrees(df, src, 6, salts=4).collect()}
     assert got == py_bfs(sorted(set(edges_src)), src, 6)
 
 
