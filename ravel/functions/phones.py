@@ -35,17 +35,6 @@ def number_pattern(country: str = "31", digits: int = 9) -> str:
             + FILLER + r"[0-9]){" + str(digits) + "}")
 
 
-def number_pattern_re2(country: str = "31", digits: int = 9) -> str:
-    """The same pattern for RE2 engines (no lookbehind): the non-digit
-    before '00' is consumed and must be cut off again (``RE2_LEAD``)."""
-    c = _country(country)
-    return (r"(?:\P{Nd}00" + c + r"|\+" + c + r")" + ZERO_GROUP + r"?(?:"
-            + FILLER + r"[0-9]){" + str(digits) + "}")
-
-
-# RE2 form only: an alt-1 match starts with the consumed non-digit; cut it
-# (replace with '00'). Alt-2 matches never hold '00' after their '+'.
-RE2_LEAD = r"(?s)^.00"
 CLEAN = ZERO_GROUP + "|" + FILLER
 
 

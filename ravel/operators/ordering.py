@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ravel.session import ensure_checkpoint_dir, join_sized
+from ravel.session import ensure_checkpoint_dir
 
 
 def number_rows(df: DataFrame, group: str, order: list[Column], out: str = "idx",
@@ -31,8 +31,7 @@ def number_rows(df: DataFrame, group: str, order: list[Column], out: str = "idx"
            .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first")))
     w = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     per = per.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    per = per.checkpoint(eager=True)
-    numbered = join_sized(s, per.select("_pid", group, "_before", "_first"),
-                          ["_pid", group], "inner", per.count())
+    # Spark broadcasts the table if its size allows, or splits a hot group
+    numbered = s.join(per.select("_pid", group, "_before", "_first"), ["_pid", group])
     return numbered.withColumn(out, F.col("_before") + F.col("_pos") - F.col("_first") + 1) \
         .drop("_pid", "_pos", "_before", "_first")

@@ -6,9 +6,8 @@ a narrow, per-record stage (regex inside the task, no shuffle).
 ``phone_index``: number -> list of URLs. A URL appears once per record
 that holds the number (several records with one URL repeat it). The list
 of a number spread over a huge share of the crawl would be one unbounded
-row, so numbers with more than ``max_urls_per_row`` URLs are split over
-consecutive rows (``chunk`` 0..k-1, by URL rank); every URL is kept.
-The aggregation is partial (map-side) then final per (num, chunk).
+row, so every number's URLs are split over consecutive rows of at most
+``max_urls_per_row`` (``chunk`` 0..k-1, by URL rank); every URL is kept.
 """
 
 from __future__ import annotations
@@ -17,10 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ravel.functions.phones import numbers_in
-from ravel.session import join_sized
-
-# Output schema of the reference's index (num, urls); ours adds chunk/n_urls.
-INDEX_COLUMNS = ("num", "chunk", "n_urls", "urls")
 
 
 def phone_pairs(records: DataFrame, country: str = "31", digits: int = 9,
@@ -31,39 +26,20 @@ def phone_pairs(records: DataFrame, country: str = "31", digits: int = 9,
                        F.col(uri_col).alias("uri"))
 
 
-def phone_index(pairs: DataFrame, max_urls_per_row: int = 100_000,
-                max_broadcast_rows: int = 1_000_000, materialize: bool = True) -> DataFrame:
+def phone_index(pairs: DataFrame, max_urls_per_row: int = 100_000) -> DataFrame:
     """(num, chunk, n_urls, urls array<string>) from (num, uri) pairs.
 
-    A number with more than ``max_urls_per_row`` URLs is split into
-    consecutive rows: its URLs are ranked with the distributed numbering
-    (range sort, no single task per number) and chunk k holds ranks
-    k*max+1 .. (k+1)*max, so the chunks in order are the whole sorted list.
-    Other numbers are collected directly, as chunk 0 (partial aggregation).
-
-    ``materialize`` checkpoints the pairs first (reliable checkpoint in the
-    cluster's checkpoint folder) so that the hot-number count and the index
-    read them once instead of re-running extraction.
-    """
+    Every number's URLs are ranked with the distributed numbering (range
+    sort, no single task per number) and chunk k holds ranks k*max+1 ..
+    (k+1)*max, so the chunks in order are the whole sorted list. Equal
+    (num, uri) rows get a number of their own as last sort key, so that one
+    URL repeated many times is spread over several partitions too."""
     from ravel.operators.ordering import number_rows
 
-    if materialize:
-        from ravel.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(pairs.sparkSession)
-        pairs = pairs.checkpoint(eager=True)
-    hot = (pairs.groupBy("num").agg(F.count(F.lit(1)).alias("n"))
-           .where(F.col("n") > max_urls_per_row).select("num"))
-    n_hot = hot.count()
-    if n_hot:
-        hot_rows = join_sized(pairs, hot, "num", "left_semi", n_hot, max_broadcast_rows)
-        cold_rows = join_sized(pairs, hot, "num", "left_anti", n_hot, max_broadcast_rows)
-        ranked = number_rows(hot_rows, "num", [F.asc("uri")])
-        chunked = ranked.select("num", "uri", F.floor((F.col("idx") - 1) / max_urls_per_row)
-                                .cast("int").alias("chunk")) \
-            .unionByName(cold_rows.select("num", "uri", F.lit(0).alias("chunk")))
-    else:
-        chunked = pairs.select("num", "uri", F.lit(0).alias("chunk"))
-    return (chunked.groupBy("num", "chunk")
+    rows = pairs.select("num", "uri", F.monotonically_increasing_id().alias("_row"))
+    ranked = number_rows(rows, "num", [F.asc("uri"), F.asc("_row")])
+    chunk = F.floor((F.col("idx") - 1) / max_urls_per_row).cast("int")
+    return (ranked.groupBy("num", chunk.alias("chunk"))
             .agg(F.count(F.lit(1)).alias("n_urls"),
                  F.sort_array(F.collect_list("uri")).alias("urls")))
 

@@ -8,9 +8,9 @@ dropping its first character when that is not a letter. The predecessor
 one; invalid predecessors count towards the word total but are not listed.
 
 Plan shape: one narrow stage (split/explode/zip, no shuffle), then a
-partial+final aggregation on (word, prev) -- map-side combine bounds what a
-frequent word sends through the shuffle -- and a second, much smaller
-aggregation per word. Nothing is collected to the driver.
+partial+final aggregation -- on word for the totals, on (word, prev) for the
+predecessors -- so map-side combine bounds what a frequent word sends through
+the shuffle. Nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -43,11 +43,10 @@ def word_prev_counts_all(lines: DataFrame, line_col: str = "line") -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def word_totals(lines: DataFrame, line_col: str = "line",
-                counts: DataFrame | None = None) -> DataFrame:
-    """(word, n): occurrences of each word as the second token of a pair."""
-    counts = counts if counts is not None else word_prev_counts_all(lines, line_col)
-    return counts.groupBy("word").agg(F.sum("n").alias("n"))
+def word_totals(lines: DataFrame, line_col: str = "line") -> DataFrame:
+    """(word, n): occurrences of each word as the second token of a pair.
+    One aggregation by word; the predecessors are not computed."""
+    return word_pairs(lines, line_col).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def word_prev_counts(lines: DataFrame, line_col: str = "line",
@@ -59,48 +58,32 @@ def word_prev_counts(lines: DataFrame, line_col: str = "line",
 
 
 def predecessor_lists(lines: DataFrame, line_col: str = "line",
-                      max_prevs_per_row: int = 100_000,
-                      max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                      max_prevs_per_row: int = 100_000) -> DataFrame:
     """The nested result: (word, chunk, n, prevs array<struct<prev, n>>),
     prevs by count descending then name ascending.
 
-    A list holds one entry per *distinct* predecessor. A word with more
-    than ``max_prevs_per_row`` of them (a very common word) is split into
-    consecutive rows: its predecessors are ranked with the distributed
-    numbering (range sort, no single task per word) and chunk k holds ranks
-    k*max+1 .. (k+1)*max, so concatenating the chunks in order gives the
-    whole list. Other words are collected directly, as chunk 0."""
+    A list holds one entry per *distinct* predecessor. Every word's
+    predecessors are ranked with the distributed numbering (range sort, no
+    single task per word) and chunk k holds ranks k*max+1 .. (k+1)*max, so no
+    row is longer than ``max_prevs_per_row`` and concatenating the chunks in
+    order gives the whole list."""
     from ravel.operators.ordering import number_rows
-    from ravel.session import ensure_checkpoint_dir, join_sized
-
-    spark = lines.sparkSession
-    ensure_checkpoint_dir(spark)
-    counts = word_prev_counts_all(lines, line_col).checkpoint(eager=True)  # read four times
-    stats = counts.groupBy("word").agg(F.sum("n").alias("n"),
-                                       F.count("prev").alias("n_prevs"))
-    valid = counts.where(F.col("prev").isNotNull())
-    hot = stats.where(F.col("n_prevs") > max_prevs_per_row).select("word")
-    n_hot = hot.count()
-    if n_hot:
-        hot_rows = join_sized(valid, hot, "word", "left_semi", n_hot, max_broadcast_rows)
-        cold_rows = join_sized(valid, hot, "word", "left_anti", n_hot, max_broadcast_rows)
-        ranked = number_rows(hot_rows, "word", [F.desc("n"), F.asc("prev")])
-        chunked = ranked.select("word", "prev", "n",
-                                F.floor((F.col("idx") - 1) / max_prevs_per_row).cast("int")
-                                .alias("chunk")) \
-            .unionByName(cold_rows.withColumn("chunk", F.lit(0)))
-    else:
-        chunked = valid.withColumn("chunk", F.lit(0))
-    entry = F.struct((-F.col("n")).alias("neg_n"), F.col("prev").alias("prev"))
-    lists = (chunked.groupBy("word", "chunk")
+    from ravel.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(lines.sparkSession)
+    counts = word_prev_counts_all(lines, line_col).checkpoint(eager=True)  # read twice
+    totals = counts.groupBy("word").agg(F.sum("n").alias("n"))
+    ranked = number_rows(counts.where(F.col("prev").isNotNull()), "word",
+                         [F.desc("n"), F.asc("prev")])
+    entry = F.struct("idx", "prev", "n")
+    lists = (ranked.groupBy("word", F.floor((F.col("idx") - 1) / max_prevs_per_row)
+                            .cast("int").alias("chunk"))
              .agg(F.array_sort(F.collect_list(entry)).alias("s")))
     # Words whose every predecessor is invalid still get their (empty) row.
-    out = stats.join(lists, "word", "left").select(
+    return totals.join(lists, "word", "left").select(
         "word", F.coalesce("chunk", F.lit(0)).alias("chunk"), "n",
-        F.coalesce(F.transform("s", lambda e: F.struct(e["prev"].alias("prev"),
-                                                       (-e["neg_n"]).alias("n"))),
+        F.coalesce(F.transform("s", lambda e: F.struct(e["prev"].alias("prev"), e["n"].alias("n"))),
                    F.array().cast("array<struct<prev:string,n:bigint>>")).alias("prevs"))
-    return out
 
 
 def predecessor_lists_flat(lines: DataFrame, line_col: str = "line", **kw) -> DataFrame:
@@ -109,8 +92,3 @@ def predecessor_lists_flat(lines: DataFrame, line_col: str = "line", **kw) -> Da
         "word", "chunk", "n",
         F.array_join(F.transform("prevs", lambda e: F.concat(
             e["prev"], F.lit(":"), e["n"].cast("string"))), ",").alias("prevs"))
-
-
-def sorted_words(totals: DataFrame) -> DataFrame:
-    """Word totals in report order: count descending, word ascending."""
-    return totals.orderBy(F.desc("n"), F.asc("word"))

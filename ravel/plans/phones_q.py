@@ -7,7 +7,6 @@ default Dutch setting (31, 9 digits) runs on texts derived per customer.
 
 from __future__ import annotations
 
-from ravel.functions.phones import CLEAN, RE2_LEAD, number_pattern_re2
 from ravel.operators import phones
 from ravel.sources.tables import crawl_records_from_tables, dutch_phone_texts
 
@@ -16,8 +15,9 @@ def phone_pairs(spark, sf_dir):
     return phones.phone_pairs(crawl_records_from_tables(spark, sf_dir), "1", 10)
 
 
-# Row bound of one URL list (larger lists continue in the next chunk).
-URL_ROWS = 100_000
+# Row bound of one URL list (larger lists continue in the next chunk);
+# small, so that the queries' lists do continue.
+URL_ROWS = 8
 
 
 def phone_index(spark, sf_dir):
@@ -40,15 +40,23 @@ QUERIES = {
 }
 
 
-def _pairs_sql(records_sql: str, country: str, digits: int) -> str:
-    pat = number_pattern_re2(country, digits)
+# The number rules written out for the oracle (RE2 has no lookbehind: the
+# non-digit before '00' is taken into the match and cut off again).
+_NA = (r"(?:\P{Nd}00[\(\)\- ]*1|\+[\(\)\- ]*1)(?:[\(\)\- ]*\( *?0 *?\))?"
+       r"(?:[\(\)\- ]*[0-9]){10}")
+_DUTCH = (r"(?:\P{Nd}00[\(\)\- ]*3[\(\)\- ]*1|\+[\(\)\- ]*3[\(\)\- ]*1)(?:[\(\)\- ]*\( *?0 *?\))?"
+          r"(?:[\(\)\- ]*[0-9]){9}")
+_FILLERS = r"(?:[\(\)\- ]*\( *?0 *?\))|[\(\)\- ]*"
+
+
+def _pairs_sql(records_sql: str, pattern: str) -> str:
     return f"""
 with recs as ({records_sql}),
-found as (select rk, uri, unnest(regexp_extract_all(body, '{pat}')) as m
+found as (select rk, uri, unnest(regexp_extract_all(body, '{pattern}')) as m
           from recs where uri is not null and uri <> ''),
 canon as (select distinct rk, uri,
-            regexp_replace(regexp_replace(regexp_replace(m, '{RE2_LEAD}', '00'),
-                                          '{CLEAN}', '', 'g'), '^00', '+') as num
+            regexp_replace(regexp_replace(regexp_replace(m, '(?s)^.00', '00'),
+                                          '{_FILLERS}', '', 'g'), '^00', '+') as num
           from found)
 """
 
@@ -56,7 +64,7 @@ canon as (select distinct rk, uri,
 _REAL = _pairs_sql("""
   select 'p' || page_id::varchar as rk, url as uri, html as body from pages
   union all
-  select 'd' || doc_id::varchar, 'doc:' || doc_id::varchar, text from documents""", "1", 10)
+  select 'd' || doc_id::varchar, 'doc:' || doc_id::varchar, text from documents""", _NA)
 
 _NL = _pairs_sql("""
   select 'c' || c_custkey::varchar as rk, 'cust:' || c_custkey::varchar as uri,
@@ -66,7 +74,7 @@ _NL = _pairs_sql("""
       when 4 then concat('+316', n, '99')             else concat('x +31 6 ', n, ' or 00316', n)
     end as body
   from (select c_custkey, lpad(cast(c_custkey as varchar), 8, '1') as n from customer) q""",
-                 "31", 9)
+                 _DUTCH)
 
 _INDEX = f"""
 select num, ((r - 1) // {URL_ROWS})::int as chunk, count(*) as n_urls,

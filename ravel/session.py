@@ -5,8 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 # Settings every ravel job wants. AQE re-plans joins from runtime sizes,
 # coalesces small shuffle partitions and splits skewed join partitions.
@@ -92,13 +91,3 @@ def _count():
 
 
 _counter = _count()
-
-
-def join_sized(big: DataFrame, small: DataFrame, on, how: str, small_rows: int,
-               max_broadcast_rows: int = 2_000_000) -> DataFrame:
-    """Join ``big`` with ``small``, broadcasting ``small`` only when its row
-    count (measured by the caller) is under ``max_broadcast_rows``; above
-    that the join is left to a shuffle join (and AQE's skew splitting)."""
-    if small_rows <= max_broadcast_rows:
-        small = F.broadcast(small)
-    return big.join(small, on, how)

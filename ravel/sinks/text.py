@@ -7,7 +7,7 @@ by ``write.text`` lays the part files out in report order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: line terminator of the word report.
@@ -46,22 +46,18 @@ def predecessor_report_lines(counts: DataFrame) -> DataFrame:
     return head.unionByName(prevs)
 
 
-def report_order(lines: DataFrame) -> DataFrame:
-    return lines.orderBy(F.desc("word_n"), F.asc("word"), F.asc("kind"),
-                         F.desc("prev_n"), F.asc("prev"))
+def report_order() -> list[Column]:
+    """Words by count, each word's line before its predecessors'."""
+    return [F.desc("word_n"), F.asc("word"), F.asc("kind"), F.desc("prev_n"), F.asc("prev")]
 
 
 def write_predecessor_report(counts: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write the word report as text with CRLF line ends, in report order."""
-    (report_order(predecessor_report_lines(counts)).select("line")
+    (predecessor_report_lines(counts).orderBy(*report_order()).select("line")
      .write.mode(mode).option("lineSep", CRLF).text(path))
 
 
-def write_lines(lines: DataFrame, path: str, line_sep: str = "\n",
-                mode: str = "errorifexists") -> None:
-    lines.write.mode(mode).option("lineSep", line_sep).text(path)
-
-
+# The sentences of the degrees report below are fixed values.
 def degree_report_lines(summary: DataFrame, histogram: DataFrame, farthest: DataFrame,
                         max_hops: int = 6) -> DataFrame:
     """Lines (sec, sub, line) of the degrees summary report: totals, one line

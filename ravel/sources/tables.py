@@ -19,19 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the cluster when its scan has fewer splits
-    than task slots (a table stored as one row group is read by one task);
-    a large multi-file input is left as it is, with no extra shuffle."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
-
-
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line of every document (``line string``), like reading
-    the texts as line files."""
-    docs = spread(table(spark, sf_dir, "documents").select("text"))
-    return docs.select(F.explode(F.split("text", "\n")).alias("line"))
+    the texts as line files. Every third document has its commas written as
+    '--', the segment break the prose itself does not hold."""
+    docs = table(spark, sf_dir, "documents")
+    text = F.when(F.pmod("doc_id", F.lit(3)) == 0, F.replace("text", F.lit(", "), F.lit("--"))) \
+        .otherwise(F.col("text"))
+    return docs.select(F.explode(F.split(text, "\n")).alias("line"))
 
 
 def crawl_records_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +37,7 @@ def crawl_records_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         F.concat(F.lit("doc:"), F.col("doc_id").cast("string")).alias("uri"),
         F.col("text").alias("body"))
-    return spread(pages.unionByName(docs))
+    return pages.unionByName(docs)
 
 
 def dutch_phone_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +58,7 @@ def dutch_phone_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status rows from the ``events`` table (see ``tweets_from_events``)."""
-    return tweets_from_events(spread(table(spark, sf_dir, "events")))
+    return tweets_from_events(table(spark, sf_dir, "events"))
 
 
 def tweets_from_events(events: DataFrame) -> DataFrame:
@@ -94,8 +89,8 @@ def cast_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (actor, raw title): (actor_id, name, is_male, raw_title)
     in the cast-list title format 'Title (year)  [role]'; every 50th part
     has an unknown year, line 7 of an order is a TV title (leading quote)."""
-    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber",
-                                                         "l_shipdate"))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber",
+                                                 "l_shipdate")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name")

@@ -31,7 +31,7 @@ def ref_counts(lines):
 def run(spark, lines):
     df = spark.createDataFrame([(x,) for x in lines], "line string")
     counts = words.word_prev_counts_all(df)
-    tot = {r.word: r.n for r in words.word_totals(df, counts=counts).collect()}
+    tot = {r.word: r.n for r in words.word_totals(df).collect()}
     prevs = {(r.word, r.prev): r.n for r in words.word_prev_counts(df, counts=counts).collect()}
     return tot, prevs
 
