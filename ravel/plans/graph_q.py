@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from ravel.operators import graph
@@ -183,27 +185,34 @@ union all select 4, 1, 'List of female actors (actresses) at distance {FAR}:'
 union all select case when is_male then 3 else 5 end, idx, idx || '. ' || name from far"""
 
 
+# Titles in a cast-list file, about (files hold whole actors).
+TITLES_PER_FILE = 200_000
+
+
 def cast_file_movies(spark, sf_dir):
     """The cast rows written as male and female cast-list files (header,
-    blank-line records, footer) in the checkpoint folder, read back with
-    the file reader and parsed: (name, is_male, movie) per kept title."""
-    from ravel.session import scratch_path
+    blank-line records, footer, Latin-1 with accented names) in the scratch
+    folder, read back with the file reader and parsed: (name, is_male, movie)
+    per kept title."""
+    from ravel.session import remove_path, scratch_path
     from ravel.sinks.files import write_cast_list
     from ravel.sources.casts import read_cast_file
 
-    rows = cast_rows(spark, sf_dir)
-    slots = spark.sparkContext.defaultParallelism
-    parsed = []
-    for male in (True, False):
-        path = scratch_path(spark, "cast-list")
-        write_cast_list(rows.where(F.col("is_male") == male), path, slots)
-        recs = read_cast_file(spark, path)
-        parsed.append(graph.parse_cast_records(recs, male, CAST_MIN_YEAR))
-    both = parsed[0].unionByName(parsed[1])
-    return both.select("name", "is_male", F.explode("movies").alias("movie"))
+    ensure_checkpoint_dir(spark)
+    named = F.when(F.pmod("actor_id", F.lit(3)) == 0, F.concat(F.lit("Müller-Ødegård, "), F.col("name"))) \
+        .otherwise(F.col("name"))
+    rows = cast_rows(spark, sf_dir).withColumn("name", named).checkpoint(eager=True)
+    path = scratch_path(spark, "cast-list")
+    write_cast_list(rows, path, max(1, math.ceil(rows.count() / TITLES_PER_FILE)))
+    parsed = [graph.parse_cast_records(read_cast_file(spark, f"{path}/is_male={str(male).lower()}"),
+                                       male, CAST_MIN_YEAR) for male in (True, False)]
+    both = parsed[0].unionByName(parsed[1]).select("name", "is_male", F.explode("movies").alias("movie"))
+    both = both.checkpoint(eager=True)
+    remove_path(spark, path)
+    return both
 
 
 QUERIES["cast_file_movies"] = cast_file_movies
 ORACLE["cast_file_movies"] = "with " + _TITLE + f"""
-select name, is_male, m as movie from yr
+select case when actor_id % 3 = 0 then 'Müller-Ødegård, ' || name else name end as name, is_male, m as movie from yr
 where regexp_matches(y, '^[+-]?[0-9]+$') and try_cast(y as integer) >= {CAST_MIN_YEAR}"""

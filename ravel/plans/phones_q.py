@@ -7,8 +7,11 @@ default Dutch setting (31, 9 digits) runs on texts derived per customer.
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ravel.operators import phones
-from ravel.sources.tables import crawl_records_from_tables, dutch_phone_texts
+from ravel.sources.crawl import route
+from ravel.sources.tables import crawl_records_from_tables, dutch_phone_texts, table
 
 
 def phone_pairs(spark, sf_dir):
@@ -90,21 +93,99 @@ ORACLE = {
 }
 
 
-def crawl_phone_pairs(spark, sf_dir):
-    """The same records written as gzip crawl segments (in the checkpoint
-    folder), listed in an index, and read back through the crawl reader:
-    the file path of the phone program, on data derived from the tables."""
-    from ravel.session import scratch_path
+def _read_back(spark, records, work):
+    """(CrawlRead result, scratch folder) of ``records`` written as segments."""
+    from ravel.session import ensure_checkpoint_dir, remove_path, scratch_path
     from ravel.sinks.files import write_segment_index, write_wet_segments
     from ravel.sources.crawl import CrawlRead, read_index
 
-    segs, index = scratch_path(spark, "wet"), scratch_path(spark, "wet-index")
-    slots = spark.sparkContext.defaultParallelism
-    write_wet_segments(crawl_records_from_tables(spark, sf_dir), segs, slots)
-    write_segment_index(spark, segs, index)
-    read = CrawlRead(spark, read_index(spark, index))
-    return phones.phone_pairs(read.valid_records(), "1", 10)
+    ensure_checkpoint_dir(spark)
+    base = scratch_path(spark, "crawl files")       # a path with a space
+    for i, (rows, compression) in enumerate(records):
+        write_wet_segments(rows, f"{base}/segments {i}", compression=compression)
+        write_segment_index(spark, f"{base}/segments {i}", f"{base}/index")
+    out = work(base, lambda: CrawlRead(spark, read_index(spark, f"{base}/index")))
+    remove_path(spark, base)
+    return out
+
+
+def crawl_phone_pairs(spark, sf_dir):
+    """The same records written as gzip crawl segments (in the scratch
+    folder), listed in an index, and read back through the crawl reader:
+    the file path of the phone program, on data derived from the tables.
+    Payloads of documents hold version lines, some records are WARC/1.1."""
+    rows = crawl_records_from_tables(spark, sf_dir).where("uri is not null and body is not null")
+    trap = F.lit("\r\n\r\nWARC/1.0\r\nWARC-Target-URI: none\r\nContent-Length: 4\r\n\r\n")
+    rows = rows.withColumn("body", F.when(F.col("uri").startswith("doc:"), F.concat(
+        F.lit("head"), trap, F.col("body"))).otherwise(F.col("body")))
+    rows = rows.withColumn("version", F.when(F.pmod(F.xxhash64("uri"), F.lit(3)) == 0,
+                                             "WARC/1.1\r\n").otherwise("WARC/1.0\r\n"))
+    return _read_back(spark, [(rows, "gzip")], lambda base, read: phones.phone_pairs(
+        read().valid_records(), "1", 10).checkpoint(eager=True))
+
+
+def crawl_counters(spark, sf_dir):
+    """(counter, value) of a crawl whose index also names a missing segment,
+    one that ends inside a record (its first records are kept), an invalid
+    object URI, an unknown scheme, and one segment twice; some payloads are
+    not valid UTF-8."""
+    docs = table(spark, sf_dir, "documents").where("doc_id is not null").select(
+        F.concat(F.lit("doc:"), F.col("doc_id").cast("string")).alias("uri"),
+        F.when(F.pmod("doc_id", F.lit(7)) == 0, F.concat(
+            F.coalesce("text", F.lit("")).cast("binary"), F.unhex(F.lit("C3"))))
+        .otherwise(F.coalesce("text", F.lit("")).cast("binary")).alias("body"))
+    nations = table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("nation:"), F.col("n_nationkey").cast("string")).alias("uri"),
+        F.col("n_name").cast("binary").alias("body"), F.col("n_nationkey").alias("k"))
+    last = nations.agg(F.max("k")).first()[0]
+    cut = nations.coalesce(1).orderBy("k").withColumn(
+        "missing", F.when(F.col("k") == last, 99).otherwise(0)).drop("k")
+
+    def work(base, read):
+        names = spark.read.format("binaryFile").load(f"{base}/segments 1").select("path")
+        twice = names.select(F.col("path").alias("value"))
+        more = spark.createDataFrame([(f"file:{base.split(':')[-1]}/segments 1/missing.gz",),
+                                      ("s3://nokey",), ("http://x/y.gz",)], "value string")
+        twice.unionByName(more).write.mode("append").text(f"{base}/index")
+        r = read()
+        n = r.valid_records().count()
+        return [("failed_parses", r.failed_parses()), ("failed_segments", r.failed_segments()),
+                ("records", n)]
+
+    small = nations.drop("k").coalesce(1)
+    found = _read_back(spark, [(docs, "gzip"), (small, "gzip"), (cut, "none")], work)
+    return spark.createDataFrame(found, "counter string, value bigint")
+
+
+def uri_routing(spark, sf_dir):
+    """Scheme and path of index lines, one per customer."""
+    k = F.col("c_custkey").cast("string")
+    n = F.pmod("c_custkey", F.lit(6))
+    uri = (F.when(n == 0, F.concat(F.lit("file:///data/a b/"), k, F.lit(".gz")))
+           .when(n == 1, F.concat(F.lit("file:/data/"), k))
+           .when(n == 2, F.concat(F.lit("s3://bucket/dir/"), k, F.lit(".gz")))
+           .when(n == 3, F.concat(F.lit("s3://"), k)).when(n == 4, F.concat(F.lit("s3:/"), k))
+           .otherwise(F.concat(F.lit("http://host/"), k)))
+    return route(table(spark, sf_dir, "customer").select(uri.alias("uri")))
 
 
 QUERIES["crawl_phone_pairs"] = crawl_phone_pairs
 ORACLE["crawl_phone_pairs"] = ORACLE["phone_pairs"]
+QUERIES["crawl_counters"] = crawl_counters
+ORACLE["crawl_counters"] = """
+select 'failed_parses' as counter, count(*) as value from documents where doc_id % 7 = 0
+union all select 'failed_segments', 3::bigint
+union all select 'records', (select count(*) from documents where doc_id % 7 <> 0)
+  + (select 3 * count(*) - 1 from nation)"""
+QUERIES["uri_routing"] = uri_routing
+ORACLE["uri_routing"] = """
+with u as (
+  select c_custkey % 6 as n, c_custkey::varchar as k,
+    case n when 0 then 'file:///data/a b/' || k || '.gz' when 1 then 'file:/data/' || k
+      when 2 then 's3://bucket/dir/' || k || '.gz' when 3 then 's3://' || k
+      when 4 then 's3:/' || k else 'http://host/' || k end as uri
+  from customer)
+select uri, case when n < 2 then 'file' when n < 5 then 's3' end as scheme,
+  case n when 0 then 'file:/data/a b/' || k || '.gz' when 1 then 'file:/data/' || k
+    when 2 then 's3a://bucket/dir/' || k || '.gz' end as path
+from u"""

@@ -30,14 +30,11 @@ def phone_job(spark: SparkSession, index_path: str, output_dir: str, country: st
     """Phone number -> URLs index of the crawl segments named in the index,
     written as parquet (fails when ``output_dir`` exists). Returns the
     counters ``failed_segments`` and ``failed_parses``."""
-    read = crawl.CrawlRead(spark, crawl.read_index(spark, index_path, partitions))
-    recs = read.valid_records()
-    if recs is None:
-        empty = spark.createDataFrame([], "num string, chunk int, n_urls bigint, urls array<string>")
-        phones.write_phone_index(empty, output_dir)
-    else:
-        pairs = phones.phone_pairs(recs, country, digits)
-        phones.write_phone_index(phones.phone_index(pairs, max_urls_per_row), output_dir)
+    read = crawl.CrawlRead(spark, crawl.read_index(spark, index_path), partitions)
+    ensure_checkpoint_dir(spark)
+    # pinned: the segments are read, and the counters filled, in one pass
+    pairs = phones.phone_pairs(read.valid_records(), country, digits).checkpoint(eager=True)
+    phones.write_phone_index(phones.phone_index(pairs, max_urls_per_row), output_dir)
     return {"failed_segments": read.failed_segments(), "failed_parses": read.failed_parses()}
 
 

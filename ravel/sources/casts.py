@@ -41,21 +41,21 @@ def between_markers(records: DataFrame, start_marker: str = START_MARKER,
     first start-marker line of each file and the next end-marker line (or
     the end of the file).
 
-    One scan picks the few records that contain a marker string at all
-    (checkpointed: normally two per file); the marker positions per file
-    come from those, and the main scan keeps every record between them
-    whole, splitting only the two boundary records into lines."""
+    The records are pinned first (checkpoint): their order within a file
+    names splits of one scan, so both the marker positions and the cut must
+    come from that scan. The positions per file come from the few records that
+    hold a marker string; the others are kept or left whole."""
     from ravel.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(records.sparkSession)
+    records = records.checkpoint(eager=True)
     has_mark = (F.instr("value", start_marker) > 0) | (F.instr("value", end_marker) > 0)
-    marks = (records.where(has_mark).withColumn("_l", F.split("value", "\n"))
-             .checkpoint(eager=True))
+    marks = records.where(has_mark).withColumn("_l", F.split("value", "\n"))
     sp = F.array_position("_l", start_marker)
     starts = (marks.where(sp > 0)
               .groupBy("file").agg(F.min(F.struct("ord", sp.alias("pos"))).alias("s")))
     # Position of the first end marker after the start (1-based in its record).
-    j = marks.join(F.broadcast(starts), "file").where(F.col("ord") >= F.col("s.ord"))
+    j = marks.join(starts, "file").where(F.col("ord") >= F.col("s.ord"))
     after = F.slice("_l", F.col("s.pos") + 1, F.greatest(F.size("_l") - F.col("s.pos"), F.lit(0)))
     in_start = F.when(F.array_position(after, end_marker) > 0,
                       F.array_position(after, end_marker) + F.col("s.pos"))
@@ -63,9 +63,9 @@ def between_markers(records: DataFrame, start_marker: str = START_MARKER,
     ep = F.when(F.col("ord") == F.col("s.ord"), in_start).otherwise(later)
     ends = (j.withColumn("_ep", ep).where(F.col("_ep").isNotNull())
             .groupBy("file").agg(F.min(F.struct("ord", F.col("_ep").alias("pos"))).alias("e")))
-    # starts / ends: one row per input file.
-    k = (records.join(F.broadcast(starts), "file")
-         .join(F.broadcast(ends), "file", "left")
+    # starts / ends: one row per input file; Spark broadcasts them by size
+    k = (records.join(starts, "file")
+         .join(ends, "file", "left")
          .where((F.col("ord") >= F.col("s.ord"))
                 & (F.col("e").isNull() | (F.col("ord") <= F.col("e.ord")))))
     is_start = F.col("ord") == F.col("s.ord")

@@ -2,25 +2,31 @@
 
 * The segment index is a text file with one URI per line; ``file:`` URIs
   are local/shared-filesystem paths, ``s3://bucket/key`` URIs go through
-  Hadoop's S3A connector, anything else yields nothing and is not counted.
-* A segment is a gzip file of records (one gzip member per record or not).
-  Spark's text source splits it on the record's version line, so records
-  are read JVM-side with no per-record Python; a ``.gz`` file is one split,
-  parallelism comes from the number of segments.
+  Hadoop's S3A connector (for public buckets set
+  ``spark.hadoop.fs.s3a.aws.credentials.provider`` to the connector's
+  anonymous provider), anything else yields nothing and is not counted.
+  A line that occurs twice is read twice.
+* A segment is a gzip file (one member per record or not) or a plain one. It
+  is unpacked as a stream inside its task and cut into records by their
+  Content-Length, whatever version line they carry and whatever their payloads
+  hold. A task holds one compressed segment and one batch of records.
 * A record without a target URI is skipped; a record whose payload is not
   valid UTF-8 is dropped whole and counted (``failed_parses``).
-* Unreadable segments: a missing file or invalid S3 URI yields no rows and
-  counts as a failed segment; a corrupt gzip keeps the records read before
-  the damage (``ignoreCorruptFiles``). Declared difference: a segment
-  corrupt midway is not counted, an empty segment is.
+* Failed segments: a missing file, an invalid S3 URI, and a segment that is
+  corrupt or ends inside a record (the records before the damage are kept).
+  A folder that does not exist makes its segments missing; a missing connector
+  or a refused access is an error of the job.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+import zlib
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-# Record separator (the version line), header/payload gap,
+# The version line our own segments carry, header/payload gap,
 # the header holding the record's URI, and the URI pattern of S3 objects.
 VERSION_LINE = "WARC/1.0\r\n"
 HEADER_END = "\r\n\r\n"
@@ -28,10 +34,10 @@ URI_HEADER = "WARC-Target-URI"
 S3_URI = r"^s3://([^/]+)/(.+)"
 
 
-def read_index(spark: SparkSession, index_path: str, min_partitions: int | None = None) -> DataFrame:
+def read_index(spark: SparkSession, index_path: str) -> DataFrame:
     """(uri) per non-empty line of the index file(s)."""
-    idx = spark.read.text(index_path).select(F.trim("value").alias("uri")).where(F.col("uri") != "")
-    return idx.repartition(min_partitions) if min_partitions else idx
+    idx = spark.read.text(index_path).select(F.trim("value").alias("uri"))
+    return idx.where(F.col("uri") != "")
 
 
 def route(index: DataFrame) -> DataFrame:
@@ -47,90 +53,153 @@ def route(index: DataFrame) -> DataFrame:
     return index.select("uri", scheme.alias("scheme"), path.alias("path"))
 
 
-def _existing(spark: SparkSession, paths: list[str]) -> set[str]:
-    """The subset of ``paths`` that exist, from one listing per parent
-    folder (a folder that is missing, has no connector or no access lists
-    nothing)."""
-    listed = None
-    for d in sorted({p.rsplit("/", 1)[0] for p in paths}):
-        try:
-            files = spark.read.format("binaryFile").load(d).select("path")
-        except Exception:  # noqa: BLE001 - unreadable folder: its segments fail
-            continue
-        listed = files if listed is None else listed.unionByName(files)
-    if listed is None:
-        return set()
-    wanted = spark.createDataFrame([(p,) for p in paths], "path string")
-    return {r[0] for r in wanted.join(listed, "path", "left_semi").collect()}
-
-
-def record_columns(value: Column) -> list[Column]:
-    header = F.substring_index(value, HEADER_END, 1)
-    rest = F.substr(value, F.length(header) + F.lit(len(HEADER_END) + 1))
-    body = F.regexp_replace(rest, r"(\r\n)+\z", "")
-    uri = F.trim(F.regexp_extract(header, r"(?mi)^" + URI_HEADER + r":[ \t]*([^\r\n]*)", 1))
-    declared = F.regexp_extract(header, r"(?mi)^Content-Length:[ \t]*([0-9]+)", 1).try_cast("bigint")
-    # Checked on the raw record: the text source keeps the bytes as read,
-    # but any regex step re-encodes them (invalid bytes become U+FFFD).
-    # The header is ASCII, so this is the payload's validity.
-    return [uri.alias("uri"), body.alias("body"), F.is_valid_utf8(value).alias("body_ok"),
-            (F.octet_length(body) == declared).alias("length_ok")]
-
-
-def read_records(spark: SparkSession, paths: list[str], ignore_corrupt: bool = True,
-                 uri_only: bool = True) -> DataFrame:
-    """(segment, uri, body, body_ok, length_ok) for every record with a
-    target URI (every record when not ``uri_only``). ``length_ok`` flags a
-    payload that differs from its Content-Length (e.g. one that itself
-    holds the version line)."""
-    raw = (spark.read.option("lineSep", VERSION_LINE)
-           .option("ignoreCorruptFiles", str(ignore_corrupt).lower())
-           .text(paths)
-           .select(F.col("_metadata.file_path").alias("segment"), "value"))
-    recs = raw.where(F.col("value") != "").select("segment", *record_columns(F.col("value")))
-    return recs.where(F.col("uri") != "") if uri_only else recs
+def _existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The ``paths`` that exist, escaped as patterns: one listing per parent
+    folder, by a pattern of the wanted names."""
+    def escaped(text: str) -> str:
+        return "".join("\\" + c if c in "\\[]{}*?,^" else c for c in text)
+
+    by_folder: dict[str, list[str]] = {}
+    for p in paths:
+        folder, _, name = p.rpartition("/")
+        by_folder.setdefault(folder, []).append(name)
+    found = []
+    path_class = spark._jvm.org.apache.hadoop.fs.Path
+    for folder, names in by_folder.items():
+        pattern = path_class(escaped(folder) + "/{" + ",".join(map(escaped, names)) + "}")
+        fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+        found += [escaped(f.getPath().toString()) for f in fs.globStatus(pattern) or []]
+    return found
+
+
+_SLICE = 1 << 20
+_BATCH_BYTES = 8 << 20
+
+
+def unpacked(data: bytes):
+    """Pieces of a segment's content; gzip members follow one another.
+    Raises zlib.error on damage, EOFError if the last member is cut."""
+    if data[:2] != b"\x1f\x8b":
+        yield data
+        return
+    member = None
+    for at in range(0, len(data), _SLICE):
+        rest = data[at:at + _SLICE]
+        while rest:
+            member = member or zlib.decompressobj(31)
+            yield member.decompress(rest)
+            rest = member.unused_data
+            if member.eof:
+                member = None
+    if member:
+        raise EOFError("segment ends inside a member")
+
+
+def records_of(pieces):
+    """(headers, payload) of each record, cut by Content-Length. Raises
+    ValueError where no record starts, EOFError inside a record."""
+    buffer = bytearray()
+    pieces = iter(pieces)
+
+    def fill() -> bool:
+        for piece in pieces:
+            if piece:
+                buffer.extend(piece)
+                return True
+        return False
+
+    while True:
+        while not buffer.lstrip(b"\r\n") and fill():
+            pass
+        skipped = len(buffer) - len(buffer.lstrip(b"\r\n"))
+        del buffer[:skipped]
+        if not buffer:
+            return
+        while (end := buffer.find(b"\r\n\r\n")) < 0:
+            if not fill():
+                raise EOFError("segment ends inside a header")
+        if buffer[:5] != b"WARC/":
+            raise ValueError("no record where one should start")
+        lines = buffer[:end].decode("utf-8", "replace").split("\r\n")[1:]
+        headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+        stop = end + 4 + int(headers["content-length"])
+        while len(buffer) < stop:
+            if not fill():
+                raise EOFError("segment ends inside a payload")
+        yield headers, bytes(buffer[end + 4:stop])
+        del buffer[:stop]
+
+
+def read_segments(spark: SparkSession, paths: list[str], partitions: int | None = None) -> DataFrame:
+    """(segment, uri, payload, ok): a row for every record (``ok`` null), and
+    one for the end of each segment (``ok``: whether it was read whole).
+    ``partitions``: read with at least as many tasks, files permitting."""
+    schema = "segment string, uri string, payload binary, ok boolean"
+    if not paths:
+        return spark.createDataFrame([], schema)
+    if partitions:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(partitions))
+    kinds = [pa.string(), pa.string(), pa.binary(), pa.bool_()]
+
+    def batch(rows):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
+            ["segment", "uri", "payload", "ok"])
+
+    def run(batches):
+        for b in batches:
+            for segment, data in zip(b["path"].to_pylist(), b["content"].to_pylist()):
+                rows, size, ok = [], 0, True
+                try:
+                    for headers, payload in records_of(unpacked(data)):
+                        rows.append((segment, headers.get(URI_HEADER.lower(), ""), payload, None))
+                        size += len(payload)
+                        if size > _BATCH_BYTES:
+                            yield batch(rows)
+                            rows, size = [], 0
+                except (zlib.error, EOFError, ValueError, KeyError):
+                    ok = False      # records read so far are kept
+                yield batch([*rows, (segment, None, None, ok)])
+
+    return (spark.read.format("binaryFile").load(paths).select("path", "content")
+            .mapInArrow(run, schema))
 
 
 class CrawlRead:
     """Records of an index's segments plus the two counters."""
 
-    def __init__(self, spark: SparkSession, index: DataFrame, ignore_corrupt: bool = True):
-        routed = route(index).where(F.col("scheme").isNotNull()).cache()
-        # The index is a list of file names: bounded by the number of
-        # segments, it is what the driver needs to plan the file scan.
-        rows = routed.select("path").collect()
-        self.n_routed = len(rows)
-        wanted = sorted({r[0] for r in rows if r[0]})
-        live = sorted(_existing(spark, wanted)) if wanted else []
-        self.invalid_or_missing = self.n_routed - sum(1 for r in rows if r[0] in set(live))
+    def __init__(self, spark: SparkSession, index: DataFrame, partitions: int | None = None):
+        # one row per file name: bounded by the number of segments, and what
+        # the driver needs to plan the file scan
+        lines = (route(index).where(F.col("scheme").isNotNull())
+                 .groupBy("path").agg(F.count(F.lit(1)).alias("times")))
+        times = {r.path: r.times for r in lines.collect()}
+        live = _existing(spark, [p for p in times if p])
+        segments = read_segments(spark, live, partitions)
+        weights = lines.where("path is not null").withColumnRenamed("path", "segment")
+        rows = segments.join(weights, "segment")
+        body = F.col("payload").cast("string")
+        named = F.col("ok").isNull() & (F.col("uri") != "")
+        self._routed = sum(times.values())
         self._obs = Observation("crawl")
-        if live:
-            # Both counters come from the same pass that feeds the job: the
-            # failed parses, and the set of segment names that gave records
-            # (bounded by the index, like the path list itself).
-            recs = read_records(spark, live, ignore_corrupt, uri_only=False).observe(
-                self._obs,
-                F.count_if((F.col("uri") != "") & ~F.col("body_ok")).alias("failed_parses"),
-                F.collect_set("segment").alias("segments"))
-            self.records = recs.where(F.col("uri") != "")
-        else:
-            self.records = None
-        self._live = live
-        routed.unpersist()
-
-    def valid_records(self) -> DataFrame | None:
-        return None if self.records is None else self.records.where(F.col("body_ok"))
+        rows = rows.withColumn("valid", F.is_valid_utf8(body)).observe(
+            self._obs,
+            F.coalesce(F.sum(F.when(named & ~F.col("valid"), F.col("times"))), F.lit(0))
+            .alias("failed_parses"),
+            F.coalesce(F.sum(F.when(F.col("ok"), F.col("times"))), F.lit(0)).alias("read"))
+        self._records = rows.where(named & F.col("valid")).select(
+            "segment", "uri", body.alias("body"),
+            F.explode(F.sequence(F.lit(1), F.col("times"))).alias("_time")).drop("_time")
+
+    def valid_records(self) -> DataFrame:
+        """(segment, uri, body) of the records with a URI and valid text."""
+        return self._records
 
     def failed_parses(self) -> int:
         """Available after an action ran on ``valid_records()``."""
-        if self.records is None:
-            return 0
         return int(self._obs.get.get("failed_parses", 0))
 
     def failed_segments(self) -> int:
-        """Routed URIs that are invalid, missing, or gave no records.
+        """Index lines whose segment is invalid, missing, or not read whole.
         Available after an action ran on ``valid_records()``."""
-        if self.records is None:
-            return self.invalid_or_missing
-        read = set(self._obs.get.get("segments") or [])
-        return self.invalid_or_missing + sum(1 for p in self._live if p not in read)
+        return self._routed - int(self._obs.get.get("read", 0))

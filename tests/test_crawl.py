@@ -47,3 +47,69 @@ def test_phone_job(spark, tmp):
     # missing file, invalid s3 uri and the truncated segment (no records) fail;
     # the unknown scheme is ignored.
     assert counters["failed_segments"] == 3
+
+
+def read_all(spark, tmp, uris, partitions=None):
+    from ravel.sources.crawl import CrawlRead, read_index
+    with open(f"{tmp}/index.txt", "w") as f:
+        f.write("\n".join(uris) + "\n")
+    r = CrawlRead(spark, read_index(spark, f"{tmp}/index.txt"), partitions)
+    rows = sorted((x.uri, x.body) for x in r.valid_records().collect())
+    return rows, r
+
+
+def test_framing_by_content_length(spark, tmp):
+    """Payloads that hold version lines, record heads or trailing line ends,
+    and records of another version, come back whole."""
+    trap = b"a\r\n\r\nWARC/1.0\r\nWARC-Target-URI: x\r\nContent-Length: 2\r\n\r\nzz\r\n\r\n"
+    parts = [("u1", trap), ("u2", b"plain\r\n\r\n"), ("u3", b""), ("u4", "Zoë".encode() * 400_000)]
+    recs = [record([("WARC-Target-URI", u)], p) for u, p in parts]
+    recs[1] = recs[1].replace(b"WARC/1.0", b"WARC/1.1", 1)
+    os.makedirs(f"{tmp}/a b{{1}}")
+    for members in (True, False):
+        write_segment(f"{tmp}/a b{{1}}/s.gz", recs, members)
+        rows, r = read_all(spark, tmp, [f"file:{tmp}/a b{{1}}/s.gz"])
+        assert rows == [(u, p.decode()) for u, p in parts]
+        assert (r.failed_segments(), r.failed_parses()) == (0, 0)
+
+
+def test_repeated_lines_and_damaged_segments(spark, tmp):
+    recs = [record([("WARC-Target-URI", f"u{i}")], b"x" * 50) for i in range(4)]
+    whole = b"".join(map(gzip.compress, recs))
+    bad = bytearray(whole)
+    bad[len(whole) // 2 + 25] ^= 0xFF       # in the data of the third member
+    files = {"good": whole, "cut": whole[:-5], "bad": bytes(bad), "noise": b"no segment",
+             "plain": b"".join(recs), "inside": b"".join(recs)[:-30]}
+    for name, data in files.items():
+        with open(f"{tmp}/{name}", "wb") as f:
+            f.write(data)
+    uris = [f"file:{tmp}/{n}" for n in ["good", "good", *files]]
+    rows, r = read_all(spark, tmp, uris)
+    n = {u: sum(1 for x, _ in rows if x == u) for u, _ in rows}
+    # good x 3, plain, cut (all but its checksum); bad and inside keep their first
+    assert n["u0"] == 3 + 4 and n["u3"] == 3 + 2
+    assert r.failed_segments() == 4
+
+
+def test_partitions_take_effect(spark, tmp):
+    from ravel.sources.crawl import read_segments
+    paths = []
+    for i in range(12):
+        write_segment(f"{tmp}/s{i}.gz", [record([("WARC-Target-URI", f"u{i}")], b"x")])
+        paths.append(f"file:{tmp}/s{i}.gz")
+    old = spark.conf.get("spark.sql.files.minPartitionNum", None)
+    open_cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        got = [read_segments(spark, paths, n).rdd.getNumPartitions() for n in (1, 2, 12)]
+        assert got[0] < got[1] < got[2] == 12
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", open_cost)
+        spark.conf.set("spark.sql.files.minPartitionNum", old) if old else \
+            spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_missing_connector_is_an_error(spark, tmp):
+    import pytest
+    with pytest.raises(Exception, match="S3A|s3a|No FileSystem|ClassNotFound"):
+        read_all(spark, tmp, ["s3://bucket/key.gz"])

@@ -35,7 +35,7 @@ def con():
 
 
 def test_entry(spark):
-    df = E.entry(spark)
+    df = __import__('__spark_entry__').entry(spark)
     assert df.columns == ["word", "chunk", "n", "prevs"]
     assert df.count() > 0
 
