@@ -6,7 +6,8 @@ holds an HTTP message in chunked transfer framing; a block over ``SEGMENT``
 bytes is cut into a first record and continuation records with the first
 one's id as their origin, numbered, the last with the total length. Spark's
 text writer stores records as lines that end in the records' own separator,
-at most ``RECORDS_PER_FILE`` to a file, so an archive has a bounded size.
+compressed, at most ``RECORDS_PER_FILE`` to a file, so an archive has a bounded
+size.
 
 Reading: each archive is cut into records by Content-Length, whatever the
 payloads hold. Continuations are grouped by origin, ordered by segment number
@@ -31,6 +32,7 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import uuid
 
@@ -146,8 +148,9 @@ def first_pages(pages: DataFrame, digest, size, page_id) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url",
-                   payload_col: str = "html") -> None:
-    """Write a record for every row of ``pages`` into archives under ``path``."""
+                   payload_col: str = "html", compression: str = "gzip") -> None:
+    """Write a record for every row of ``pages`` into archives under ``path``
+    (``compression``: gzip or none)."""
     bound_batches(pages.sparkSession)
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
                         F.coalesce(F.col(payload_col), F.lit("")).cast("binary").alias("payload"))
@@ -168,7 +171,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
 
     (rows.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value"))
      .write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", RECORDS_PER_FILE)
-     .text(path))
+     .option("compression", compression).text(path))
 
 
 _FIELDS = [("record_id", "string", pa.string()), ("type", "string", pa.string()),
@@ -187,6 +190,8 @@ def archive_records(spark: SparkSession, path: str) -> DataFrame:
         for b in batches:
             for content in b["content"].to_pylist():
                 out = []
+                if content[:2] == b"\x1f\x8b":
+                    content = gzip.decompress(content)
                 for f, block in parse_archive(content):
                     page = f.get("page-id")
                     out.append((f.get("warc-segment-origin-id", f.get("warc-record-id")),

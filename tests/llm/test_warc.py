@@ -63,7 +63,8 @@ def test_query_equals_sql(spark):
     assert sorted(tuple(r) for r in got.collect()) == sorted(con.sql(W.ORACLE["op6_warc"]).fetchall())
 
 
-def test_round_trip_with_revisits_segments_and_odd_rows(spark, tmp):
+@pytest.mark.parametrize("compression", ["gzip", "none"])
+def test_round_trip_with_revisits_segments_and_odd_rows(spark, tmp, compression):
     rng = random.Random(3)
     long = "".join(rng.choice("aé語\r\n<") for _ in range(200_000))
     trap = TRAP.decode() * 9
@@ -73,7 +74,7 @@ def test_round_trip_with_revisits_segments_and_odd_rows(spark, tmp):
             (15, "w", long + "z"), (15, "w", long + "z"), (None, "n", "q" * 200), (None, "n", "q" * 200)]
     pages = spark.createDataFrame([(*r, "response", "d") for r in rows],
                                   "page_id long, url string, html string, type string, digest string")
-    W.write_archives(pages, f"{tmp}/w")
+    W.write_archives(pages, f"{tmp}/w", compression=compression)
     got = W.read_archives(spark, f"{tmp}/w").collect()
     assert all(r.complete for r in got)
     firsts = {}
