@@ -91,9 +91,3 @@ def _small_star(e: DataFrame) -> DataFrame:
     return (linked.union(low.select("u", F.col("m").alias("v")))
             .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
             .distinct())
-
-
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete an intermediate table this library wrote, wherever it lies."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

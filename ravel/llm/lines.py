@@ -30,8 +30,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ravel.llm.common import partitions, pinned, read, remove_path
-from ravel.session import scratch_path
+from ravel.llm.common import partitions, pinned, read
+from ravel.session import remove_path, scratch_path
 
 MIN_CHARS = 20
 MIN_DOCS = 3
