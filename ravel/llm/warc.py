@@ -178,29 +178,36 @@ _FIELDS = [("record_id", "string", pa.string()), ("type", "string", pa.string())
            ("page_id", "long", pa.int64()), ("uri", "string", pa.string()),
            ("refers_to_id", "string", pa.string()), ("digest", "string", pa.string()),
            ("segment", "int", pa.int32()), ("total", "long", pa.int64()),
-           ("data", "binary", pa.binary())]
+           ("payload_bytes", "long", pa.int64()), ("payload_digest", "string", pa.string()),
+           ("complete", "boolean", pa.bool_()), ("data", "binary", pa.binary())]
 
 
-def archive_records(spark: SparkSession, path: str) -> DataFrame:
-    """One row per WARC record under ``path``; for a segment ``record_id`` is
-    its origin's id and ``data`` its part of the block, else the block."""
+def archive_records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """One row per WARC record under ``path``. For a segment ``record_id`` is
+    its origin's id and ``data`` its part of the block; a whole response has
+    its payload's length, digest and check, and the payload itself in ``data``
+    if ``payloads`` are wanted."""
     bound_batches(spark)
 
+    def row(f, block):
+        number = {k: int(f[n]) if n in f else None for k, n in
+                  (("segment", "warc-segment-number"), ("total", "warc-segment-total-length"),
+                   ("page", "page-id"))}
+        digest = f.get("warc-payload-digest", "").removeprefix("sha256:") or None
+        size = found = complete = None
+        if f.get("warc-type") == "response" and number["segment"] is None:
+            block, size, found, complete = _decoded(block, digest)
+            block = block if payloads else None
+        return (f.get("warc-segment-origin-id", f.get("warc-record-id")), f.get("warc-type"),
+                number["page"], f.get("warc-target-uri"), f.get("warc-refers-to"), digest,
+                number["segment"], number["total"], size, found, complete, block)
+
     def run(batches):
         for b in batches:
             for content in b["content"].to_pylist():
-                out = []
                 if content[:2] == b"\x1f\x8b":
                     content = gzip.decompress(content)
-                for f, block in parse_archive(content):
-                    page = f.get("page-id")
-                    out.append((f.get("warc-segment-origin-id", f.get("warc-record-id")),
-                                f.get("warc-type"), None if page is None else int(page),
-                                f.get("warc-target-uri"), f.get("warc-refers-to"),
-                                f.get("warc-payload-digest", "").removeprefix("sha256:") or None,
-                                int(f["warc-segment-number"]) if "warc-segment-number" in f else None,
-                                int(f["warc-segment-total-length"])
-                                if "warc-segment-total-length" in f else None, block))
+                out = [row(f, block) for f, block in parse_archive(content)]
                 for at in range(0, len(out), 256):
                     part = out[at:at + 256]
                     yield pa.RecordBatch.from_arrays(
@@ -211,41 +218,41 @@ def archive_records(spark: SparkSession, path: str) -> DataFrame:
             .select("content").mapInArrow(run, ", ".join(f"{n} {t}" for n, t, _ in _FIELDS)))
 
 
-def _checked(block: bytes, digest):
-    """(payload or None, complete)."""
+def _decoded(block: bytes, digest):
+    """(payload, its length, its digest, complete) of a whole block; nulls
+    where the framing is broken."""
     try:
         payload = payload_of(block)
     except ValueError:
-        return None, False
-    return payload, digest is None or hashlib.sha256(payload).hexdigest() == digest
-
+        return None, None, None, False
+    found = hashlib.sha256(payload).hexdigest()
+    return payload, len(payload), found, digest in (None, found)
 
-_OUT = "record_id string, page_id long, uri string, payload binary, complete boolean"
-_OUT_KINDS = [pa.string(), pa.int64(), pa.string(), pa.binary(), pa.bool_()]
 
+_OUT = ["record_id string", "page_id long", "uri string", "payload binary", "payload_bytes long",
+        "payload_digest string", "complete boolean"]
+_OUT_KINDS = [pa.string(), pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.bool_()]
 
-def _responses(rows):
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t)
-                                       for i, t in enumerate(_OUT_KINDS)],
-                                      [x.split()[0] for x in _OUT.split(", ")])
 
-
-def read_responses(records: DataFrame) -> DataFrame:
-    """(record_id, page_id, uri, payload, complete) of every response."""
-    def alone(batches):
-        for b in batches:
-            yield _responses([(r["record_id"], r["page_id"], r["uri"],
-                               *_checked(r["data"], r["digest"])) for r in b.to_pylist()])
+def read_responses(records: DataFrame, payloads: bool = True) -> DataFrame:
+    """(record_id, page_id, uri, payload, payload_bytes, payload_digest,
+    complete) of every response."""
+    names = [x.split()[0] for x in _OUT]
 
     def together(batches):
         for b in batches:
-            yield _responses([x for r in b.to_pylist() for x in reassemble(r["record_id"], r["parts"])])
-
-    whole = records.where("type = 'response' and segment is null").mapInArrow(alone, _OUT)
+            rows = [x for r in b.to_pylist() for x in reassemble(r["record_id"], r["parts"])]
+            if not payloads:
+                rows = [(*r[:3], None, *r[4:]) for r in rows]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], t) for i, t in enumerate(_OUT_KINDS)], names)
+
+    whole = records.where("type = 'response' and segment is null") \
+        .withColumnRenamed("data", "payload").select(*names)
     parts = (records.where("segment is not null").groupBy("record_id")
              .agg(F.sort_array(F.collect_list(F.struct(
                  "segment", "total", "type", "page_id", "uri", "digest", "data"))).alias("parts"))
-             .mapInArrow(together, _OUT))
+             .mapInArrow(together, ", ".join(_OUT)))
     return whole.unionByName(parts)
 
 
@@ -259,20 +266,21 @@ def reassemble(origin: str, parts: list[dict]):
     total = next((p["total"] for p in parts if p["total"] is not None), None)
     head = first[0] if first else parts[0]
     if not first or sorted(by_number) != list(range(1, len(by_number) + 1)) or total != len(block):
-        payload, complete = None, False
+        out = None, None, None, False
     else:
-        payload, complete = _checked(block, head["digest"])
-    return [(origin, head["page_id"], head["uri"], payload, complete)] * max(1, len(first))
+        out = _decoded(block, head["digest"])
+    return [(origin, head["page_id"], head["uri"], *out)] * max(1, len(first))
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """(page_id, uri, record_type, refers_to, payload_bytes, payload_digest,
     complete, payload) of every page in the archives; a revisit's payload is
-    null, its length and digest are its response's."""
-    records = archive_records(spark, path)
-    out = read_responses(records).select(
-        "record_id", "page_id", "uri", F.octet_length("payload").cast("long").alias("payload_bytes"),
-        F.sha2("payload", 256).alias("payload_digest"), "complete", "payload")
+    null, its length and digest are its response's. Without ``payloads`` the
+    archives are read once and what remains of the records is pinned."""
+    records = archive_records(spark, path, payloads)
+    if not payloads:
+        records = pinned(records)
+    out = read_responses(records, payloads)
     named = out.select(F.col("record_id").alias("refers_to_id"),
                        F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest",
                        "complete").dropDuplicates(["refers_to_id"])
@@ -292,7 +300,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query over ``pages``: write archives, read them back."""
     path = scratch_path(spark, "warc")
     write_archives(read(spark, sf_dir, "pages"), path)
-    out = pinned(read_archives(spark, path).select(
+    out = pinned(read_archives(spark, path, payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
     remove_path(spark, path)
     return out

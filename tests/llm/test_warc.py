@@ -48,8 +48,9 @@ def test_reassembly_checks_order_total_and_digest():
     body = random.Random(2).randbytes(250_000)
     parts = parts_of(body)
     assert len(parts) == 4
-    assert W.reassemble("o", parts) == [("o", 7, "u", body, True)]
-    assert W.reassemble("o", sorted(parts * 2, key=lambda p: p["segment"])) == [("o", 7, "u", body, True)] * 2
+    whole = ("o", 7, "u", body, len(body), hashlib.sha256(body).hexdigest(), True)
+    assert W.reassemble("o", parts) == [whole]
+    assert W.reassemble("o", sorted(parts * 2, key=lambda p: p["segment"])) == [whole] * 2
     for broken in (parts[:-1], parts[1:], parts[:1] + parts[2:], parts_of(body, "0" * 64)):
         assert [x[-1] for x in W.reassemble("o", broken)] == [False]
 
@@ -77,6 +78,10 @@ def test_round_trip_with_revisits_segments_and_odd_rows(spark, tmp, compression)
     W.write_archives(pages, f"{tmp}/w", compression=compression)
     got = W.read_archives(spark, f"{tmp}/w").collect()
     assert all(r.complete for r in got)
+    bare = W.read_archives(spark, f"{tmp}/w", payloads=False)
+    assert bare.where("payload is not null").count() == 0
+    assert sorted(str(r) for r in bare.drop("payload").collect()) == sorted(
+        str(r) for r in spark.createDataFrame(got, bare.schema).drop("payload").collect())
     firsts = {}
     for i, _, t in rows:
         if i is not None and t and len(t.encode()) >= 100:
