@@ -135,6 +135,7 @@ def test_warm_up_and_console_report(spark, tmp, capsys):
                     break
             except Exception as e:  # noqa: BLE001 - nothing written yet
                 assert "PATH_NOT_FOUND" in str(e) or "INFER_SCHEMA" in str(e)
+        q.processAllAvailable()     # the batch is over, its console lines too
     finally:
         q.stop()
     starts = sorted({r.s for r in got.select(F.col("window.start").alias("s")).collect()})
