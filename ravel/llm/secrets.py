@@ -39,6 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ravel.llm.common import pinned, read
+from ravel.session import remove_path, scratch_path
 
 THRESHOLD = 0.5
 EXAMPLES = 8_000
@@ -213,12 +214,20 @@ def example_findings(spark: SparkSession, n: int = EXAMPLES, seed: int = 1) -> D
 
 
 def train(labelled: DataFrame, dictionary: DataFrame) -> RandomForestClassificationModel:
-    """Fit the forest on (value, before, after, path, label 0/1)."""
+    """Fit the forest on (value, before, after, path, label 0/1). The model is
+    stored and read back: as fitted it keeps a summary that holds the session,
+    which cannot be sent to tasks once the session has observed metrics."""
+    spark = labelled.sparkSession
     rows = with_features(labelled, dictionary).select(
         F.col("label").cast("double").alias("label"), *FEATURES)
     table = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
-    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=3).fit(
+    model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=3).fit(
         pinned(table.select("label", "features")))
+    path = scratch_path(spark, "forest")
+    model.save(path)
+    model = RandomForestClassificationModel.load(path)
+    remove_path(spark, path)
+    return model
 
 
 def scan(docs: DataFrame, model: RandomForestClassificationModel | None = None,

@@ -105,3 +105,15 @@ def test_plan_has_no_python(spark, words, model):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = S.scan(docs, model, words)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_scan_after_observed_metrics(spark, words):
+    """A session that has observed metrics can still send the model."""
+    from pyspark.sql import Observation
+
+    seen = Observation("n")
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 5
+    own = S.train(S.example_findings(spark, 400), words)
+    docs = spark.createDataFrame([(1, "x AKIA" + "Q7" * 8)], "doc_id long, text string")
+    assert S.scan(docs, own, words).count() == 1 and S.scan(docs, own, words).first().secret is not None
