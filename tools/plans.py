@@ -15,13 +15,14 @@ from ravel.session import build_session  # noqa: E402
 
 NOTES = {
     "word_totals": "one narrow stage (split/explode/pairs, no shuffle) reading only `text`; "
-                   "partial+final aggregation on (word, prev), then per word.",
+                   "one partial+final aggregation on the word.",
     "phone_pairs": "per-record regex in a Generate; scans read only (url, html) and (doc_id, text).",
     "cast_parse": "title rules as two regex extractions; the title filter is evaluated in the join.",
     "adjacency_sizes": "cast sizes by a partial aggregation joined back to the edges; no pair is "
-                       "emitted. The ship-date filter is pushed into the lineitem scan.",
+                       "emitted. The edges are pinned once.",
     "trending_rows": "pane hash aggregation over raw rows, window expansion of the partials, "
-                     "tag counts from the same (reused) shuffle, join on (window, tag).",
+                     "tag counts from the same (reused) shuffle, join on (window, tag) for "
+                     "tagged posts only.",
     "trending_top": "block / sub-level / level rank limits each applied Partial before its "
                     "exchange, then lag/running-sum runs per window.",
 }
