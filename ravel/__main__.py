@@ -10,7 +10,8 @@
            [--watermark "10 seconds"] [--start TIMESTAMP] [--checkpoint DIR]
            [--once] [--print-top]
            status files hold ts, is_retweet, lang, id, username, text (the
-           last three describe the retweeted original)
+           last three describe the retweeted original), or ts, is_retweet, lang and
+           a struct retweeted (id, username, text)
 
 The session comes from spark-submit's configuration (master, resources,
 ``spark.checkpoint.dir``); ravel adds only its SQL defaults.

@@ -40,10 +40,24 @@ def seconds(duration: str) -> int:
     return int(m.group(1)) * _UNITS[m.group(2)]
 
 
+def flat_statuses(statuses: DataFrame) -> DataFrame:
+    """Statuses with the original's fields at the top: those of a nested
+    ``retweeted`` struct (id, username, text) where there is one, a null
+    struct meaning no retweet; the status's own text becomes ``status``."""
+    if "retweeted" not in statuses.columns:
+        return statuses
+    own = [c for c in statuses.columns if c not in ("retweeted", "id", "username", "text")]
+    if "text" in statuses.columns and "status" not in own:
+        own.append(F.col("text").alias("status"))
+    return statuses.where("retweeted is not null").select(
+        *own, "retweeted.id", "retweeted.username", "retweeted.text")
+
+
 def retweets(statuses: DataFrame, languages=LANGUAGES, status_text: str | None = None) -> DataFrame:
     """Retweets in the wanted languages: (ts, id, username, text) of the
-    retweeted original. With ``status_text`` (the retweet's own text) the
+    retweeted original, from flat or nested statuses. With ``status_text`` (the retweet's own text) the
     'lt' -> 'ja'/'ko' script override is applied before the test."""
+    statuses = flat_statuses(statuses)
     lang = F.col("lang")
     if status_text:
         lang = language_override(lang, clean_for_language(F.col(status_text)))

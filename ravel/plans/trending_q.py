@@ -42,7 +42,11 @@ def hashtags(spark, sf_dir):
 
 
 def _wc(spark, sf_dir):
-    return tr.windowed_counts(tr.retweets(tweets(spark, sf_dir)), WINDOW, SLIDE)
+    """Counts over statuses that hold their original as a nested struct."""
+    t = tweets(spark, sf_dir)
+    nested = t.select("event_id", "ts", "is_retweet", "lang",
+                      F.struct("id", "username", "text").alias("retweeted"))
+    return tr.windowed_counts(tr.retweets(nested), WINDOW, SLIDE)
 
 
 def windowed_counts(spark, sf_dir):

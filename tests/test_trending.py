@@ -107,6 +107,12 @@ def test_stream_equals_batch_on_closed_windows(spark, tmp, files, newest_first):
     log = [ln for p in sorted(glob.glob(f"{tmp}/out/log/epoch=*/part-*")) for ln in open(p).read().split("\n")]
     assert sum(1 for ln in log if ln.startswith("Time: ")) == got.select("window").distinct().count()
     assert sum(1 for ln in log if ln[:1].isdigit()) == got.count()
+    times = [r.t for r in got.select(F.date_format("window.end", "HH:mm:ss").alias("t"), "window")
+             .distinct().collect()]
+    assert sorted(ln for ln in log if ln.startswith("Time: ")) == sorted(f"Time: {t}" for t in times)
+    top = spark.read.parquet(f"{tmp}/out/top").drop("epoch")
+    expected = tr.run_limited_top(want).select(*top.columns)
+    assert top.count() == expected.count() and top.exceptAll(expected).count() == 0
 
 
 def test_warm_up_and_console_report(spark, tmp, capsys):
@@ -160,6 +166,16 @@ def test_language_judged_on_status_text(spark):
     assert [(r.id, r.text) for r in got] == [(1, "orig one")]
 
 
+def test_nested_statuses(spark):
+    """A nested original, a status without one, and the status's own text."""
+    rows = [(datetime(2024, 1, 1), True, "lt", "RT @a: ひらがな", (1, "u", "orig")),
+            (datetime(2024, 1, 1), True, "en", "plain", None)]
+    df = spark.createDataFrame(rows, "ts timestamp, is_retweet boolean, lang string, text string, "
+                                     "retweeted struct<id:bigint,username:string,text:string>")
+    got = tr.retweets(df, languages=("ja", "en"), status_text="status").collect()
+    assert [(r.id, r.username, r.text) for r in got] == [(1, "u", "orig")]
+
+
 def test_run_limited_top_many_levels(spark):
     """More than ``total`` tag-count levels per group (one count per tag in
     a group, as trending rows always have): the level cut is exact."""
