@@ -51,7 +51,9 @@ _RUN = r"[A-Za-z0-9+/_\-]"
 _NAMES = r"(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|credential)"
 CANDIDATE = (
     rf"(?<!{_RUN})(?=[A-Za-z+/_\-]*+[0-9]){_RUN}{{16,256}}+(?!{_RUN})={{0,2}}"
-    rf"|(?i)(?<={_NAMES}[\"']{{0,1}}[ ]{{0,2}}[=:][ ]{{0,2}}[\"']{{0,1}})[^\s\"']{{6,256}}+(?![^\s\"'])"
+    # the short look-behinds only spare the long one where it cannot match
+    r"|(?<=[=: \"'])(?<=[=:][ ]{0,2}[\"']{0,1})"
+    rf"(?i)(?<={_NAMES}[\"']{{0,1}}[ ]{{0,2}}[=:][ ]{{0,2}}[\"']{{0,1}})[^\s\"']{{6,256}}+(?![^\s\"'])"
     r"|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----")
 # Public prefixes of keys and tokens.
 _KNOWN = r"^(AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|xox[abp]-|sk_live_|sk_test_|AIza|-----BEGIN )"
