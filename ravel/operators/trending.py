@@ -99,8 +99,8 @@ def windowed_counts(rt: DataFrame, window: str, slide: str) -> DataFrame:
 
 def windowed_counts_direct(rt: DataFrame, window: str, slide: str) -> DataFrame:
     """Same result with Spark's ``window()`` (every row copied to each of
-    its windows before the partial aggregation); used by the stream, whose
-    state store holds per-window partials."""
+    its windows before the partial aggregation), for windows that are no
+    multiple of their slide."""
     return (rt.groupBy(F.window("ts", window, slide).alias("window"), "id")
             .agg(F.count(F.lit(1)).alias("n"), F.min_by(_info(), F.col("ts")).alias("i"))
             .select("window", "id", "n", F.col("i.username").alias("username"),

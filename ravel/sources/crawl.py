@@ -26,10 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-# The version line our own segments carry, header/payload gap,
-# the header holding the record's URI, and the URI pattern of S3 objects.
+# The version line our own segments carry, the header holding
+# the record's URI, and the URI pattern of S3 objects.
 VERSION_LINE = "WARC/1.0\r\n"
-HEADER_END = "\r\n\r\n"
 URI_HEADER = "WARC-Target-URI"
 S3_URI = r"^s3://([^/]+)/(.+)"
 

@@ -104,10 +104,3 @@ def cast_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.lit("  [role]"))
     return j.select(F.col("c_custkey").alias("actor_id"), F.col("c_name").alias("name"),
                     (F.col("c_acctbal") >= 5000).alias("is_male"), title.alias("raw_title"))
-
-
-def actors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(actor_id, name, is_male) for every customer."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
-    return c.select(F.col("c_custkey").alias("actor_id"), F.col("c_name").alias("name"),
-                    (F.col("c_acctbal") >= 5000).alias("is_male"))
