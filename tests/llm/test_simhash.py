@@ -4,7 +4,6 @@ import re
 import numpy as np
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 
 from ravel.llm import simhash
 from ravel.llm.common import connected_components
