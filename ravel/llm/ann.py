@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ravel.llm.common import bound_batches, pinned, read, spread_rows
+from ravel.llm.common import bound_batches, partitions, pinned, read
 
 K = 10
 LEAF_ROWS = 64          # distinct vectors a leaf, about
@@ -186,7 +186,7 @@ class Index:
         bound_batches(spark, 4096)
         self.spark, self.k = spark, k
         rows, self.dim = usable(vectors, id_col, vec_col)
-        self.distinct = pinned(spread_rows(distinct_vectors(rows, k + 1)))
+        self.distinct = pinned(distinct_vectors(rows, k + 1))
         n = self.distinct.count()
         share = min(1.0, SAMPLE / max(n, 1))
         sample = self.distinct.where(
@@ -281,7 +281,9 @@ class Index:
         rows, _ = usable(queries, id_col, vec_col)
         asked = pinned(_keyed(rows.where(F.size("v") == dim)))
         sizes = self.spark.sparkContext.broadcast(self.sizes)
-        once = asked.groupBy("key").agg(F.first("v").alias("v"))
+        # a tree walk is work for a processor: distinct queries are dealt evenly
+        once = asked.groupBy("key").agg(F.first("v").alias("v")) \
+            .repartition(partitions(self.spark))
 
         bins = self.spark.sparkContext.broadcast(self.bins)
 
@@ -300,7 +302,7 @@ class Index:
                     out += [(key, q, at, leaves) for at, leaves in mine.items()]
                 yield pd.DataFrame(out, columns=["key", "v", "bin", "leaves"])
 
-        visited = pinned(spread_rows(once).mapInPandas(
+        visited = pinned(once.mapInPandas(
             plan, "key string, v array<double>, bin int, leaves array<int>"))
         # both sides of a bin are cut into parts of about BLOCK_ROWS
         parts = visited.groupBy("bin").agg(

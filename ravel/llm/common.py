@@ -39,13 +39,6 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def spread_rows(df: DataFrame) -> DataFrame:
-    """Round-robin a small table (vectors, URLs) over the task slots when its
-    files make fewer splits than there are slots. Not for whole texts."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
-
-
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node reachable, for every node of ``edges``
     (``u``, ``v`` long, any direction, repeats allowed; nulls and loops are
