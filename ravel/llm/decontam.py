@@ -7,11 +7,14 @@
    weight.
 2. A randomised SVD of the passages' TF-IDF matrix is computed by Spark: each
    pass multiplies the partitions' rows with the current basis and adds the
-   partial products up by blocks of terms.
+   partial products up by blocks of terms. The rank is doubled until every
+   passage keeps ``CAPTURED`` of its norm.
 3. Every document is read as windows of ``WINDOW`` words at half-window steps.
    A window's TF-IDF vector is projected to the latent space and compared with
    all passages by cosine; windows whose share of benchmark terms is too small
-   to reach any passage's threshold are not projected.
+   to reach any passage's threshold are not projected. A run of ``SHORT``
+   words of a passage, or a whole passage of fewer, is a candidate where it
+   occurs, so that no word-for-word copy depends on the projection.
 4. A candidate is checked against the words around its window: the longest
    common subsequence must hold ``LCS_SURE`` of the passage's words, or
    ``LCS_PARAPHRASE`` of them and the answer, the passage's last words, in
@@ -19,8 +22,9 @@
 
 Scale: documents are only mapped over; nothing of them is shuffled but term
 counts, partially summed by task. What is broadcast is bounded: benchmarks are
-taken in blocks of about ``BLOCK_WORDS`` words, each with its own two passes
-over the documents, so a basis has at most that many rows of ``RANK`` floats.
+taken in blocks of about ``BLOCK_WORDS`` words and ``BLOCK_PASSAGES`` passages,
+each with its own two passes over the documents, so a basis has at most that
+many rows, of at most one float a passage.
 
 Edge cases: null or empty texts and items without words match nothing. Words
 are runs of letters, digits and non-ASCII characters, lower-cased. Equal items
@@ -45,7 +49,9 @@ from ravel.llm.common import bound_batches, read
 WINDOW = 32            # words; windows start every half window
 ITEM_WORDS = 64
 BLOCK_WORDS = 32768    # expected benchmark words a block, per pass
-RANK = 128
+BLOCK_PASSAGES = 1024  # and passages
+RANK = 128             # to begin with
+CAPTURED = 0.9         # least share of each passage's norm in the latent space
 OVERSAMPLE = 16
 POWER_STEPS = 2
 # Of the cosine a full copy would have: a candidate. 0.55 keeps copies with
@@ -58,6 +64,8 @@ ANSWER_SHARE = 0.8
 SHORT = 8
 MARKS = 4              # longest words by which a leaked passage is told
 _TERMS_PER_ROW = 256
+_RUN_BASE = np.uint64(0x9E3779B97F4A7C15)
+_RUN_BITS = 20
 _CLEAN = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256)).lower()
 
 
@@ -84,6 +92,15 @@ def _masks(words) -> dict:
     return out
 
 
+def _run_hashes(ids: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` words from each position on."""
+    ids = ids.astype(np.uint64) + np.uint64(1)
+    out = np.zeros(max(0, len(ids) - size + 1), dtype=np.uint64)
+    for j in range(size):
+        out = out * _RUN_BASE + ids[j:j + len(out)]
+    return out
+
+
 class Passages:
     """One block of benchmark passages with its vocabulary; broadcast."""
 
@@ -94,19 +111,54 @@ class Passages:
         self.words = [np.array([self.vocab[w] for w in p], dtype=np.int32) for p in passages]
         self.marks = [sorted(set(p), key=lambda w: (-len(w), w))[:MARKS] for p in passages]
         self.idf = np.zeros(len(vocab) + 1)
-        self.basis = self.latent = self.limit = None
-        self.captured = self.least = 0.0
+        self.basis = self.latent = self.limit = self.captured = None
+        self.least = 0.0
+        self._index_runs()
+
+    def _index_runs(self) -> None:
+        """{run length: (marks by leading hash bits, {hash: [(passage, offset)]})}."""
+        self.runs: dict = {}
+        for k, p in enumerate(self.words):
+            size = min(len(p), SHORT)
+            table = self.runs.setdefault(size, {})
+            for at, h in enumerate(_run_hashes(p, size).tolist()):
+                table.setdefault(h, []).append((k, at))
+        for size, table in self.runs.items():
+            marked = np.zeros(1 << _RUN_BITS, dtype=bool)
+            marked[np.fromiter(table, np.uint64, len(table)) >> np.uint64(64 - _RUN_BITS)] = True
+            self.runs[size] = marked, table
+
+    def copies(self, ids: np.ndarray) -> set:
+        """(passage, start of the copy) for every run of a passage in ``ids``."""
+        found = set()
+        for size, (marked, table) in self.runs.items():
+            h = _run_hashes(ids, size)
+            at = np.flatnonzero(marked[h >> np.uint64(64 - _RUN_BITS)])
+            for i, key in zip(at.tolist(), h[at].tolist()):
+                for k, offset in table.get(key, ()):
+                    found.add((k, max(0, i - offset)))
+        return found
 
     def weigh(self, df: np.ndarray, n_docs: int) -> None:
         """Inverse document frequencies; a word outside the vocabulary weighs
         as one met in no document."""
         self.idf = np.log((n_docs + 2) / (np.append(df, 0) + 1))
 
+    def _row(self, p: np.ndarray):
+        t, tf = np.unique(p, return_counts=True)
+        return t, tf * self.idf[t]
+
     def rows(self):
-        """(terms, weights) of each passage: its sparse TF-IDF row."""
+        """(terms, weights) of each passage that may be met in part: its sparse
+        TF-IDF row, of norm 1 so that no passage gives way to a heavier one."""
         for p in self.words:
-            t, tf = np.unique(p, return_counts=True)
-            yield t, tf * self.idf[t]
+            if len(p) >= SHORT:
+                t, w = self._row(p)
+                yield t, w / np.linalg.norm(w)
+
+    def shares(self, basis: np.ndarray) -> np.ndarray:
+        """Share of each row's norm that lies in the basis."""
+        return np.array([np.linalg.norm(w @ basis[t]) for t, w in self.rows()])
 
     def settle(self, basis: np.ndarray) -> None:
         """Take the latent basis (terms x rank) and place the passages."""
@@ -114,14 +166,17 @@ class Passages:
                                 np.zeros((1, basis.shape[1]))]).astype(np.float32)
         latent = np.array([self.basis[p].sum(axis=0) for p in self.words])
         norms = np.linalg.norm(latent, axis=1)
-        full = np.array([math.sqrt((self.idf[p] ** 2).sum()) for p in self.words])
-        self.captured = float(np.median(norms / np.maximum(full, 1e-9)))
-        self.latent = (latent / np.maximum(norms, 1e-9)[:, None]).astype(np.float32)
+        full = np.array([np.linalg.norm(self._row(p)[1]) for p in self.words])
+        self.captured = np.minimum(norms / np.maximum(full, 1e-12), 1.0)
+        self.latent = (latent / np.maximum(norms, 1e-12)[:, None]).astype(np.float32)
         size = np.array([len(p) for p in self.words])
+        projected = size >= SHORT
         self.limit = CANDIDATE * np.sqrt(np.minimum(size, WINDOW) / np.maximum(size, WINDOW))
         # a window's latent norm is at most the norm of its benchmark terms:
         # below this share of the whole window's norm no limit is reached
-        self.least = float(self.limit.min() * min(self.captured, 1.0)) ** 2 / 2
+        self.least = float((self.limit * self.captured)[projected].min(initial=2.0)) ** 2 / 2
+        # shorter passages must occur word for word: their runs find them
+        self.limit[~projected] = np.inf
         self.masks = [_masks(p.tolist()) for p in self.words]
         self.answers = [_masks(p[-ANSWER_WORDS:].tolist()) for p in self.words]
 
@@ -132,6 +187,7 @@ class Passages:
         if not n:
             return None, []
         ids = np.fromiter(map(self.vocab.get, words, repeat(len(self.vocab))), np.int32, n)
+        found = {(k, start): None for k, start in self.copies(ids)}
         w2 = (self.idf ** 2)[ids]
         starts = np.arange(0, n, step)
         every = np.add.reduceat(w2, starts)
@@ -140,13 +196,23 @@ class Passages:
             every = every[:-1] + every[1:]
             known = known[:-1] + known[1:]
         at = np.flatnonzero((known > 0) & (known >= self.least * every))
-        if not len(at):
-            return None, []
-        latent = np.array([self.basis[ids[starts[i]:starts[i] + WINDOW]].sum(axis=0) for i in at])
-        norms = np.maximum(np.linalg.norm(latent, axis=1), self.captured * np.sqrt(every[at]))
-        cos = (latent / np.maximum(norms, 1e-9)[:, None]) @ self.latent.T
-        found = np.argwhere(cos >= self.limit[None, :])
-        return ids, [(int(j), int(starts[at[i]]), float(cos[i, j])) for i, j in found]
+        if len(at):
+            latent = np.array([self.basis[ids[starts[i]:starts[i] + WINDOW]].sum(axis=0) for i in at])
+            norms = np.maximum(np.linalg.norm(latent, axis=1)[:, None],
+                               self.captured[None, :] * np.sqrt(every[at])[:, None])
+            cos = (latent @ self.latent.T) / np.maximum(norms, 1e-12)
+            for i, j in np.argwhere(cos >= self.limit[None, :]):
+                found[int(j), int(starts[at[i]])] = float(cos[i, j])
+        return ids, [(k, start, self.cosine(ids, k, start) if cos is None else cos)
+                     for (k, start), cos in found.items()]
+
+    def cosine(self, ids: np.ndarray, k: int, start: int) -> float:
+        """Cosine of a passage and the benchmark words of the window at
+        ``start``, without projection."""
+        window = ids[start:start + max(WINDOW, len(self.words[k]))]
+        (t, a), (u, b) = self._row(window[window < len(self.vocab)]), self._row(self.words[k])
+        _, i, j = np.intersect1d(t, u, assume_unique=True, return_indices=True)
+        return float(a[i] @ b[j] / max(np.linalg.norm(a) * np.linalg.norm(b), 1e-12))
 
     def verify(self, ids: np.ndarray, k: int, start: int):
         """(share of the longest common subsequence, answer found, hit)."""
@@ -197,8 +263,8 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str):
                 ["item", "words"])
 
     rows = texts.mapInArrow(cut, "item long, words array<binary>")
-    total = rows.agg(F.sum(F.size("words"))).first()[0] or 0
-    blocks = math.ceil(total / BLOCK_WORDS)
+    total, passages = rows.agg(F.sum(F.size("words")), F.count(F.lit(1))).first()
+    blocks = math.ceil(max((total or 0) / BLOCK_WORDS, passages / BLOCK_PASSAGES))
     for i in range(blocks):
         part = rows.where(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == i) \
             .orderBy("item", "words").collect()
@@ -293,12 +359,25 @@ def prepared_blocks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text
         draft = sc.broadcast(block)
         block.weigh(*document_frequencies(texts, draft))
         draft.unpersist()
-        rows = spark.createDataFrame([(t.tolist(), w.tolist()) for t, w in block.rows()],
-                                     "t array<int>, w array<double>")
-        block.settle(randomised_svd(rows, len(block.vocab)))
+        block.settle(latent_basis(spark, block))
         yield sc.broadcast(block)
 
 
+def latent_basis(spark: SparkSession, block: Passages, rank: int = RANK) -> np.ndarray:
+    """The basis of the least rank, doubled from ``rank`` on, in which every
+    passage keeps ``CAPTURED`` of its norm; as many directions as there are
+    passages hold them whole."""
+    rows = [(t.tolist(), w.tolist()) for t, w in block.rows()]
+    if not rows:
+        return np.zeros((len(block.vocab), 1))
+    table = spark.createDataFrame(rows, "t array<int>, w array<double>")
+    while True:
+        basis = randomised_svd(table, len(block.vocab), rank)
+        if rank >= len(rows) or block.shares(basis).min() >= CAPTURED:
+            return basis
+        rank = min(2 * rank, len(rows))
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, lcs, cosine, answer): one row for each document and

@@ -147,3 +147,35 @@ def test_several_blocks_and_long_items(spark, monkeypatch):
     monkeypatch.setattr(D, "BLOCK_WORDS", 700)
     got = {(r.doc_id, r.item_id) for r in D.find_contamination(docs, bench).collect()}
     assert got == {(i, i) for i, _ in items}
+
+
+def word_copies(docs, bench):
+    """(doc_id, item_id) of every passage that occurs word for word."""
+    parts = []
+    for r in bench.collect():
+        words = D.words_of(r.text)
+        n = -(-len(words) // D.ITEM_WORDS)
+        parts += [(r.item_id, b" %s " % b" ".join(words[len(words) * i // n:len(words) * (i + 1) // n]))
+                  for i in range(n)]
+    joined = [(r.doc_id, b" %s " % b" ".join(D.words_of(r.text))) for r in docs.collect()]
+    return {(d, item) for d, text in joined for item, p in parts if p in text}
+
+
+def test_every_copy_is_found_where_passages_outnumber_the_first_rank(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, bench = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
+    assert bench.count() > D.RANK
+    copies = word_copies(docs, bench)
+    assert len(copies) > 200
+    assert copies <= {(r.doc_id, r.item_id) for r in D.op10_decontaminate(spark, sf).collect()}
+
+
+def test_every_passage_keeps_its_share_and_blocks_hold_few_passages(spark, monkeypatch):
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(8 + i % 50))) for i in range(300)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame([(1, "nothing here")], "doc_id long, text string")
+    block, = [b.value for b in D.prepared_blocks(docs, bench)]
+    assert block.captured.min() >= D.CAPTURED and len(block.items) == 300
+    monkeypatch.setattr(D, "BLOCK_PASSAGES", 100)
+    blocks = [b.value for b in D.prepared_blocks(docs, bench)]
+    assert len(blocks) == 3 and sum(len(b.items) for b in blocks) == 300
