@@ -11,8 +11,9 @@
    passage keeps ``CAPTURED`` of its norm.
 3. Every document is read as windows of ``WINDOW`` words at half-window steps.
    A window's TF-IDF vector is projected to the latent space and compared with
-   all passages by cosine; windows whose share of benchmark terms is too small
-   to reach any passage's threshold are not projected. A run of ``SHORT``
+   all passages, by cosine and by the share of the passage's weight that it
+   covers, which does not depend on the words around a copy; windows too poor
+   in benchmark terms to reach any passage's threshold are not projected. A run of ``SHORT``
    words of a passage, or a whole passage of fewer, is a candidate where it
    occurs, so that no word-for-word copy depends on the projection.
 4. A candidate is checked against the words around its window: the longest
@@ -54,8 +55,8 @@ RANK = 128             # to begin with
 CAPTURED = 0.9         # least share of each passage's norm in the latent space
 OVERSAMPLE = 16
 POWER_STEPS = 2
-# Of the cosine a full copy would have: a candidate. 0.55 keeps copies with
-# two words in five replaced.
+# Of the cosine, or of the covered weight, a full copy would have: a candidate.
+# 0.55 keeps copies with two words in five replaced.
 CANDIDATE = 0.55
 LCS_SURE = 0.8
 LCS_PARAPHRASE = 0.6
@@ -92,6 +93,16 @@ def _masks(words) -> dict:
     return out
 
 
+def _least_cover(weights: np.ndarray) -> float:
+    """Share of a passage's weight in the best window of a full copy, where
+    the copy lies worst between the windows' starts."""
+    step, sums = WINDOW // 2, np.append(0.0, np.cumsum(weights))
+    first = np.arange(step)[:, None]        # words of the copy before a start
+    starts = first + np.arange(-step, len(weights), step)[None, :]
+    inside = sums[np.clip(starts + WINDOW, 0, len(weights))] - sums[np.clip(starts, 0, len(weights))]
+    return float(inside.max(axis=1).min() / sums[-1])
+
+
 def _run_hashes(ids: np.ndarray, size: int) -> np.ndarray:
     """Hash of the ``size`` words from each position on."""
     ids = ids.astype(np.uint64) + np.uint64(1)
@@ -111,7 +122,7 @@ class Passages:
         self.words = [np.array([self.vocab[w] for w in p], dtype=np.int32) for p in passages]
         self.marks = [sorted(set(p), key=lambda w: (-len(w), w))[:MARKS] for p in passages]
         self.idf = np.zeros(len(vocab) + 1)
-        self.basis = self.latent = self.limit = self.captured = None
+        self.basis = self.latent = self.limit = self.captured = self.cover = self.reach = None
         self.least = 0.0
         self._index_runs()
 
@@ -175,6 +186,16 @@ class Passages:
         # a window's latent norm is at most the norm of its benchmark terms:
         # below this share of the whole window's norm no limit is reached
         self.least = float((self.limit * self.captured)[projected].min(initial=2.0)) ** 2 / 2
+        # latent product with a passage at which a window covers enough of it,
+        # and the most that each word adds to a passage's limit
+        self.cover = np.full(len(size), np.inf)
+        self.reach = np.zeros(len(self.idf))
+        for k in np.flatnonzero(projected):
+            p = self.words[k]
+            t, w = self._row(p)
+            need = CANDIDATE * _least_cover((w * self.idf[t])[np.searchsorted(t, p)])
+            self.cover[k] = need * norms[k]
+            self.reach[t] = np.maximum(self.reach[t], w * self.idf[t] / (need * (w @ w)))
         # shorter passages must occur word for word: their runs find them
         self.limit[~projected] = np.inf
         self.masks = [_masks(p.tolist()) for p in self.words]
@@ -192,16 +213,20 @@ class Passages:
         starts = np.arange(0, n, step)
         every = np.add.reduceat(w2, starts)
         known = np.add.reduceat(np.where(ids < len(self.vocab), w2, 0), starts)
+        reach = np.add.reduceat(self.reach[ids], starts)
         if len(starts) > 1:
             every = every[:-1] + every[1:]
             known = known[:-1] + known[1:]
-        at = np.flatnonzero((known > 0) & (known >= self.least * every))
+            reach = reach[:-1] + reach[1:]
+        at = np.flatnonzero((known > 0) & ((known >= self.least * every) | (reach >= CAPTURED)))
         if len(at):
             latent = np.array([self.basis[ids[starts[i]:starts[i] + WINDOW]].sum(axis=0) for i in at])
             norms = np.maximum(np.linalg.norm(latent, axis=1)[:, None],
                                self.captured[None, :] * np.sqrt(every[at])[:, None])
-            cos = (latent @ self.latent.T) / np.maximum(norms, 1e-12)
-            for i, j in np.argwhere(cos >= self.limit[None, :]):
+            along = latent @ self.latent.T
+            cos = along / np.maximum(norms, 1e-12)
+            near = (cos >= self.limit[None, :]) | (along >= self.cover[None, :] * (1 - 1e-4))
+            for i, j in np.argwhere(near):
                 found[int(j), int(starts[at[i]])] = float(cos[i, j])
         return ids, [(k, start, self.cosine(ids, k, start) if cos is None else cos)
                      for (k, start), cos in found.items()]

@@ -179,3 +179,26 @@ def test_every_passage_keeps_its_share_and_blocks_hold_few_passages(spark, monke
     monkeypatch.setattr(D, "BLOCK_PASSAGES", 100)
     blocks = [b.value for b in D.prepared_blocks(docs, bench)]
     assert len(blocks) == 3 and sum(len(b.items) for b in blocks) == 300
+
+
+@pytest.mark.parametrize("n_docs", [9_000, 900_000, 10 ** 10])
+def test_words_around_a_copy_do_not_hide_it(monkeypatch, n_docs):
+    """The projection alone finds short copies between words outside the
+    vocabulary, however many documents there are."""
+    rng = random.Random(5)
+    words = [b"w%d" % i for i in range(3000)]
+    zipf = [1 / (i + 1) for i in range(3000)]
+    items = [rng.choices(words, zipf, k=rng.randint(15, 46)) for _ in range(100)]
+    block = D.Passages(list(range(100)), items)
+    share = np.array([1 / (int(w[1:]) + 1) for w in sorted(block.vocab, key=block.vocab.get)])
+    block.weigh((share * n_docs).astype(int), n_docs)
+    rows = np.zeros((100, len(block.vocab)))
+    for row, (t, w) in zip(rows, block.rows()):
+        row[t] = w
+    block.settle(np.linalg.svd(rows, full_matrices=False)[2].T)
+    monkeypatch.setattr(D.Passages, "copies", lambda self, ids: set(), raising=False)
+    for k, item in enumerate(items):
+        for at in range(0, 32, 3):
+            text = [b"f%d" % i for i in range(at)] + item + [b"g%d" % i for i in range(90)]
+            found = block.candidates(b" ".join(text).decode())[1]
+            assert k in {j for j, *_ in found}, (k, at)
