@@ -13,7 +13,8 @@ from ravel.sinks.text import degree_report_lines
 from ravel.sources.tables import cast_rows
 
 # Binding parameters: the data's years run 1995-2001, so the title rule
-# uses 2001; the lists of the farthest actors are those at FAR hops.
+# uses 2001; the lists of the farthest actors are those at FAR hops, and in the
+# `_max` queries those at the program's own bound, graph.MAX_HOPS.
 CAST_MIN_YEAR = 2001
 FAR = 3
 
@@ -56,17 +57,27 @@ def degree_summary(spark, sf_dir):
     return graph.degree_summary(dist, people, edges)
 
 
-def farthest_names(spark, sf_dir):
-    edges, people, dist = _graph(spark, sf_dir, FAR)
-    return graph.farthest(dist, people, FAR)
+def farthest_names(spark, sf_dir, hops=FAR):
+    edges, people, dist = _graph(spark, sf_dir, hops)
+    return graph.farthest(dist, people, hops)
 
 
-def degree_report(spark, sf_dir):
-    """The report's lines (sec, sub, line) for a search of FAR hops."""
-    edges, people, dist = _graph(spark, sf_dir, FAR)
-    return degree_report_lines(graph.degree_summary(dist, people, edges, FAR),
-                               graph.degree_histogram(dist, people, FAR),
-                               graph.farthest(dist, people, FAR), FAR)
+def farthest_names_max(spark, sf_dir):
+    """The list of the whole search: empty where nobody is that far."""
+    return farthest_names(spark, sf_dir, graph.MAX_HOPS)
+
+
+def degree_report(spark, sf_dir, hops=FAR):
+    """The report's lines (sec, sub, line) for a search of ``hops`` hops."""
+    edges, people, dist = _graph(spark, sf_dir, hops)
+    return degree_report_lines(graph.degree_summary(dist, people, edges, hops),
+                               graph.degree_histogram(dist, people, hops),
+                               graph.farthest(dist, people, hops), hops)
+
+
+def degree_report_max(spark, sf_dir):
+    """The program's report: the whole search."""
+    return degree_report(spark, sf_dir, graph.MAX_HOPS)
 
 
 QUERIES = {
@@ -77,6 +88,8 @@ QUERIES = {
     "degree_summary": degree_summary,
     "farthest_names": farthest_names,
     "degree_report": degree_report,
+    "farthest_names_max": farthest_names_max,
+    "degree_report_max": degree_report_max,
 }
 
 _TITLE = """
@@ -149,21 +162,27 @@ select n_actors, n_male, n_female, (n_male * 100 // n_actors)::bigint as pct_mal
   reached_female, (reached / n_actors)::float as ratio, (reached_male / n_male)::float as ratio_male,
   (reached_female / n_female)::float as ratio_female
 from tot, r, mv""",
-    "farthest_names": _bfs(FAR) + f"""
+}
+
+
+def _farthest_sql(hops: int) -> str:
+    return _bfs(hops) + f"""
 select is_male, row_number() over (partition by is_male order by name, actor_id) as idx,
   name, actor_id
-from dist join people using (actor_id) where distance = {FAR}""",
-}
-ORACLE["degree_report"] = ORACLE["degree_summary"].replace(_BFS, _bfs(FAR)).replace(
-    "between 1 and 6", f"between 1 and {FAR}").replace("select n_actors, n_male", """,
+from dist join people using (actor_id) where distance = {hops}"""
+
+
+def _report_sql(hops: int) -> str:
+    return ORACLE["degree_summary"].replace(_BFS, _bfs(hops)).replace(
+        "between 1 and 6", f"between 1 and {hops}").replace("select n_actors, n_male", """,
 sm as (select n_actors, n_male""", 1) + f""")
 ,
 per as (select distance, count(*) filter (where is_male) as actors,
                count(*) filter (where not is_male) as actresses
         from dist join people using (actor_id) where distance >= 1 group by distance),
-lv as (select range::int as distance from range(1, {FAR + 1})),
+lv as (select range::int as distance from range(1, {hops + 1})),
 far as (select is_male, row_number() over (partition by is_male order by name, actor_id) as idx, name
-        from dist join people using (actor_id) where distance = {FAR})
+        from dist join people using (actor_id) where distance = {hops})
 select 0 as sec, 0::bigint as sub, format('Total number of actors = {{}}, out of which {{}} ({{}}%) are '
   || 'males while {{}} ({{}}%) are females.', n_actors, n_male, pct_male, n_female, pct_female) as line from sm
 union all select 0, 1, format('Total number of movies = {{}}', n_movies) from sm
@@ -173,18 +192,23 @@ union all select 1, lv.distance, format('There are {{}} ({{}}%) actors and {{}}
   coalesce(actresses, 0), printf('%.1f', round(coalesce(actresses, 0) * 100.0 / n_female, 1)), lv.distance)
   from lv left join per using (distance), tot
 union all select 2, 0, ''
-union all select 2, 1, 'Total number of actors from distance 1 to {FAR} = ' || reached || ', ratio = ' || ratio from sm
-union all select 2, 2, 'Total number of male actors from distance 1 to {FAR} = ' || reached_male
+union all select 2, 1, 'Total number of actors from distance 1 to {hops} = ' || reached || ', ratio = ' || ratio from sm
+union all select 2, 2, 'Total number of male actors from distance 1 to {hops} = ' || reached_male
   || ', ratio = ' || ratio_male from sm
-union all select 2, 3, 'Total number of female actors (actresses) from distance 1 to {FAR} = ' || reached_female
+union all select 2, 3, 'Total number of female actors (actresses) from distance 1 to {hops} = ' || reached_female
   || ', ratio = ' || ratio_female from sm
 union all select 2, 4, ''
-union all select 2, 5, 'List of male actors at distance {FAR}:'
+union all select 2, 5, 'List of male actors at distance {hops}:'
 union all select 4, 0, ''
-union all select 4, 1, 'List of female actors (actresses) at distance {FAR}:'
+union all select 4, 1, 'List of female actors (actresses) at distance {hops}:'
 union all select case when is_male then 3 else 5 end, idx, idx || '. ' || name from far"""
 
 
+ORACLE |= {"farthest_names": _farthest_sql(FAR), "degree_report": _report_sql(FAR),
+           "farthest_names_max": _farthest_sql(graph.MAX_HOPS),
+           "degree_report_max": _report_sql(graph.MAX_HOPS)}
+
+
 # Titles in a cast-list file, about (files hold whole actors).
 TITLES_PER_FILE = 200_000
 

@@ -188,3 +188,23 @@ def test_adjacency_sizes_equal_pair_enumeration(spark):
     df = spark.createDataFrame(edges, "actor_id long, movie long")
     got = {r.actor_id: r.co_star_slots for r in graph.adjacency_sizes(df).collect()}
     assert got == want
+
+
+def test_report_and_farthest_list_of_the_whole_search(spark):
+    """All hops of the program, where the 3-hop queries leave actors out."""
+    from ravel.plans import graph_q
+
+    sf = "/root/testdata/sf0.1"
+    rows = graph_q.cast_parse(spark, sf).distinct().collect()
+    names = {r.actor_id: r.name for r in rows}
+    source = min(names, key=lambda a: (names[a], a))
+    dist = py_bfs([(r.actor_id, r.movie) for r in rows], source, graph.MAX_HOPS)
+    far = sorted(names[a] for a, d in dist.items() if d == graph.MAX_HOPS)
+    reached = sum(d > 0 for d in dist.values())
+    assert far and reached > sum(0 < d <= graph_q.FAR for d in dist.values())
+    got = graph_q.QUERIES["farthest_names_max"](spark, sf).collect()
+    assert sorted(r.name for r in got) == far
+    lines = {(r.sec, r.sub): r.line for r in graph_q.QUERIES["degree_report_max"](spark, sf).collect()}
+    assert lines[2, 1].startswith(f"Total number of actors from distance 1 to 6 = {reached}, ")
+    assert [(1, d) in lines for d in range(1, 8)] == [True] * 6 + [False]
+    assert sorted(v.split(". ", 1)[1] for (sec, _), v in lines.items() if sec in (3, 5)) == far
