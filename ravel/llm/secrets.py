@@ -24,8 +24,9 @@ are all that is broadcast.
 
 Edge cases: a null or empty text has no findings. Offsets count code points.
 Every occurrence is a finding; rows that repeat an id have their own. A null
-path or id is kept as null. Runs of over 256 characters are data, not
-secrets, and are no candidates. Extra columns are ignored.
+path or id is kept as null. An assigned value may be of any length and is one
+finding; unassigned runs of over 256 characters are taken for data and are no
+candidates. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -47,11 +48,15 @@ DICTIONARY = 30_000
 TREES = 24
 DEPTH = 7
 NEAR = 40
+PIECE = 256            # characters of a value looked up in one row
 _RUN = r"[A-Za-z0-9+/_\-]"
 _NAMES = r"(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|credential)"
 CANDIDATE = (
-    rf"(?<!{_RUN})(?=[A-Za-z+/_\-]*+[0-9]){_RUN}{{16,256}}+(?!{_RUN})={{0,2}}"
-    # the short look-behinds only spare the long one where it cannot match
+    # the short look-behinds only spare the long one where it cannot match; a
+    # value of over 256 characters comes first, so that no part of it is taken
+    r"(?<=[=: \"'])(?<=[=:][ ]{0,2}[\"']{0,1})(?=[^\s\"']{257})"
+    rf"(?i:(?<={_NAMES}[\"']{{0,1}}[ ]{{0,2}}[=:][ ]{{0,2}}[\"']{{0,1}}))[^\s\"']{{257,}}+"
+    rf"|(?<!{_RUN})(?=[A-Za-z+/_\-]*+[0-9]){_RUN}{{16,256}}+(?!{_RUN})={{0,2}}"
     r"|(?<=[=: \"'])(?<=[=:][ ]{0,2}[\"']{0,1})"
     rf"(?i)(?<={_NAMES}[\"']{{0,1}}[ ]{{0,2}}[=:][ ]{{0,2}}[\"']{{0,1}})[^\s\"']{{6,256}}+(?![^\s\"'])"
     r"|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----")
@@ -115,6 +120,16 @@ def value_features(values: DataFrame, dictionary: DataFrame) -> DataFrame:
         c == "", 0.0).otherwise(
             (n - F.char_length(F.replace(v, c, F.lit("")))) / n
             * F.log2((n - F.char_length(F.replace(v, c, F.lit("")))) / n)))
+    # long values: runs of the sorted characters, one step each
+    term = lambda k: F.when(k == 0, 0.0).otherwise(-k / n * F.log2(k / n))
+    state = lambda c, k, e: F.struct(c.alias("c"), k.alias("k"), e.alias("e"))
+    by_runs = F.aggregate(
+        F.array_sort(F.filter(chars, lambda c: c != "")),
+        state(F.lit(""), F.lit(0), F.lit(0.0)),
+        lambda s, c: state(c, F.when(s["c"] == c, s["k"] + 1).otherwise(F.lit(1)),
+                           F.when(s["c"] == c, s["e"]).otherwise(s["e"] + term(s["k"]))),
+        lambda s: s["e"] + term(s["k"]))
+    entropy = F.when(n <= PIECE, entropy).otherwise(by_runs)
     plain = values.select("value").distinct().select(
         "value", n.cast("double").alias("length"), _share(v, "[^0-9]").alias("digits"),
         _share(v, "[^A-Z]").alias("uppers"), _share(v, "[^a-z]").alias("lowers"),
@@ -123,21 +138,32 @@ def value_features(values: DataFrame, dictionary: DataFrame) -> DataFrame:
         v.rlike("^[0-9a-f]+$|^[0-9A-F]+$").cast("double").alias("hex"),
         entropy.alias("entropy"), v.rlike(_KNOWN).cast("double").alias("known"),
         F.lower(v).rlike(_PLACEHOLDERS).cast("double").alias("placeholder"),
-        v.rlike("^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-|^[0-9]+([-/][0-9]+)+|^[a-z]+([-_/][a-z0-9]+)+$")
+        # words joined by single signs: told without a repeated group, whose
+        # recursion a long value would not survive
+        (v.rlike("^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-|^[0-9]+[-/][0-9]")
+         | (v.rlike("^[a-z]+[-_/][a-z0-9]") & v.rlike("^[a-z0-9_/-]+$") & ~v.rlike("[-_/]([-_/]|$)")))
         .cast("double").alias("dashed"))
     plain = plain.withColumn("transitions", (F.col("runs") - 1) / F.greatest(F.col("length") - 1, F.lit(1)))
-    # positions covered by dictionary words of 4 to 8 letters
-    parts = F.flatten(F.transform(F.sequence(F.lit(1), F.char_length("value")), lambda p: F.transform(
-        F.sequence(F.lit(4), F.lit(8)), lambda k: F.struct(
-            p.alias("p"), k.alias("k"), F.lower(F.substr("value", p, k)).alias("word")))))
-    covered = (values.select("value").distinct().select("value", F.inline(parts))
+    # positions covered by dictionary words of 4 to 8 letters; values are cut
+    # into overlapping pieces, so that a row stays short however long they are
+    pieces = values.select("value").distinct().select(
+        F.sha2("value", 256).alias("id"), F.explode(F.transform(
+            F.sequence(F.lit(0), F.char_length("value") - 1, F.lit(PIECE)), lambda at: F.struct(
+                at.alias("at"), F.substr("value", at + 1, F.lit(PIECE + 7)).alias("piece")))).alias("x"))
+    pieces = pieces.select("id", "x.at", "x.piece")
+    parts = F.flatten(F.transform(
+        F.sequence(F.lit(1), F.least(F.char_length("piece"), F.lit(PIECE))), lambda p: F.transform(
+            F.sequence(F.lit(4), F.lit(8)), lambda k: F.struct(
+                (F.col("at") + p).alias("p"), k.alias("k"), F.lower(F.substr("piece", p, k)).alias("word")))))
+    covered = (pieces.select("id", F.inline(parts))
                .where(F.char_length("word") == F.col("k"))
                .join(F.broadcast(dictionary), "word")
-               .select("value", F.explode(F.sequence(F.col("p"), F.col("p") + F.col("k") - 1)).alias("p"))
-               .distinct().groupBy("value").agg(F.count(F.lit(1)).alias("covered")))
-    return (plain.join(covered, "value", "left")
+               .select("id", F.explode(F.sequence(F.col("p"), F.col("p") + F.col("k") - 1)).alias("p"))
+               .distinct().groupBy("id").agg(F.count(F.lit(1)).alias("covered")))
+    plain = plain.withColumn("id", F.sha2("value", 256))
+    return (plain.join(covered, "id", "left")
             .withColumn("dictionary", F.coalesce(F.col("covered") / F.col("length"), F.lit(0.0)))
-            .drop("covered"))
+            .drop("covered", "id"))
 
 
 def with_features(rows: DataFrame, dictionary: DataFrame) -> DataFrame:

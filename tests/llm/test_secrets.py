@@ -117,3 +117,30 @@ def test_scan_after_observed_metrics(spark, words):
     own = S.train(S.example_findings(spark, 400), words)
     docs = spark.createDataFrame([(1, "x AKIA" + "Q7" * 8)], "doc_id long, text string")
     assert S.scan(docs, own, words).count() == 1 and S.scan(docs, own, words).first().secret is not None
+
+
+def test_assigned_values_of_any_length(spark, words, model):
+    token = ".".join(["eyJhbGciOiJIUzI1NiJ9", "x7Kq" * 60, "Zt4_-9aB" * 20])
+    values = ["k" * 256, "k4" * 128 + "x", token, "AccountKey=" + "q8Rt" * 80 + ";End=1", "v9" * 300_000,
+              "ab-c1" * 50_000, "語彙" + "".join(chr(0x4e00 + i % 9000) for i in range(60_000))]
+    docs = spark.createDataFrame([(i, f"the password={v} end") for i, v in enumerate(values)]
+                                 + [(9, "api_key: \"" + token + "\"")], "doc_id long, text string")
+    got = {r.doc_id: (r.start, r.length, r.value, r.probability) for r in S.scan(docs, model, words).collect()}
+    assert {d: v[:3] for d, v in got.items()} == {
+        **{i: (13, len(v), v) for i, v in enumerate(values)}, 9: (10, len(token), token)}
+    assert all(0 <= v[3] <= 1 for v in got.values())
+
+
+def test_features_of_long_values(spark, words):
+    known = {r.word for r in words.collect()}
+    values = ["Xq7/" * 63 + "waterhouse" * 3 + "Zt" * 200, "a-b_c/1" * 100, "a--b" * 100, "a-b" * 99 + "-"]
+    rows = spark.createDataFrame([(v, None, None, None) for v in values],
+                                 "value string, before string, after string, path string")
+    got = {r.value: r for r in S.with_features(rows, words).collect()}
+    for v in values:
+        covered = {i for p in range(len(v)) for k in range(4, 9) if p + k <= len(v)
+                   and v[p:p + k].lower() in known for i in range(p, p + k)}
+        shares = [v.count(c) / len(v) for c in set(v)]
+        assert got[v].dictionary == pytest.approx(len(covered) / len(v))
+        assert got[v].entropy == pytest.approx(-sum(p * math.log2(p) for p in shares))
+        assert got[v].dashed == bool(re.search("^[0-9]+([-/][0-9]+)+|^[a-z]+([-_/][a-z0-9]+)+$", v))
