@@ -2,13 +2,14 @@
 ones (DataFrame, SQL and Spark ML only).
 
 A candidate is a run of 16 to 256 letters, digits, ``+/_-`` that holds a
-digit, a run of at least 6 visible characters assigned to a name such as
-``password`` or ``token``, or the first line of a private key. Features are
-its length, its character classes and the transitions between them, its
-entropy, the share of it covered by dictionary words, known prefixes, the
-path it was found under, and the words next to it. The forest is trained on
-labelled findings; a finding is kept where the forest's probability is at
-least ``THRESHOLD``.
+digit, such a run of any length, with or without digits, that begins with a
+known prefix or follows a word such as ``key`` or ``bearer``, a run of at least
+6 visible characters assigned to a name such as ``password`` or ``token``, or
+the first line of a private key. Features are its length, its character
+classes and the transitions between them, its entropy, the share of it covered
+by dictionary words, known prefixes, the path it was found under, and the
+words next to it. The forest is trained on labelled findings; a finding is
+kept where the forest's probability is at least ``THRESHOLD``.
 
 The tables hold no labelled findings, so by default Spark derives a bounded
 set of ``EXAMPLES``: key formats and assigned random values as secrets; card
@@ -25,8 +26,9 @@ are all that is broadcast.
 Edge cases: a null or empty text has no findings. Offsets count code points.
 Every occurrence is a finding; rows that repeat an id have their own. A null
 path or id is kept as null. An assigned value may be of any length and is one
-finding; unassigned runs of over 256 characters are taken for data and are no
-candidates. Extra columns are ignored.
+finding; other runs of over 256 characters, but for those with a known prefix
+or after a word as above, are taken for data and are no candidates. Extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -51,6 +53,10 @@ NEAR = 40
 PIECE = 256            # characters of a value looked up in one row
 _RUN = r"[A-Za-z0-9+/_\-]"
 _NAMES = r"(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|credential)"
+# Public prefixes of keys and tokens.
+_PREFIXES = "AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|xox[abp]-|sk_live_|sk_test_|AIza"
+_KNOWN = rf"^({_PREFIXES}|-----BEGIN )"
+_SECRET_WORDS = r"password|passwd|pwd|secret|token|key|credential|auth|bearer|private"
 CANDIDATE = (
     # the short look-behinds only spare the long one where it cannot match; a
     # value of over 256 characters comes first, so that no part of it is taken
@@ -59,10 +65,10 @@ CANDIDATE = (
     rf"|(?<!{_RUN})(?=[A-Za-z+/_\-]*+[0-9]){_RUN}{{16,256}}+(?!{_RUN})={{0,2}}"
     r"|(?<=[=: \"'])(?<=[=:][ ]{0,2}[\"']{0,1})"
     rf"(?i)(?<={_NAMES}[\"']{{0,1}}[ ]{{0,2}}[=:][ ]{{0,2}}[\"']{{0,1}})[^\s\"']{{6,256}}+(?![^\s\"'])"
+    rf"|(?-i:(?<!{_RUN})(?={_PREFIXES}){_RUN}{{16,}}+={{0,2}})"
+    rf"|(?<=[=:> \"'])(?={_RUN}{{16}})(?<=(?:{_SECRET_WORDS})[\"']{{0,1}}[ ]{{0,2}}[=:>]{{0,2}}[ ]{{0,2}}[\"']{{0,1}})"
+    rf"{_RUN}{{16,}}+={{0,2}}"
     r"|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----")
-# Public prefixes of keys and tokens.
-_KNOWN = r"^(AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|xox[abp]-|sk_live_|sk_test_|AIza|-----BEGIN )"
-_SECRET_WORDS = r"password|passwd|pwd|secret|token|key|credential|auth|bearer|private"
 _PLAIN_WORDS = r"commit|sha|md5|checksum|etag|uuid|guid|id|version|release|number|order|card|date"
 _PLACEHOLDERS = r"example|sample|dummy|placeholder|your|xxxx|changeme|0000|1234567"
 FEATURES = ["length", "digits", "uppers", "lowers", "others", "runs", "transitions", "hex",
