@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from ravel.llm import ann, bpe, decontam, lines, pii, secrets, simhash, toxicity, urls, warc
+from ravel.llm import ann, bpe, decontam, lines, periodic, pii, secrets, simhash, toxicity, urls, warc
 
 QUERIES = {}
 ORACLE = {}
 
-for _mod in (ann, lines, pii, secrets, toxicity, urls, warc, bpe, simhash, decontam):
+for _mod in (ann, lines, pii, secrets, toxicity, urls, warc, bpe, simhash, decontam, periodic):
     QUERIES.update(_mod.QUERIES)
     ORACLE.update(_mod.ORACLE)
