@@ -197,14 +197,16 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Severity:
         for b in batches:
             rows = [empty.counts(t) for t in b["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b["is_toxic"], pa.array([n for _, n in rows], pa.int64()),
+                [b["key"], b["is_toxic"], pa.array([n for _, n in rows], pa.int64()),
                  pa.array([list(c) for c, _ in rows], pa.list_(pa.int32())),
                  pa.array([list(c.values()) for c, _ in rows], pa.list_(pa.int32()))],
-                ["is_toxic", "words", "cols", "counts"])
+                ["key", "is_toxic", "words", "cols", "counts"])
 
-    # about SAMPLE short vectors of at most FEATURES entries
-    got = sample.mapInArrow(
-        vectors, "is_toxic int, words long, cols array<int>, counts array<int>").toArrow()
+    # about SAMPLE short vectors of at most FEATURES entries, in the order of
+    # their texts' hashes: sums and folds are the same on any cluster
+    got = sample.select("*", F.sha2("text", 256).alias("key")).mapInArrow(
+        vectors, "key string, is_toxic int, words long, cols array<int>, counts array<int>")
+    got = got.toArrow().sort_by([("key", "ascending"), ("is_toxic", "ascending")])
     toxic = got["is_toxic"].to_numpy() > 0
     words = np.maximum(got["words"].to_numpy(), 1)
     cols = got["cols"].combine_chunks()

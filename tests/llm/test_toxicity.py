@@ -87,3 +87,39 @@ def test_edge_cases(spark):
     assert T.drop_toxic(docs, one_kind).count() == docs.count()
     assert T.score(docs.where("doc_id < 0"), model).count() == 0
     assert not T.fit(docs.where("doc_id < 0"), labels).index
+
+
+def test_same_model_for_any_partitions(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), set()
+    try:
+        for n in (3, 8, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            m = T.fit(docs.repartition(n, "doc_id"), labels)
+            found.add((m.cutoff, tuple(m.weights), tuple(m.cuts), tuple(m.index)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(found) == 1
+
+
+def test_scores_equal_the_formula(spark):
+    """Severity, grade and verdict of every document from the fitted weights,
+    written out by hand."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    m = T.fit(docs, labels)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in T.score(docs, m).collect():
+        words = T.word_counts(texts[r.doc_id])
+        n = max(sum(words.values()), 1)
+        counts = {}
+        for w, c in words.items():
+            for f in T.features_of(w):
+                if f in m.index:
+                    counts[f] = counts.get(f, 0) + c
+        eta = sum(m.weights[m.index[f]] * (1 + np.log1p(100 * c / n)) for f, c in counts.items())
+        p = [1 / (1 + np.exp(t - eta)) for t in m.cuts]
+        each = [1 - p[0], *(a - b for a, b in zip(p, [*p[1:], 0]))]
+        assert r.severity == pytest.approx(sum(p)) and r.p_toxic == pytest.approx(p[0])
+        assert r.grade == int(np.argmax(each)) and r.toxic == (p[0] >= m.cutoff)
