@@ -25,10 +25,8 @@ are all that is broadcast.
 
 Edge cases: a null or empty text has no findings. Offsets count code points.
 Every occurrence is a finding; rows that repeat an id have their own. A null
-path or id is kept as null. An assigned value may be of any length and is one
-finding; other runs of over 256 characters, but for those with a known prefix
-or after a word as above, are taken for data and are no candidates. Extra
-columns are ignored.
+path or id is kept as null. An assigned value or a run may be of any length and
+is one finding, whose features the forest judges. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -50,6 +48,7 @@ DICTIONARY = 30_000
 TREES = 24
 DEPTH = 7
 NEAR = 40
+FIT_PARTITIONS = 16
 PIECE = 256            # characters of a value looked up in one row
 _RUN = r"[A-Za-z0-9+/_\-]"
 _NAMES = r"(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|credential)"
@@ -62,7 +61,7 @@ CANDIDATE = (
     # value of over 256 characters comes first, so that no part of it is taken
     r"(?<=[=: \"'])(?<=[=:][ ]{0,2}[\"']{0,1})(?=[^\s\"']{257})"
     rf"(?i:(?<={_NAMES}[\"']{{0,1}}[ ]{{0,2}}[=:][ ]{{0,2}}[\"']{{0,1}}))[^\s\"']{{257,}}+"
-    rf"|(?<!{_RUN})(?=[A-Za-z+/_\-]*+[0-9]){_RUN}{{16,256}}+(?!{_RUN})={{0,2}}"
+    rf"|(?<!{_RUN})(?=[A-Za-z+/_\-]*+[0-9]){_RUN}{{16,}}+={{0,2}}"
     r"|(?<=[=: \"'])(?<=[=:][ ]{0,2}[\"']{0,1})"
     rf"(?i)(?<={_NAMES}[\"']{{0,1}}[ ]{{0,2}}[=:][ ]{{0,2}}[\"']{{0,1}})[^\s\"']{{6,256}}+(?![^\s\"'])"
     rf"|(?-i:(?<!{_RUN})(?={_PREFIXES}){_RUN}{{16,}}+={{0,2}})"
@@ -254,6 +253,10 @@ def train(labelled: DataFrame, dictionary: DataFrame) -> RandomForestClassificat
     spark = labelled.sparkSession
     rows = with_features(labelled, dictionary).select(
         F.col("label").cast("double").alias("label"), *FEATURES)
+    # bagging follows the rows of each partition: a fixed number of partitions
+    # by content, each in order, gives the same forest on any cluster
+    rows = rows.repartition(FIT_PARTITIONS, "label", *FEATURES) \
+        .sortWithinPartitions("label", *FEATURES)
     table = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
     model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=3).fit(
         pinned(table.select("label", "features")))

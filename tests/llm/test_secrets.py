@@ -54,7 +54,7 @@ def slow_candidates(text):
     """Candidates by scanning, for texts without assignments."""
     run = re.compile(r"[A-Za-z0-9+/_\-]+")
     for m in run.finditer(text):
-        if 16 <= len(m.group()) <= 256 and re.search("[0-9]", m.group()):
+        if len(m.group()) >= 16 and re.search("[0-9]", m.group()):
             yield m.start(), m.group() + re.match("={0,2}", text[m.end():]).group()
 
 
@@ -97,7 +97,7 @@ def test_edge_cases(spark, words, model):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, value string")
     got = S.scan(docs, model, words)
     n = {r.doc_id: r["count"] for r in got.groupBy("doc_id").count().collect()}
-    assert n == {3: 2, None: 1, 5: 20_001}
+    assert n == {3: 2, None: 1, 4: 1, 5: 20_001}
     assert {r.secret for r in got.where("value like 'AKIA%'").collect()} == {True}
     assert S.scan(docs.where("doc_id > 9"), model, words).count() == 0
 
@@ -169,3 +169,31 @@ def test_every_key_with_a_known_prefix_is_a_candidate(spark):
     docs = spark.createDataFrame([(i, f"seen {k} there") for i, k in enumerate(keys)],
                                  "doc_id long, text string")
     assert {(r.doc_id, r.value) for r in S.findings(docs).collect()} == set(enumerate(keys))
+
+
+def test_bare_runs_of_any_length(spark, words, model):
+    """An unassigned run is a finding whatever its length."""
+    rng = random.Random(3)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
+    values = ["".join(rng.choices(chars, k=n)) for n in (200, 256, 257, 344, 400, 1024)]
+    values.append("eyJhbGciOiJIUzI1NiJ9" + "x7Kq" * 71)
+    docs = spark.createDataFrame(
+        [(i, f"see {v}== there") for i, v in enumerate(values)]
+        + [(50, f'"{values[3]}"'), (51, "z9Q" * 100_000)], "doc_id long, text string")
+    got = {r.doc_id: (r.start, r.value) for r in S.scan(docs, model, words).collect()}
+    assert got == {**{i: (4, v + "==") for i, v in enumerate(values)}, 50: (1, values[3]),
+                   51: (0, "z9Q" * 100_000)}
+
+
+def test_same_probabilities_for_any_partitions(spark, words):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (3, 8, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            own = S.train(S.example_findings(spark).repartition(n), words)
+            found.append(sorted(((r.doc_id, r.start, r.value, r.probability) for r in
+                                 S.scan(docs, own, words).collect()), key=str))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] == found[2] and found[0]
