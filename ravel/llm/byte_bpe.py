@@ -46,6 +46,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -57,6 +58,7 @@ MAX_FILE = 64 << 20
 SLICE_CHARS = 1 << 18   # text that is split at once
 KEPT_MATCHES = 1 << 18  # distinct matches whose ids a task keeps
 KEPT_CHARS = 64         # of at most so many characters
+DECODED_IDS = 1 << 18   # ids decoded at once
 _BOUND = re.compile(r"(?<=[!-~])[ \n]")
 _loaded: dict[int, "ByteTokenizer"] = {}
 
@@ -173,6 +175,10 @@ class ByteTokenizer:
         for token, i in vocab.items():
             self.pieces[i] = bytes(map(byte_of.__getitem__, token))
         self.lengths = np.array([len(p) for p in self.pieces], dtype=np.int64)
+        every = [*self.pieces, "\ufffd".encode()]
+        self._table = np.frombuffer(b"".join(every), dtype=np.uint8)
+        self._size = np.array([len(p) for p in every], dtype=np.int64)
+        self._first = np.cumsum(self._size) - self._size
 
     def matches(self, text: str) -> list[str]:
         """The pattern's matches in ``text``, in order."""
@@ -232,16 +238,19 @@ class ByteTokenizer:
         starts = ends - self.lengths[ids]
         return character[starts].astype(np.int32), (character[ends - 1] + 1).astype(np.int32)
 
-    def decode_bytes(self, ids: list) -> bytes:
-        """Bytes of the tokens; U+FFFD for what is no id."""
-        try:
-            if ids and min(ids) >= 0:
-                return b"".join(map(self.pieces.__getitem__, ids))
-        except (IndexError, TypeError):
-            pass
-        known = range(len(self.pieces))
-        return b"".join(self.pieces[i] if i is not None and i in known else b"\xef\xbf\xbd"
-                        for i in ids)
+    def decode_bytes(self, ids) -> bytes:
+        """Bytes of the tokens, a gather from the table of all tokens' bytes;
+        U+FFFD for what is no id."""
+        out = []
+        for at in range(0, len(ids), DECODED_IDS):
+            i = ids[at:at + DECODED_IDS]
+            if isinstance(i, list):
+                i = np.array([-1 if x is None else x for x in i], dtype=np.int64)
+            i = np.where((i >= 0) & (i < len(self.pieces)), i, len(self.pieces))
+            n = self._size[i]
+            first = self._first[i] - (np.cumsum(n) - n)
+            out.append(self._table[np.repeat(first, n) + np.arange(n.sum())].tobytes())
+        return b"".join(out)
 
     def decode_stream(self, ids):
         """Text of every id in turn: a character split between tokens comes
@@ -318,7 +327,10 @@ def decode_documents(encoded: DataFrame, spec: Spec, ids_col: str = "ids") -> Da
     def run(batches):
         tok = spec.tokenizer()
         for b in batches:
-            found = [tok.decode_bytes(i or []) for i in b[ids_col].to_pylist()]
+            lists = b[ids_col]
+            ids = np.asarray(lists.flatten().fill_null(-1))
+            ends = np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(lists), 0)))
+            found = [tok.decode_bytes(ids[i:j]) for i, j in zip([0, *ends[:-1]], ends)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.binary())],
                                              [*b.schema.names, "decoded"])
 
