@@ -20,9 +20,10 @@ follows the table until that bound; beyond it leaves hold more blocks.
 
 Edge cases: a vector that is null, empty, zero, or holds a null or non-finite
 component takes no part, nor does one whose length is not the most common one.
-Null ids take no part. Rows that repeat an id with the same vector are one
-candidate; a query never finds rows of its own id. With fewer than k
-candidates all are returned. Ties go to the smaller id. Extra columns are
+Null ids take no part. An id is one candidate and one query, whether its rows
+repeat a vector or hold several: its distance to another id is the smallest
+between a vector of the one and a vector of the other. A query never finds its
+own id. With fewer than k candidates all are returned. Ties go to the smaller id. Extra columns are
 ignored.
 """
 
@@ -147,6 +148,22 @@ def _distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.sqrt(((x - q) ** 2).sum(axis=1))
 
 
+def nearest_ids(d: np.ndarray, ids: list, k: int) -> list[tuple[float, int]]:
+    """The ``k`` nearest different ids, (distance, id), of vectors at distances
+    ``d`` that each belong to a sorted list of ids."""
+    at = k
+    while True:
+        limit = np.partition(d, at - 1)[at - 1] if at < len(d) else np.inf
+        best: dict[int, float] = {}
+        for j in np.flatnonzero(d <= limit).tolist():
+            for i in ids[j][:k].tolist():
+                if d[j] < best.get(i, np.inf):
+                    best[i] = float(d[j])
+        if len(best) >= k or at >= len(d):
+            return heapq.nsmallest(k, ((x, i) for i, x in best.items()))
+        at *= 4
+
+
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, int]:
     """(vec_id, v array<double>) of the rows that take part, and their length."""
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"),
@@ -188,6 +205,10 @@ class Index:
         rows, self.dim = usable(vectors, id_col, vec_col)
         self.distinct = pinned(distinct_vectors(rows, k + 1))
         n = self.distinct.count()
+        # so many vectors surely belong to more than k ids
+        most = (self.distinct.select(F.explode("ids").alias("id")).groupBy("id").count()
+                .agg(F.max("count").alias("n")).first().n) or 1
+        self.repeats, self.enough = most > 1, (k + 1) * most
         share = min(1.0, SAMPLE / max(n, 1))
         sample = self.distinct.where(
             F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int(share * (1 << 30)))
@@ -276,7 +297,7 @@ class Index:
     def search(self, queries: DataFrame, id_col: str = "vec_id",
                vec_col: str = "embedding") -> DataFrame:
         """(query_id, rank, vec_id, score) for every usable query row."""
-        k, dim = self.k, self.dim
+        k, dim, enough = self.k, self.dim, self.enough
         tree, visits = self.shared, self.visits
         rows, _ = usable(queries, id_col, vec_col)
         asked = pinned(_keyed(rows.where(F.size("v") == dim)))
@@ -294,7 +315,7 @@ class Index:
                 for key, q in zip(b["key"], _matrix(b["v"], dim)):
                     held, mine = 0, {}
                     for n, leaf in enumerate(tree.value.visit(q)):
-                        if n >= visits and held > k:
+                        if n >= visits and held >= enough:
                             break
                         if sizes.value.get(leaf):
                             mine.setdefault(bins.value[leaf], []).append(leaf)
@@ -324,7 +345,7 @@ class Index:
                  .select("bin", "block", "chunk", "leaf", "v", "ids"))
 
         def meet(q, x):
-            """The k + 1 nearest of each query among its leaves' vectors."""
+            """The k + 1 nearest ids of each query among its leaves' vectors."""
             out = []
             m, ids = _matrix(x["v"], dim), [np.asarray(i) for i in x["ids"]]
             leaf = x["leaf"].to_numpy()
@@ -333,22 +354,21 @@ class Index:
                 if not len(own):
                     continue
                 d = _distances(v, m[own])
-                at = min(k, len(d) - 1)
-                near = np.flatnonzero(d <= np.partition(d, at)[at])
-                best = heapq.nsmallest(k + 1, ((float(d[j]), int(i)) for j in near
-                                               for i in ids[own[j]][:k + 1]))
-                out += [(key, d_, i) for d_, i in best]
+                out += [(key, *x) for x in nearest_ids(d, [ids[j] for j in own], k + 1)]
             return pd.DataFrame(out, columns=["key", "score", "vec_id"])
 
         by = ["bin", "block", "chunk"]
         met = (left.groupBy(*by).cogroup(right.groupBy(*by))
                .applyInPandas(meet, "key string, score double, vec_id long"))
+        if self.repeats:        # an id's nearest vector counts
+            met = met.groupBy("key", "vec_id").agg(F.min("score").alias("score"))
         by_key = Window.partitionBy("key").orderBy("score", "vec_id")
         nearest = met.withColumn("r", F.row_number().over(by_key)).where(F.col("r") <= k + 1)
         own = asked.select("key", F.col("vec_id").alias("query_id")).distinct()
+        found = (own.join(nearest, "key").where("query_id <> vec_id")
+                 .groupBy("query_id", "vec_id").agg(F.min("score").alias("score")))
         by_query = Window.partitionBy("query_id").orderBy("score", "vec_id")
-        return (own.join(nearest, "key").where("query_id <> vec_id")
-                .withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
+        return (found.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
                 .select("query_id", "rank", "vec_id", "score"))
 
 

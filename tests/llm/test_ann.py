@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ravel.llm import ann
 
@@ -106,3 +107,48 @@ def test_few_and_no_rows(spark):
     none = v.where("vec_id = 9")
     assert found(ann.Index(none), none) == {}
     assert ann.Index(v).search(none).columns == ["query_id", "rank", "vec_id", "score"]
+
+
+def test_ids_with_several_vectors(spark):
+    """An id counts once, at its nearest vector, as query and as candidate."""
+    rng = np.random.default_rng(12)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(300)]
+    near = rng.normal(size=6)
+    rows += [(0, (near + rng.normal(size=6) / 50).tolist()) for _ in range(14)]
+    rows += [(7, (near + rng.normal(size=6) / 50).tolist()) for _ in range(14)]
+    rows += [(8, (near + 0.03).tolist()), (8, (near - 0.03).tolist()), (8, near.tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    index = ann.Index(df, k=10)
+    asked = [0, 7, 8, 20]
+    got = {}
+    for r in index.search(df.where(F.col("vec_id").isin(asked))).collect():
+        got.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
+    for q in asked:
+        best = {}
+        for i, v in rows:
+            if i != q:
+                d = min(float(np.sqrt(((np.array(v) - np.array(w)) ** 2).sum()))
+                        for j, w in rows if j == q)
+                best[i] = min(d, best.get(i, np.inf))
+        want = sorted((d, i) for i, d in best.items())[:10]
+        assert sorted(got[q]) == list(range(1, 11))
+        ids = [got[q][r][0] for r in range(1, 11)]
+        assert len(set(ids)) == 10 and q not in ids
+        assert len(set(ids) & {i for _, i in want}) >= 9
+        true = {i: d for d, i in want}
+        assert all(abs(true[i] - d) < 1e-9 for i, d in got[q].values() if i in true)
+
+
+def test_nearest_ids():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        n = int(rng.integers(1, 40))
+        d = rng.integers(0, 9, n).astype(float)
+        ids = [np.sort(rng.choice(12, int(rng.integers(1, 4)), replace=False)) for _ in range(n)]
+        best = {}
+        for x, own in zip(d, ids):
+            for i in own.tolist():
+                best[i] = min(best.get(i, np.inf), x)
+        want = sorted((x, i) for i, x in best.items())
+        # lists hold the smallest ids of a vector, as many as are asked for
+        assert ann.nearest_ids(d, ids, 4) == want[:4]
