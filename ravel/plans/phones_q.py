@@ -93,7 +93,7 @@ ORACLE = {
 }
 
 
-def _read_back(spark, records, work):
+def _read_back(spark, records, work, rows_per_segment=20_000):
     """(CrawlRead result, scratch folder) of ``records`` written as segments."""
     from ravel.session import ensure_checkpoint_dir, remove_path, scratch_path
     from ravel.sinks.files import write_segment_index, write_wet_segments
@@ -102,11 +102,12 @@ def _read_back(spark, records, work):
     ensure_checkpoint_dir(spark)
     base = scratch_path(spark, "crawl files")       # a path with a space
     for i, (rows, compression) in enumerate(records):
-        write_wet_segments(rows, f"{base}/segments {i}", compression=compression)
+        write_wet_segments(rows, f"{base}/segments {i}", rows_per_segment, compression)
         write_segment_index(spark, f"{base}/segments {i}", f"{base}/index")
-    out = work(base, lambda: CrawlRead(spark, read_index(spark, f"{base}/index")))
-    remove_path(spark, base)
-    return out
+    try:
+        return work(base, lambda: CrawlRead(spark, read_index(spark, f"{base}/index")))
+    finally:
+        remove_path(spark, base)
 
 
 def crawl_phone_pairs(spark, sf_dir):
@@ -189,3 +190,44 @@ select uri, case when n < 2 then 'file' when n < 5 then 's3' end as scheme,
   case n when 0 then 'file:/data/a b/' || k || '.gz' when 1 then 'file:/data/' || k
     when 2 then 's3a://bucket/dir/' || k || '.gz' end as path
 from u"""
+
+READ_TASKS = 5
+
+
+def crawl_read_plan(spark, sf_dir):
+    """(task, has_records, kept, records) of a crawl read with READ_TASKS tasks asked for:
+    whether each task brought records, and whether its bytes stay within the mean
+    plus the longest segment (what packing by size keeps); a last row, without
+    a task, has all records and whether the session's settings are as before."""
+    from ravel.sources.crawl import CrawlRead, read_index
+    from ravel.sources.segments import plan_reads, sizes_of
+
+    rows = crawl_records_from_tables(spark, sf_dir).where("uri is not null and body is not null")
+    settings = lambda: {r.key: r.value for r in spark.sql("SET").collect()}
+
+    def work(base, read):
+        paths = [r.value for r in spark.read.text(f"{base}/index").collect()]  # segment names
+        sizes = sizes_of(paths)
+        plan = plan_reads(sizes, READ_TASKS)
+        bound = sum(sizes.values()) / len(plan) + max(sizes.values())
+        before = settings()
+        r = CrawlRead(spark, read_index(spark, f"{base}/index"), READ_TASKS)
+        per = {x.segment: x.n for x in r.valid_records().groupBy("segment")
+               .agg(F.count(F.lit(1)).alias("n")).collect()}
+        total = sum(per.values())
+        out = [(i, sum(per.get(p, 0) for p in task) > 0, sum(map(sizes.get, task)) <= bound, None)
+               for i, task in enumerate(plan)]
+        return [*out, (None, True, settings() == before, total)]
+
+    found = _read_back(spark, [(rows.repartition(2 * READ_TASKS, "uri"), "gzip")], work,
+                       rows_per_segment=500)
+    return spark.createDataFrame(found, "task int, has_records boolean, kept boolean, records bigint")
+
+
+QUERIES["crawl_read_plan"] = crawl_read_plan
+ORACLE["crawl_read_plan"] = f"""
+select range::int as task, true as has_records, true as kept, null::bigint as records
+from range({READ_TASKS})
+union all
+select null, true, true, (select count(*) from pages where url is not null and html is not null)
+  + (select count(*) from documents where doc_id is not null and text is not null)"""

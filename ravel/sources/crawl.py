@@ -1,36 +1,33 @@
 """Web-crawl text segments (WARC/WET): index, routing, records, counters.
 
 * The segment index is a text file with one URI per line; ``file:`` URIs
-  are local/shared-filesystem paths, ``s3://bucket/key`` URIs go through
-  Hadoop's S3A connector (for public buckets set
-  ``spark.hadoop.fs.s3a.aws.credentials.provider`` to the connector's
-  anonymous provider), anything else yields nothing and is not counted.
+  are local/shared-filesystem paths, ``s3://bucket/key`` URIs objects read
+  without signing by default, anything else yields nothing and is not counted.
   A line that occurs twice is read twice.
-* A segment is a gzip file (one member per record or not) or a plain one. It
-  is unpacked as a stream inside its task and cut into records by their
-  Content-Length, whatever version line they carry and whatever their payloads
-  hold. A task holds one compressed segment and one batch of records.
+* A segment is a gzip file (one member per record or not) or a plain one, of
+  any size. Its task reads it as a stream (``sources.segments``) and cuts it
+  into records by their Content-Length, whatever version line they carry and
+  whatever their payloads hold.
 * A record without a target URI is skipped; a record whose payload is not
   valid UTF-8 is dropped whole and counted (``failed_parses``).
 * Failed segments: a missing file, an invalid S3 URI, and a segment that is
   corrupt or ends inside a record (the records before the damage are kept).
-  A folder that does not exist makes its segments missing; a missing connector
-  or a refused access is an error of the job.
+  A folder that does not exist makes its segments missing; a store that cannot
+  be reached or refuses access is an error of the job.
 """
 
 from __future__ import annotations
 
-import zlib
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-# The version line our own segments carry, the header holding
-# the record's URI, and the URI pattern of S3 objects.
+from ravel.sources.segments import URI_HEADER, plan_reads, read_planned, sizes_of
+
+# The version line our own segments carry, and the URI pattern
+# of S3 objects.
 VERSION_LINE = "WARC/1.0\r\n"
-URI_HEADER = "WARC-Target-URI"
 S3_URI = r"^s3://([^/]+)/(.+)"
+__all__ = ["URI_HEADER", "VERSION_LINE", "CrawlRead", "read_index", "read_segments", "route"]
 
 
 def read_index(spark: SparkSession, index_path: str) -> DataFrame:
@@ -52,129 +49,26 @@ def route(index: DataFrame) -> DataFrame:
     return index.select("uri", scheme.alias("scheme"), path.alias("path"))
 
 
-def _existing(spark: SparkSession, paths: list[str]) -> list[str]:
-    """The ``paths`` that exist, escaped as patterns: one listing per parent
-    folder, by a pattern of the wanted names."""
-    def escaped(text: str) -> str:
-        return "".join("\\" + c if c in "\\[]{}*?,^" else c for c in text)
-
-    by_folder: dict[str, list[str]] = {}
-    for p in paths:
-        folder, _, name = p.rpartition("/")
-        by_folder.setdefault(folder, []).append(name)
-    found = []
-    path_class = spark._jvm.org.apache.hadoop.fs.Path
-    for folder, names in by_folder.items():
-        pattern = path_class(escaped(folder) + "/{" + ",".join(map(escaped, names)) + "}")
-        fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-        found += [escaped(f.getPath().toString()) for f in fs.globStatus(pattern) or []]
-    return found
-
-
-_SLICE = 1 << 20
-_BATCH_BYTES = 8 << 20
-
-
-def unpacked(data: bytes):
-    """Pieces of a segment's content; gzip members follow one another.
-    Raises zlib.error on damage, EOFError if the last member is cut."""
-    if data[:2] != b"\x1f\x8b":
-        yield data
-        return
-    member = None
-    for at in range(0, len(data), _SLICE):
-        rest = data[at:at + _SLICE]
-        while rest:
-            member = member or zlib.decompressobj(31)
-            yield member.decompress(rest)
-            rest = member.unused_data
-            if member.eof:
-                member = None
-    if member:
-        raise EOFError("segment ends inside a member")
-
-
-def records_of(pieces):
-    """(headers, payload) of each record, cut by Content-Length. Raises
-    ValueError where no record starts, EOFError inside a record."""
-    buffer = bytearray()
-    pieces = iter(pieces)
-
-    def fill() -> bool:
-        for piece in pieces:
-            if piece:
-                buffer.extend(piece)
-                return True
-        return False
-
-    while True:
-        while not buffer.lstrip(b"\r\n") and fill():
-            pass
-        skipped = len(buffer) - len(buffer.lstrip(b"\r\n"))
-        del buffer[:skipped]
-        if not buffer:
-            return
-        while (end := buffer.find(b"\r\n\r\n")) < 0:
-            if not fill():
-                raise EOFError("segment ends inside a header")
-        if buffer[:5] != b"WARC/":
-            raise ValueError("no record where one should start")
-        lines = buffer[:end].decode("utf-8", "replace").split("\r\n")[1:]
-        headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-        stop = end + 4 + int(headers["content-length"])
-        while len(buffer) < stop:
-            if not fill():
-                raise EOFError("segment ends inside a payload")
-        yield headers, bytes(buffer[end + 4:stop])
-        del buffer[:stop]
-
-
-def read_segments(spark: SparkSession, paths: list[str], partitions: int | None = None) -> DataFrame:
-    """(segment, uri, payload, ok): a row for every record (``ok`` null), and
-    one for the end of each segment (``ok``: whether it was read whole).
-    ``partitions``: read with at least as many tasks, files permitting."""
-    schema = "segment string, uri string, payload binary, ok boolean"
-    if not paths:
-        return spark.createDataFrame([], schema)
-    if partitions:
-        spark.conf.set("spark.sql.files.minPartitionNum", str(partitions))
-    kinds = [pa.string(), pa.string(), pa.binary(), pa.bool_()]
-
-    def batch(rows):
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
-            ["segment", "uri", "payload", "ok"])
-
-    def run(batches):
-        for b in batches:
-            for segment, data in zip(b["path"].to_pylist(), b["content"].to_pylist()):
-                rows, size, ok = [], 0, True
-                try:
-                    for headers, payload in records_of(unpacked(data)):
-                        rows.append((segment, headers.get(URI_HEADER.lower(), ""), payload, None))
-                        size += len(payload)
-                        if size > _BATCH_BYTES:
-                            yield batch(rows)
-                            rows, size = [], 0
-                except (zlib.error, EOFError, ValueError, KeyError):
-                    ok = False      # records read so far are kept
-                yield batch([*rows, (segment, None, None, ok)])
-
-    return (spark.read.format("binaryFile").load(paths).select("path", "content")
-            .mapInArrow(run, schema))
+def read_segments(spark: SparkSession, paths: list[str], partitions: int | None = None,
+                  options: dict | None = None) -> DataFrame:
+    """(segment, uri, payload, ok) of those of ``paths`` that exist: a row for
+    every record with a URI (``ok`` null), and one for the end of each segment
+    (``ok``: whether it was read whole). ``partitions``: read with at least as
+    many tasks, segments permitting."""
+    return read_planned(spark, plan_reads(sizes_of(paths, options), partitions), options)
 
 
 class CrawlRead:
     """Records of an index's segments plus the two counters."""
 
-    def __init__(self, spark: SparkSession, index: DataFrame, partitions: int | None = None):
+    def __init__(self, spark: SparkSession, index: DataFrame, partitions: int | None = None,
+                 options: dict | None = None):
         # one row per file name: bounded by the number of segments, and what
         # the driver needs to plan the file scan
         lines = (route(index).where(F.col("scheme").isNotNull())
                  .groupBy("path").agg(F.count(F.lit(1)).alias("times")))
         times = {r.path: r.times for r in lines.collect()}
-        live = _existing(spark, [p for p in times if p])
-        segments = read_segments(spark, live, partitions)
+        segments = read_segments(spark, [p for p in times if p], partitions, options)
         weights = lines.where("path is not null").withColumnRenamed("path", "segment")
         rows = segments.join(weights, "segment")
         body = F.col("payload").cast("string")

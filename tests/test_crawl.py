@@ -113,3 +113,94 @@ def test_missing_connector_is_an_error(spark, tmp):
     import pytest
     with pytest.raises(Exception, match="S3A|s3a|No FileSystem|ClassNotFound"):
         read_all(spark, tmp, ["s3://bucket/key.gz"])
+
+
+def test_segment_over_two_gib_is_read_in_slices(tmp):
+    """What a task holds does not grow with the segment: unwanted payloads
+    are passed by, and records behind 2 GiB are found."""
+    import resource
+
+    from ravel.sources.segments import segment_batches
+    path, blank = f"{tmp}/big", 700 << 20
+    with open(path, "wb") as f:
+        for i in range(4):
+            f.write(f"WARC/1.0\r\nWARC-Type: x\r\nContent-Length: {blank}\r\n\r\n".encode())
+            f.seek(blank, 1)                # a hole in the file
+            f.write(b"\r\n\r\n" + record([("WARC-Target-URI", f"u{i}")], b"y" * i))
+    assert os.path.getsize(path) > 1 << 31
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    rows = [r for b in segment_batches(f"file:{path}", {}) for r in b.to_pylist()]
+    assert [(r["uri"], r["payload"], r["ok"]) for r in rows] == [
+        *((f"u{i}", b"y" * i, None) for i in range(4)), (None, None, True)]
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 200 << 10     # KiB
+
+
+def test_unpacking_in_bounded_pieces():
+    import random
+    import zlib
+
+    import pytest
+
+    from ravel.sources import segments
+    rng = random.Random(4)
+    parts = [b"", b"a" * 5_000_000, rng.randbytes(100_000), b"tail" * 300_000, b"b" * segments.SLICE]
+    packed = b"".join(map(gzip.compress, parts))
+    for step in (1 << 20, 777, 64):
+        slices = [packed[i:i + step] for i in range(0, len(packed), step)]
+        got = list(segments.unpacked(slices))
+        assert b"".join(got) == b"".join(parts) and max(map(len, got)) <= segments.SLICE
+        with pytest.raises(EOFError):
+            list(segments.unpacked([*slices[:-1], slices[-1][:-1]]))
+    with pytest.raises(zlib.error):
+        list(segments.unpacked([packed[:50] + bytes([packed[50] ^ 255]) + packed[51:]]))
+
+
+def test_reads_are_packed_by_size():
+    import random
+
+    from ravel.sources.segments import plan_reads
+    rng = random.Random(1)
+    for _ in range(200):
+        sizes = {f"p{i}": rng.choice([0, 1, rng.randrange(1000), 10_000])
+                 for i in range(rng.randrange(1, 60))}
+        tasks = rng.choice([None, 1, 2, 7, 100])
+        plan = plan_reads(sizes, tasks, 3000)
+        assert sorted(p for t in plan for p in t) == sorted(sizes)
+        wanted = tasks or max(1, -(-sum(sizes.values()) // 3000))
+        assert len(plan) == min(wanted, len(sizes)) and all(plan)
+        held = [sum(sizes[p] for p in t) for t in plan]
+        assert max(held) <= sum(held) / len(held) + max(sizes.values()) + len(sizes)
+        assert plan == plan_reads(dict(reversed(sizes.items())), tasks, 3000)
+    assert plan_reads({}, 5) == []
+
+
+def test_objects_of_a_store(tmp, monkeypatch):
+    """S3 objects through a stand-in store: listing, reading, a missing one."""
+    from pyarrow import fs
+
+    from ravel.sources import segments
+    made = {}
+    os.makedirs(f"{tmp}/bucket/dir")
+    write_segment(f"{tmp}/bucket/dir/a.gz", [record([("WARC-Target-URI", "u")], b"pay")])
+
+    def store(**options):
+        made.update(options)
+        return fs.SubTreeFileSystem(tmp, fs.LocalFileSystem())
+
+    monkeypatch.setattr(fs, "S3FileSystem", store)
+    paths = ["s3a://bucket/dir/a.gz", "s3a://bucket/dir/b.gz", "s3a://bucket/none/c.gz"]
+    sizes = segments.sizes_of(paths, {"s3_region": "eu-west-1"})
+    assert list(sizes) == paths[:1] and made["anonymous"] and made["region"] == "eu-west-1"
+    rows = [r for p in paths[:2] for b in segments.segment_batches(p, {"s3_anonymous": "false"})
+            for r in b.to_pylist()]
+    assert [(r["uri"], r["ok"]) for r in rows] == [("u", None), (None, True), (None, False)]
+    assert made["anonymous"] is False
+
+
+def test_settings_stay_as_they_were(spark, tmp):
+    from ravel.sources.crawl import read_segments
+    write_segment(f"{tmp}/s.gz", [record([("WARC-Target-URI", "u")], b"x")])
+    before = {r.key: r.value for r in spark.sql("SET").collect()}
+    df = read_segments(spark, [f"file:{tmp}/s.gz", f"file:{tmp}/none/t.gz"], 3)
+    assert df.rdd.getNumPartitions() == 1 and df.count() == 2
+    assert {r.key: r.value for r in spark.sql("SET").collect()} == before
