@@ -37,22 +37,27 @@ def year_digits(cut_title) -> Column:
     return F.regexp_extract(cut_title, r"^(?:[^(]*\()?([^)]{0,4})", 1)
 
 
+def _qualifies(four, min_year: int) -> Column:
+    return F.coalesce(four.rlike(r"^[+-]?[0-9]+\z")
+                      & (four.try_cast("int") >= F.lit(min_year)), F.lit(False))
+
+
 def year_qualifies(cut_title, min_year: int = DEFAULT_MIN_YEAR) -> Column:
     """Those four characters read as an integer (sign allowed, as an
     integer parser reads it) >= min_year; unparsable -> False."""
-    four = year_digits(cut_title)
-    return F.coalesce(four.rlike(r"^[+-]?[0-9]+\z")
-                      & (four.try_cast("int") >= F.lit(min_year)), F.lit(False))
+    return _qualifies(year_digits(cut_title), min_year)
 
 
 def qualifying_movies(titles, min_year: int = DEFAULT_MIN_YEAR) -> Column:
-    """array<string> of the cut titles that qualify, in record order."""
+    """array<string> of the cut titles that qualify, in record order. Each
+    title is cut, and its year found, once: the lambdas hand both on."""
     kept = F.filter(titles, lambda t: ~is_tv_title(t))
     cut = F.transform(kept, cut_after_first_paren)
-    return F.filter(cut, lambda m: year_qualifies(m, min_year))
+    dated = F.transform(cut, lambda m: F.struct(m.alias("movie"), year_digits(m).alias("year")))
+    return F.transform(F.filter(dated, lambda x: _qualifies(x["year"], min_year)),
+                       lambda x: x["movie"])
 
 
 def movie_of_title(title, min_year: int = DEFAULT_MIN_YEAR) -> Column:
     """The qualifying movie of one raw title, or NULL."""
-    cut = cut_after_first_paren(title)
-    return F.when(~is_tv_title(title) & year_qualifies(cut, min_year), cut)
+    return F.get(qualifying_movies(F.array(title), min_year), F.lit(0))

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ravel.functions.titles import DEFAULT_MIN_YEAR, movie_of_title, qualifying_movies, record_fields
+from ravel.functions.titles import DEFAULT_MIN_YEAR, qualifying_movies, record_fields
 from ravel.operators.ordering import number_rows
 from ravel.session import ensure_checkpoint_dir
 
@@ -51,9 +51,11 @@ def cast_actor_ids(male: DataFrame, female: DataFrame) -> DataFrame:
 def movies_of_titles(rows: DataFrame, min_year: int = DEFAULT_MIN_YEAR,
                      title_col: str = "raw_title") -> DataFrame:
     """Row-per-title form of the title rules: keeps rows whose title
-    qualifies, with the cut title as ``movie``."""
-    m = movie_of_title(F.col(title_col), min_year)
-    return rows.withColumn("movie", m).where(F.col("movie").isNotNull()).drop(title_col)
+    qualifies, with the cut title as ``movie``. Taken by a generator, which the
+    optimizer neither copies nor moves, so the rules run once per row."""
+    m = qualifying_movies(F.array(F.col(title_col)), min_year)
+    kept = [c for c in rows.columns if c not in (title_col, "movie")]
+    return rows.select(*kept, F.explode(m).alias("movie"))
 
 
 def actor_movie_pairs(actors_movies: DataFrame) -> DataFrame:
@@ -205,6 +207,11 @@ def degree_summary(dist: DataFrame, people: DataFrame, edges: DataFrame,
         ratio(F.col("reached_female"), F.col("n_female")).alias("ratio_female"))
 
 
+def last_distance(dist: DataFrame) -> int:
+    """The largest distance anyone was reached at; 0 if nobody was."""
+    return dist.agg(F.max("distance")).first()[0] or 0
+
+
 def farthest(dist: DataFrame, people: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
     """(is_male, idx, name, actor_id) of the actors at exactly ``max_hops``;
     ``idx`` numbers each gender's list by name (then id), from 1."""

@@ -13,10 +13,10 @@ from ravel.sinks.text import degree_report_lines
 from ravel.sources.tables import cast_rows
 
 # Binding parameters: the data's years run 1995-2001, so the title rule
-# uses 2001; the lists of the farthest actors are those at FAR hops, and in the
-# `_max` queries those at the program's own bound, graph.MAX_HOPS.
+# uses 2001. The search makes the program's whole bound of graph.MAX_HOPS hops;
+# the lists of the farthest actors are those at the largest distance reached,
+# and in the `_max` queries those at the bound itself.
 CAST_MIN_YEAR = 2001
-FAR = 3
 
 
 def cast_parse(spark, sf_dir):
@@ -57,27 +57,36 @@ def degree_summary(spark, sf_dir):
     return graph.degree_summary(dist, people, edges)
 
 
-def farthest_names(spark, sf_dir, hops=FAR):
-    edges, people, dist = _graph(spark, sf_dir, hops)
-    return graph.farthest(dist, people, hops)
+def farthest_names(spark, sf_dir):
+    """Those at the largest distance that the whole search reaches."""
+    edges, people, dist = _graph(spark, sf_dir)
+    return graph.farthest(dist.where("distance > 0"), people, graph.last_distance(dist))
 
 
 def farthest_names_max(spark, sf_dir):
-    """The list of the whole search: empty where nobody is that far."""
-    return farthest_names(spark, sf_dir, graph.MAX_HOPS)
+    """Those at the search's bound: empty where nobody is that far."""
+    edges, people, dist = _graph(spark, sf_dir)
+    return graph.farthest(dist, people)
 
 
-def degree_report(spark, sf_dir, hops=FAR):
-    """The report's lines (sec, sub, line) for a search of ``hops`` hops."""
-    edges, people, dist = _graph(spark, sf_dir, hops)
-    return degree_report_lines(graph.degree_summary(dist, people, edges, hops),
-                               graph.degree_histogram(dist, people, hops),
-                               graph.farthest(dist, people, hops), hops)
+def _report(spark, sf_dir, last_of):
+    edges, people, dist = _graph(spark, sf_dir)
+    last = last_of(dist)
+    return degree_report_lines(graph.degree_summary(dist, people, edges),
+                               graph.degree_histogram(dist, people),
+                               graph.farthest(dist.where("distance > 0"), people, last),
+                               last=last)
+
+
+def degree_report(spark, sf_dir):
+    """The report's lines (sec, sub, line), with the list of those at the
+    largest distance reached."""
+    return _report(spark, sf_dir, graph.last_distance)
 
 
 def degree_report_max(spark, sf_dir):
-    """The program's report: the whole search."""
-    return degree_report(spark, sf_dir, graph.MAX_HOPS)
+    """The report with the list of those at the bound."""
+    return _report(spark, sf_dir, lambda dist: graph.MAX_HOPS)
 
 
 QUERIES = {
@@ -165,24 +174,27 @@ from tot, r, mv""",
 }
 
 
-def _farthest_sql(hops: int) -> str:
-    return _bfs(hops) + f"""
+_HOPS = graph.MAX_HOPS
+_LAST = "(select max(distance) from dist)"
+
+
+def _farthest_sql(last: str) -> str:
+    return _BFS + f"""
 select is_male, row_number() over (partition by is_male order by name, actor_id) as idx,
   name, actor_id
-from dist join people using (actor_id) where distance = {hops}"""
+from dist join people using (actor_id) where distance > 0 and distance = {last}"""
 
 
-def _report_sql(hops: int) -> str:
-    return ORACLE["degree_summary"].replace(_BFS, _bfs(hops)).replace(
-        "between 1 and 6", f"between 1 and {hops}").replace("select n_actors, n_male", """,
+def _report_sql(last: str) -> str:
+    return ORACLE["degree_summary"].replace("select n_actors, n_male", """,
 sm as (select n_actors, n_male""", 1) + f""")
 ,
 per as (select distance, count(*) filter (where is_male) as actors,
                count(*) filter (where not is_male) as actresses
         from dist join people using (actor_id) where distance >= 1 group by distance),
-lv as (select range::int as distance from range(1, {hops + 1})),
+lv as (select range::int as distance from range(1, {_HOPS + 1})),
 far as (select is_male, row_number() over (partition by is_male order by name, actor_id) as idx, name
-        from dist join people using (actor_id) where distance = {hops})
+        from dist join people using (actor_id) where distance > 0 and distance = {last})
 select 0 as sec, 0::bigint as sub, format('Total number of actors = {{}}, out of which {{}} ({{}}%) are '
   || 'males while {{}} ({{}}%) are females.', n_actors, n_male, pct_male, n_female, pct_female) as line from sm
 union all select 0, 1, format('Total number of movies = {{}}', n_movies) from sm
@@ -192,21 +204,21 @@ union all select 1, lv.distance, format('There are {{}} ({{}}%) actors and {{}}
   coalesce(actresses, 0), printf('%.1f', round(coalesce(actresses, 0) * 100.0 / n_female, 1)), lv.distance)
   from lv left join per using (distance), tot
 union all select 2, 0, ''
-union all select 2, 1, 'Total number of actors from distance 1 to {hops} = ' || reached || ', ratio = ' || ratio from sm
-union all select 2, 2, 'Total number of male actors from distance 1 to {hops} = ' || reached_male
+union all select 2, 1, 'Total number of actors from distance 1 to {_HOPS} = ' || reached || ', ratio = ' || ratio from sm
+union all select 2, 2, 'Total number of male actors from distance 1 to {_HOPS} = ' || reached_male
   || ', ratio = ' || ratio_male from sm
-union all select 2, 3, 'Total number of female actors (actresses) from distance 1 to {hops} = ' || reached_female
+union all select 2, 3, 'Total number of female actors (actresses) from distance 1 to {_HOPS} = ' || reached_female
   || ', ratio = ' || ratio_female from sm
 union all select 2, 4, ''
-union all select 2, 5, 'List of male actors at distance {hops}:'
+union all select 2, 5, 'List of male actors at distance ' || {last} || ':'
 union all select 4, 0, ''
-union all select 4, 1, 'List of female actors (actresses) at distance {hops}:'
+union all select 4, 1, 'List of female actors (actresses) at distance ' || {last} || ':'
 union all select case when is_male then 3 else 5 end, idx, idx || '. ' || name from far"""
 
 
-ORACLE |= {"farthest_names": _farthest_sql(FAR), "degree_report": _report_sql(FAR),
-           "farthest_names_max": _farthest_sql(graph.MAX_HOPS),
-           "degree_report_max": _report_sql(graph.MAX_HOPS)}
+ORACLE |= {"farthest_names": _farthest_sql(_LAST), "degree_report": _report_sql(_LAST),
+           "farthest_names_max": _farthest_sql(str(_HOPS)),
+           "degree_report_max": _report_sql(str(_HOPS))}
 
 
 # Titles in a cast-list file, about (files hold whole actors).

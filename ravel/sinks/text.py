@@ -59,10 +59,12 @@ def write_predecessor_report(counts: DataFrame, path: str, mode: str = "errorife
 
 # The sentences of the degrees report below are fixed values.
 def degree_report_lines(summary: DataFrame, histogram: DataFrame, farthest: DataFrame,
-                        max_hops: int = 6) -> DataFrame:
+                        max_hops: int = 6, last: int | None = None) -> DataFrame:
     """Lines (sec, sub, line) of the degrees summary report: totals, one line
     per distance, reach totals and ratios, then the numbered names at the
-    last distance for each gender. Sort by (sec, sub) to write."""
+    last distance (``max_hops``, or ``last`` where nobody is that far) for each
+    gender. Sort by (sec, sub) to write."""
+    last = max_hops if last is None else last
     s = summary
     c = lambda *parts: F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts])
     st = lambda name: F.col(name).cast("string")
@@ -86,13 +88,13 @@ def degree_report_lines(summary: DataFrame, histogram: DataFrame, farthest: Data
         c(f"Total number of female actors (actresses) from distance 1 to {max_hops} = ",
           st("reached_female"), ", ratio = ", st("ratio_female")),
         F.lit(""),
-        F.lit(f"List of male actors at distance {max_hops}:"))).alias("sub", "line")) \
+        F.lit(f"List of male actors at distance {last}:"))).alias("sub", "line")) \
         .select(F.lit(2).alias("sec"), "sub", "line")
     names = farthest.select(
         F.when(F.col("is_male"), F.lit(3)).otherwise(F.lit(5)).alias("sec"),
         F.col("idx").alias("sub"), c(st("idx"), ". ", F.col("name")).alias("line"))
     mid = s.select(F.posexplode(F.array(
-        F.lit(""), F.lit(f"List of female actors (actresses) at distance {max_hops}:")))
+        F.lit(""), F.lit(f"List of female actors (actresses) at distance {last}:")))
         .alias("sub", "line")).select(F.lit(4).alias("sec"), "sub", "line")
     return (head.unionByName(per).unionByName(tail).unionByName(names).unionByName(mid)
             .select(F.col("sec").cast("int"), F.col("sub").cast("bigint"), "line"))

@@ -191,7 +191,7 @@ def test_adjacency_sizes_equal_pair_enumeration(spark):
 
 
 def test_report_and_farthest_list_of_the_whole_search(spark):
-    """All hops of the program, where the 3-hop queries leave actors out."""
+    """All hops of the program; somebody is at the bound."""
     from ravel.plans import graph_q
 
     sf = "/root/testdata/sf0.1"
@@ -201,10 +201,35 @@ def test_report_and_farthest_list_of_the_whole_search(spark):
     dist = py_bfs([(r.actor_id, r.movie) for r in rows], source, graph.MAX_HOPS)
     far = sorted(names[a] for a, d in dist.items() if d == graph.MAX_HOPS)
     reached = sum(d > 0 for d in dist.values())
-    assert far and reached > sum(0 < d <= graph_q.FAR for d in dist.values())
-    got = graph_q.QUERIES["farthest_names_max"](spark, sf).collect()
-    assert sorted(r.name for r in got) == far
-    lines = {(r.sec, r.sub): r.line for r in graph_q.QUERIES["degree_report_max"](spark, sf).collect()}
+    assert far
+    for query in ("farthest_names", "farthest_names_max"):
+        got = graph_q.QUERIES[query](spark, sf).collect()
+        assert sorted(r.name for r in got) == far
+    lines = {(r.sec, r.sub): r.line for r in graph_q.QUERIES["degree_report"](spark, sf).collect()}
     assert lines[2, 1].startswith(f"Total number of actors from distance 1 to 6 = {reached}, ")
     assert [(1, d) in lines for d in range(1, 8)] == [True] * 6 + [False]
     assert sorted(v.split(". ", 1)[1] for (sec, _), v in lines.items() if sec in (3, 5)) == far
+
+
+def test_last_list_of_a_small_graph(spark):
+    """Where nobody is at the bound the list holds those at the largest
+    distance reached; alone in its graph, a source has no list."""
+    people = spark.createDataFrame([(i, f"n{i}", i % 2 == 0) for i in range(5)],
+                                   "actor_id long, name string, is_male boolean")
+    edges = spark.createDataFrame([(0, "a"), (1, "a"), (1, "b"), (2, "b"), (3, "b"), (4, "z")],
+                                  "actor_id long, movie string")
+    dist = graph.degrees(edges, 0)
+    assert graph.last_distance(dist) == 2
+    far = graph.farthest(dist, people, 2).collect()
+    assert sorted((r.is_male, r.idx, r.name) for r in far) == [(False, 1, "n3"), (True, 1, "n2")]
+    assert graph.last_distance(graph.degrees(edges, 4)) == 0
+    assert graph.last_distance(dist.where("distance > 9")) == 0
+
+
+def test_title_rules_run_once_per_row(spark):
+    from ravel.plans import graph_q
+
+    plan = graph_q.cast_parse(spark, "/root/testdata/sf0.001")._jdf.queryExecution() \
+        .optimizedPlan().toString()
+    assert plan.count("regexp_extract") == 2       # the cut title, its year
+    assert plan.count("[role]") == 1               # the title itself
