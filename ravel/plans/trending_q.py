@@ -201,3 +201,24 @@ select {_B}, id, tag_count, tag, username, tweet_count, text from rows, wm
 where start + 43200000000 <= wm.w"""
 ORACLE["trending_warmup"] = ORACLE["trending_stream"] + f"""
   and start >= epoch_us(timestamp '{START}')"""
+
+
+def trending_joined(spark, sf_dir):
+    """The program as one streaming plan, chained aggregations and a
+    stream-stream join, run to the end; its rows for every closed window."""
+    from ravel.session import remove_path, scratch_path
+    from ravel.sources.tables import tweets_from_events
+    from ravel.streaming.trending_stream import events_stream, finish, start_joined
+
+    out, ckpt = scratch_path(spark, "joined-out"), scratch_path(spark, "joined-ckpt")
+    try:
+        finish(start_joined(tweets_from_events(events_stream(spark, sf_dir)), out, ckpt,
+                            WINDOW, SLIDE, WATERMARK, available_now=True))
+        return spark.read.parquet(out).select(*_bounds(), *_ROW_COLS).checkpoint(eager=True)
+    finally:
+        remove_path(spark, out)
+        remove_path(spark, ckpt)
+
+
+QUERIES["trending_joined"] = trending_joined
+ORACLE["trending_joined"] = ORACLE["trending_stream"]

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ravel.functions.text import NO_TAG, hashtags_or_none
 from ravel.operators import trending as tr
 from ravel.operators.ordering import number_rows
 from ravel.sources.tables import table, tweets_from_events
@@ -45,6 +46,59 @@ def windowed_stream(statuses: DataFrame, window: str, slide: str, watermark: str
             .agg(F.sum("n").alias("n"), F.min("t0").alias("t0")))
 
 
+# Shares of the untagged posts of a window in the streaming join.
+SALTS = 16
+
+
+def joined_stream(statuses: DataFrame, window: str, slide: str, watermark: str,
+                  languages=tr.LANGUAGES) -> DataFrame:
+    """Streaming (window, id, tag_count, tag, username, tweet_count, text), the
+    whole program as one plan in append mode: chained aggregations count
+    retweets per pane, per window, per (window, id) and then tags per window,
+    and a stream-stream join on (window, tag) puts each post beside its tag's
+    count. Every stage carries the window as its event time, so one watermark
+    closes a window in all of them and clears their states.
+
+    Untagged posts need no count, only a partner: they are joined in
+    ``SALTS`` shares, so that a window full of them is not one key."""
+    settled = (windowed_stream(statuses, window, slide, watermark, languages)
+               .groupBy("window", "id")
+               .agg(F.sum("n").alias("n"),
+                    F.min_by(F.struct("username", "text"), "t0").alias("i")))
+    tags = settled.select("window", "id", "n", "i.username", "i.text",
+                          F.explode(hashtags_or_none(F.col("i.text"))).alias("tag"))
+    share = F.when(F.col("tag") == NO_TAG, F.pmod(F.xxhash64("id"), F.lit(SALTS))).otherwise(0)
+    tags = tags.withColumn("share", share)
+    counts = tags.groupBy("window", "tag", "share").agg(F.count(F.lit(1)).alias("c"))
+    counts = counts.select(F.col("window").alias("c_window"), F.col("tag").alias("c_tag"),
+                           F.col("share").alias("c_share"), "c")
+    rows = tags.join(counts, F.expr("window = c_window and tag = c_tag and share = c_share"))
+    return rows.select(
+        "window", "id", F.when(F.col("tag") == NO_TAG, F.lit(0)).otherwise(F.col("c")).cast("int")
+        .alias("tag_count"), "tag", "username",
+        (F.col("n") + 1).cast("int").alias("tweet_count"), "text")
+
+
+def start_joined(statuses: DataFrame, out_path: str, checkpoint_location: str,
+                 window: str = "120 seconds", slide: str = "2 seconds",
+                 watermark: str = "10 seconds", processing_time: str | None = "2 seconds",
+                 available_now: bool = False) -> StreamingQuery:
+    """Start ``joined_stream`` into parquet files under ``out_path``, whose
+    log of committed files Spark's readers follow."""
+    rows = joined_stream(statuses, window, slide, watermark)
+    w = (rows.withColumn("window", F.struct(F.col("window.start").alias("start"),
+                                            F.col("window.end").alias("end")))
+         .writeStream.outputMode("append").format("parquet").option("path", out_path)
+         .option("checkpointLocation", checkpoint_location))
+    return _triggered(w, processing_time, available_now).start()
+
+
+def _triggered(writer, processing_time: str | None, available_now: bool):
+    if available_now:
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=processing_time) if processing_time else writer
+
+
 def settle(batch: DataFrame) -> DataFrame:
     """(window, id, n, username, text) of an emitted batch: counts summed
     per (window, id), author and text of the earliest retweet."""
@@ -123,11 +177,7 @@ def start_trending(statuses: DataFrame, out_path: str, checkpoint_location: str,
     w = (wc.writeStream.outputMode("append")
          .foreachBatch(_writer(out_path, start, per_run, total, print_top))
          .option("checkpointLocation", checkpoint_location))
-    if available_now:
-        w = w.trigger(availableNow=True)
-    elif processing_time:
-        w = w.trigger(processingTime=processing_time)
-    return w.start()
+    return _triggered(w, processing_time, available_now).start()
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,11 +203,17 @@ def run_to_end(spark: SparkSession, sf_dir: str, out_path: str, checkpoint_locat
     q = start_trending(tweets_from_events(events_stream(spark, sf_dir)), out_path,
                        checkpoint_location, window, slide, watermark, start=start,
                        available_now=True)
+    return finish(q)
+
+
+def finish(query: StreamingQuery) -> int:
+    """Wait for a query that ends by itself, raise what it raised, and return
+    the number of rows dropped as late."""
     try:
-        q.awaitTermination()
+        query.awaitTermination()
     finally:
-        if q.isActive:
-            q.stop()
-    if q.exception():
-        raise RuntimeError(str(q.exception()))
-    return late_rows(q)
+        if query.isActive:
+            query.stop()
+    if query.exception():
+        raise RuntimeError(str(query.exception()))
+    return late_rows(query)
