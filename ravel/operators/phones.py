@@ -26,18 +26,20 @@ def phone_pairs(records: DataFrame, country: str = "31", digits: int = 9,
                        F.col(uri_col).alias("uri"))
 
 
-def phone_index(pairs: DataFrame, max_urls_per_row: int = 100_000) -> DataFrame:
+def phone_index(pairs: DataFrame, max_urls_per_row: int = 100_000,
+                pinned: bool = False) -> DataFrame:
     """(num, chunk, n_urls, urls array<string>) from (num, uri) pairs.
 
     Every number's URLs are ranked with the distributed numbering (range
     sort, no single task per number) and chunk k holds ranks k*max+1 ..
     (k+1)*max, so the chunks in order are the whole sorted list. Equal
     (num, uri) rows get a number of their own as last sort key, so that one
-    URL repeated many times is spread over several partitions too."""
+    URL repeated many times is spread over several partitions too.
+    ``pinned``: the pairs are checkpointed already."""
     from ravel.operators.ordering import number_rows
 
     rows = pairs.select("num", "uri", F.monotonically_increasing_id().alias("_row"))
-    ranked = number_rows(rows, "num", [F.asc("uri"), F.asc("_row")])
+    ranked = number_rows(rows, "num", [F.asc("uri"), F.asc("_row")], pinned=pinned)
     chunk = F.floor((F.col("idx") - 1) / max_urls_per_row).cast("int")
     return (ranked.groupBy("num", chunk.alias("chunk"))
             .agg(F.count(F.lit(1)).alias("n_urls"),

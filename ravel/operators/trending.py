@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ravel.functions.text import NO_TAG, clean_for_language, hashtags_or_none, language_override
 from ravel.functions.time import utc_instant
+from ravel.operators.ordering import place_in_run
 
 # Languages that pass the filter, and the console report's
 # limits (rows per run of one tag, rows overall).
@@ -150,7 +151,7 @@ def report_order() -> list[Column]:
 
 
 def run_limited_top(rows: DataFrame, per_run: int = PER_RUN, total: int = TOTAL,
-                    by: str = "window") -> DataFrame:
+                    by: str = "window", partitions: int | None = None) -> DataFrame:
     """Top rows per ``by`` group in report order, where a run -- consecutive
     rows with one tag -- shows at most ``per_run`` rows and the group at
     most ``total``; a tag can come back in a later run. Adds ``rank``.
@@ -163,24 +164,25 @@ def run_limited_top(rows: DataFrame, per_run: int = PER_RUN, total: int = TOTAL,
     and each block after the first starts a new run, so only the first
     ``total`` tags of a sub-level can show; a tag has one tag count per
     group, so runs never span tag-count levels and every level reached
-    shows a row -- only the top ``total`` levels can show. Runs are then
-    found with lag/running-sum (gaps and islands) over what is left: per
-    group at most ``total`` tag counts x its distinct tweet counts x ``total``
-    tags x ``per_run`` rows, which is what the last pass of one window holds."""
+    shows a row -- only the top ``total`` levels can show.
+
+    The runs of what is left are found per slice of a range-partitioned sort
+    and stitched at slice borders (``ordering.place_in_run``), and a slice shows
+    at most its first ``total`` rows of a group, so no group is one task's."""
     block = Window.partitionBy(by, "tag_count", "tweet_count", "tag").orderBy("id")
     r = rows.withColumn("_b", F.row_number().over(block)).where(F.col("_b") <= per_run)
     sub = Window.partitionBy(by, "tag_count", "tweet_count").orderBy("tag")
     r = r.withColumn("_s", F.dense_rank().over(sub)).where(F.col("_s") <= total)
     level = Window.partitionBy(by).orderBy(F.desc("tag_count"))
     r = r.withColumn("_l", F.dense_rank().over(level)).where(F.col("_l") <= total)
-    w = Window.partitionBy(by).orderBy(*report_order())
-    prev = F.lag("tag").over(w)
-    r = r.withColumn("_new", F.when(prev.isNull() | (prev != F.col("tag")), 1).otherwise(0))
-    r = r.withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    in_run = Window.partitionBy(by, "_run").orderBy(*report_order())
-    r = r.withColumn("_k", F.row_number().over(in_run)).where(F.col("_k") <= per_run)
+    r = r.drop("_l", "_s", "_b")
+    r = place_in_run(r, by, "tag", report_order(), out="_k", partitions=partitions)
+    r = r.where(F.col("_k") <= per_run)
+    inside = Window.partitionBy("_pid", by).orderBy("_pos")
+    r = r.withColumn("_i", F.row_number().over(inside)).where(F.col("_i") <= total)
+    w = Window.partitionBy(by).orderBy("_pid", "_pos")
     r = r.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= total)
-    return r.drop("_l", "_s", "_b", "_new", "_run", "_k")
+    return r.drop("_k", "_i", "_pid", "_pos")
 
 
 def report_line(rank: Column) -> Column:

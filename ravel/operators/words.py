@@ -74,7 +74,7 @@ def predecessor_lists(lines: DataFrame, line_col: str = "line",
     counts = word_prev_counts_all(lines, line_col).checkpoint(eager=True)  # read twice
     totals = counts.groupBy("word").agg(F.sum("n").alias("n"))
     ranked = number_rows(counts.where(F.col("prev").isNotNull()), "word",
-                         [F.desc("n"), F.asc("prev")])
+                         [F.desc("n"), F.asc("prev")], pinned=True)
     entry = F.struct("idx", "prev", "n")
     lists = (ranked.groupBy("word", F.floor((F.col("idx") - 1) / max_prevs_per_row)
                             .cast("int").alias("chunk"))

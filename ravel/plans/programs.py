@@ -34,7 +34,8 @@ def phone_job(spark: SparkSession, index_path: str, output_dir: str, country: st
     ensure_checkpoint_dir(spark)
     # pinned: the segments are read, and the counters filled, in one pass
     pairs = phones.phone_pairs(read.valid_records(), country, digits).checkpoint(eager=True)
-    phones.write_phone_index(phones.phone_index(pairs, max_urls_per_row), output_dir)
+    phones.write_phone_index(phones.phone_index(pairs, max_urls_per_row, pinned=True),
+                             output_dir)
     return {"failed_segments": read.failed_segments(), "failed_parses": read.failed_parses()}
 
 

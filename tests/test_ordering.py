@@ -36,3 +36,50 @@ def test_farthest_numbered_by_gender_and_name(spark):
     assert far == [(True, 1, "n3")]
     far5 = [(r.is_male, r.idx, r.name) for r in graph.farthest(dist, people, 5).collect()]
     assert far5 == [(False, 1, "n4")]
+
+
+def test_runs_are_stitched_at_slice_borders(spark):
+    """Places in runs over many slices, runs longer than slices among them,
+    against a walk over the sorted rows."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from ravel.operators.ordering import place_in_run
+    rng = random.Random(9)
+    rows = []
+    for g in range(4):
+        n = 0
+        while n < (900, 40, 1, 300)[g]:
+            v = rng.choice("abc")
+            for _ in range(rng.choice([1, 2, 5, 160])):
+                rows.append((f"g{g}", n, v))
+                n += 1
+    want, place, last = {}, 0, None
+    for g, k, v in sorted(rows):
+        place = place + 1 if (g, v) == last else 1
+        want[g, k], last = place, (g, v)
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "grp string, k int, v string")
+    for n in (1, 3, 37, 200):
+        got = place_in_run(df, "grp", "v", [F.asc("k")], partitions=n)
+        assert {(r.grp, r.k): r.place for r in got.collect()} == want
+        assert n == 1 or got.where("grp = 'g0'").select("_pid").distinct().count() > 1
+    assert place_in_run(df.where("k < 0"), "grp", "v", [F.asc("k")]).count() == 0
+
+
+def test_input_of_the_numbering_runs_once(spark):
+    from pyspark.sql import functions as F
+
+    from ravel.operators.ordering import number_rows
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(10_000).withColumn("g", F.col("id") % 2).repartition(4)
+    df = df.mapInArrow(count, df.schema)
+    assert number_rows(df, "g", [F.asc("id")]).where("idx = 5000").count() == 2
+    assert seen.value == 10_000

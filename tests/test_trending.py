@@ -255,3 +255,29 @@ def test_run_limited_top_wide_sub_levels(spark):
                       key=lambda x: (-x[1], -x[3], x[2], x[0]))
         want[g] = loop_top(rows)
     assert got == want
+
+
+def test_one_window_over_many_slices(spark):
+    """A window that holds everything is cut into slices; the top rows are
+    those of a walk over all its rows."""
+    import random
+
+    from ravel.operators.trending import run_limited_top
+    rng = random.Random(17)
+    for spread in (1, 4, 60):
+        counts = {f"t{i}": rng.randrange(1, 1 + spread) for i in range(25)}
+        rows = [("w", i, counts[t], t, "u", rng.randrange(1, 1 + spread), "x")
+                for i, t in enumerate(rng.choices(sorted(counts), k=700))]
+        order = sorted(rows, key=lambda r: (-r[2], -r[5], r[3], r[1]))
+        shown, place, last = [], 0, None
+        for r in order:
+            place = place + 1 if r[3] == last else 1
+            last = r[3]
+            if place <= 3 and len(shown) < 10:
+                shown.append(r[1])
+        df = spark.createDataFrame(rows, "window string, id long, tag_count int, tag string, "
+                                         "username string, tweet_count int, text string")
+        for n in (1, 8, 50):
+            top = run_limited_top(df, partitions=n).orderBy("rank").collect()
+            assert [r.id for r in top] == shown
+            assert [r["rank"] for r in top] == list(range(1, len(shown) + 1))
