@@ -166,19 +166,28 @@ WATERMARK = "1 hour"
 START = "2024-01-10 00:00:00"
 
 
-def _stream(spark, sf_dir, start=None):
+def _stream(spark, sf_dir, start=None, read=None):
+    """What ``read(out)`` makes of a finished run's outputs (its rows)."""
     from ravel.session import remove_path, scratch_path
     from ravel.streaming.trending_stream import run_to_end
 
     out, ckpt = scratch_path(spark, "trending-out"), scratch_path(spark, "trending-ckpt")
-    run_to_end(spark, sf_dir, out, ckpt, WINDOW, SLIDE, WATERMARK, start=start)
-    schema = ("window struct<start:timestamp,end:timestamp>, id long, tag_count int, tag string, "
-              "username string, tweet_count int, text string, epoch int")
-    rows = spark.read.schema(schema).parquet(f"{out}/rows")
-    rows = rows.select(*_bounds(), *_ROW_COLS).checkpoint(eager=True)
-    remove_path(spark, out)
-    remove_path(spark, ckpt)
-    return rows
+    try:
+        run_to_end(spark, sf_dir, out, ckpt, WINDOW, SLIDE, WATERMARK, start=start)
+        return (read or _stream_rows)(spark, out).checkpoint(eager=True)
+    finally:
+        remove_path(spark, out)
+        remove_path(spark, ckpt)
+
+
+_ROW_SCHEMA = ("window struct<start:timestamp,end:timestamp>, id long, tag_count int, tag string, "
+               "username string, tweet_count int, text string, epoch int")
+
+
+def _stream_rows(spark, out):
+    from ravel.streaming.outputs import read_committed
+
+    return read_committed(spark, out, "rows", schema=_ROW_SCHEMA).select(*_bounds(), *_ROW_COLS)
 
 
 def trending_stream(spark, sf_dir):
@@ -222,3 +231,69 @@ def trending_joined(spark, sf_dir):
 
 QUERIES["trending_joined"] = trending_joined
 ORACLE["trending_joined"] = ORACLE["trending_stream"]
+
+
+def trending_stream_top(spark, sf_dir):
+    """The top rows the stream wrote for every closed window."""
+    from ravel.streaming.outputs import read_committed
+
+    return _stream(spark, sf_dir, read=lambda s, out: read_committed(
+        s, out, "top", schema=_ROW_SCHEMA.replace("epoch", "rank int, epoch"))
+        .select(*_bounds(), "rank", *_ROW_COLS))
+
+
+def trending_stream_log(spark, sf_dir):
+    """The lines of the log the stream wrote, read from its text files."""
+    from ravel.streaming.outputs import read_committed
+
+    return _stream(spark, sf_dir, read=lambda s, out: read_committed(
+        s, out, "log", "text", "value string, epoch int").select(F.col("value").alias("line")))
+
+
+STREAM_PARTS = 4
+
+
+def trending_resume(spark, sf_dir):
+    """The stream over the events in part files, one a tick: stopped while it
+    runs on a timed trigger, its last epoch's commit lost, and resumed from
+    the checkpoint, with state in RocksDB; its rows for every closed window."""
+    from ravel.session import remove_path, scratch_path
+    from ravel.sources.tables import table, tweets_from_events
+    from ravel.streaming.trending_stream import (finish, forget_last_commit, start_trending,
+                                                 stop_after, stream_session, write_in_time_order)
+
+    base = scratch_path(spark, "resume")
+    events = table(spark, sf_dir, "events")
+    own = stream_session(spark)
+    try:
+        write_in_time_order(events, f"{base}/in", STREAM_PARTS)
+
+        def start(**how):
+            statuses = tweets_from_events(own.readStream.schema(events.schema)
+                                          .option("maxFilesPerTrigger", 1).parquet(f"{base}/in"))
+            return start_trending(statuses, f"{base}/out", f"{base}/ckpt", WINDOW, SLIDE,
+                                  WATERMARK, **how)
+
+        stop_after(start(processing_time="1 second"), epochs=STREAM_PARTS // 2)
+        forget_last_commit(spark, f"{base}/ckpt")
+        finish(start(available_now=True))
+        return _stream_rows(spark, f"{base}/out").checkpoint(eager=True)
+    finally:
+        remove_path(spark, base)
+
+
+QUERIES |= {"trending_stream_top": trending_stream_top, "trending_stream_log": trending_stream_log,
+            "trending_resume": trending_resume}
+_CLOSED = ORACLE["trending_stream"].split("select " + _B)[0]
+_IS_CLOSED = "start + 43200000000 <= (select w from wm)"
+ORACLE["trending_resume"] = ORACLE["trending_stream"]
+ORACLE["trending_stream_top"] = ORACLE["trending_top"].replace(_ROWS, _CLOSED.rstrip()) + f"""
+  and {_IS_CLOSED}"""
+ORACLE["trending_stream_log"] = _CLOSED + f""",
+n as (select *, row_number() over (partition by start {_ORDER}) as i from rows where {_IS_CLOSED}),
+heads as (select distinct start from n)
+select concat(i::varchar, '. ', tag_count::varchar, ' ', tag, ':', username, ':',
+              tweet_count::varchar, ' ', text) as line from n
+union all select repeat('-', 35) from n
+union all select unnest(['', repeat('=', 38),
+  'Time: ' || strftime(make_timestamp(start + 43200000000), '%H:%M:%S'), repeat('=', 38)]) from heads"""

@@ -6,13 +6,15 @@ the watermark passes its end (all ids of a window leave in the same
 micro-batch). The rest of the program -- tags, tag counts, join, ranking --
 is batch logic on the emitted windows inside ``foreachBatch``, always keyed
 by window because one batch may close many windows. Outputs are written
-per epoch with overwrite, so a replayed epoch replaces its own files
-(exactly-once at the sink); the checkpoint location holds offsets and state.
+per epoch and committed by a manifest (``streaming.outputs``): a replayed or
+half-written epoch is never read twice or in part; the checkpoint location
+holds offsets and state, from which a stopped query goes on.
 """
 
 from __future__ import annotations
 
 import math
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,7 @@ from ravel.functions.text import NO_TAG, hashtags_or_none
 from ravel.operators import trending as tr
 from ravel.operators.ordering import number_rows
 from ravel.sources.tables import table, tweets_from_events
+from ravel.streaming.outputs import Outputs
 
 
 def windowed_stream(statuses: DataFrame, window: str, slide: str, watermark: str,
@@ -135,6 +138,11 @@ def log_lines(rows: DataFrame) -> DataFrame:
 
 def _writer(out_path: str, start, per_run: int, total: int, print_top: bool):
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
+        out = Outputs(batch.sparkSession, out_path)
+        if out.committed(epoch_id):
+            # replayed after its outputs were committed: only the state moves on
+            batch.write.format("noop").mode("overwrite").save()
+            return
         # ``settle`` also gives a fresh window column: the emitted one carries
         # event-time metadata that the self-join of tags and tag counts
         # cannot resolve.
@@ -142,26 +150,51 @@ def _writer(out_path: str, start, per_run: int, total: int, print_top: bool):
         if start is not None:  # warm-up: no window that opened before the stream
             wc = wc.where(F.col("window.start") >= F.lit(start).cast("timestamp"))
         wc = wc.persist()
+        rows = None
         try:
             if wc.isEmpty():  # this tick closed no window
                 return
             rows = tr.trending_rows(wc).persist()  # read by all three outputs
-            rows.write.mode("overwrite").parquet(f"{out_path}/rows/epoch={epoch_id}")
+            rows.write.mode("overwrite").parquet(out.folder("rows", epoch_id))
             (log_lines(rows).orderBy("window", "k").select("line")
-             .write.mode("overwrite").text(f"{out_path}/log/epoch={epoch_id}"))
+             .write.mode("overwrite").text(out.folder("log", epoch_id)))
             top = tr.run_limited_top(rows, per_run, total)
-            top.write.mode("overwrite").parquet(f"{out_path}/top/epoch={epoch_id}")
+            top.write.mode("overwrite").parquet(out.folder("top", epoch_id))
+            out.commit(epoch_id)
             if print_top:  # at most ``total`` lines per window closed in this tick
                 for r in top.orderBy("window", "rank").select(
                         F.date_format("window.end", "HH:mm:ss").alias("t"),
                         tr.report_line(F.col("rank")).alias("line")).collect():
                     print(f"[{r.t}] {r.line}")
-            rows.unpersist()
         finally:
+            if rows is not None:
+                rows.unpersist()
             wc.unpersist()
     return per_batch
 
 
+# Settings of a stream with large state: kept in RocksDB on the executors, its
+# changes uploaded with each epoch.
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def stream_session(spark: SparkSession, settings: dict[str, str] | None = None) -> SparkSession:
+    """A session of the same application with the settings of ``spark`` and
+    its own ``settings`` (RocksDB state by default); ``spark`` keeps its own."""
+    own = spark.newSession()
+    now = {r.key: r.value for r in own.sql("SET").collect()}
+    for r in spark.sql("SET").collect():
+        if now.get(r.key) != r.value and own.conf.isModifiable(r.key):
+            own.conf.set(r.key, r.value)
+    for key, value in (ROCKSDB if settings is None else settings).items():
+        own.conf.set(key, value)
+    return own
+
+
 def start_trending(statuses: DataFrame, out_path: str, checkpoint_location: str,
                    window: str = "120 seconds", slide: str = "2 seconds",
                    watermark: str = "10 seconds", start=None,
@@ -190,6 +223,18 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(path)
 
 
+def write_in_time_order(rows: DataFrame, path: str, parts: int, time_col: str = "ts") -> None:
+    """``rows`` as ``parts`` groups of files that follow one another in event
+    time and in the order a file stream takes them."""
+    at = F.unix_micros(F.col(time_col).cast("timestamp"))
+    cuts = rows.agg(F.percentile_approx(at, [i / parts for i in range(1, parts)])).first()[0] or []
+    edges = [None, *cuts, None]
+    for low, high in zip(edges, edges[1:]):
+        part = rows.where(F.lit(True) if low is None else at > low)
+        part = part.where(F.lit(True) if high is None else at <= high)
+        part.write.mode("append").parquet(path)
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows the query's state dropped because they came after the watermark."""
     return sum(op.numRowsDroppedByWatermark for p in query.recentProgress
@@ -217,3 +262,34 @@ def finish(query: StreamingQuery) -> int:
     if query.exception():
         raise RuntimeError(str(query.exception()))
     return late_rows(query)
+
+
+def stop_after(query: StreamingQuery, epochs: int, patience: float = 600.0) -> int:
+    """Stop a running query once it has committed ``epochs`` epochs; returns
+    how many it had. Raises what the query raised."""
+    deadline = time.monotonic() + patience
+    done = 0
+    while query.isActive and done < epochs and time.monotonic() < deadline:
+        query.awaitTermination(0.2)
+        last = query.lastProgress
+        done = last.batchId + 1 if last else 0
+    query.stop()
+    if query.exception():
+        raise RuntimeError(str(query.exception()))
+    return done
+
+
+def forget_last_commit(spark: SparkSession, checkpoint_location: str) -> int | None:
+    """Remove the newest entry of a stopped query's commit log, as if it had
+    ended between its outputs and that entry: the epoch is replayed when the
+    query starts again. Returns the epoch."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    folder = path(f"{checkpoint_location.rstrip('/')}/commits")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(folder)]
+    epochs = [int(n) for n in names if n.isdigit()]
+    if not epochs:
+        return None
+    for name in (str(max(epochs)), f".{max(epochs)}.crc"):
+        fs.delete(path(folder, name), False)
+    return max(epochs)
