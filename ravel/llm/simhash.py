@@ -10,7 +10,8 @@ all links, and the forests are joined by connected components.
 
 Scale: rows that cross the network are (doc_id, fingerprint) pairs and packed
 tiles, never texts. A tile is cut into sub-tiles of about ``TILE_ROWS`` rows,
-so no task holds an unbounded group; copies share one fingerprint and enter
+and a sub-tile meets each other one by a key of its own, so no task holds an
+unbounded group or all pairs of a tile; copies share one fingerprint and enter
 the comparison once. The comparison itself is quadratic in the number of
 distinct fingerprints, by the method; the quarter counts skip about 95 % of
 the pairs.
@@ -153,7 +154,10 @@ def _forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int):
 def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(u, v): links that connect the distinct ``fp`` values of ``fps`` exactly
     as all pairs within ``radius`` bits would."""
+    q = ["q0", "q1", "q2", "q3"]
     packed = pinned(tiles(fps))
+    # sub-tiles of each tile: at most 17^4 rows, a proven bound
+    subs = packed.groupBy(*q).agg(F.max("sub").alias("last"))
     offs = F.array(*[F.struct(*[F.lit(x).alias(f"d{i}") for i, x in enumerate(o)])
                      for o in _offsets(radius)])
     left = (packed.select("*", F.explode(offs).alias("o"))
@@ -162,8 +166,12 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
                     F.col("sub").alias("sub_a"), F.col("rows").alias("a"),
                     (F.col("o.d0") + F.col("o.d1") * 7 + F.col("o.d2") * 49
                      + F.col("o.d3") * 343 == 0).alias("same_tile")))
-    pairs = (left.join(packed.withColumnRenamed("rows", "b"), ["q0", "q1", "q2", "q3"])
-             .where("not same_tile or sub_a <= sub")
+    # a copy for each sub-tile it meets: the pairs of one tile are many keys
+    first = F.when(F.col("same_tile"), F.col("sub_a")).otherwise(0)
+    left = left.join(F.broadcast(subs), q).select(
+        *q, "sub_a", "a", "same_tile",
+        F.explode(F.when(first <= F.col("last"), F.sequence(first, F.col("last")))).alias("sub"))
+    pairs = (left.join(packed.withColumnRenamed("rows", "b"), [*q, "sub"])
              .select("a", "b", F.expr("same_tile and sub_a = sub").alias("same")))
 
     def run(batches):

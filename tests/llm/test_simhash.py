@@ -108,3 +108,40 @@ def test_connected_components_of_a_path_and_a_hub(spark):
     assert {got[i] for i in range(100, 161)} == {100}
     assert {got[i] for i in [3, *range(500, 700)]} == {3}
     assert 9 not in got
+
+
+def test_pairs_of_one_tile_spread(spark, monkeypatch):
+    """One tile cut into many sub-tiles: the links are those of brute force,
+    and the pairs go to many keys."""
+    rng = random.Random(11)
+    monkeypatch.setattr(simhash, "TILE_ROWS", 16)
+    quarter = lambda: sum(1 << b for b in rng.sample(range(16), 8))
+    values = {sum(quarter() << 16 * i for i in range(4)) for _ in range(500)}
+    for v in rng.sample(sorted(values), 60):    # a swap of two bits keeps the tile
+        on = [b for b in range(16) if v >> b & 1]
+        off = [b for b in range(16) if not v >> b & 1]
+        values.add(v ^ (1 << rng.choice(on)) ^ (1 << rng.choice(off)))
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    fps = spark.createDataFrame([(v,) for v in signed], "fp long")
+    packed = simhash.tiles(fps).collect()
+    assert len({(r.q0, r.q1, r.q2, r.q3) for r in packed}) == 1 and len(packed) > 20
+    roots = {r.node: r.root for r in simhash.connected_components(simhash.links(fps)).collect()}
+    plan = simhash.links(fps)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sub#" in plan.split("Join Inner, (", 1)[1].splitlines()[0]
+    parent = {v: v for v in values}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in values:
+        for b in values:
+            if a < b and (a ^ b).bit_count() <= 3:
+                parent[find(b)] = find(a)
+    want, got = {}, {}
+    for v, s in zip(values, signed):
+        want.setdefault(find(v), set()).add(v)
+        got.setdefault(roots.get(s, s), set()).add(v)
+    assert sorted(map(sorted, want.values())) == sorted(map(sorted, got.values()))
+    assert len(want) < len(values)
