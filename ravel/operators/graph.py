@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ravel.functions.titles import DEFAULT_MIN_YEAR, qualifying_movies, record_fields
-from ravel.operators.ordering import number_rows
+from ravel.operators.ordering import dense_index, number_rows
 from ravel.session import ensure_checkpoint_dir
 
 # Fixed value: the hop limit. Unreached actors are left out.
@@ -32,20 +32,27 @@ MAX_HOPS = 6
 def parse_cast_records(records: DataFrame, is_male: bool, min_year: int = DEFAULT_MIN_YEAR,
                        record_col: str = "value") -> DataFrame:
     """(name, is_male, movies array<string>) per record with at least one
-    qualifying movie; blank records are dropped."""
+    qualifying movie; blank records are dropped. ``file`` and ``ord``, the
+    record's place, are kept where the records have them."""
     f = record_fields(F.col(record_col))
-    parsed = records.select(f.alias("f")).where(F.size("f") > 0).select(
-        F.col("f")[0].alias("name"), F.lit(is_male).alias("is_male"),
+    place = [c for c in ("file", "ord") if c in records.columns]
+    parsed = records.select(f.alias("f"), *place).where(F.size("f") > 0).select(
+        *place, F.col("f")[0].alias("name"), F.lit(is_male).alias("is_male"),
         qualifying_movies(F.slice("f", 2, F.greatest(F.size("f") - 1, F.lit(0))),
                           min_year).alias("movies"))
     return parsed.where(F.size("movies") > 0)
 
 
 def cast_actor_ids(male: DataFrame, female: DataFrame) -> DataFrame:
-    """Union of the two parsed inputs with a unique ``actor_id`` per record
-    (same name in both inputs = two actors)."""
-    both = male.unionByName(female)
-    return both.withColumn("actor_id", F.monotonically_increasing_id())
+    """Union of the two parsed inputs (same name in both inputs = two actors)
+    with ``actor_id`` = 0, 1, 2, ... in the order of the inputs, their files
+    and the records in them: the same ids whenever the files are read."""
+    ensure_checkpoint_dir(male.sparkSession)
+    both = male.withColumn("input", F.lit(0)).unionByName(female.withColumn("input", F.lit(1)))
+    both = both.withColumn("block", F.col("ord.block")).withColumn("row", F.col("ord.row"))
+    both = both.drop("ord").checkpoint(eager=True)      # the rows' places name one scan
+    return dense_index(both, ["input", "file", "block"], "row", out="actor_id") \
+        .drop("input", "file", "block", "row")
 
 
 def movies_of_titles(rows: DataFrame, min_year: int = DEFAULT_MIN_YEAR,
@@ -157,6 +164,57 @@ def degrees(edges: DataFrame, source_id, max_hops: int = MAX_HOPS,
     return out.withColumn("distance", F.col("distance").cast("int"))
 
 
+# Fixed value: the distance of a vertex that is not reached.
+UNREACHED = 100
+
+
+def vertex_states(edges: DataFrame, sources: DataFrame, max_hops: int = MAX_HOPS,
+                  salts: int = 16) -> DataFrame:
+    """(source_id, actor_id, distance) of every actor with a co-star, for each
+    of ``sources`` (source_id): 0 for the source, ``UNREACHED`` where it is not
+    reached within ``max_hops``. A source without a co-star has its own row.
+
+    The states are a table that every hop merges with what it reached, keeping
+    the smaller distance; rows that went down are the next frontier, of all
+    sources at once. Its rows lie where they are (hash partitioned by source
+    and actor), so a hop shuffles only what the frontier reaches. ``edges``
+    holds distinct (actor_id, movie), pinned before."""
+    spark = edges.sparkSession
+    ensure_checkpoint_dir(spark)
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    e = edges.select("actor_id", "movie")
+    salt_of = lambda c: F.pmod(F.xxhash64(c), F.lit(salts)).cast("int")
+    by_actor = _stored(e.withColumn("salt", salt_of("movie")), n_parts, "actor_id", "salt")
+    by_movie = _stored(e.withColumn("salt", salt_of("actor_id")), n_parts, "movie", "salt")
+    shared = e.groupBy("movie").agg(F.count(F.lit(1)).alias("cast")).where("cast > 1")
+    actors = e.join(shared, "movie", "left_semi").select("actor_id").distinct()
+    sources = sources.select("source_id").distinct().checkpoint(eager=True)
+    own = sources.select("source_id", F.col("source_id").alias("actor_id"), F.lit(0).alias("distance"))
+    # every source meets every actor: the table that was asked for
+    states = actors.crossJoin(F.broadcast(sources)) \
+        .select("source_id", "actor_id", F.lit(UNREACHED).alias("distance"))
+    states = states.unionByName(own).groupBy("source_id", "actor_id") \
+        .agg(F.min("distance").alias("distance"))
+    states = _stored(states, n_parts, "source_id", "actor_id")
+    frontier = own.select("source_id", "actor_id")
+
+    def next_to(keys: DataFrame, key: str, stored: DataFrame, other: str) -> DataFrame:
+        salted = keys.select("source_id", key, F.explode(F.sequence(
+            F.lit(0), F.lit(salts - 1))).alias("salt"))
+        return stored.join(salted, [key, "salt"]).select("source_id", other).distinct()
+
+    for hop in range(1, max_hops + 1):
+        movies = next_to(frontier, "actor_id", by_actor, "movie")
+        reached = next_to(movies, "movie", by_movie, "actor_id").withColumn("hop", F.lit(hop))
+        merged = states.join(reached, ["source_id", "actor_id"], "left").select(
+            "source_id", "actor_id", F.least("distance", "hop").alias("distance"))
+        states = _stored(merged, n_parts, "source_id", "actor_id")
+        frontier = states.where(F.col("distance") == hop).select("source_id", "actor_id")
+        if frontier.isEmpty():
+            break
+    return states
+
+
 # ---------------------------------------------------------------- reports
 def degree_histogram(dist: DataFrame, people: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
     """(distance, actors, actresses, pct_actors, pct_actresses) for every

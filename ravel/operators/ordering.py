@@ -87,3 +87,19 @@ def place_in_run(df: DataFrame, group: str, value: str, order: list[Column],
     s = s.join(per, ["_pid", group])
     place = F.col("_here") + F.when(F.col("_run") == 1, F.col("_carried")).otherwise(0)
     return s.withColumn(out, place).drop("_new", "_run", "_here", "_carried")
+
+
+def dense_index(rows: DataFrame, blocks: list[str], place: str, out: str = "idx") -> DataFrame:
+    """Add ``out`` = 0, 1, 2, ... over all rows in the order of ``blocks``, then
+    ``place``. A block (say an input, a file and a split of it) is bounded; its
+    rows are counted from its start, and the table with a row per block gives
+    the rows before it as a prefix sum. No sort spans blocks, and the numbers
+    follow from the order alone: a rerun, or blocks read by other tasks, gives
+    the same. ``rows`` are pinned already and ``place`` is unique in a block."""
+    inside = Window.partitionBy(*blocks).orderBy(place)
+    rows = rows.withColumn("_i", F.row_number().over(inside) - 1)
+    every = Window.orderBy(*blocks).rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(*blocks).agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select(*blocks, F.coalesce(F.sum("_n").over(every), F.lit(0)).alias("_before"))
+    return rows.join(before, blocks).withColumn(out, F.col("_before") + F.col("_i")) \
+        .drop("_i", "_before")

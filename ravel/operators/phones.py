@@ -52,6 +52,38 @@ def phone_index_flat(pairs: DataFrame, **kw) -> DataFrame:
         "num", "chunk", "n_urls", F.array_join("urls", " ").alias("urls"))
 
 
-def write_phone_index(index: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Parquet output; the default mode fails when ``path`` exists."""
-    index.write.mode(mode).parquet(path)
+# Folders of an index that is looked up by number.
+BUCKETS = 64
+
+
+def bucket_of(num, buckets: int = BUCKETS):
+    """The folder of a number: a hash of it, the same on any cluster."""
+    return F.pmod(F.xxhash64(num), F.lit(buckets)).cast("int")
+
+
+def write_phone_index(index: DataFrame, path: str, mode: str = "errorifexists",
+                      buckets: int | None = None) -> None:
+    """Parquet output; the default mode fails when ``path`` exists. With
+    ``buckets`` the rows go into as many folders by a hash of the number, each
+    sorted by number, so that a lookup opens one of them; a number with very
+    many chunks is spread over several files of its folder."""
+    if buckets is None:
+        index.write.mode(mode).parquet(path)
+        return
+    rows = index.withColumn("bucket", bucket_of(F.col("num"), buckets))
+    (rows.repartition("bucket", F.pmod("chunk", F.lit(16))).sortWithinPartitions("bucket", "num", "chunk")
+     .write.mode(mode).partitionBy("bucket").parquet(path))
+
+
+def lookup_numbers(spark, path: str, numbers: list[str], buckets: int = BUCKETS) -> DataFrame:
+    """Rows of an index written in ``buckets``, of the given numbers: their
+    folders' names are known before anything is read, and the sorted files
+    skip row groups without them."""
+    rows = spark.read.parquet(path)
+    if not numbers:
+        return rows.where(F.lit(False)).drop("bucket")
+    # the buckets are worked out here, so that the scan is planned with them
+    folders = {r[0] for r in spark.createDataFrame([(n,) for n in set(numbers)], "num string")
+               .select(bucket_of(F.col("num"), buckets)).collect()}
+    return (rows.where(F.col("bucket").isin(sorted(folders)) & F.col("num").isin(sorted(set(numbers))))
+            .drop("bucket"))

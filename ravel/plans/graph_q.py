@@ -252,3 +252,57 @@ QUERIES["cast_file_movies"] = cast_file_movies
 ORACLE["cast_file_movies"] = "with " + _TITLE + f"""
 select case when actor_id % 3 = 0 then 'Müller-Ødegård, ' || name else name end as name, is_male, m as movie from yr
 where regexp_matches(y, '^[+-]?[0-9]+$') and try_cast(y as integer) >= {CAST_MIN_YEAR}"""
+
+
+# Titles in a file of the id query, so that small tables have several files.
+TITLES_PER_ID_FILE = 20_000
+
+
+def cast_ids(spark, sf_dir):
+    """(actor_id, name, is_male): dense ids of the actors in cast-list files,
+    in the order of the files and their records, males first."""
+    from ravel.session import remove_path, scratch_path
+    from ravel.sinks.files import write_cast_list
+    from ravel.sources.casts import read_cast_file
+
+    ensure_checkpoint_dir(spark)
+    rows = cast_rows(spark, sf_dir).checkpoint(eager=True)
+    path = scratch_path(spark, "cast-ids")
+    try:
+        write_cast_list(rows, path, max(1, math.ceil(rows.count() / TITLES_PER_ID_FILE)), in_order=True)
+        male, female = (graph.parse_cast_records(
+            read_cast_file(spark, f"{path}/is_male={str(m).lower()}"), m, CAST_MIN_YEAR)
+            for m in (True, False))
+        return graph.cast_actor_ids(male, female).select("actor_id", "name", "is_male") \
+            .checkpoint(eager=True)
+    finally:
+        remove_path(spark, path)
+
+
+def vertex_states(spark, sf_dir):
+    """Distances from the actors with the first and the last name, with 100 for
+    those not reached."""
+    edges, people = _cast(spark, sf_dir)
+    names = people.agg(F.min("name").alias("a"), F.max("name").alias("b")).first()
+    sources = spark.createDataFrame([(find_actor(people, n),) for n in names], "source_id bigint")
+    return graph.vertex_states(edges, sources)
+
+
+QUERIES |= {"cast_ids": cast_ids, "vertex_states": vertex_states}
+ORACLE["cast_ids"] = f"with {_EDGES}" + """
+select row_number() over (order by is_male desc, actor_id) - 1 as actor_id, name, is_male from people"""
+ORACLE["vertex_states"] = f"""
+with recursive {_EDGES},
+co as (select distinct e1.actor_id as a1, e2.actor_id as a2
+       from e e1 join e e2 on e1.movie = e2.movie where e1.actor_id <> e2.actor_id),
+src as (select min(actor_id) as source_id from people where name = (select min(name) from people)
+        union select min(actor_id) from people where name = (select max(name) from people)),
+bfs(source_id, actor_id, d) as (
+  select source_id, source_id, 0 from src
+  union
+  select source_id, co.a2, bfs.d + 1 from bfs join co on co.a1 = bfs.actor_id where bfs.d < {_HOPS}),
+dist as (select source_id, actor_id, min(d) as d from bfs group by all),
+v as (select source_id, actor_id from src, (select distinct a1 as actor_id from co)
+      union select source_id, source_id from src)
+select source_id, actor_id, coalesce(d, {graph.UNREACHED})::int as distance
+from v left join dist using (source_id, actor_id)"""

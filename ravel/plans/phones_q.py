@@ -231,3 +231,26 @@ from range({READ_TASKS})
 union all
 select null, true, true, (select count(*) from pages where url is not null and html is not null)
   + (select count(*) from documents where doc_id is not null and text is not null)"""
+
+
+def phone_lookup(spark, sf_dir):
+    """The index of the Dutch-style numbers written into folders by number, and
+    the rows of the numbers of the first three customers looked up in it."""
+    from ravel.session import remove_path, scratch_path
+
+    pairs = phones.phone_pairs(dutch_phone_texts(spark, sf_dir), "31", 9)
+    first = table(spark, sf_dir, "customer").select("c_custkey").orderBy("c_custkey").limit(3).collect()
+    path = scratch_path(spark, "phone-index")
+    try:
+        phones.write_phone_index(phones.phone_index(pairs, URL_ROWS), path, buckets=phones.BUCKETS)
+        wanted = ["+316" + str(r.c_custkey).rjust(8, "1") for r in first]
+        return phones.lookup_numbers(spark, path, wanted).select(
+            "num", "chunk", "n_urls", F.array_join("urls", " ").alias("urls")).checkpoint(eager=True)
+    finally:
+        remove_path(spark, path)
+
+
+QUERIES["phone_lookup"] = phone_lookup
+ORACLE["phone_lookup"] = _NL + f"select * from ({_INDEX}) i" + """
+where num in (select '+316' || lpad(cast(c_custkey as varchar), 8, '1')
+              from (select c_custkey from customer order by c_custkey limit 3) f)"""

@@ -46,7 +46,7 @@ def write_segment_index(spark: SparkSession, segments_path: str, index_path: str
 
 def write_cast_list(rows: DataFrame, path: str, files: int, key: str = "actor_id",
                     name: str = "name", title: str = "raw_title",
-                    gender: str = "is_male") -> None:
+                    gender: str = "is_male", in_order: bool = False) -> None:
     """Cast-list files in Latin-1 from (key, name, title, gender) rows, in
     folders ``<gender>=true`` and ``<gender>=false`` with ``files`` files each:
     a header ending in the start marker, then per actor a blank line, the name
@@ -54,9 +54,17 @@ def write_cast_list(rows: DataFrame, path: str, files: int, key: str = "actor_id
 
     One pass over ``rows``: actors are spread over files by a hash of the key,
     name lines are rows of their own (one per distinct actor), and each file
-    is a sorted part; nothing is gathered per actor or per file."""
+    is a sorted part; nothing is gathered per actor or per file. With
+    ``in_order`` (whole-number keys) actors are spread by ranges of the key, so
+    that the files, by name, have all actors in the order of their keys."""
     spark = rows.sparkSession
     f = F.pmod(F.xxhash64(key), F.lit(files)).cast("int")
+    if in_order:
+        low, high = rows.agg(F.min(key), F.max(key)).first()
+        f = F.floor((F.col(key) - F.lit(low)) * F.lit(files) / F.lit((high or 0) - (low or 0) + 1)) \
+            .cast("int")
+    # names of one length, so that their order is that of the numbers
+    f = F.lpad(f.cast("string"), 9, "0")
     key_type = rows.schema[key].dataType
     g = F.col(gender).cast("boolean")
     titles = rows.select(g.alias("g"), f.alias("f"), F.lit(1).alias("sec"), F.col(key).alias("a"),
@@ -64,7 +72,7 @@ def write_cast_list(rows: DataFrame, path: str, files: int, key: str = "actor_id
     names = rows.select(g.alias("g"), f.alias("f"), F.lit(1).alias("sec"), F.col(key).alias("a"),
                         F.lit(0).alias("o"), F.concat(F.lit("\n"), F.col(name)).alias("t")).distinct()
     ids = spark.range(2 * files).select((F.col("id") % 2 == 0).alias("g"),
-                                        F.floor(F.col("id") / 2).cast("int").alias("f"))
+                                        F.lpad(F.floor(F.col("id") / 2).cast("string"), 9, "0").alias("f"))
 
     def edge(sec: int, texts: list[str]) -> DataFrame:
         return ids.select("g", "f", F.lit(sec).alias("sec"), F.lit(None).cast(key_type).alias("a"),

@@ -2,6 +2,7 @@
 BFS, and the whole job on a generated Latin-1 cast-list file."""
 
 import glob
+import os
 import random
 from collections import deque
 
@@ -233,3 +234,51 @@ def test_title_rules_run_once_per_row(spark):
         .optimizedPlan().toString()
     assert plan.count("regexp_extract") == 2       # the cut title, its year
     assert plan.count("[role]") == 1               # the title itself
+
+
+def test_vertex_states_of_several_sources(spark):
+    """Unreached actors at 100, actors without a co-star only as sources."""
+    rng = random.Random(4)
+    pairs = sorted({(a, f"m{rng.randrange(60)}") for a in range(90) for _ in range(2)}
+                   | {(200, "alone"), (300, "x"), (301, "x"), (302, "y"), (303, "y")})
+    edges = spark.createDataFrame(pairs, "actor_id long, movie string").checkpoint()
+    cast = {}
+    for a, m in pairs:
+        cast.setdefault(m, set()).add(a)
+    shared = {a for a, m in pairs if len(cast[m]) > 1}
+    for hops in (1, 6):
+        sources = spark.createDataFrame([(0,), (300,), (200,), (0,)], "source_id long")
+        got = {(r.source_id, r.actor_id): r.distance
+               for r in graph.vertex_states(edges, sources, hops).collect()}
+        want = {}
+        for s in (0, 300, 200):
+            near = py_bfs(pairs, s, hops)
+            want |= {(s, a): near.get(a, graph.UNREACHED) for a in shared | {s}}
+        assert got == want and graph.UNREACHED in got.values()
+
+
+def test_actor_ids_are_dense_and_stay(spark, tmp):
+    """0..n-1 in the order of inputs, files and records, however the files are
+    cut into splits, and again when they are read again."""
+    from ravel.sources.casts import read_cast_file
+    names = {"m": [], "f": []}
+    for kind, files in (("m", 3), ("f", 2)):
+        os.makedirs(f"{tmp}/{kind}")
+        for i in range(files):
+            own = [f"{kind}{i}-{j:03d}" for j in range(40)]
+            names[kind] += own
+            body = "\n".join(f"{n}\tFilm {n} (2012)\n" for n in own)
+            with open(f"{tmp}/{kind}/{i}.txt", "w") as f:
+                f.write(HEADER + "\n" + body + "\n" + "-" * 77 + "\nend\n")
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    try:
+        for size in (old, "300", "1000"):
+            spark.conf.set(key, size)
+            male, female = (graph.parse_cast_records(read_cast_file(spark, f"{tmp}/{k}"), k == "m", 2011)
+                            for k in "mf")
+            rows = graph.cast_actor_ids(male, female).collect()
+            assert [r.name for r in sorted(rows, key=lambda r: r.actor_id)] == names["m"] + names["f"]
+            assert sorted(r.actor_id for r in rows) == list(range(200))
+    finally:
+        spark.conf.set(key, old)

@@ -129,3 +129,28 @@ def test_index_write_fails_when_output_exists(spark, tmp):
     assert spark.read.parquet(f"{tmp}/idx").count() == 1
     with pytest.raises(AnalysisException):
         phones.write_phone_index(idx, f"{tmp}/idx")
+
+
+def test_index_in_folders_is_pruned(spark, tmp):
+    """A lookup lists one folder's files; the default mode keeps what is there."""
+    import pytest
+    from pyspark.sql import functions as F
+
+    from ravel.operators.phones import lookup_numbers, phone_index, write_phone_index
+    pairs = spark.range(3000).select(F.concat(F.lit("+31"), F.col("id") % 400).alias("num"),
+                                     F.col("id").cast("string").alias("uri"))
+    write_phone_index(phone_index(pairs, 3), f"{tmp}/i", buckets=16)
+    got = lookup_numbers(spark, f"{tmp}/i", ["+317", "+31999"], 16)
+    assert sorted(u for r in got.collect() for u in r.urls) == \
+        sorted(str(i) for i in range(3000) if i % 400 == 7)
+    one = lookup_numbers(spark, f"{tmp}/i", ["+317"], 16)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+    scan = [x for x in plan.splitlines() if "PushedFilters" in x][0]
+    assert "EqualTo(num,+317)" in scan or "In(num" in scan
+    read = {r.f.split("bucket=")[1].split("/")[0] for r in
+            one.select(F.input_file_name().alias("f")).distinct().collect()}
+    assert len(read) == 1
+    assert lookup_numbers(spark, f"{tmp}/i", [], 16).count() == 0
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
+        write_phone_index(phone_index(pairs), f"{tmp}/i", buckets=16)
