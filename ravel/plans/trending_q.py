@@ -297,3 +297,46 @@ select concat(i::varchar, '. ', tag_count::varchar, ' ', tag, ':', username, ':'
 union all select repeat('-', 35) from n
 union all select unnest(['', repeat('=', 38),
   'Time: ' || strftime(make_timestamp(start + 43200000000), '%H:%M:%S'), repeat('=', 38)]) from heads"""
+
+
+def lang_names(spark, sf_dir):
+    """The corrected codes of ``lang_override`` with their English names."""
+    from ravel.sources.languages import language_names, with_language_name
+
+    return with_language_name(lang_override(spark, sf_dir), language_names(spark)) \
+        .select("event_id", "lang", "language")
+
+
+def trending_arrival(spark, sf_dir):
+    """Windows by arrival: the events are recorded by a stream with arrivals up
+    to 90 minutes after their own time, and the program's stream runs over the
+    record; its rows for every closed window."""
+    from ravel.session import remove_path, scratch_path
+    from ravel.sources.tables import tweets_from_events
+    from ravel.streaming.arrivals import by_arrival, record_arrivals
+    from ravel.streaming.trending_stream import events_stream, finish, start_trending
+
+    base = scratch_path(spark, "arrivals")
+    try:
+        taken = tweets_from_events(events_stream(spark, sf_dir))
+        late = F.make_dt_interval(secs=F.pmod(F.col("event_id") * 37, F.lit(DELAY)).cast("int"))
+        finish(record_arrivals(taken, f"{base}/record", f"{base}/ckpt-in",
+                               F.col("ts") + late, available_now=True))
+        kept = spark.readStream.schema(spark.read.parquet(f"{base}/record").schema) \
+            .parquet(f"{base}/record")
+        finish(start_trending(by_arrival(kept), f"{base}/out", f"{base}/ckpt", WINDOW, SLIDE,
+                              WATERMARK, available_now=True))
+        return _stream_rows(spark, f"{base}/out").checkpoint(eager=True)
+    finally:
+        remove_path(spark, base)
+
+
+DELAY = 5400
+QUERIES |= {"lang_names": lang_names, "trending_arrival": trending_arrival}
+ORACLE["lang_names"] = f"""
+with o as ({ORACLE["lang_override"]})
+select event_id, lang, name as language
+from o join (values ('en', 'English'), ('no', 'Norwegian'), ('fr', 'French'), ('lt', 'Lithuanian'),
+                    ('ja', 'Japanese'), ('ko', 'Korean')) n(code, name) on lang = code"""
+ORACLE["trending_arrival"] = ORACLE["trending_stream"].replace(
+    "epoch_us(ts) as us", f"epoch_us(ts) + event_id * 37 % {DELAY} * 1000000 as us")

@@ -135,3 +135,32 @@ def test_joined_plan_equals_batch_and_clears_its_state(spark, tmp):
     joins = [op for op in q.recentProgress[-1].stateOperators if "oin" in op.operatorName]
     # what is left belongs to windows that are still open
     assert joins and sum(op.numRowsTotal for op in joins) < got.count()
+
+
+def test_recorded_arrivals_give_the_same_windows(spark, tmp):
+    """Stamps are taken once per tick and stay; reruns over the record agree."""
+    from ravel.streaming.arrivals import by_arrival, record_arrivals
+    df = spark.createDataFrame(statuses(60), SCHEMA)
+    ts.write_in_time_order(df, f"{tmp}/in", 2)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp}/in")
+    ts.finish(record_arrivals(stream, f"{tmp}/record", f"{tmp}/ck", available_now=True))
+    kept = spark.read.parquet(f"{tmp}/record")
+    assert kept.count() == 60 and 1 < kept.select("arrived").distinct().count() <= 4
+    runs = [tr.trending(by_arrival(spark.read.parquet(f"{tmp}/record")), "120 seconds", "40 seconds")
+            for _ in range(2)]
+    assert same(*runs) and runs[0].count() > 0
+    # the windows are those of the arrivals, not of the statuses' own times
+    assert runs[0].agg(F.min("window.start")).first()[0] > T0 + timedelta(days=30)
+
+
+def test_language_names(spark):
+    from ravel.sources import languages
+    df = spark.createDataFrame([("en",), ("NO",), ("zz",), (None,), ("",)], "lang string")
+    names = languages.language_names(spark)
+    want = {"en": "English", "NO": "Norwegian", "zz": "zz", None: None, "": ""}
+    assert {r.lang: r.language for r in languages.with_language_name(df, names).collect()} == want
+    long = names.unionByName(spark.range(languages.MAX_BROADCAST).selectExpr(
+        "concat('x', id) as code", "'n' as name"))
+    joined = languages.with_language_name(df, long)
+    assert {r.lang: r.language for r in joined.collect()} == want
+    assert "ResolvedHint" not in joined._jdf.queryExecution().analyzed().toString()
