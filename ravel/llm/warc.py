@@ -26,15 +26,17 @@ Edge cases: a null payload is empty. A null URL has no target header, line
 breaks in a URL are percent-encoded. A null page_id is never the response of
 others while some page with an id holds the payload; pages without ids only
 are all responses. Rows that repeat page_id and payload are written and read
-back as often as they occur. An empty table gives no archives and no rows.
-Extra columns are ignored.
+back as often as they occur: each segment is kept once, with a count. Of a
+damaged archive, or a file that is none, the whole records before the damage
+are read; fields that should be numbers and are none count as missing. An
+empty table gives no archives and no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import gzip
 import hashlib
 import uuid
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +50,7 @@ SEGMENT = 65_536
 CHUNK = 16_384
 RECORDS_PER_FILE = 1000
 _END = b"\r\n\r\n"
+_SLICE = 1 << 20
 _DATE = "1970-01-01T00:00:00Z"
 _NAMES = uuid.UUID("8d7e4f66-5b1c-4a53-9a55-0d2e6a4c9b10")   # of record ids
 _HTTP = (b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
@@ -121,8 +124,28 @@ def page_records(page_id, url, payload: bytes, digest: str, refers_to) -> list[b
     return out
 
 
+def unpacked(data: bytes) -> bytes:
+    """Content of an archive, gzip members after one another or plain; of a
+    damaged one, what stands before the damage."""
+    if data[:2] != b"\x1f\x8b":
+        return data
+    out = []
+    while data:
+        member = zlib.decompressobj(31)
+        try:
+            for at in range(0, len(data), _SLICE):
+                out.append(member.decompress(data[at:at + _SLICE]))
+                if member.eof:
+                    break
+        except zlib.error:
+            break
+        data = member.unused_data + data[at + _SLICE:] if member.eof else b""
+    return b"".join(out)
+
+
 def parse_archive(data: bytes):
-    """(fields, block) of each record, cut by Content-Length."""
+    """(fields, block) of each record, cut by Content-Length. Raises ValueError
+    or KeyError where what follows is no whole record."""
     at = 0
     while at < len(data):
         if data[at:at + 5] != b"WARC/":
@@ -132,7 +155,7 @@ def parse_archive(data: bytes):
         fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
         start = end + 4
         stop = start + int(fields["content-length"])
-        if data[stop:stop + 4] != _END:
+        if stop < start or data[stop:stop + 4] != _END:
             raise ValueError(f"record at byte {at} has a wrong length")
         yield fields, data[start:stop]
         at = stop + 4
@@ -190,9 +213,13 @@ def archive_records(spark: SparkSession, path: str, payloads: bool = True) -> Da
     bound_batches(spark)
 
     def row(f, block):
-        number = {k: int(f[n]) if n in f else None for k, n in
+        # numbers that are none are like missing ones
+        number = {k: int(f[n]) if f.get(n, "").isascii() and f.get(n, "").isdigit()
+                  and len(f[n]) < 19 else None for k, n in
                   (("segment", "warc-segment-number"), ("total", "warc-segment-total-length"),
                    ("page", "page-id"))}
+        if number["segment"] is not None and number["segment"] >= 1 << 31:
+            number["segment"] = None
         digest = f.get("warc-payload-digest", "").removeprefix("sha256:") or None
         size = found = complete = None
         if f.get("warc-type") == "response" and number["segment"] is None:
@@ -205,9 +232,12 @@ def archive_records(spark: SparkSession, path: str, payloads: bool = True) -> Da
     def run(batches):
         for b in batches:
             for content in b["content"].to_pylist():
-                if content[:2] == b"\x1f\x8b":
-                    content = gzip.decompress(content)
-                out = [row(f, block) for f, block in parse_archive(content)]
+                out = []
+                try:
+                    for f, block in parse_archive(unpacked(content)):
+                        out.append(row(f, block))
+                except (ValueError, KeyError):
+                    pass                # what stands before the damage is kept
                 for at in range(0, len(out), 256):
                     part = out[at:at + 256]
                     yield pa.RecordBatch.from_arrays(
@@ -241,35 +271,48 @@ def read_responses(records: DataFrame, payloads: bool = True) -> DataFrame:
 
     def together(batches):
         for b in batches:
-            rows = [x for r in b.to_pylist() for x in reassemble(r["record_id"], r["parts"])]
+            rows = [_message(r["record_id"], r["parts"]) for r in b.to_pylist()]
             if not payloads:
                 rows = [(*r[:3], None, *r[4:]) for r in rows]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], t) for i, t in enumerate(_OUT_KINDS)], names)
+                [*(pa.array([r[i] for r in rows], t) for i, t in enumerate(_OUT_KINDS)),
+                 b["times"]], [*names, "times"])
 
     whole = records.where("type = 'response' and segment is null") \
         .withColumnRenamed("data", "payload").select(*names)
-    parts = (records.where("segment is not null").groupBy("record_id")
-             .agg(F.sort_array(F.collect_list(F.struct(
-                 "segment", "total", "type", "page_id", "uri", "digest", "data"))).alias("parts"))
-             .mapInArrow(together, ", ".join(_OUT)))
-    return whole.unionByName(parts)
-
-
-def reassemble(origin: str, parts: list[dict]):
-    """Responses of one origin id, from its segments ordered by number. Rows
-    written twice have each segment twice: the message is put together once
-    and returned as often as its first segment occurs."""
-    first = [p for p in parts if p["segment"] == 1]
+    # rows written twice have each segment twice: each is kept once, with how
+    # often the first one occurs, so that no list grows with the copies
+    parts = (records.where("segment is not null").groupBy("record_id", "segment")
+             .agg(F.first(F.struct("total", "type", "page_id", "uri", "digest", "data")).alias("p"),
+                  F.count(F.lit(1)).alias("times"))
+             .groupBy("record_id")
+             .agg(F.sort_array(F.collect_list(F.struct("segment", "p.*"))).alias("parts"),
+                  F.max(F.when(F.col("segment") == 1, F.col("times"))).alias("times")))
+    parts = parts.select("record_id", "parts", F.coalesce("times", F.lit(1)).alias("times")) \
+        .mapInArrow(together, ", ".join([*_OUT, "times long"]))
+    parts = parts.withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
+    return whole.unionByName(parts.select(*names))
+
+
+def reassemble(origin: str, parts: list[dict]) -> list[tuple]:
+    """Responses of one origin id from segments of any number: one for each
+    first segment."""
     by_number = {p["segment"]: p for p in parts}
-    block = b"".join(p["data"] for _, p in sorted(by_number.items()))
+    times = sum(p["segment"] == 1 for p in parts)
+    return [_message(origin, [by_number[n] for n in sorted(by_number)])] * max(1, times)
+
+
+def _message(origin: str, parts: list[dict]) -> tuple:
+    """The response of one origin id, from its segments ordered by number, each
+    once."""
+    head = parts[0]
+    block = b"".join(p["data"] or b"" for p in parts)
     total = next((p["total"] for p in parts if p["total"] is not None), None)
-    head = first[0] if first else parts[0]
-    if not first or sorted(by_number) != list(range(1, len(by_number) + 1)) or total != len(block):
+    if [p["segment"] for p in parts] != list(range(1, len(parts) + 1)) or total != len(block):
         out = None, None, None, False
     else:
         out = _decoded(block, head["digest"])
-    return [(origin, head["page_id"], head["uri"], *out)] * max(1, len(first))
+    return (origin, head["page_id"], head["uri"], *out)
 
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
@@ -299,11 +342,12 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query over ``pages``: write archives, read them back."""
     path = scratch_path(spark, "warc")
-    write_archives(read(spark, sf_dir, "pages"), path)
-    out = pinned(read_archives(spark, path, payloads=False).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
-    remove_path(spark, path)
-    return out
+    try:
+        write_archives(read(spark, sf_dir, "pages"), path)
+        return pinned(read_archives(spark, path, payloads=False).select(
+            "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+    finally:
+        remove_path(spark, path)
 
 
 QUERIES = {"op6_warc": op6_warc}

@@ -102,3 +102,56 @@ def test_empty(spark, tmp):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     W.write_archives(pages, f"{tmp}/w")
     assert W.read_archives(spark, f"{tmp}/w").count() == 0
+
+
+def test_copies_of_segments_are_counted_not_listed(spark, tmp):
+    """Many pages without an id share one large payload and its record id: no
+    list is longer than one payload's segments, and every page comes back."""
+    body = "x<é>" * 60_000
+    n = 300
+    pages = spark.range(n).selectExpr("cast(null as long) page_id", "'u' url", f"repeat('x<é>', 60000) html")
+    W.write_archives(pages, f"{tmp}/w")
+    records = W.pinned(W.archive_records(spark, f"{tmp}/w"))
+    per = records.where("segment is not null").groupBy("record_id").count().collect()
+    segments = -(-len(W._HTTP + W.chunked(body.encode())) // W.SEGMENT)
+    assert [r["count"] for r in per] == [n * segments]
+    seen = spark.sparkContext.accumulator(0)
+    plain = W._message
+
+    def counting(origin, parts):
+        seen.add(len(parts))
+        return plain(origin, parts)
+
+    W._message = counting
+    try:
+        out = W.read_responses(records, payloads=False)
+        assert out.count() == n and out.where("not complete").count() == 0
+        assert out.select("payload_digest").distinct().collect()[0][0] == \
+            hashlib.sha256(body.encode()).hexdigest()
+    finally:
+        W._message = plain
+
+
+def test_damaged_and_foreign_archives(spark, tmp):
+    """Whole records before the damage are read; the job goes on."""
+    import gzip
+    import os
+    whole = [r + b"\r\n\r\n" for i in range(4) for r in
+             W.page_records(i, "u", b"p%d" % i * 90, hashlib.sha256(b"p%d" % i * 90).hexdigest(), None)]
+    packed = b"".join(gzip.compress(r) for r in whole)
+    bad = bytearray(packed)
+    bad[len(packed) // 2 + 40] ^= 255
+    odd = b"WARC/1.0\r\nWARC-Type: response\r\nPage-ID: none\r\nContent-Length: 2\r\n\r\nab\r\n\r\n"
+    files = {"plain": b"".join(whole), "packed": packed, "cut": packed[:-40], "bad": bytes(bad),
+             "noise": b"no archive at all", "empty": b"", "short": b"".join(whole)[:-30],
+             "lengthless": whole[0] + b"WARC/1.0\r\nWARC-Type: response\r\n\r\nab\r\n\r\n",
+             "negative": odd.replace(b"Length: 2", b"Length: -2"), "odd": odd}
+    os.makedirs(f"{tmp}/w")
+    for i, (name, data) in enumerate(files.items()):
+        with open(f"{tmp}/w/part-{i}-{name}", "wb") as f:
+            f.write(data)
+    got = W.archive_records(spark, f"{tmp}/w").collect()
+    pages = sorted(r.page_id for r in got if r.complete)
+    # plain, packed: 4 each; cut, short: 3; bad: 2; lengthless: 1
+    assert pages == sorted([0, 1, 2, 3] * 2 + [0, 1, 2] * 2 + [0, 1] + [0])
+    assert [(r.page_id, r.complete) for r in got if not r.complete] == [(None, False)]
