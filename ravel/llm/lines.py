@@ -80,6 +80,7 @@ class LineRuns:
         self.spark = spark
         self.fanout = fanout
         self.levels: list[list[tuple[str, str]]] = []
+        self._made: set[tuple[str, str]] = set()    # tables there may be
 
     def add(self, batch: DataFrame) -> None:
         """Add a batch of (h1, h2, id), one row per key and document; every
@@ -110,6 +111,7 @@ class LineRuns:
     def _write(self, run: DataFrame) -> tuple[str, str]:
         name = f"ravel_run_{uuid.uuid4().hex}"
         path = scratch_path(self.spark, name)
+        self._made.add((name, path))
         (run.write.format("parquet").option("path", path)
          .bucketBy(partitions(self.spark), *_KEY).sortBy(*_KEY).saveAsTable(name))
         return name, path
@@ -131,9 +133,11 @@ class LineRuns:
         for name, path in runs:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
             remove_path(self.spark, path)
+            self._made.discard((name, path))
 
     def close(self) -> None:
-        self._drop([r for level in self.levels for r in level])
+        """Drop every run, one whose writing failed too."""
+        self._drop(list(self._made))
         self.levels = []
 
 
@@ -152,23 +156,25 @@ def dropped_positions(docs: DataFrame, min_chars: int = MIN_CHARS,
     """(id, th, drops array<int>): positions to drop, rows with any only."""
     spark = docs.sparkSession
     staged_path = scratch_path(spark, "lines")
-    number = _batch_number(docs, batches)
-    (_hashed_lines(docs, min_chars).withColumn("batch", number)
-     .write.partitionBy("batch").parquet(staged_path))
-    staged = spark.read.schema("id long, th long, h1 long, h2 long, pos int, "
-                               "first boolean, batch int").parquet(staged_path)
     runs = LineRuns(spark)
-    for b in range(batches):
-        runs.add(staged.where((F.col("batch") == b) & F.col("first")).select(*_KEY, "id"))
-    hot = pinned(runs.merged().where((F.col("n_docs") >= min_docs)
-                                     & F.col("keeper").isNotNull()).select(*_KEY, "keeper"))
-    runs.close()
-    out = pinned(staged.join(hot, _KEY)
-                 .where(F.col("id").isNull() | (F.col("id") < F.col("keeper")))
-                 .groupBy("id", "th")
-                 .agg(F.sort_array(F.collect_set("pos")).alias("drops")))
-    remove_path(spark, staged_path)
-    return out
+    number = _batch_number(docs, batches)
+    try:
+        (_hashed_lines(docs, min_chars).withColumn("batch", number)
+         .write.partitionBy("batch").parquet(staged_path))
+        staged = spark.read.schema("id long, th long, h1 long, h2 long, pos int, "
+                                   "first boolean, batch int").parquet(staged_path)
+        for b in range(batches):
+            runs.add(staged.where((F.col("batch") == b) & F.col("first")).select(*_KEY, "id"))
+        hot = pinned(runs.merged().where((F.col("n_docs") >= min_docs)
+                                         & F.col("keeper").isNotNull()).select(*_KEY, "keeper"))
+        runs.close()
+        return pinned(staged.join(hot, _KEY)
+                      .where(F.col("id").isNull() | (F.col("id") < F.col("keeper")))
+                      .groupBy("id", "th")
+                      .agg(F.sort_array(F.collect_set("pos")).alias("drops")))
+    finally:
+        runs.close()
+        remove_path(spark, staged_path)
 
 
 def _kept_text(lines: Column, drops: Column) -> Column:

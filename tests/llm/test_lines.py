@@ -100,3 +100,35 @@ def test_query_equals_sql(spark):
     same = [w for w in want if w[0] == text.doc_id][0]
     if same[2] == 0:
         assert same[3] == hashlib.sha256((text.text or "").encode()).hexdigest()
+
+
+def test_nothing_is_left_behind(spark, monkeypatch):
+    """Scratch tables and folders go, after a success and after a failure in
+    any write."""
+    import os
+
+    from ravel.llm import lines as L
+    from ravel.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).removeprefix("file:")
+    left = lambda: ({t.name for t in spark.catalog.listTables() if t.name.startswith("ravel_run")},
+                    {f for f in os.listdir(base) if f.startswith("ravel-")})
+    docs = spark.createDataFrame([(i, "a line that is long enough\nown %d" % i) for i in range(9)],
+                                 "doc_id long, text string")
+    before = left()
+    assert L.drop_repeated_lines(docs).count() == 9
+    assert left() == before
+    push = L.LineRuns._push
+    for n in (1, 2, 4):
+        calls = [n]
+
+        def broken(self, at, run):
+            calls[0] -= 1
+            if not calls[0]:
+                self._write(run)
+                raise RuntimeError("lost")
+            push(self, at, run)
+
+        monkeypatch.setattr(L.LineRuns, "_push", broken)
+        with pytest.raises(RuntimeError, match="lost"):
+            L.drop_repeated_lines(docs).count()
+        assert left() == before
