@@ -59,14 +59,17 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``. What a stage returns is written to the
-    shared scratch folder and read by the next one, then removed."""
-    docs, last = read(spark, sf_dir, "documents"), None
-    for name, stage in STAGES[:-1]:
-        path = scratch_path(spark, name.replace(" ", "-"))
-        stage(spark, docs, sf_dir).write.parquet(path)
-        if last:
-            remove_path(spark, last)
-        docs, last = spark.read.parquet(path), path
-    out = pinned(STAGES[-1][1](spark, docs, sf_dir))
-    remove_path(spark, last)
-    return out
+    shared scratch folder and read by the next one, then removed, also when a
+    stage fails."""
+    docs, kept = read(spark, sf_dir, "documents"), []
+    try:
+        for name, stage in STAGES[:-1]:
+            kept.append(scratch_path(spark, name.replace(" ", "-")))
+            stage(spark, docs, sf_dir).write.parquet(kept[-1])
+            if len(kept) > 1:
+                remove_path(spark, kept.pop(0))
+            docs = spark.read.parquet(kept[-1])
+        return pinned(STAGES[-1][1](spark, docs, sf_dir))
+    finally:
+        for path in kept:
+            remove_path(spark, path)

@@ -239,13 +239,14 @@ def cast_file_movies(spark, sf_dir):
         .otherwise(F.col("name"))
     rows = cast_rows(spark, sf_dir).withColumn("name", named).checkpoint(eager=True)
     path = scratch_path(spark, "cast-list")
-    write_cast_list(rows, path, max(1, math.ceil(rows.count() / TITLES_PER_FILE)))
-    parsed = [graph.parse_cast_records(read_cast_file(spark, f"{path}/is_male={str(male).lower()}"),
-                                       male, CAST_MIN_YEAR) for male in (True, False)]
-    both = parsed[0].unionByName(parsed[1]).select("name", "is_male", F.explode("movies").alias("movie"))
-    both = both.checkpoint(eager=True)
-    remove_path(spark, path)
-    return both
+    try:
+        write_cast_list(rows, path, max(1, math.ceil(rows.count() / TITLES_PER_FILE)))
+        parsed = [graph.parse_cast_records(read_cast_file(spark, f"{path}/is_male={str(male).lower()}"),
+                                           male, CAST_MIN_YEAR) for male in (True, False)]
+        return (parsed[0].unionByName(parsed[1])
+                .select("name", "is_male", F.explode("movies").alias("movie")).checkpoint(eager=True))
+    finally:
+        remove_path(spark, path)
 
 
 QUERIES["cast_file_movies"] = cast_file_movies
