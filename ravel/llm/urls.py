@@ -4,10 +4,12 @@ A rule names a host (with its subdomains) and a path prefix; the longest rule
 that fits decides. Where none fits, one automaton finds all vocabulary terms
 in the lower-cased URL. A hit counts only between boundaries: no ASCII letter
 or digit right before or after it. A strict term rejects the URL by itself;
-soft terms weigh one each, and ``SOFT_HITS`` distinct ones reject it.
+of soft terms the weights of the distinct ones add up, and ``SOFT_HITS`` reject
+it. The built-in soft terms weigh one each; ``vocabulary`` takes a table of
+terms with weights of their own, from a frame or a Parquet path.
 
 Scale: rows are judged where they are read; nothing is shuffled. Rules and
-vocabulary are parameters of the call and travel with the function.
+vocabulary (at most ``MAX_TERMS`` terms, checked) travel with the function.
 
 Edge cases: a null URL, or one without ``://``, has an empty host and path and
 fits no rule; its text is still searched for terms (a null has none and is
@@ -33,6 +35,7 @@ STRICT = ("adult", "porn", "porno", "xxx", "casino", "hentai", "escort", "viagra
 SOFT = ("free", "bets", "bet", "win", "bonus", "jackpot", "poker", "slots", "cheap", "pills",
         "sex", "nude", "cams", "dating", "hot", "torrent", "crack", "loan", "loans", "prize")
 SOFT_HITS = 2
+MAX_TERMS = 1_000_000
 _UPPER = {c: c + 32 for c in range(65, 91)}
 
 
@@ -51,7 +54,9 @@ def split_url(url: str | None) -> tuple[str, str]:
 class Filter:
     """Rules and vocabulary, ready to judge; built once in each task."""
 
-    def __init__(self, rules=RULES, strict=STRICT, soft=SOFT, soft_hits: int = SOFT_HITS):
+    def __init__(self, rules=RULES, strict=STRICT, soft=SOFT, soft_hits: int = SOFT_HITS,
+                 terms=None):
+        """``terms``: (term, weight, strict) instead of ``strict`` and ``soft``."""
         import ahocorasick
 
         self.rules = {}
@@ -60,10 +65,10 @@ class Filter:
             self.rules.setdefault(host, []).append((rule, slash + path, verdict))
         self.soft_hits = soft_hits
         self.terms = ahocorasick.Automaton()
-        for term in soft:
-            self.terms.add_word(term, (term, 1))
-        for term in strict:
-            self.terms.add_word(term, (term, soft_hits))
+        if terms is None:
+            terms = [*((t, 1, False) for t in soft), *((t, soft_hits, True) for t in strict)]
+        for term, weight, alone in terms:
+            self.terms.add_word(term, (term, max(weight, soft_hits) if alone else weight))
         self.terms.make_automaton()
 
     def rule_for(self, host: str, path: str):
@@ -97,6 +102,22 @@ class Filter:
         return host, path, None, "block" if weight >= self.soft_hits else "allow", weight
 
 
+def vocabulary(spark: SparkSession, source) -> list[tuple[str, int, bool]]:
+    """(term, weight, strict) of a table with these columns, a frame or a Parquet
+    path, for ``terms``. A-Z are lower-cased; null and empty terms go, a null
+    weight is 1, a null flag false; a repeated term has its largest weight and
+    is strict if any row says so."""
+    rows = spark.read.parquet(source) if isinstance(source, str) else source
+    term = F.translate("term", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    rows = (rows.where("term is not null and term <> ''").groupBy(term.alias("term"))
+            .agg(F.max(F.coalesce(F.col("weight").cast("int"), F.lit(1))).alias("weight"),
+                 F.max(F.coalesce("strict", F.lit(False))).alias("strict")))
+    found = rows.limit(MAX_TERMS + 1).collect()
+    if len(found) > MAX_TERMS:
+        raise ValueError(f"over {MAX_TERMS} terms")
+    return sorted((r.term, r.weight, r.strict) for r in found)
+
+
 def _inner(c: str) -> bool:
     return bool(c) and c.isascii() and c.isalnum()
 
@@ -154,18 +175,18 @@ _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 QUERIES = {"op5_url_filter": op5_url_filter}
 ORACLE = {"op5_url_filter": f"""
 with parts as (
-  select page_id, translate(coalesce(url, ''), {_AZ}) as u,
+  select row_number() over () as rid, page_id, translate(coalesce(url, ''), {_AZ}) as u,
          case when url like '%://%'
               then substr(url, strpos(url, '://') + 3) else '' end as rest
   from pages),
 p as (
-  select page_id, u, translate(regexp_extract(rest, '^[^/?#]*'), {_AZ}) as host,
+  select rid, page_id, u, translate(regexp_extract(rest, '^[^/?#]*'), {_AZ}) as host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
   from parts),
 rules(verdict, rule, rule_host, rule_path) as (values {_RULE_SQL}),
 fits as (
   select page_id, u, host, path, r.rule, r.verdict,
-         row_number() over (partition by page_id order by length(r.rule) desc nulls last) as n
+         row_number() over (partition by rid order by length(r.rule) desc nulls last) as n
   from p left join rules r
     on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)),
 weighed as (

@@ -1,5 +1,6 @@
 import re
 
+import duckdb
 import pytest
 
 from ravel.llm import urls as U
@@ -53,3 +54,40 @@ def test_rows_and_filter(spark):
     assert U.judge_urls(pages.where("page_id > 9")).count() == 0
     strict = U.judge_urls(pages, rules=(), strict=("a.net",), soft=()).where("verdict = 'block'")
     assert strict.count() == 2
+
+
+def test_vocabulary_of_a_table(spark, tmp):
+    """Weights of their own, from a frame and from a path; bounded."""
+    rows = [("Lotto", 3, False), ("lotto", 1, None), ("win", 1, False), ("big", 2, False),
+            ("poison", None, True), (None, 9, True), ("", 9, True), ("né", 4, False)]
+    table = spark.createDataFrame(rows, "term string, weight int, strict boolean")
+    terms = U.vocabulary(spark, table)
+    assert terms == [("big", 2, False), ("lotto", 3, False), ("né", 4, False),
+                     ("poison", 1, True), ("win", 1, False)]
+    table.write.parquet(f"{tmp}/v")
+    assert U.vocabulary(spark, f"{tmp}/v") == terms
+    urls = {"http://a/win": 1, "http://a/big-win": 3, "http://a/big/BIG/big": 2, "http://a/lotto": 3,
+            "http://a/poison": 4, "http://a/poisoned": 0, "http://a/né": 4, "http://a/lotto-big": 5}
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = U.judge_urls(pages, terms=terms, soft_hits=4).collect()
+    assert {r.page_id: (r.term_weight, r.verdict) for r in got} == {
+        i: (w, "block" if w >= 4 else "allow") for i, w in enumerate(urls.values())}
+    assert U.keep_allowed(pages, terms=terms, soft_hits=4).count() == 5
+    before, U.MAX_TERMS = U.MAX_TERMS, 4
+    try:
+        with pytest.raises(ValueError):
+            U.vocabulary(spark, table)
+    finally:
+        U.MAX_TERMS = before
+
+
+def test_sql_judges_repeated_ids_by_row(spark):
+    rows = [(1, "http://x.net/"), (1, "http://free.bet/"), (2, None), (1, "http://x.net/")]
+    con = duckdb.connect()
+    con.execute("create table pages (page_id bigint, url varchar)")
+    con.executemany("insert into pages values (?, ?)", rows)
+    res = con.execute(U.ORACLE["op5_url_filter"])
+    names = [d[0] for d in res.description]
+    want = sorted((str(tuple(dict(zip(names, r))[c] for c in sorted(names))) for r in res.fetchall()))
+    df = U.judge_urls(spark.createDataFrame(rows, "page_id long, url string"))
+    assert sorted(str(tuple(r[c] for c in sorted(names))) for r in df.collect()) == want
