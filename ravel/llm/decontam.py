@@ -22,12 +22,17 @@
    order. Passages under ``SHORT`` words must occur word for word.
 
 Scale: documents are only mapped over; nothing of them is shuffled but term
-counts, partially summed by task. What is broadcast is bounded: benchmarks are
-taken in blocks of about ``BLOCK_WORDS`` words and ``BLOCK_PASSAGES`` passages,
-each with its own two passes over the documents, so a basis has at most that
-many rows, of at most one float a passage.
-
-Edge cases: null or empty texts and items without words match nothing. Words
+counts, partially summed by task. They are read twice, whatever the size of the
+benchmark: once for the frequencies of all its terms, once to match all its
+passages. A benchmark is taken in blocks of about ``BLOCK_WORDS`` words and
+``BLOCK_PASSAGES`` passages, so a basis has at most that many rows, of at most
+one float a passage. Blocks travel as broadcast files; a task numbers the words
+of about ``CHUNK_BYTES`` of text once and holds one block after another against
+them, so that its memory does not grow with the benchmark.
+
+Edge cases: null or empty texts and items without words match nothing. Items of
+fewer than ``LEAST_WORDS`` words and ``LEAST_CHARS`` characters are too short to
+tell a copy from common speech: they match nothing and ``too_short`` lists them. Words
 are runs of letters, digits and non-ASCII characters, lower-cased. Equal items
 are reported each under its own item_id; rows that repeat a doc_id or an
 item_id share one result row, with the best match. Null ids are kept as null.
@@ -38,19 +43,23 @@ columns are ignored; where documents are filtered they pass through.
 from __future__ import annotations
 
 import math
-from itertools import repeat
+from collections import defaultdict
+from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ravel.llm.common import bound_batches, read
+from ravel.llm.common import bound_batches, pinned, read
 
 WINDOW = 32            # words; windows start every half window
 ITEM_WORDS = 64
 BLOCK_WORDS = 32768    # expected benchmark words a block, per pass
 BLOCK_PASSAGES = 1024  # and passages
+CHUNK_BYTES = 8 << 20  # of text that a task holds against one block after another
+LEAST_WORDS = 3        # an item has at least so many words
+LEAST_CHARS = 24       # or characters (scripts without spaces)
 RANK = 128             # to begin with
 CAPTURED = 0.9         # least share of each passage's norm in the latent space
 OVERSAMPLE = 16
@@ -74,6 +83,11 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().translate(_CLEAN).split()
 
 
+def tells(words: list[bytes]) -> bool:
+    """Whether an item is long enough for its occurrence to mean anything."""
+    return len(words) >= LEAST_WORDS or len(b"".join(words).decode()) >= LEAST_CHARS
+
+
 def lcs_length(masks: dict, size: int, words) -> int:
     """Longest common subsequence with a passage given as bit masks of its
     word positions (bit-parallel: one addition a matching word)."""
@@ -112,6 +126,23 @@ def _run_hashes(ids: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+class Texts:
+    """Some texts as arrays of numbers, one for each distinct word of them."""
+
+    def __init__(self, texts):
+        numbers = defaultdict(count().__next__)
+        self.ids = []
+        for text in texts:
+            words = words_of(text)
+            self.ids.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
+        self.words = list(numbers)
+
+    def terms(self, vocab: dict) -> np.ndarray:
+        """The term number of each word; ``len(vocab)`` for words outside."""
+        return np.fromiter(map(vocab.get, self.words, repeat(len(vocab))), np.int32,
+                           len(self.words))
+
+
 class Passages:
     """One block of benchmark passages with its vocabulary; broadcast."""
 
@@ -120,7 +151,9 @@ class Passages:
         vocab = sorted({w for p in passages for w in p})
         self.vocab = {w: i for i, w in enumerate(vocab)}
         self.words = [np.array([self.vocab[w] for w in p], dtype=np.int32) for p in passages]
-        self.marks = [sorted(set(p), key=lambda w: (-len(w), w))[:MARKS] for p in passages]
+        marks = [sorted(set(p), key=lambda w: (-len(w), w))[:MARKS] for p in passages]
+        self.marks = np.array([[self.vocab[m[min(i, len(m) - 1)]] for i in range(MARKS)]
+                               for m in marks], dtype=np.int32).reshape(-1, MARKS)
         self.idf = np.zeros(len(vocab) + 1)
         self.basis = self.latent = self.limit = self.captured = self.cover = self.reach = None
         self.least = 0.0
@@ -150,6 +183,16 @@ class Passages:
                     found.add((k, max(0, i - offset)))
         return found
 
+    def present(self, ids: np.ndarray) -> np.ndarray:
+        """Terms for which a document of these term numbers counts: those it
+        holds, without those of passages whose marks it holds all."""
+        held = np.zeros(len(self.vocab) + 1, dtype=bool)
+        held[ids] = True
+        held[-1] = False
+        for k in np.flatnonzero(held[self.marks].all(axis=1)):
+            held[self.words[k]] = False
+        return np.flatnonzero(held)
+
     def weigh(self, df: np.ndarray, n_docs: int) -> None:
         """Inverse document frequencies; a word outside the vocabulary weighs
         as one met in no document."""
@@ -203,11 +246,15 @@ class Passages:
 
     def candidates(self, text: str | None):
         """(document as term numbers, [(passage, window start, cosine)])."""
-        words = words_of(text)
-        n, step = len(words), WINDOW // 2
+        texts = Texts([text])
+        ids = texts.terms(self.vocab)[texts.ids[0]]
+        return ids, self.near(ids)
+
+    def near(self, ids: np.ndarray) -> list:
+        """[(passage, window start, cosine)] of a document's term numbers."""
+        n, step = len(ids), WINDOW // 2
         if not n:
-            return None, []
-        ids = np.fromiter(map(self.vocab.get, words, repeat(len(self.vocab))), np.int32, n)
+            return []
         found = {(k, start): None for k, start in self.copies(ids)}
         w2 = (self.idf ** 2)[ids]
         starts = np.arange(0, n, step)
@@ -228,8 +275,8 @@ class Passages:
             near = (cos >= self.limit[None, :]) | (along >= self.cover[None, :] * (1 - 1e-4))
             for i, j in np.argwhere(near):
                 found[int(j), int(starts[at[i]])] = float(cos[i, j])
-        return ids, [(k, start, self.cosine(ids, k, start) if cos is None else cos)
-                     for (k, start), cos in found.items()]
+        return [(k, start, self.cosine(ids, k, start) if cos is None else cos)
+                for (k, start), cos in found.items()]
 
     def cosine(self, ids: np.ndarray, k: int, start: int) -> float:
         """Cosine of a passage and the benchmark words of the window at
@@ -255,11 +302,10 @@ class Passages:
         answer = lcs_length(self.answers[k], size, span) >= ANSWER_SHARE * size
         return share, answer, share >= LCS_SURE or answer
 
-    def hits(self, text: str | None) -> dict:
-        """Verified passages of a text: {item: (lcs, cosine, answer)}."""
-        ids, found = self.candidates(text)
+    def hits(self, ids: np.ndarray) -> dict:
+        """Verified passages of a document: {item: (lcs, cosine, answer)}."""
         best: dict = {}
-        for k, start, cos in found:
+        for k, start, cos in self.near(ids):
             item = self.items[k]
             if item in best and best[item][0] == 1.0:
                 continue
@@ -269,6 +315,19 @@ class Passages:
         return best
 
 
+def too_short(benchmark: DataFrame, id_col: str = "item_id",
+              text_col: str = "text") -> DataFrame:
+    """(item_id, text) of the items that hold words, but too few to be looked for."""
+    def run(batches):
+        for b in batches:
+            words = map(words_of, b["text"].to_pylist())
+            yield b.filter(pa.array([bool(w) and not tells(w) for w in words], pa.bool_()))
+
+    return benchmark.select(F.col(id_col).cast("long").alias("item_id"),
+                            F.col(text_col).alias("text")) \
+        .mapInArrow(run, "item_id long, text string")
+
+
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str):
     """The benchmark's passages, block by block."""
     texts = benchmark.select(F.col(id_col).cast("long").alias("item"),
@@ -280,14 +339,14 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str):
             for item, text in zip(b["item"].to_pylist(), b["text"].to_pylist()):
                 words = words_of(text)
                 n = max(1, math.ceil(len(words) / ITEM_WORDS))
-                for i in range(n if words else 0):
+                for i in range(n if tells(words) else 0):
                     items.append(item)
                     parts.append(words[len(words) * i // n:len(words) * (i + 1) // n])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(items, pa.int64()), pa.array(parts, pa.list_(pa.binary()))],
                 ["item", "words"])
 
-    rows = texts.mapInArrow(cut, "item long, words array<binary>")
+    rows = pinned(texts.mapInArrow(cut, "item long, words array<binary>"))
     total, passages = rows.agg(F.sum(F.size("words")), F.count(F.lit(1))).first()
     blocks = math.ceil(max((total or 0) / BLOCK_WORDS, passages / BLOCK_PASSAGES))
     for i in range(blocks):
@@ -297,33 +356,54 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str):
             yield Passages([r.item for r in part], [[bytes(w) for w in r["words"]] for r in part])
 
 
-def document_frequencies(texts: DataFrame, block) -> tuple[np.ndarray, int]:
-    """Documents holding each term of the block outside its own passages, over
-    all rows of ``texts`` (column ``text``), and the number of rows."""
+def _chunks(batches):
+    """Lists of Arrow batches that hold about ``CHUNK_BYTES`` of text each."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b["text"].nbytes
+        if size >= CHUNK_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _in_turn(blocks):
+    """The values of broadcast blocks, for a task: of several, each is read
+    from its file when its turn comes and not kept."""
+    for block in blocks:
+        path = getattr(block, "_path", None)
+        yield block.load_from_path(path) if path and len(blocks) > 1 else block.value
+
+
+def _numbered(held) -> Texts:
+    return Texts(t for b in held for t in b["text"].to_pylist())
+
+
+def document_frequencies(texts: DataFrame, blocks: list) -> DataFrame:
+    """(block, term, n): documents holding each term of each block outside its
+    own passages, over all rows of ``texts`` (column ``text``) in one pass; the
+    term after a block's last counts the rows."""
     def run(batches):
-        vocab = block.value.vocab
-        df = np.zeros(len(vocab) + 1, dtype=np.int64)
-        known = vocab.keys()
-        for b in batches:
-            for t in b["text"].to_pylist():
-                df[-1] += 1
-                if not t:
-                    continue
-                words = set(words_of(t))
-                found = {vocab[w] for w in known & words}
-                for k, marks in enumerate(block.value.marks):
-                    if words.issuperset(marks):
-                        found.difference_update(block.value.words[k].tolist())
-                df[list(found)] += 1
-        at = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], ["term", "n"])
-
-    size = len(block.value.vocab)
-    df = np.zeros(size + 1, dtype=np.int64)
-    for term, n in (texts.mapInArrow(run, "term long, n long").groupBy("term")
-                    .agg(F.sum("n")).collect()):
-        df[term] = n
-    return df[:-1], int(df[-1])
+        df: dict = {}
+        for held in _chunks(batches):
+            numbered = _numbered(held)
+            for at, block in enumerate(_in_turn(blocks)):
+                n = df.setdefault(at, np.zeros(len(block.vocab) + 1, dtype=np.int64))
+                n[-1] += len(numbered.ids)
+                terms = numbered.terms(block.vocab)
+                for ids in numbered.ids:
+                    if len(ids):
+                        n[block.present(terms[ids])] += 1
+        for at, n in df.items():
+            found = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(found), at)), pa.array(found), pa.array(n[found])],
+                ["block", "term", "n"])
+
+    return (texts.mapInArrow(run, "block long, term long, n long")
+            .groupBy("block", "term").agg(F.sum("n").alias("n")))
 
 
 def randomised_svd(rows: DataFrame, terms: int, rank: int = RANK) -> np.ndarray:
@@ -379,13 +459,20 @@ def prepared_blocks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text
     spark = docs.sparkSession
     bound_batches(spark)
     sc = spark.sparkContext
-    texts = docs.select(F.col(text_col).alias("text"))
-    for block in _blocks(benchmark, item_col, item_text_col):
-        draft = sc.broadcast(block)
-        block.weigh(*document_frequencies(texts, draft))
-        draft.unpersist()
+    drafts = [sc.broadcast(block) for block in _blocks(benchmark, item_col, item_text_col)]
+    if not drafts:
+        return
+    counts = pinned(document_frequencies(docs.select(F.col(text_col).alias("text")), drafts))
+    for at, draft in enumerate(drafts):
+        block = draft.value
+        df = np.zeros(len(block.vocab) + 1, dtype=np.int64)
+        for term, n in counts.where(F.col("block") == at).select("term", "n").collect():
+            df[term] = n
+        block.weigh(df[:-1], int(df[-1]))
         block.settle(latent_basis(spark, block))
         yield sc.broadcast(block)
+        drafts[at] = None
+        draft.unpersist()
 
 
 def latent_basis(spark: SparkSession, block: Passages, rank: int = RANK) -> np.ndarray:
@@ -411,21 +498,23 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
                         F.col(text_col).alias("text"))
     schema = "doc_id long, item_id long, lcs double, cosine double, answer boolean"
     kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_()]
-    out = docs.sparkSession.createDataFrame([], schema)
-
-    def matcher(block):
-        def run(batches):
-            for b in batches:
-                rows = [(d, item, *hit) for d, t in
-                        zip(b["doc_id"].to_pylist(), b["text"].to_pylist())
-                        for item, hit in block.value.hits(t).items()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
-                    ["doc_id", "item_id", "lcs", "cosine", "answer"])
-        return run
-
-    for block in prepared_blocks(docs, benchmark, text_col):
-        out = out.unionByName(texts.mapInArrow(matcher(block), schema))
+    blocks = list(prepared_blocks(docs, benchmark, text_col))
+    if not blocks:
+        return docs.sparkSession.createDataFrame([], schema)
+
+    def run(batches):
+        for held in _chunks(batches):
+            doc_ids = [d for b in held for d in b["doc_id"].to_pylist()]
+            numbered, rows = _numbered(held), []
+            for block in _in_turn(blocks):
+                terms = numbered.terms(block.vocab)
+                for d, ids in zip(doc_ids, numbered.ids):
+                    rows += [(d, item, *hit) for item, hit in block.hits(terms[ids]).items()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
+                ["doc_id", "item_id", "lcs", "cosine", "answer"])
+
+    out = texts.mapInArrow(run, schema)
     best = out.groupBy("doc_id", "item_id").agg(
         F.max(F.struct("lcs", "cosine", "answer")).alias("b"))
     return best.select("doc_id", "item_id", "b.lcs", "b.cosine", "b.answer")
@@ -433,17 +522,24 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows in which a benchmark item was found."""
-    def matcher(block):
-        def run(batches):
-            for b in batches:
-                clean = [not block.value.hits(t) for t in b["text"].to_pylist()]
-                yield b.filter(pa.array(clean, pa.bool_()))
-        return run
-
-    out = docs
-    for block in prepared_blocks(docs, benchmark):
-        out = out.mapInArrow(matcher(block), docs.schema)
-    return out
+    blocks = list(prepared_blocks(docs, benchmark))
+    if not blocks:
+        return docs
+
+    def run(batches):
+        for held in _chunks(batches):
+            numbered = _numbered(held)
+            clean = np.ones(len(numbered.ids), dtype=bool)
+            for block in _in_turn(blocks):
+                terms = numbered.terms(block.vocab)
+                for i in np.flatnonzero(clean):
+                    clean[i] = not block.hits(terms[numbered.ids[i]])
+            at = 0
+            for b in held:
+                yield b.filter(pa.array(clean[at:at + len(b)]))
+                at += len(b)
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 from difflib import SequenceMatcher
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ravel.llm import decontam as D
@@ -202,3 +203,64 @@ def test_words_around_a_copy_do_not_hide_it(monkeypatch, n_docs):
             text = [b"f%d" % i for i in range(at)] + item + [b"g%d" % i for i in range(90)]
             found = block.candidates(b" ".join(text).decode())[1]
             assert k in {j for j, *_ in found}, (k, at)
+
+
+def counted(spark, docs):
+    """``docs`` through a step that counts the rows read."""
+    rows = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            rows.add(len(b))
+            yield b
+
+    return docs.mapInArrow(run, docs.schema), rows
+
+
+def test_documents_are_read_as_often_for_many_blocks_as_for_one(spark, monkeypatch):
+    rng = random.Random(6)
+    make = lambda n: " ".join("v%d" % rng.randrange(3000) for _ in range(n))
+    items = [(i, make(rng.randint(4, 120))) for i in range(60)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(i, make(60) + " " + t + " " + make(20)) for i, t in items]
+        + [(100 + i, " ".join(w for j, w in enumerate(t.split()) if j % 7)) for i, t in items]
+        + [(500 + i, make(200)) for i in range(30)] + [(600, None), (601, "")],
+        "doc_id long, text string")
+    found, reads = [], []
+    for passages in (1024, 16):
+        monkeypatch.setattr(D, "BLOCK_PASSAGES", passages)
+        source, rows = counted(spark, docs)
+        assert (len(list(D._blocks(bench, "item_id", "text"))) > 3) == (passages == 16)
+        found.append({(r.doc_id, r.item_id) for r in D.find_contamination(source, bench).collect()})
+        reads.append(rows.value)
+        source, rows = counted(spark, docs)
+        kept = {r.doc_id for r in D.drop_contaminated(source, bench).collect()}
+        assert kept == {r.doc_id for r in docs.collect()} - {d for d, _ in found[-1]}
+        assert rows.value == reads[-1]
+    assert reads == [2 * docs.count()] * 2
+    assert {(i, i) for i, _ in items} <= found[0] and {(i, i) for i, _ in items} <= found[1]
+    assert found[0] == found[1]
+
+
+def test_items_too_short_to_tell_match_nothing(spark):
+    bench = spark.createDataFrame(
+        [(1, "The"), (2, "of the"), (3, "one two three"), (4, "…"), (5, None), (6, "?"),
+         (7, "気" * 30), (8, "気" * 9), (None, "in")], "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, "The end of the road"), (2, "one two three"), (3, "so: " + "気" * 30), (4, "気" * 9),
+         (5, "in the end")], "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in D.find_contamination(docs, bench).collect()} \
+        == {(2, 3), (3, 7)}
+    assert sorted(r.doc_id for r in D.drop_contaminated(docs, bench).collect()) == [1, 4, 5]
+    short = {(r.item_id, r.text) for r in D.too_short(bench).collect()}
+    assert {i for i, _ in short} == {1, 2, 4, 8, None}
+
+
+def test_chunks_hold_all_batches_and_little_text(monkeypatch):
+    monkeypatch.setattr(D, "CHUNK_BYTES", 1000)
+    batches = [pa.RecordBatch.from_arrays([pa.array(["x" * n, None, ""])], ["text"])
+               for n in (10, 400, 5000, 300, 300, 300, 300, 1)]
+    held = list(D._chunks(iter(batches)))
+    assert [b for h in held for b in h] == batches and len(held) == 3
+    assert list(D._chunks(iter([]))) == []
