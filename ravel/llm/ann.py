@@ -13,8 +13,10 @@ double precision.
 Scale: equal vectors are one vector with the smallest ids that could be among
 the neighbours, so a vector that fills a third of the table costs one row;
 queries with equal vectors are searched once. Neighbouring leaves share a bin;
-vectors and queries meet by (bin, block, chunk), each side of bounded size,
-and a meeting returns the k + 1 nearest of each query. What is broadcast is the tree
+vectors and queries meet in partitions sorted by (bin, block, chunk): a block's
+vectors, of bounded number, come first and are held, its queries stream past them
+and each leaves with its k + 1 nearest. A block is copied only where more than
+``CHUNK_QUERIES`` queries visit it. What is broadcast is the tree
 (at most ``MAX_LEAVES`` leaves) and counts per leaf. The number of leaves
 follows the table until that bound; beyond it leaves hold more blocks.
 
@@ -43,11 +45,13 @@ K = 10
 LEAF_ROWS = 64          # distinct vectors a leaf, about
 MAX_LEAVES = 16_384
 SAMPLE = 65_536         # distinct vectors the tree is fitted on, about
+SAMPLE_BYTES = 64 << 20  # and bytes of their components
 BRANCH = 8
 ROUNDS = 8              # k-means rounds at a node
 RECALL = 0.97
 CALIBRATION = 128       # rows whose true neighbours are found by brute force
-BLOCK_ROWS = 2048       # vectors or queries that meet in one group, about
+BLOCK_ROWS = 2048       # vectors a task holds at once, about
+CHUNK_QUERIES = 1 << 18  # queries that meet one copy of a block, about
 
 
 class Tree:
@@ -209,11 +213,11 @@ class Index:
         most = (self.distinct.select(F.explode("ids").alias("id")).groupBy("id").count()
                 .agg(F.max("count").alias("n")).first().n) or 1
         self.repeats, self.enough = most > 1, (k + 1) * most
-        share = min(1.0, SAMPLE / max(n, 1))
+        share = min(1.0, min(SAMPLE, SAMPLE_BYTES / (8 * max(self.dim, 1))) / max(n, 1))
         sample = self.distinct.where(
             F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int(share * (1 << 30)))
-        points = [r.v for r in sample.orderBy("key").select("v").collect()]
-        points = np.array(points, dtype=np.float64).reshape(len(points), self.dim)
+        points = sample.orderBy("key").select("v").toArrow()["v"].combine_chunks()
+        points = points.flatten().to_numpy().reshape(len(points), self.dim)
         self.tree = Tree(points, min(MAX_LEAVES, max(1, math.ceil(n / LEAF_ROWS))))
         self.shared = spark.sparkContext.broadcast(self.tree)
         rows = pinned(self._with_leaf(self.distinct))
@@ -325,9 +329,10 @@ class Index:
 
         visited = pinned(once.mapInPandas(
             plan, "key string, v array<double>, bin int, leaves array<int>"))
-        # both sides of a bin are cut into parts of about BLOCK_ROWS
+        # a bin's vectors are cut into blocks; its queries, streamed, only
+        # into chunks so large that copying a block for each costs little
         parts = visited.groupBy("bin").agg(
-            F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("chunks"))
+            F.ceil(F.count(F.lit(1)) / CHUNK_QUERIES).cast("int").alias("chunks"))
         in_bin: dict[int, int] = {}
         for leaf, at in self.bins.items():
             in_bin[at] = in_bin.get(at, 0) + self.sizes[leaf]
@@ -337,29 +342,51 @@ class Index:
         left = (visited.join(cuts, "bin")
                 .withColumn("chunk", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int"))
                 .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                .select("bin", "block", "chunk", "key", "v", "leaves"))
+                .select("bin", "block", "chunk", F.lit(1).alias("side"), "key", "v", "leaves",
+                        F.lit(None).cast("int").alias("leaf"),
+                        F.lit(None).cast("array<long>").alias("ids")))
         right = (self.rows.join(cuts, "bin")
                  .withColumn("block", F.pmod(F.xxhash64("key", F.lit(9)), F.col("blocks"))
                              .cast("int"))
                  .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-                 .select("bin", "block", "chunk", "leaf", "v", "ids"))
-
-        def meet(q, x):
-            """The k + 1 nearest ids of each query among its leaves' vectors."""
-            out = []
-            m, ids = _matrix(x["v"], dim), [np.asarray(i) for i in x["ids"]]
-            leaf = x["leaf"].to_numpy()
-            for key, v, leaves in zip(q["key"], _matrix(q["v"], dim), q["leaves"]):
-                own = np.flatnonzero(np.isin(leaf, leaves))
-                if not len(own):
-                    continue
-                d = _distances(v, m[own])
-                out += [(key, *x) for x in nearest_ids(d, [ids[j] for j in own], k + 1)]
-            return pd.DataFrame(out, columns=["key", "score", "vec_id"])
+                 .select("bin", "block", "chunk", F.lit(0).alias("side"),
+                         F.lit(None).cast("string").alias("key"), "v",
+                         F.lit(None).cast("array<int>").alias("leaves"), "leaf", "ids"))
 
         by = ["bin", "block", "chunk"]
-        met = (left.groupBy(*by).cogroup(right.groupBy(*by))
-               .applyInPandas(meet, "key string, score double, vec_id long"))
+
+        def meet(batches):
+            """The k + 1 nearest ids of each query among its leaves' vectors;
+            every group's vectors come before its queries."""
+            group, parts, held = None, [], None
+            for b in batches:
+                out = []
+                for at, rows in b.groupby(by, sort=False):
+                    if at != group:
+                        group, parts, held = at, [], None
+                    x, q = rows[rows["side"] == 0], rows[rows["side"] == 1]
+                    if len(x):
+                        parts.append((_matrix(x["v"], dim), x["leaf"].to_numpy(dtype=np.int32),
+                                      [np.asarray(i) for i in x["ids"]]))
+                    if not len(q) or not parts:
+                        continue
+                    if held is None:
+                        held = (np.concatenate([m for m, _, _ in parts]),
+                                np.concatenate([leaf for _, leaf, _ in parts]),
+                                [i for _, _, ids in parts for i in ids])
+                        parts = [held]
+                    m, leaf, ids = held
+                    for key, v, leaves in zip(q["key"], _matrix(q["v"], dim), q["leaves"]):
+                        own = np.flatnonzero(np.isin(leaf, leaves))
+                        if len(own):
+                            d = _distances(v, m[own])
+                            out += [(key, *x) for x in
+                                    nearest_ids(d, [ids[j] for j in own], k + 1)]
+                yield pd.DataFrame(out, columns=["key", "score", "vec_id"])
+
+        met = (right.unionByName(left).repartition(partitions(self.spark), *by)
+               .sortWithinPartitions(*by, "side")
+               .mapInPandas(meet, "key string, score double, vec_id long"))
         if self.repeats:        # an id's nearest vector counts
             met = met.groupBy("key", "vec_id").agg(F.min("score").alias("score"))
         by_key = Window.partitionBy("key").orderBy("score", "vec_id")

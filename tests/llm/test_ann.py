@@ -77,6 +77,7 @@ def test_hot_vector_ties_and_odd_rows(spark, monkeypatch, block):
     """A third of the rows are one vector; visits of all leaves make the
     search exact, so it must equal brute force with its ties."""
     monkeypatch.setattr(ann, "BLOCK_ROWS", block)
+    monkeypatch.setattr(ann, "CHUNK_QUERIES", block)
     monkeypatch.setattr(ann, "LEAF_ROWS", 20)
     rng = np.random.default_rng(1)
     rows = [(i, [1.0, 2.0, -0.0] if i % 3 == 0 else rng.integers(-2, 3, 3).tolist())
@@ -152,3 +153,42 @@ def test_nearest_ids():
         want = sorted((x, i) for i, x in best.items())
         # lists hold the smallest ids of a vector, as many as are asked for
         assert ann.nearest_ids(d, ids, 4) == want[:4]
+
+
+@pytest.mark.parametrize("rows_a_batch", [3, 4096])
+def test_vectors_are_not_copied_for_queries(spark, monkeypatch, rows_a_batch):
+    """One copy of each vector, whatever batches cut a block and its queries."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(500, 4))
+    v = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)],
+                              "vec_id long, embedding array<double>")
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 64)
+    index = ann.Index(v)
+    index.visits = len(index.tree.leaves)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows_a_batch))
+    try:
+        got = found(index, v)
+    finally:
+        spark.conf.set(key, before)
+    want = brute(list(enumerate(x.tolist())), set(range(500)))
+    assert all([i for _, i in got[q]] == [i for _, i in want[q]] for q in range(500))
+    monkeypatch.setattr(ann, "CHUNK_QUERIES", 5)
+    assert found(index, v) == got
+
+
+def test_sample_is_bounded_in_bytes(spark, monkeypatch):
+    v = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(400)],
+                              "vec_id long, embedding array<double>")
+    monkeypatch.setattr(ann, "SAMPLE_BYTES", 800)        # 50 vectors of two components
+    sizes = []
+    plain = ann.Tree.__init__
+
+    def noted(self, points, *more):
+        sizes.append(points.shape)
+        plain(self, points, *more)
+
+    monkeypatch.setattr(ann.Tree, "__init__", noted)
+    ann.Index(v)
+    assert 20 <= sizes[0][0] <= 90 and sizes[0][1] == 2
