@@ -302,8 +302,13 @@ class Passages:
         answer = lcs_length(self.answers[k], size, span) >= ANSWER_SHARE * size
         return share, answer, share >= LCS_SURE or answer
 
-    def hits(self, ids: np.ndarray) -> dict:
-        """Verified passages of a document: {item: (lcs, cosine, answer)}."""
+    def hits(self, text: str | None) -> dict:
+        """Verified passages of a text: {item: (lcs, cosine, answer)}."""
+        texts = Texts([text])
+        return self.verified(texts.terms(self.vocab)[texts.ids[0]])
+
+    def verified(self, ids: np.ndarray) -> dict:
+        """``hits`` of a document's term numbers."""
         best: dict = {}
         for k, start, cos in self.near(ids):
             item = self.items[k]
@@ -509,7 +514,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
             for block in _in_turn(blocks):
                 terms = numbered.terms(block.vocab)
                 for d, ids in zip(doc_ids, numbered.ids):
-                    rows += [(d, item, *hit) for item, hit in block.hits(terms[ids]).items()]
+                    rows += [(d, item, *hit) for item, hit in block.verified(terms[ids]).items()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
                 ["doc_id", "item_id", "lcs", "cosine", "answer"])
@@ -533,7 +538,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             for block in _in_turn(blocks):
                 terms = numbered.terms(block.vocab)
                 for i in np.flatnonzero(clean):
-                    clean[i] = not block.hits(terms[numbered.ids[i]])
+                    clean[i] = not block.verified(terms[numbered.ids[i]])
             at = 0
             for b in held:
                 yield b.filter(pa.array(clean[at:at + len(b)]))
