@@ -87,3 +87,14 @@ def lookup_numbers(spark, path: str, numbers: list[str], buckets: int = BUCKETS)
                .select(bucket_of(F.col("num"), buckets)).collect()}
     return (rows.where(F.col("bucket").isin(sorted(folders)) & F.col("num").isin(sorted(set(numbers))))
             .drop("bucket"))
+
+
+def lookup_join(spark, path: str, numbers: DataFrame, num_col: str = "num",
+                buckets: int = BUCKETS) -> DataFrame:
+    """Rows of an index written in ``buckets`` whose number is in a table of
+    numbers of any size (nulls and repeats do no harm): a semi join on folder
+    and number, for which Spark leaves out the folders that hold none of them
+    where the table is small, and shuffles or broadcasts by the sizes it finds."""
+    wanted = numbers.select(F.col(num_col).alias("num")).where("num is not null").distinct() \
+        .withColumn("bucket", bucket_of(F.col("num"), buckets))
+    return spark.read.parquet(path).join(wanted, ["bucket", "num"], "left_semi").drop("bucket")

@@ -191,11 +191,12 @@ select uri, case when n < 2 then 'file' when n < 5 then 's3' end as scheme,
     when 2 then 's3a://bucket/dir/' || k || '.gz' end as path
 from u"""
 
-READ_TASKS = 5
+# Tasks asked for: so many, and one more for each TASK_RECORDS records.
+READ_TASKS, TASK_RECORDS = 4, 5000
 
 
 def crawl_read_plan(spark, sf_dir):
-    """(task, has_records, kept, records) of a crawl read with READ_TASKS tasks asked for:
+    """(task, has_records, kept, records) of a crawl read with a number of tasks asked for:
     whether each task brought records, and whether its bytes stay within the mean
     plus the longest segment (what packing by size keeps); a last row, without
     a task, has all records and whether the session's settings are as before."""
@@ -203,15 +204,16 @@ def crawl_read_plan(spark, sf_dir):
     from ravel.sources.segments import plan_reads, sizes_of
 
     rows = crawl_records_from_tables(spark, sf_dir).where("uri is not null and body is not null")
+    tasks = READ_TASKS + rows.count() // TASK_RECORDS
     settings = lambda: {r.key: r.value for r in spark.sql("SET").collect()}
 
     def work(base, read):
         paths = [r.value for r in spark.read.text(f"{base}/index").collect()]  # segment names
         sizes = sizes_of(paths)
-        plan = plan_reads(sizes, READ_TASKS)
+        plan = plan_reads(sizes, tasks)
         bound = sum(sizes.values()) / len(plan) + max(sizes.values())
         before = settings()
-        r = CrawlRead(spark, read_index(spark, f"{base}/index"), READ_TASKS)
+        r = CrawlRead(spark, read_index(spark, f"{base}/index"), tasks)
         per = {x.segment: x.n for x in r.valid_records().groupBy("segment")
                .agg(F.count(F.lit(1)).alias("n")).collect()}
         total = sum(per.values())
@@ -219,32 +221,33 @@ def crawl_read_plan(spark, sf_dir):
                for i, task in enumerate(plan)]
         return [*out, (None, True, settings() == before, total)]
 
-    found = _read_back(spark, [(rows.repartition(2 * READ_TASKS, "uri"), "gzip")], work,
+    found = _read_back(spark, [(rows.repartition(2 * tasks), "gzip")], work,
                        rows_per_segment=500)
     return spark.createDataFrame(found, "task int, has_records boolean, kept boolean, records bigint")
 
 
 QUERIES["crawl_read_plan"] = crawl_read_plan
 ORACLE["crawl_read_plan"] = f"""
-select range::int as task, true as has_records, true as kept, null::bigint as records
-from range({READ_TASKS})
+with r as (
+  select (select count(*) from pages where url is not null and html is not null)
+    + (select count(*) from documents where doc_id is not null and text is not null) as n)
+select unnest(range({READ_TASKS} + n // {TASK_RECORDS}))::int as task, true as has_records,
+  true as kept, null::bigint as records from r
 union all
-select null, true, true, (select count(*) from pages where url is not null and html is not null)
-  + (select count(*) from documents where doc_id is not null and text is not null)"""
+select null, true, true, n from r"""
 
 
 def phone_lookup(spark, sf_dir):
     """The index of the Dutch-style numbers written into folders by number, and
-    the rows of the numbers of the first three customers looked up in it."""
+    the rows of the numbers of every twentieth customer looked up in it."""
     from ravel.session import remove_path, scratch_path
 
     pairs = phones.phone_pairs(dutch_phone_texts(spark, sf_dir), "31", 9)
-    first = table(spark, sf_dir, "customer").select("c_custkey").orderBy("c_custkey").limit(3).collect()
+    asked = pairs.where(F.pmod(F.substring_index("uri", ":", -1).cast("long"), F.lit(20)) == 0)
     path = scratch_path(spark, "phone-index")
     try:
         phones.write_phone_index(phones.phone_index(pairs, URL_ROWS), path, buckets=phones.BUCKETS)
-        wanted = ["+316" + str(r.c_custkey).rjust(8, "1") for r in first]
-        return phones.lookup_numbers(spark, path, wanted).select(
+        return phones.lookup_join(spark, path, asked).select(
             "num", "chunk", "n_urls", F.array_join("urls", " ").alias("urls")).checkpoint(eager=True)
     finally:
         remove_path(spark, path)
@@ -252,5 +255,4 @@ def phone_lookup(spark, sf_dir):
 
 QUERIES["phone_lookup"] = phone_lookup
 ORACLE["phone_lookup"] = _NL + f"select * from ({_INDEX}) i" + """
-where num in (select '+316' || lpad(cast(c_custkey as varchar), 8, '1')
-              from (select c_custkey from customer order by c_custkey limit 3) f)"""
+where num in (select num from canon where cast(substr(uri, 6) as bigint) % 20 = 0)"""

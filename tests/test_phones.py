@@ -136,7 +136,7 @@ def test_index_in_folders_is_pruned(spark, tmp):
     import pytest
     from pyspark.sql import functions as F
 
-    from ravel.operators.phones import lookup_numbers, phone_index, write_phone_index
+    from ravel.operators.phones import lookup_join, lookup_numbers, phone_index, write_phone_index
     pairs = spark.range(3000).select(F.concat(F.lit("+31"), F.col("id") % 400).alias("num"),
                                      F.col("id").cast("string").alias("uri"))
     write_phone_index(phone_index(pairs, 3), f"{tmp}/i", buckets=16)
@@ -152,5 +152,14 @@ def test_index_in_folders_is_pruned(spark, tmp):
             one.select(F.input_file_name().alias("f")).distinct().collect()}
     assert len(read) == 1
     assert lookup_numbers(spark, f"{tmp}/i", [], 16).count() == 0
+    many = spark.createDataFrame([("+317",), ("+317",), (None,), ("+31999",), ("+3112",)], "n string")
+    got = lookup_join(spark, f"{tmp}/i", many, "n", 16)
+    assert got.columns == one.columns
+    assert sorted(u for r in got.collect() for u in r.urls) == \
+        sorted(str(i) for i in range(3000) if i % 400 in (7, 12))
+    assert lookup_join(spark, f"{tmp}/i", many.limit(0), "n", 16).count() == 0
+    picked = lookup_join(spark, f"{tmp}/i", many.where("n = '+317'"), "n", 16)
+    assert "dynamicpruning" in picked._jdf.queryExecution().executedPlan().toString()
+    assert picked.select(F.input_file_name().alias("f")).distinct().count() == 1
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
         write_phone_index(phone_index(pairs), f"{tmp}/i", buckets=16)
