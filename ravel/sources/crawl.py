@@ -54,8 +54,10 @@ def read_segments(spark: SparkSession, paths: list[str], partitions: int | None
     """(segment, uri, payload, ok) of those of ``paths`` that exist: a row for
     every record with a URI (``ok`` null), and one for the end of each segment
     (``ok``: whether it was read whole). ``partitions``: read with at least as
-    many tasks, segments permitting."""
-    return read_planned(spark, plan_reads(sizes_of(paths, options), partitions), options)
+    many tasks, segments permitting; by default enough for every core."""
+    plan = plan_reads(sizes_of(paths, options), partitions,
+                      least=spark.sparkContext.defaultParallelism)
+    return read_planned(spark, plan, options)
 
 
 class CrawlRead:

@@ -77,13 +77,13 @@ def sizes_of(paths: list[str], options: dict | None = None) -> dict[str, int]:
 
 
 def plan_reads(sizes: dict[str, int], tasks: int | None = None,
-               task_bytes: int = TASK_BYTES) -> list[list[str]]:
+               task_bytes: int = TASK_BYTES, least: int = 1) -> list[list[str]]:
     """Paths of each task: at least ``tasks`` of them (as far as there are
-    segments), else about ``task_bytes`` each; the longest segment first, into
-    the task with the fewest bytes."""
+    segments), else about ``task_bytes`` each but at least ``least`` tasks; the
+    longest segment first, into the task with the fewest bytes."""
     if not sizes:
         return []
-    wanted = tasks or -(-sum(sizes.values()) // task_bytes)
+    wanted = tasks or max(least, -(-sum(sizes.values()) // task_bytes))
     bins: list[list[str]] = [[] for _ in range(min(len(sizes), max(1, wanted)))]
     heap = [(0, i) for i in range(len(bins))]
     for path in sorted(sizes, key=lambda p: (-sizes[p], p)):

@@ -172,6 +172,13 @@ def test_reads_are_packed_by_size():
         assert max(held) <= sum(held) / len(held) + max(sizes.values()) + len(sizes)
         assert plan == plan_reads(dict(reversed(sizes.items())), tasks, 3000)
     assert plan_reads({}, 5) == []
+    # by default so many bytes a task, but a task for every core
+    some = {f"s{i}": 100 for i in range(30)}
+    assert len(plan_reads(some, None, 300)) == 10
+    assert len(plan_reads(some, None, 3000, least=8)) == 8
+    assert len(plan_reads(some, None, 300, least=8)) == 10
+    assert len(plan_reads(some, None, 3000, least=50)) == 30
+    assert len(plan_reads(some, 2, 300, least=8)) == 2
 
 
 def test_objects_of_a_store(tmp, monkeypatch):
