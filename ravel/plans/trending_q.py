@@ -254,8 +254,8 @@ STREAM_PARTS = 4
 
 
 def trending_resume(spark, sf_dir):
-    """The stream over the events in part files, one a tick: stopped while it
-    runs on a timed trigger, its last epoch's commit lost, and resumed from
+    """The stream over the events in groups of files, one group a tick: stopped
+    while it runs on a timed trigger, its last epoch's commit lost, and resumed from
     the checkpoint, with state in RocksDB; its rows for every closed window."""
     from ravel.session import remove_path, scratch_path
     from ravel.sources.tables import table, tweets_from_events
@@ -265,12 +265,14 @@ def trending_resume(spark, sf_dir):
     base = scratch_path(spark, "resume")
     events = table(spark, sf_dir, "events")
     own = stream_session(spark)
+    # files of a tick, by the session's partitions
+    files = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // STREAM_PARTS)
     try:
-        write_in_time_order(events, f"{base}/in", STREAM_PARTS)
+        write_in_time_order(events, f"{base}/in", STREAM_PARTS, files=files)
 
         def start(**how):
             statuses = tweets_from_events(own.readStream.schema(events.schema)
-                                          .option("maxFilesPerTrigger", 1).parquet(f"{base}/in"))
+                                          .option("maxFilesPerTrigger", files).parquet(f"{base}/in"))
             return start_trending(statuses, f"{base}/out", f"{base}/ckpt", WINDOW, SLIDE,
                                   WATERMARK, **how)
 

@@ -1,5 +1,6 @@
 """Committed stream outputs, resuming, and the streaming join on small data."""
 
+import glob
 from datetime import datetime, timedelta
 
 import pytest
@@ -122,6 +123,42 @@ def test_stopped_stream_goes_on(spark, tmp):
     assert same(got, closed(df, last_retweet(rows)))
 
 
+def test_tick_takes_a_whole_group_whatever_the_tasks(spark, tmp):
+    """Rows of one group lie in many tasks, each over the group's whole time; the
+    groups have as many files as asked for, so no tick makes rows late."""
+    rows = statuses()
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    for files in (1, 4):
+        ts.write_in_time_order(df, f"{tmp}/in{files}", 3, files=files)
+        assert len(glob.glob(f"{tmp}/in{files}/part-*")) == 3 * files
+        stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files) \
+            .parquet(f"{tmp}/in{files}")
+        q = ts.start_trending(stream, f"{tmp}/out{files}", f"{tmp}/ck{files}", "120 seconds",
+                              "40 seconds", "10 seconds", available_now=True)
+        assert ts.finish(q) == 0
+        assert len({p.batchId for p in q.recentProgress if p.numInputRows}) == 3
+        got = outputs.read_committed(spark, f"{tmp}/out{files}", "rows")
+        assert same(got, closed(df, last_retweet(rows)))
+
+
+def test_group_without_rows_has_its_files(spark, tmp):
+    df = spark.createDataFrame([(T0, k) for k in range(6)], "ts timestamp, k int")
+    ts.write_in_time_order(df, f"{tmp}/in", 3, files=2)
+    assert len(glob.glob(f"{tmp}/in/part-*")) == 6
+    assert spark.read.parquet(f"{tmp}/in").count() == 6
+
+
+def test_state_partitions_are_bounded(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "600")
+        assert int(ts.stream_session(spark).conf.get(key)) == ts.STATE_PARTITIONS
+        assert ts.stream_session(spark, {}).conf.get(key) == "600" == spark.conf.get(key)
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_joined_plan_equals_batch_and_clears_its_state(spark, tmp):
     rows = statuses()
     df = spark.createDataFrame(rows, SCHEMA)
