@@ -19,15 +19,14 @@ from pyspark.sql import functions as F
 from ravel.session import ensure_checkpoint_dir
 
 
-# Rows of a slice where the caller names no number of slices: the range
-# partitioning sends 300 sampled keys a slice to the driver, so that small
-# inputs are not to be cut into as many as the session has shuffle partitions.
+# Rows of a slice by ``slices_of``.
 SLICE_ROWS = 50_000
 
 
 def slices_of(df: DataFrame) -> int:
-    """Slices for the rows of ``df`` (pinned, for it is counted), at most as many
-    as the session has shuffle partitions."""
+    """Slices for the rows of ``df`` (kept, for it is counted), at most as many
+    as the session has shuffle partitions. The range partitioning sends 300
+    sampled keys a slice to the driver, so small batches are cut into few."""
     most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(1, min(most, -(-df.count() // SLICE_ROWS)))
 
@@ -38,8 +37,8 @@ def sorted_slices(df: DataFrame, keys: list[Column], partitions: int | None = No
     (slices follow one another in order), and ``_pos``, which rises inside it."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     df = df if pinned else df.checkpoint(eager=True)
-    n = partitions or slices_of(df)
     return (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
             .withColumn("_pid", F.spark_partition_id())
             .withColumn("_pos", F.monotonically_increasing_id())
